@@ -57,36 +57,32 @@ def matrix_udf(fn: Callable[[np.ndarray], np.ndarray], returns: str = "array<dou
 Partials = dict[str, np.ndarray]
 
 
-def sum_over_rows(
+Batch = tuple[np.ndarray, ...]
+
+
+def sum_over_tasks(
     df: DataFrame,
     columns: list[str | Column],
-    step: Callable[..., Partials],
+    task: Callable[[Iterator[Batch]], Partials],
 ) -> Partials:
-    """Sum named arrays over all rows: one scan, partial sums per task, one small shuffle.
+    """Sum named arrays over tasks: one scan, one small shuffle.
 
-    ``step`` turns one Arrow batch (one numpy array per column) into arrays whose
-    shapes do not depend on the batch.  Each task adds its batches up and emits one
-    row per name; the cross-task sum is a Spark aggregation, so only model-sized
-    rows reach the driver.
+    ``task`` sees the Arrow batches of one partition (one numpy array per column) and
+    returns arrays whose shapes do not depend on the data.  The cross-task sum is a
+    Spark aggregation, so only model-sized rows reach the driver.
     """
     picked = df.select(*[c if isinstance(c, Column) else F.col(c) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: Partials = {}
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            part = step(*[column_values(batch.column(i)) for i in range(batch.num_columns)])
-            for name, value in part.items():
-                value = np.asarray(value, dtype=np.float64)
-                totals[name] = totals[name] + value if name in totals else value
+        full = (b for b in batches if b.num_rows)
+        totals = task(tuple(column_values(c) for c in b.columns) for b in full)
         if totals:
-            names = list(totals)
+            arrays = [np.asarray(v, dtype=np.float64) for v in totals.values()]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(names),
-                    pa.array([list(totals[n].shape) for n in names], type=pa.list_(pa.int64())),
-                    pa.array([totals[n].reshape(-1) for n in names], type=pa.list_(pa.float64())),
+                    pa.array(list(totals)),
+                    pa.array([list(a.shape) for a in arrays], type=pa.list_(pa.int64())),
+                    pa.array([a.reshape(-1) for a in arrays], type=pa.list_(pa.float64())),
                 ],
                 names=["name", "shape", "vec"],
             )
@@ -100,9 +96,7 @@ def sum_over_rows(
     )
     out: Partials = {}
     names = np.asarray(summed["name"].to_pylist(), dtype=object)
-    pos = summed["pos"].to_numpy()
-    val = summed["v"].to_numpy()
-    shapes = summed["shape"].to_pylist()
+    pos, val, shapes = summed["pos"].to_numpy(), summed["v"].to_numpy(), summed["shape"].to_pylist()
     for name in set(names.tolist()):
         mask = names == name
         shape = shapes[int(np.flatnonzero(mask)[0])]
@@ -112,6 +106,19 @@ def sum_over_rows(
     return out
 
 
+def sum_over_rows(df: DataFrame, columns: list[str | Column], step: Callable[..., Partials]) -> Partials:
+    """The same for sums over rows: ``step`` turns one batch into arrays, which are added up."""
+
+    def task(batches: Iterator[Batch]) -> Partials:
+        totals: Partials = {}
+        for batch in batches:
+            for name, value in step(*batch).items():
+                totals[name] = totals[name] + value if name in totals else np.asarray(value, dtype=np.float64)
+        return totals
+
+    return sum_over_tasks(df, columns, task)
+
+
 def sq_dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared Euclidean distances, exact differences for few dimensions, products otherwise."""
     if a.shape[1] <= 4:
