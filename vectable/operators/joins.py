@@ -8,27 +8,23 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 200
 
 
-def heavy_keys(df: DataFrame, key: str, rows: int | None = None) -> list:
-    """Keys with more than 1/MAX_HOT_KEYS of all rows: there cannot be more than MAX_HOT_KEYS."""
-    total = df.count() if rows is None else rows
-    counts = df.groupBy(key).count().filter(F.col("count") > max(1, total // MAX_HOT_KEYS))
-    return [r[0] for r in counts.select(key).collect()]
-
-
-def join_unique(left: DataFrame, right: DataFrame, key: str, how: str = "inner", min_rows: int = 1_000_000) -> DataFrame:
+def join_unique(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", min_rows: int = 1_000_000, counts: DataFrame | None = None
+) -> DataFrame:
     """Join ``left`` to a right side that has at most one row per ``key``.
 
-    Heavy left keys are joined to the few right rows they need, which are
-    broadcast (at most MAX_HOT_KEYS rows); the rest is an ordinary shuffle join
-    that Spark turns into a broadcast one if its size estimate allows.  Small
-    left sides skip the search for heavy keys.
+    A key is heavy when it has more than 1/MAX_HOT_KEYS of the left rows, so there are
+    at most MAX_HOT_KEYS of them.  Heavy left rows meet the few right rows they need by
+    broadcast; the rest is an ordinary join.  Small left sides skip the search.
+    ``counts`` (key, count) can be given when it is known more cheaply.
     """
     if how not in ("inner", "left"):
         raise ValueError("how is inner or left")
-    rows = left.count()
-    if rows < min_rows:
+    per_key = left.groupBy(key).count() if counts is None else counts
+    total = left.count() if counts is None else (counts.agg(F.sum("count")).first()[0] or 0)
+    if total < min_rows:
         return left.join(right, key, how)
-    hot = heavy_keys(left, key, rows)
+    hot = [r[0] for r in per_key.filter(F.col("count") > total // MAX_HOT_KEYS).select(key).collect() if r[0] is not None]
     if not hot:
         return left.join(right, key, how)
     is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
