@@ -89,13 +89,13 @@ def running_totals(
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     placed = df.repartitionByRange(*group_cols, *order_cols).sortWithinPartitions(*group_cols, *order_cols)
-    placed = cut_lineage(placed.withColumn("_pid", F.spark_partition_id()))
+    placed = cut_lineage(placed.withColumn("__pid", F.spark_partition_id()))
     names = list(totals)
     fields = placed.schema.fields
     schema = T.StructType(
         fields
         + [T.StructField(n, T.LongType() if totals[n] is None else T.DoubleType()) for n in names]
-        + [T.StructField("_run", T.LongType()), T.StructField("_at", T.LongType())]
+        + [T.StructField("__run", T.LongType()), T.StructField("__at", T.LongType())]
     )
     width = len(fields)
     group_at = [placed.columns.index(c) for c in group_cols]
@@ -132,12 +132,12 @@ def running_totals(
     ran = placed.mapInArrow(local, schema)
     key = F.struct(*group_cols)
     ends = (
-        ran.groupBy("_pid")
+        ran.groupBy("__pid")
         .agg(
-            F.min_by(key, "_at").alias("first"),
-            F.max_by(F.struct(key.alias("key"), "_run", *names), "_at").alias("last"),
+            F.min_by(key, "__at").alias("first"),
+            F.max_by(F.struct(key.alias("key"), "__run", *names), "__at").alias("last"),
         )
-        .orderBy("_pid")
+        .orderBy("__pid")
         .collect()
     )
     inherited, before = [], None
@@ -145,18 +145,18 @@ def running_totals(
         carried = {n: 0 for n in names}
         if before is not None and row["first"] == before["key"]:
             carried = before["totals"]
-            inherited.append((row["_pid"], *[carried[n] for n in names]))
+            inherited.append((row["__pid"], *[carried[n] for n in names]))
         last = row["last"]
-        extra = carried if last["_run"] == 0 else {n: 0 for n in names}
+        extra = carried if last["__run"] == 0 else {n: 0 for n in names}
         before = {"key": last["key"], "totals": {n: last[n] + extra[n] for n in names}}
     if inherited:
-        carry_schema = "_pid int, " + ", ".join(
-            f"`_c_{n}` {'bigint' if totals[n] is None else 'double'}" for n in names
+        carry_schema = "__pid int, " + ", ".join(
+            f"`__c_{n}` {'bigint' if totals[n] is None else 'double'}" for n in names
         )
         carries = df.sparkSession.createDataFrame(inherited, carry_schema)
-        ran = ran.join(F.broadcast(carries), "_pid", "left")
+        ran = ran.join(F.broadcast(carries), "__pid", "left")
         for n in names:
-            add = F.when(F.col("_run") == 0, F.coalesce(F.col(f"_c_{n}"), F.lit(0))).otherwise(F.lit(0))
+            add = F.when(F.col("__run") == 0, F.coalesce(F.col(f"__c_{n}"), F.lit(0))).otherwise(F.lit(0))
             ran = ran.withColumn(n, F.col(n) + add)
     return ran.select(*df.columns, *names)
 

@@ -6,7 +6,7 @@ import importlib
 
 from vectable.plans.common import Query
 
-MODULES = ("tables", "scalers")
+MODULES = ("tables", "files", "scalers", "neighbours", "reductions", "clusters", "supervised", "sequences", "streams")
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -63,3 +65,20 @@ def reused(df: DataFrame, *columns: str) -> Iterator[DataFrame]:
         if spread is not None:
             spread.unpersist()
         kept.unpersist()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the tasks of a running session (once per session)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_vectable_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="vectable-"), "vectable.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, files in os.walk(here):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(here)))
+    sc.addPyFile(target)
+    sc._vectable_shipped = True
