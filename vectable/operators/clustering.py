@@ -86,7 +86,7 @@ def _mix(h: np.ndarray, salt: int) -> np.ndarray:
 def refined_start(
     df: DataFrame, k: int, *, samplings: int = 100, percentage: float = 0.02, max_iterations: int = 1000, id_col: str = "row_id", seed: int = 0
 ) -> np.ndarray:
-    """Cluster many random samples, then cluster their centroids.
+    """Cluster many random samples, then their centroids from each sample's solution; the best of those is the start.
 
     All samples advance together: a row decides by hash which samples it is in, so a
     pass over the table moves every sample one step and no sample is ever gathered.
@@ -100,25 +100,37 @@ def refined_start(
     limit = np.uint64(min(2**64 - 1, int(percentage * 2**64)))
     with_hash = df.withColumn("_h", F.xxhash64(F.lit(int(seed)), F.col(id_col)))
     with reused(with_hash, "features", "_h") as kept:
-        for _ in range(max_iterations if max_iterations > 0 else 2**31):
-            current = starts
-
-            def step(x: np.ndarray, h: np.ndarray) -> dict[str, np.ndarray]:
-                out = np.zeros((samplings, k, x.shape[1] + 1))
-                for s in range(samplings):
-                    member = x[_mix(h, s) < limit]
-                    if len(member):
-                        out[s] = _sums(member, nearest(member, current[s])[0], k)
-                return {"t": out}
-
-            total = sum_over_rows(kept, ["features", "_h"], step)["t"]
-            starts = np.stack([_update(total[s], current[s], "allow")[0] for s in range(samplings)])
-            if np.sqrt(((starts - current) ** 2).sum(axis=(1, 2))).max() < 1e-5:
-                break
+        starts, _ = _side_by_side(kept, starts, max_iterations, lambda h, s: _mix(h, s) < limit)
     points = starts.reshape(samplings * k, -1)
-    table = df.sparkSession.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "row_id bigint, features array<double>")
-    with reused(table, "row_id", "features") as kept:
-        return lloyd(kept, points[:k], max_iterations, "allow").centroids
+    table = df.sparkSession.createDataFrame([(p.tolist(), 0) for p in points], "features array<double>, _h bigint")
+    with reused(table, "features", "_h") as kept:
+        found, error = _side_by_side(kept, starts, max_iterations, lambda h, s: np.ones(len(h), dtype=bool))
+    return found[int(error.argmin())]
+
+
+def _side_by_side(
+    df: DataFrame, starts: np.ndarray, max_iterations: int, member: Callable[[np.ndarray, int], np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Lloyd from many starts (runs, k, d) at once; returns the centroids and the squared error of each run."""
+    runs, k, d = starts.shape
+    limit = max_iterations if max_iterations > 0 else 2**31
+    for _ in range(limit):
+        current = starts
+
+        def step(x: np.ndarray, h: np.ndarray) -> dict[str, np.ndarray]:
+            total, error = np.zeros((runs, k, d + 1)), np.zeros(runs)
+            for s in range(runs):
+                mine = x[member(h, s)]
+                if len(mine):
+                    idx, dist = nearest(mine, current[s])
+                    total[s], error[s] = _sums(mine, idx, k), dist.sum()
+            return {"t": total, "e": error}
+
+        out = sum_over_rows(df, ["features", "_h"], step)
+        starts = np.stack([_update(out["t"][s], current[s], "allow")[0] for s in range(runs)])
+        if np.sqrt(((starts - current) ** 2).sum(axis=(1, 2))).max() < 1e-5:
+            break
+    return starts, out["e"]
 
 
 def kmeans(

@@ -117,15 +117,19 @@ class Cells:
         if farthest:
             bound = np.abs(d[:, :, None] - self.edge[None])
             bound = np.where(np.isnan(bound), -np.inf, bound).reshape(len(x), -1)
-            best = -np.partition(-bound, k - 1, axis=1)[:, k - 1]
+            witness = np.argpartition(-bound, k - 1, axis=1)[:, :k]
+            best = np.take_along_axis(bound, witness, axis=1).min(1)
             must = (d + self.far + 1e-6 * (1.0 + d)) * (1.0 - epsilon) >= best[:, None]
             order = np.argsort(-(d + self.far), axis=1, kind="stable")
         else:
             bound = d[:, :, None] + self.edge[None]
             bound = np.where(np.isnan(bound), np.inf, bound).reshape(len(x), -1)
-            best = np.partition(bound, k - 1, axis=1)[:, k - 1]
+            witness = np.argpartition(bound, k - 1, axis=1)[:, :k]
+            best = np.take_along_axis(bound, witness, axis=1).max(1)
             must = self.lower_bounds(x, d) * (1.0 + epsilon) <= best[:, None]
             order = np.argsort(d, axis=1, kind="stable")
+        # The points behind the bound are visited themselves, however large epsilon is.
+        np.put_along_axis(must, witness // k, True, axis=1)
         if not greedy:
             return must
         # Greedy: only the most promising cells that together hold k points, widened by tau.

@@ -11,44 +11,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vectable.functions.hashing import row_hash
+from vectable.functions.hashing import WORD, row_hash
 from vectable.session import cut_lineage
 
 FANOUT = 65536
 
 
-def nth_smallest(df: DataFrame, key: Column, rank: int) -> tuple[int, int]:
+def nth_smallest(df: DataFrame, key: Column, rank: int, bounds: tuple[int, int] | None = None) -> tuple[int, int]:
     """Exact value at a 0-based rank of a bigint expression, and how many rows lie below it.
 
     Narrows [min, max] by counting FANOUT equal ranges per pass: a 32-bit key
-    takes two aggregations, a 64-bit key four, and nothing is sorted.
+    takes two aggregations, a 64-bit key four, and nothing is sorted.  Known
+    ``bounds`` save the pass that finds them.
     """
     keyed = df.select(key.cast("bigint").alias("k"))
-    bounds = keyed.agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n")).first()
-    if not 0 <= rank < bounds["n"]:
-        raise ValueError(f"rank {rank} outside 0..{bounds['n'] - 1}")
-    lo, hi, below = bounds["lo"], bounds["hi"], 0
+    if bounds is None:
+        row = keyed.agg(F.min("k").alias("lo"), F.max("k").alias("hi")).first()
+        if row["lo"] is None:
+            raise ValueError("no rows to rank")
+        bounds = row["lo"], row["hi"]
+    (lo, hi), below = bounds, 0
     while lo < hi:
         width = (hi - lo) // FANOUT + 1
         cell = F.expr(f"(k - ({lo}L)) div {width}L")
-        counts = keyed.filter(F.col("k").between(lo, hi)).groupBy(cell.alias("b")).count().collect()
-        for b, n in sorted((r["b"], r["count"]) for r in counts):
-            if below + n > rank:
-                lo, hi = lo + b * width, min(hi, lo + (b + 1) * width - 1)
-                break
-            below += n
+        found = keyed.filter(F.col("k").between(lo, hi)).groupBy(cell.alias("b")).count().toArrow()
+        cells, counts = found["b"].to_numpy(), found["count"].to_numpy()
+        order = np.argsort(cells)
+        reached = below + np.cumsum(counts[order])
+        at = int(np.searchsorted(reached, rank, side="right"))
+        if rank < 0 or at == len(order):
+            raise ValueError(f"rank {rank} is outside the table")
+        below = int(reached[at] - counts[order[at]])
+        start = lo + int(cells[order[at]]) * width
+        lo, hi = start, min(hi, start + width - 1)
     return lo, below
 
 
-def lowest_hashes(df: DataFrame, n: int, id_col: str, seed: int) -> Column:
+def lowest_hashes(df: DataFrame, n: int, id_col: str, seed: int, total: int | None = None) -> Column:
     """Predicate that is true for exactly the n rows with the lowest (hash, id)."""
     if n <= 0:
         return F.lit(False)
-    total = df.count()
-    if n >= total:
+    if n >= (df.count() if total is None else total):
         return F.lit(True)
     h = row_hash(F.col(id_col), seed)
-    cut, below = nth_smallest(df, h, n - 1)
+    cut, below = nth_smallest(df, h, n - 1, (0, WORD - 1))
     last_id, _ = nth_smallest(df.filter(h == cut), F.col(id_col), n - below - 1)
     return (h < cut) | ((h == cut) & (F.col(id_col) <= last_id))
 

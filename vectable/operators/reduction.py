@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions.blocks import matrix_udf, sum_over_rows
-from vectable.operators.layout import require_dim, shape
+from vectable.operators.layout import require_dim
 from vectable.operators.moments import covariance, moments
 from vectable.session import reused
 
@@ -101,13 +101,13 @@ def fit_nmf(df: DataFrame, rank: int = 2, *, max_iterations: int = 100, toleranc
     A pass solves each row of W where it lies and sums W^T W (r x r), W^T V (r x d)
     and the squared norm; H and the residue follow on the driver.
     """
-    n, d = shape(df)
+    m = moments(df)
+    n, d = m.n, len(m.mean)
     if rank < 1 or rank > min(n, d):
         raise ValueError(f"rank {rank} outside 1..{min(n, d)}")
-    # A positive random start on the scale of the data.
-    m = moments(df)
     if m.min.min() < 0:
         raise ValueError("factorisation needs non-negative features")
+    # A positive random start on the scale of the data.
     h = np.random.default_rng(seed).random((rank, d)) * np.maximum(m.mean, 1e-12)
     last, done, residue = np.inf, 0, np.inf
     with reused(df, "features") as kept:

@@ -23,7 +23,7 @@ def test_rows(df: DataFrame, ratio: float = 0.2, *, shuffle: bool = True, id_col
     if n_test == n:
         return F.lit(True)
     if shuffle:
-        return lowest_hashes(df, n_test, id_col, seed)
+        return lowest_hashes(df, n_test, id_col, seed, n)
     first, _ = nth_smallest(df, F.col(id_col), n - n_test)
     return F.col(id_col) >= first
 

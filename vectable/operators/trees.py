@@ -38,7 +38,8 @@ def fit_tree(
         featuresCol="_v", labelCol="_y", impurity="gini", minInstancesPerNode=minimum_leaf_size, minInfoGain=minimum_gain_split,
         maxDepth=min(maximum_depth or 30, 30), maxMemoryInMB=512, seed=seed,
     )
-    return grower.fit(df.select(array_to_vector("features").alias("_v"), F.col(label_col).cast("double").alias("_y")))
+    with reused(df, "features", label_col) as kept:
+        return grower.fit(kept.select(array_to_vector("features").alias("_v"), F.col(label_col).cast("double").alias("_y")))
 
 
 def tree_predict(df: DataFrame, model: DecisionTreeClassificationModel) -> DataFrame:

@@ -31,16 +31,17 @@ def learn_stream(stream: DataFrame, start: object, update: Update, path: str, ch
     committed is skipped, so every row counts once.
     """
     spark = stream.sparkSession
+    # Read once per run; after that this run is the only writer.
+    last = last_batch(spark, path)
+    state = {"last": last, "model": start if last is None else load_model(spark, f"{path}/version={last}")}
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        last = last_batch(spark, path)
-        if last is not None and batch_id <= last:
+        if state["last"] is not None and batch_id <= state["last"]:
             return
-        model = start if last is None else load_model(spark, f"{path}/version={last}")
-        if not batch.isEmpty():
-            model = update(batch, model)
+        model = state["model"] if batch.isEmpty() else update(batch, state["model"])
         save_model(spark, model, f"{path}/version={batch_id}")
         commit(spark, path, 0, batch_id, 0, 0)
+        state.update(last=batch_id, model=model)
 
     writer = stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -13,7 +13,6 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row per committed batch of each generation; a replayed batch counts once."""
     try:
         found = spark.read.schema(SCHEMA).json(f"{path}/manifest")
-        found.limit(1).count()
     except AnalysisException:
         return spark.createDataFrame([], SCHEMA)
     return found.groupBy("generation", "batch").agg(*[F.max(c).alias(c) for c in ("rows", "top", "schema")])
