@@ -31,7 +31,7 @@ def kinds(table) -> dict[str, str]:
 def difference(spark, sf_dir: str, query, sql: str, con) -> str:
     """Empty when equal, otherwise a short account of what differs."""
     got = query(spark, sf_dir).toArrow()
-    want = con.execute(sql).to_arrow_table()
+    want = con.sql(sql).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {sorted(got.column_names)} / {sorted(want.column_names)}"
     note = "" if kinds(got) == kinds(want) else f"types {kinds(got)} / {kinds(want)}; "

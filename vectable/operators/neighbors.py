@@ -69,7 +69,7 @@ def _hits(ids: np.ndarray, dists: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * k), items)
 
 
-def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool) -> DataFrame:
+def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool, exclude_self: bool) -> DataFrame:
     got = ref.select("_ref", "_rx").toArrow()
     ids = got["_ref"].to_numpy()
     order = np.argsort(ids, kind="stable")
@@ -79,9 +79,12 @@ def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool) -
     def search(x: pa.Array) -> pa.Array:
         if len(x) == 0:
             return pa.array([], type=pa.list_(pa.struct([("ref_id", pa.int64()), ("dist", pa.float64())])))
-        return _hits(*top_k(to_matrix(x), points, ids, k, farthest))
+        return _hits(*top_k(to_matrix(x), points, ids, k + exclude_self, farthest))
 
-    found = query.select("_q", F.posexplode(search("_qx")).alias("rank", "hit"))
+    hits = query.select("_q", search("_qx").alias("hits"))
+    if exclude_self:
+        hits = hits.select("_q", F.slice(F.filter("hits", lambda h: h["ref_id"] != F.col("_q")), 1, k).alias("hits"))
+    found = hits.select("_q", F.posexplode("hits").alias("rank", "hit"))
     return found.select("_q", (F.col("rank") + 1).alias("rank"), "hit.ref_id", "hit.dist")
 
 
@@ -153,7 +156,8 @@ def _assign(points: DataFrame, pivots: np.ndarray, column: str) -> DataFrame:
 
 def fit_cells(ref: DataFrame, n: int, k: int, farthest: bool = False, n_pivots: int | None = None, seed: int = 0) -> tuple[Cells, DataFrame]:
     """Cut (_ref, _rx, ...) into cells; the placed table is written once and read by every later step."""
-    want = n_pivots or min(MAX_PIVOTS, max(1, int(np.sqrt(n / 64.0))))
+    # The bounds of all cells together stay below a million numbers.
+    want = n_pivots or max(1, min(MAX_PIVOTS, int(np.sqrt(n / 64.0)), 1_000_000 // k))
     drawn = to_matrix(sample_rows(ref.select("_ref", "_rx"), want, "_ref", seed).select("_rx").toArrow()["_rx"])
     pivots = np.unique(drawn, axis=0)
     placed = cut_lineage(_assign(ref, pivots, "_rx"))
@@ -236,6 +240,7 @@ def _blocked(
     n: int,
     k: int,
     farthest: bool,
+    exclude_self: bool,
     *,
     epsilon: float,
     greedy: bool,
@@ -244,6 +249,7 @@ def _blocked(
     n_pivots: int | None,
     seed: int,
 ) -> DataFrame:
+    keep, k = k, k + exclude_self
     copies = F.row_number().over(W.partitionBy("_rx").orderBy("_ref"))
     distinct = ref.withColumn("_copy", copies).filter(F.col("_copy") <= k).drop("_copy")
     cells, placed = fit_cells(distinct, n, k, farthest, n_pivots, seed)
@@ -263,9 +269,11 @@ def _blocked(
         return cells.candidates(x, k, farthest, epsilon, greedy, tau)
 
     partial = block_join(query, placed, cells, visit, work, "_q bigint, ref_id bigint, dist double", block_rows)
+    if exclude_self:
+        partial = partial.filter(F.col("_q") != F.col("ref_id"))
     better = F.col("dist").desc() if farthest else F.col("dist").asc()
     rank = F.row_number().over(W.partitionBy("_q").orderBy(better, "ref_id"))
-    return partial.withColumn("rank", rank).filter(F.col("rank") <= k).select("_q", "rank", "ref_id", "dist")
+    return partial.withColumn("rank", rank).filter(F.col("rank") <= keep).select("_q", "rank", "ref_id", "dist")
 
 
 def neighbour_join(
@@ -298,9 +306,8 @@ def neighbour_join(
     if k < 1:
         raise ValueError("k must be at least 1")
     n, dim = shape(ref, ref_features)
-    extra = 1 if exclude_self else 0
-    if k + extra > n:
-        raise ValueError(f"k = {k} neighbours asked of {n - extra} reference points")
+    if k + exclude_self > n:
+        raise ValueError(f"k = {k} neighbours asked of {n - exclude_self} reference points")
     q = query.select(F.col(query_id).cast("bigint").alias("_q"), F.col(query_features).cast("array<double>").alias("_qx"))
     r = ref.select(F.col(ref_id).cast("bigint").alias("_ref"), F.col(ref_features).cast("array<double>").alias("_rx"))
     size = n * (dim * 8 + 8)
@@ -309,15 +316,12 @@ def neighbour_join(
     if strategy == "broadcast":
         if size > broadcast_bytes:
             raise ValueError(f"reference set of {size} bytes exceeds the broadcast limit {broadcast_bytes}")
-        out = _small_reference(q, r, k + extra, farthest)
+        out = _small_reference(q, r, k, farthest, exclude_self)
     else:
         out = _blocked(
-            q, r, n, k + extra, farthest,
+            q, r, n, k, farthest, exclude_self,
             epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows, n_pivots=n_pivots, seed=seed,
         )
-    if exclude_self:
-        rank = F.row_number().over(W.partitionBy("_q").orderBy("rank"))
-        out = out.filter(F.col("_q") != F.col("ref_id")).withColumn("rank", rank).filter(F.col("rank") <= k)
     return out.select(F.col("_q").alias("query_id"), "rank", "ref_id", "dist")
 
 

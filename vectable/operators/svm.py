@@ -10,27 +10,26 @@ from pyspark.sql import functions as F
 
 from vectable.functions.blocks import matrix_udf
 from vectable.functions.exprs import argmax
+from vectable.operators.joins import join_unique
 from vectable.operators.layout import require_dim, shape
+from vectable.operators.order import row_index
 from vectable.operators.training import minimise
 from vectable.session import reused
 
 
 def label_map(df: DataFrame, label_col: str = "label") -> DataFrame:
     """(label, class): arbitrary labels to 0 .. k-1 in label order; one row per class."""
-    labels = sorted(r[0] for r in df.select(label_col).where(F.col(label_col).isNotNull()).distinct().collect())
-    kind = df.schema[label_col].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(labels)], f"label {kind}, class int")
+    labels = df.select(F.col(label_col).alias("label")).where(F.col("label").isNotNull()).distinct()
+    return row_index(labels, ["label"], "class").select("label", F.col("class").cast("int").alias("class"))
 
 
 def normalise_labels(df: DataFrame, mapping: DataFrame, label_col: str = "label", output_col: str = "class") -> DataFrame:
-    """Class of each label; the mapping has one row per class and is sent to the tasks."""
-    small = F.broadcast(mapping.select(F.col("label").alias(label_col), F.col("class").alias(output_col)))
-    return df.join(small, label_col)
+    """Class of each label; a label that most rows carry does not slow the join."""
+    return join_unique(df, mapping.select(F.col("label").alias(label_col), F.col("class").alias(output_col)), label_col)
 
 
 def revert_labels(df: DataFrame, mapping: DataFrame, class_col: str = "class", output_col: str = "label") -> DataFrame:
-    small = F.broadcast(mapping.select(F.col("class").alias(class_col), F.col("label").alias(output_col)))
-    return df.join(small, class_col)
+    return join_unique(df, mapping.select(F.col("class").alias(class_col), F.col("label").alias(output_col)), class_col)
 
 
 @dataclass(frozen=True)

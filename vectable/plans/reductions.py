@@ -28,10 +28,11 @@ def _pair_sql(form: str, digits: int) -> str:
     )
 
 
-@catalog.query(_pair_sql("sum(({x}) * ({y}))", 3))
+@catalog.query(_pair_sql("avg(({x}) * ({y}))", 6))
 def gram_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    _, g = mo.gram(_features(spark, sf))
-    return mo.matrix_table(spark, g).withColumn("value", rnd("value", 3))
+    """Sums of products, per row."""
+    n, g = mo.gram(_features(spark, sf))
+    return mo.matrix_table(spark, g / n).withColumn("value", rnd("value"))
 
 
 @catalog.query(_pair_sql("covar_samp({x}, {y})", 6))

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from vectable.operators.layout import convert, shape, transpose
 from vectable.operators.order import row_index
 
+# A point is one row, so its features have to fit into one.
+MAX_DIM = 1_000_000
 # Field separators by file kind (regular expressions).
 SEPARATORS = {"csv": ",", "tsv": "\t", "txt": "\\s+", "arff": ","}
 
@@ -60,8 +62,11 @@ def load(
             dim = shape(points)[1]
         return convert(points, "vector", layout, dim=dim)
     cells = transpose(convert(points, "vector", "long"))
-    if layout == "wide" and dim is None:
-        dim = points.count()
+    if layout == "long":
+        return cells
+    dim = points.count()
+    if dim > MAX_DIM:
+        raise ValueError(f"columns of {dim} lines make points of that many features; load them with layout='long'")
     return convert(cells, "long", layout, dim=dim)
 
 
