@@ -82,7 +82,7 @@ def chunked(df: DataFrame, *, seq_col: str = "seq", time_cols: tuple[str, ...] =
     cells = F.array_sort(F.collect_list(F.struct("pos", "features")))
     chunks = placed.groupBy("seq", F.expr(f"pos div {chunk_rows}").alias("c")).agg(F.count("*").alias("n"), cells.alias("rows"))
     flat = F.flatten(F.transform("rows", lambda r: r["features"]))
-    ends = placed.groupBy("seq").agg(F.max(F.expr(f"pos div {chunk_rows}")).alias("last_c"))
+    ends = df.groupBy(F.col(seq_col).alias("seq")).agg(F.expr(f"(count(*) - 1) div {chunk_rows}").alias("last_c"))
     tagged = join_unique(chunks, ends, "seq", counts=ends.select("seq", (F.col("last_c") + 1).alias("count")))
     return tagged.select("seq", "c", (F.col("c") == F.col("last_c")).alias("is_last"), "n", flat.alias("x"))
 

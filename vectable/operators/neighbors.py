@@ -84,7 +84,8 @@ def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool, e
     hits = query.select("_q", search("_qx").alias("hits"))
     if exclude_self:
         hits = hits.select("_q", F.slice(F.filter("hits", lambda h: h["ref_id"] != F.col("_q")), 1, k).alias("hits"))
-    found = hits.select("_q", F.posexplode("hits").alias("rank", "hit"))
+    # The outer form: the inner one adds a non-empty filter that would search twice.
+    found = hits.select("_q", F.posexplode_outer("hits").alias("rank", "hit"))
     return found.select("_q", (F.col("rank") + 1).alias("rank"), "hit.ref_id", "hit.dist")
 
 

@@ -95,7 +95,7 @@ def running_totals(
     """
     group_cols, order_cols = list(group_cols), list(order_cols)
     placed = df.repartitionByRange(*group_cols, *order_cols).sortWithinPartitions(*group_cols, *order_cols)
-    placed = cut_lineage(placed.withColumn("__pid", F.spark_partition_id()))
+    placed = placed.withColumn("__pid", F.spark_partition_id())
     names = list(totals)
     fields = placed.schema.fields
     schema = T.StructType(
@@ -135,7 +135,8 @@ def running_totals(
             )
             previous, run, at = [k[n - 1].as_py() for k in keys], int(runs[-1]), at + n
 
-    ran = placed.mapInArrow(local, schema)
+    # Range boundaries are sampled, so the placement is fixed here, together with the local totals.
+    ran = cut_lineage(placed.mapInArrow(local, schema))
     key = F.struct(*group_cols)
     ends = (
         ran.groupBy("__pid")

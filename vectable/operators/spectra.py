@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.functions.blocks import matrix_udf
+from vectable.functions.blocks import from_matrix, matrix_udf
 from vectable.functions.exprs import TAPERS, taper_values, to_cartesian, to_polar
 from vectable.operators.order import sequence_position
 
@@ -43,9 +44,17 @@ def frames(df: DataFrame, fftsize: int, overlap: int, series_cols: Sequence[str]
     top = F.expr(f"n div {hop}")
     first = F.greatest(F.lit(0).cast("bigint"), top - (overlap - 1))
     spread = df.withColumn("frame", F.explode(F.sequence(first, top))).withColumn("j", (F.col("n") - F.col("frame") * hop).cast("int"))
-    got = spread.groupBy(*series_cols, "frame").agg(F.map_from_entries(F.collect_list(F.struct("j", "sample"))).alias("m"))
-    full = F.transform(F.sequence(F.lit(0), F.lit(fftsize - 1)), lambda j: F.coalesce(F.try_element_at("m", j), F.lit(0.0)))
-    return got.select(*series_cols, "frame", full.alias("samples"))
+    got = spread.groupBy(*series_cols, "frame").agg(F.collect_list(F.struct(F.col("j"), F.col("sample").cast("double").alias("v"))).alias("c"))
+
+    @F.arrow_udf("array<double>")
+    def padded(cells: pa.Array) -> pa.Array:
+        out = np.zeros((len(cells), fftsize))
+        flat = cells.flatten()
+        lengths = np.diff(cells.offsets.to_numpy())
+        out[np.repeat(np.arange(len(cells)), lengths), flat.field("j").to_numpy()] = flat.field("v").to_numpy()
+        return from_matrix(out)
+
+    return got.select(*series_cols, "frame", padded("c").alias("samples"))
 
 
 def stft(
@@ -110,6 +119,6 @@ def istft(
         full[:, :half] = z[:, :half] + 1j * z[:, half:]
         return np.fft.irfft(full, n=fftsize, axis=1) * weights
 
-    samples = packed.select(*series_cols, "frame", F.posexplode(matrix_udf(inverse)(both)).alias("j", "v"))
+    samples = packed.select(*series_cols, "frame", F.posexplode_outer(matrix_udf(inverse)(both)).alias("j", "v"))
     return samples.groupBy(*series_cols, (F.col("frame") * hop + F.col("j")).alias("n")).agg(F.sum("v").alias("sample"))
 
