@@ -92,6 +92,14 @@ def test_mixture(spark, three, diagonal):
     assert [r["component"] for r in weighted.select("component").distinct().collect()] == [1]
 
 
+def test_generated_points_return_to_the_training_scale(spark, three):
+    x, _, df = three
+    fitted = scaling.fit_autoscaled(df, lambda d: gm.fit_mixture(d, 3, max_iterations=3))
+    drawn = scaling.restore_autoscaled(gm.generate(spark, fitted.model, 2000, seed=1), fitted)
+    mean = drawn.agg(*[F.avg(F.get("features", F.lit(i))).alias(f"m{i}") for i in range(2)]).first()
+    assert np.allclose([mean["m0"], mean["m1"]], x.mean(0), atol=0.4)
+
+
 def test_mixture_errors(three):
     _, _, df = three
     with pytest.raises(ValueError):

@@ -147,3 +147,8 @@ def fit_autoscaled(df: DataFrame, fit: Callable[[DataFrame], object], kind: str
 def apply_autoscaled(df: DataFrame, fitted: Autoscaled, apply: Callable[[DataFrame, object], DataFrame]) -> DataFrame:
     """Scale the query with the training scaler, then apply the model."""
     return apply(scale(df, fitted.scaler), fitted.model)
+
+
+def restore_autoscaled(df: DataFrame, fitted: Autoscaled, features_col: str = "features") -> DataFrame:
+    """Bring what a model generated or decoded back to the scale of the training data."""
+    return unscale(df, fitted.scaler, features_col)

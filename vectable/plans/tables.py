@@ -105,7 +105,10 @@ def index_from_coords_clamped(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "part").select("p_partkey", layout.flat_index(F.col("p_size") - 5, y, 30, 12).alias("idx"))
 
 
-LOOKUP_SQL = "SELECT o_orderkey, c_custkey, c_name, c_acctbal FROM orders JOIN customer ON c_custkey = {key}"
+LOOKUP_SQL = (
+    "WITH n AS (SELECT count(*) AS n FROM customer), q AS (SELECT o_orderkey, {key} AS k FROM orders, n) "
+    "SELECT o_orderkey, c_custkey, c_name, c_acctbal FROM q JOIN customer ON c_custkey = k"
+)
 
 
 def _lookup_result(df: DataFrame) -> DataFrame:
@@ -119,8 +122,7 @@ def lookup_1d(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @catalog.query(
-    "WITH n AS (SELECT count(*) AS n FROM customer) "
-    + LOOKUP_SQL.format(key="least(greatest(o_custkey * 2 - 500, 0), (SELECT n FROM n) - 1)")
+    LOOKUP_SQL.format(key="least(greatest(o_custkey * 2 - 500, 0), n - 1)")
 )
 def lookup_clamped(spark: SparkSession, sf: str) -> DataFrame:
     q = table(spark, sf, "orders").select("o_orderkey", (F.col("o_custkey") * 2 - 500).alias("idx"))
@@ -128,10 +130,8 @@ def lookup_clamped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @catalog.query(
-    "WITH n AS (SELECT count(*) AS n FROM customer) "
-    + LOOKUP_SQL.format(
-        key="least(greatest(least(greatest(o_custkey // 10, 0), (SELECT (n + 24) // 25 FROM n) - 1) * 25 "
-        "+ least(greatest(o_orderkey % 40 - 5, 0), 24), 0), (SELECT n FROM n) - 1)"
+    LOOKUP_SQL.format(
+        key="least(greatest(least(greatest(o_custkey // 10, 0), (n + 24) // 25 - 1) * 25 + least(greatest(o_orderkey % 40 - 5, 0), 24), 0), n - 1)"
     )
 )
 def lookup_2d(spark: SparkSession, sf: str) -> DataFrame:
