@@ -141,11 +141,11 @@ def fit_mixture(
         raise ValueError(f"{gaussians} Gaussians asked of {n} points")
     source = df
     if noise:
-        jitter = F.transform(
+        noisy = F.transform(
             F.arrays_zip(F.col("features"), F.sequence(F.lit(0), F.lit(dim - 1)).alias("j")),
             lambda e: e["features"] + F.lit(float(noise)) * normal(F.col(id_col), seed, e["j"]),
         )
-        source = df.withColumn("features", jitter)
+        source = df.withColumn("features", noisy)
     shift = moments(source).mean
     best: Mixture | None = None
     with reused(source, id_col, "features") as kept:
