@@ -5,15 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectable.llm import decontamination, language, packing, secrets, simhash
+from vectable.llm import decontamination, language, licences, packing, polytope, pseudonyms, repeats, secrets, simhash, toxicity
 from vectable.plans.common import Catalog, table
 
 catalog = Catalog()
 
 
-def remainder(id_col: str, n: int) -> Column:
+def remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; NULL without an id."""
-    return F.crc32(F.col(id_col).cast("string")) % n
+    return F.crc32(doc_id.cast("string")) % n
+
+
+def held_out(n: int, fold: int) -> Column:
+    return F.coalesce(remainder(F.col("doc_id"), n) == fold, F.lit(False)).alias("held_out")
+
+
+@catalog.query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), lambda doc_id: remainder(doc_id, 5) != 0)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", held_out(5, 0), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @catalog.query()
@@ -22,15 +34,33 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+@catalog.query()
+def op3_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = spark.conf.get("vectable.pseudonym.key", "vectable")
+    found = pseudonyms.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key)
+    return found.select("doc_id", "text", F.array_join("pii", ",").alias("pii"), F.size("pii").alias("n_pii"))
+
+
 @catalog.query()
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@catalog.query()
+def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.find(table(spark, sf_dir, "documents"))
+
+
 def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
+@catalog.query()
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @catalog.query()
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -43,10 +73,9 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    model = language.fit(docs, "text", "lang", remainder("doc_id", 3) != 1)
+    model = language.fit(docs, "text", "lang", remainder(F.col("doc_id"), 3) != 1)
     found = language.identify(docs.select("doc_id", "text"), model)
-    held_out = F.coalesce(remainder("doc_id", 3) == 1, F.lit(False))
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+    return found.select("doc_id", held_out(3, 1), "lang_pred", "score", "ambiguous")
 
 
 @catalog.query()
@@ -54,5 +83,10 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@catalog.query()
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = catalog.queries
 ORACLE = catalog.oracle
