@@ -81,11 +81,11 @@ class Model:
     bias: np.ndarray
 
 
-def train_bits(x: np.ndarray, y: np.ndarray, codes: np.ndarray, passes: int = 150, rate: float = 20.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
+def train_bits(x: np.ndarray, y: np.ndarray, codes: np.ndarray, passes: int = 80, rate: float = 20.0, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray]:
     """Logistic weights for every bit by accelerated gradient steps; languages weigh alike."""
-    target = codes[y]
-    share = 1.0 / (np.bincount(y, minlength=len(codes))[y] * len(codes))
-    w, b = np.zeros((x.shape[1], codes.shape[1])), np.zeros(codes.shape[1])
+    target = codes[y].astype(x.dtype)
+    share = (1.0 / (np.bincount(y, minlength=len(codes))[y] * len(codes))).astype(x.dtype)
+    w, b = np.zeros((x.shape[1], codes.shape[1]), x.dtype), np.zeros(codes.shape[1], x.dtype)
     vw, vb = np.zeros_like(w), np.zeros_like(b)
     for _ in range(passes):
         margin = x @ (w + 0.9 * vw) + (b + 0.9 * vb)
@@ -113,7 +113,7 @@ def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int =
     sample = known.where(draw <= share).select(label, text).toPandas().sort_values([label, text], kind="stable")
     y = np.searchsorted(languages, sample[label].to_numpy().astype(object)) if len(languages) > 1 else np.zeros(len(sample), int)
     codes = codewords(len(languages))
-    w, b = train_bits(gram_counts([letters_only(t) for t in sample[text]]).astype(np.float64), y, codes)
+    w, b = train_bits(gram_counts([letters_only(t) for t in sample[text]]), y, codes)
     return Model(languages, codes, w, b)
 
 

@@ -17,10 +17,12 @@ from vectable.session import cut_lineage
 SHINGLE = 3
 SEED = 42
 RADIUS = 3
-SHARD_ROWS = 2048
-BLOCK_ROWS = 4096
+SHARD_ROWS = 8192
+BLOCK_ROWS = 32768
 SAMPLE = 4096
 PIVOT_CANDIDATES = 24
+#: Two fingerprints at distance 3 or less are at distance 1 or less in one of these halves.
+HALVES = (0xFFFFFFFF00000000, 0x00000000FFFFFFFF)
 
 
 def fingerprint(text: bytes) -> int:
@@ -54,7 +56,7 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 
 class Tree:
-    """A vantage-point tree of fixed height with one vantage point a level.
+    """A vantage-point tree over the bits of a mask, of fixed height, with one vantage point a level.
 
     A fingerprint goes to the far side of a level if its distance to the
     vantage point is over the level's radius; the sides taken give its shard.
@@ -63,17 +65,18 @@ class Tree:
     only such levels are followed on both sides.
     """
 
-    def __init__(self, sample: np.ndarray, levels: int, seed: int = 7) -> None:
+    def __init__(self, sample: np.ndarray, levels: int, mask: int, reach: int, seed: int = 7) -> None:
+        self.mask, self.reach = np.uint64(mask), reach
         rng = np.random.default_rng(seed)
         pivots, radii = [], []
         for _ in range(levels):
             candidates = rng.integers(0, 1 << 64, PIVOT_CANDIDATES, np.uint64, endpoint=False)
             best = None
             for p in candidates:
-                d = np.bitwise_count(sample ^ p)
+                d = self.distance(sample, p)
                 for r in np.unique(np.quantile(d, (0.4, 0.5, 0.6)).astype(int)):
                     near = float((d <= r).mean())
-                    both = float((np.abs(d - r - 0.5) < RADIUS).mean())
+                    both = float((np.abs(d - r - 0.5) < reach).mean())
                     # Share of pairs left times what is looked up twice.
                     cost = (near * near + (1 - near) ** 2) * (1 + both)
                     if best is None or cost < best[0]:
@@ -82,18 +85,21 @@ class Tree:
             radii.append(best[2])
         self.pivots, self.radii = np.array(pivots, np.uint64), radii
 
+    def distance(self, fp: np.ndarray, pivot: np.uint64) -> np.ndarray:
+        return np.bitwise_count((fp ^ pivot) & self.mask).astype(np.int64)
+
     def home(self, fp: np.ndarray) -> np.ndarray:
         shard = np.zeros(len(fp), np.int64)
         for level, (p, r) in enumerate(zip(self.pivots, self.radii)):
-            shard |= (np.bitwise_count(fp ^ p) > r).astype(np.int64) << level
+            shard |= (self.distance(fp, p) > r).astype(np.int64) << level
         return shard
 
-    def visits(self, fp: np.ndarray, reach: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+    def visits(self, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, shard) for every shard that may hold something within reach of a row."""
         row, shard = np.arange(len(fp)), np.zeros(len(fp), np.int64)
         for level, (p, r) in enumerate(zip(self.pivots, self.radii)):
-            d = np.bitwise_count(fp ^ p).astype(np.int64)[row]
-            near, far = d - reach <= r, d + reach > r
+            d = self.distance(fp, p)[row]
+            near, far = d - self.reach <= r, d + self.reach > r
             row, shard = np.concatenate((row[near], row[far])), np.concatenate((shard[near], shard[far] | (1 << level)))
         return row, shard
 
@@ -133,25 +139,30 @@ def shard_links(group: pa.Table, reach: int = RADIUS) -> pa.RecordBatch | None:
 def links(distinct: DataFrame, n: int, shard_rows: int = SHARD_ROWS, reach: int = RADIUS) -> DataFrame:
     """Links (a, b) between different fingerprints `fp` that span every component at distance up to `reach`.
 
-    The vantage points are drawn, and their radii set on a sample of about
-    4096 fingerprints; the tree is a handful of numbers.  Each fingerprint is
-    at home in one shard and visits later shards across the boundaries that
-    it is near to; shards are compared in blocks of bounded size.
+    There is a tree over either half of the bits, searched up to half the
+    distance: one of the halves of a pair is that near, and the smaller reach
+    crosses far fewer boundaries than one tree over all bits would.  Vantage
+    points are drawn, their radii set on a sample of about 4096 fingerprints;
+    a tree is a handful of numbers.  Each fingerprint is at home in one shard
+    and visits later shards across the boundaries that it is near to; shards
+    are compared over all bits, in blocks of bounded size.
     """
     levels = max(0, int(np.ceil(np.log2(max(1, n) / shard_rows))))
     sample = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(n)) < SAMPLE) if n > SAMPLE else distinct
-    tree = Tree(np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64), levels) if levels else Tree(np.empty(0, np.uint64), 0)
+    seen = np.array([r[0] for r in sample.collect()], np.int64).view(np.uint64) if levels else np.empty(0, np.uint64)
+    trees = [Tree(seen, levels, mask, reach // len(HALVES)) for mask in (HALVES if levels else HALVES[:1])]
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(np.uint64)
             for lo in range(0, len(fp), 2048):
                 part = fp[lo : lo + 2048]
-                row, shard = tree.visits(part, reach)
-                own = tree.home(part)[row]
-                keep = shard >= own
-                row, shard, own = row[keep], shard[keep], own[keep]
-                yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(part[row].view(np.int64)), pa.array(shard == own)], ["shard", "fp", "home"])
+                for k, tree in enumerate(trees):
+                    row, shard = tree.visits(part)
+                    own = tree.home(part)[row]
+                    keep = shard >= own
+                    row, shard, own = row[keep], shard[keep], own[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(len(trees) * shard + k), pa.array(part[row].view(np.int64)), pa.array(shard == own)], ["shard", "fp", "home"])
 
     members = distinct.select("fp").mapInArrow(route, "shard bigint, fp bigint, home boolean")
     blocks = rows.in_blocks(members, ["shard"], F.xxhash64("fp"), BLOCK_ROWS)
