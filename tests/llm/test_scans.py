@@ -1,16 +1,18 @@
 """Secrets, pseudonyms and licences against plain Python."""
 
 import datetime
-import hashlib
+import os
 import random
 import re
 from collections import Counter
 
 import pytest
 from conftest import prose
+from oracle import connect, difference
 from pyspark.sql import functions as F
 
 from vectable.llm import licences, pseudonyms, secrets
+from vectable.llm.queries import ORACLE, QUERIES
 
 ASSIGN = re.compile(r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 TEXTS = [
@@ -194,3 +196,12 @@ def test_licences(spark):
     want = Counter((k, *x) for k, text in [*enumerate(texts), (0, texts[0]), (None, texts[1])] for x in brute(text or "").items())
     assert got == want
     assert licences.find(df.limit(0)).count() == 0
+
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_queries_match_their_sql(spark, name):
+    assert difference(spark, SF, QUERIES[name], ORACLE[name], connect(SF)) == ""

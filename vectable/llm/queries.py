@@ -61,7 +61,41 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-@catalog.query()
+def _cased(word: str) -> str:
+    """A pattern for a word in either case, letter by letter."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+#: The base kinds without what other engines read differently: case flags beyond ASCII and lookbehind.
+_PLAIN = {
+    "assign": "(" + "|".join(_cased(w) for w in ("password", "passwd", "secret", "token", "api_?key")) + r""")["\']?\x20*[:=]\x20*["\']?([A-Za-z0-9+/_.=-]+)""",
+    "hex": "[0-9a-f]{24,}",
+}
+
+
+def _secret_sql() -> str:
+    parts = []
+    for place, rule in enumerate(secrets.RULES):
+        pattern = _PLAIN.get(rule.kind, rule.pattern).replace("'", "''")
+        parts.append(
+            f"SELECT r, list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start, {place} AS place, '{rule.kind}' AS kind, "
+            f"length(m[i]) AS n, length(g[i]) AS c FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT r, regexp_extract_all(t, '{pattern}') AS m, regexp_extract_all(t, '{pattern}', {rule.group}) AS g, "
+            f"string_split_regex(t, '{pattern}') AS p FROM d WHERE regexp_matches(t, '{pattern}')))"
+        )
+    least = "CASE kind " + " ".join(f"WHEN '{r.kind}' THEN {r.least}" for r in secrets.RULES) + " END"
+    written = "coalesce(string_agg(kind || ':' || start || ':' || (start + n), ',' ORDER BY start, place){only}, '')"
+    base = f" FILTER (WHERE place < {len(secrets.BASE)})"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in secrets.BASE)
+    return (
+        f"WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents), s AS ({' UNION ALL '.join(parts)}), "
+        f"k AS (SELECT r, start::BIGINT AS start, place, kind, n FROM s WHERE c >= {least}), "
+        f"a AS (SELECT r, {counts}, {written.format(only=base)} AS base, {written.format(only='')} AS spans FROM k GROUP BY r) "
+        "SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, "
+        "sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (r)"
+    )
+
+
+@catalog.query(_secret_sql())
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("secret_spans")
