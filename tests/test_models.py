@@ -55,9 +55,17 @@ def test_mean_shift_finds_blobs(three):
     got = cl.mean_shift_assign(df, m)
     assert purity(column(got, "cluster"), y) == 1.0
     away = points(df.sparkSession, np.array([[100.0, 100.0], [0.0, 0.0]]))
-    loose = [r["cluster"] for r in cl.mean_shift_assign(away, m, force_convergence=False).orderBy("row_id").collect()]
+    loose = [r["cluster"] for r in cl.mean_shift_assign(away, m, beyond_radius=False).orderBy("row_id").collect()]
     assert loose[0] is None and loose[1] is not None
     assert cl.estimate_radius(df) > 0
+    assert cl.mean_shift(df, 3.0, max_iterations=1, force_convergence=True).iterations > 1
+    assert cl.mean_shift(df, 3.0, max_iterations=1).centroids.count() >= 3
+
+
+def test_tree_depth_is_refused_not_cut(three):
+    for depth in (0, 31):
+        with pytest.raises(ValueError):
+            tr.fit_tree(three[2], maximum_depth=depth)
 
 
 def test_shift_matches_brute_force_with_copies(spark):

@@ -5,7 +5,7 @@ import pytest
 from helpers import points
 from pyspark.sql import functions as F
 
-from vectable.functions import exprs
+from vectable.functions import exprs, hashing
 from vectable.operators import append, joins, layout, lookup, order, scaling, split
 from vectable.sources.text import load
 
@@ -179,3 +179,28 @@ def test_load_numbers_lines_across_files_and_rejects_bad_numbers(spark, tmp_path
         load(spark, str(tmp_path / "c.csv")).collect()
     with pytest.raises(ValueError):
         load(spark, str(tmp_path / "a"))
+
+
+def test_rows_without_an_id_are_training_rows(spark):
+    df = spark.createDataFrame([(k,) for k in range(10)] + [(None,), (None,)], "row_id bigint")
+    for shuffle in (True, False):
+        for ratio in (0.0, 0.3, 1.0):
+            train, test = split.split(df, ratio, shuffle=shuffle)
+            assert (train.count(), test.count()) == (12 - int(10 * ratio), int(10 * ratio))
+            assert test.filter("row_id is null").count() == 0
+
+
+def test_running_totals_keep_groups_apart(spark):
+    nan = float("nan")
+    rows = [(0, 0, nan), (0, 1, 1.0), (1, 0, 1e17), (1, 1, 2.0), (2, 0, 1.0), (2, 1, 1.0), (3, 0, 0.5)]
+    df = spark.createDataFrame(rows, "g int, t int, v double").coalesce(1)
+    got = {(r.g, r.t): r.s for r in order.running_totals(df, ["g"], ["t"], {"s": "v"}).collect()}
+    assert got[0, 0] != got[0, 0] and got[0, 1] != got[0, 1]
+    assert [got[2, 0], got[2, 1], got[3, 0]] == [1.0, 2.0, 0.5]
+
+
+def test_near_seeds_give_unrelated_hashes(spark):
+    ids = spark.range(2000)
+    a, b, c = ([r[0] for r in ids.select(hashing.row_hash(F.col("id") + shift, seed)).collect()] for shift, seed in ((0, 0), (0, 1), (2**32, 0)))
+    assert len(set(a) & set(b)) < 5
+    assert sum(x == y for x, y in zip(a, c)) < 5

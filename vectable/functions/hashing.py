@@ -11,24 +11,45 @@ MIX_MULTIPLIERS = (2146121005, -2073254261)  # the second is 0x846ca68b - 2^32
 WORD = 4294967296
 
 
-def row_hash(row_id: Column, seed: int = 0) -> Column:
-    """32-bit hash of a bigint id, in plain arithmetic any SQL engine can repeat."""
-    h = F.pmod(F.pmod(row_id.cast("bigint"), F.lit(WORD)) + F.lit(int(seed) % WORD), F.lit(WORD))
+def _mixed_number(h: int) -> int:
+    for shift, mult in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
+        h = ((h ^ (h >> shift)) * mult) % WORD
+    return h ^ (h >> MIX_SHIFTS[-1])
+
+
+def _mixed(h: Column) -> Column:
     for shift, mult in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
         h = h.bitwiseXOR(F.shiftright(h, shift))
         h = F.pmod(h * F.lit(mult), F.lit(WORD))
     return h.bitwiseXOR(F.shiftright(h, MIX_SHIFTS[-1]))
 
 
-def row_hash_sql(expr: str, seed: int = 0) -> str:
-    """The same hash as DuckDB SQL text (used by the correctness check)."""
-    h = f"((({expr}) % {WORD} + {WORD} + {int(seed) % WORD}) % {WORD})"
+def _mixed_sql(h: str) -> str:
     for shift, mult in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
         h = f"(list_transform([{h}], lambda x: xor(x, x >> {shift}))[1])"
         h = f"((({h} * {mult}) % {WORD} + {WORD}) % {WORD})"
     return f"(list_transform([{h}], lambda x: xor(x, x >> {MIX_SHIFTS[-1]}))[1])"
 
 
+def _seed_word(seed: int) -> int:
+    """Both words of a seed, mixed, so that near seeds give unrelated draws."""
+    low, high = int(seed) % WORD, (int(seed) // WORD) % WORD
+    return _mixed_number((_mixed_number(high ^ 0x9E3779B9) ^ low) % WORD)
+
+
+def row_hash(row_id: Column, seed: int = 0) -> Column:
+    """32-bit hash of a bigint id, in plain arithmetic any SQL engine can repeat: seed, high and low word are mixed in turn."""
+    i = row_id.cast("bigint")
+    high = F.pmod(F.shiftright(i, 32), F.lit(WORD))
+    return _mixed(_mixed(high.bitwiseXOR(F.lit(_seed_word(seed)))).bitwiseXOR(F.pmod(i, F.lit(WORD))))
+
+
+def row_hash_sql(expr: str, seed: int = 0) -> str:
+    """The same hash as DuckDB SQL text (used by the correctness check), for ids that are not negative."""
+    high = f"xor((({expr})::BIGINT >> 32)::BIGINT, {_seed_word(seed)}::BIGINT)"
+    return _mixed_sql(f"xor({_mixed_sql(high)}, (({expr}) % {WORD})::BIGINT)")
+
+
 def uniform(row_id: Column, seed: int, draw: int | Column = 0) -> Column:
     """Uniform double in [0, 1) from 53 hash bits of (seed, draw, id)."""
     d = draw if isinstance(draw, Column) else F.lit(int(draw))

@@ -234,8 +234,8 @@ def distinct_points(df: DataFrame, id_col: str = "row_id", features_col: str = "
 def bin_seeds(df: DataFrame, radius: float) -> DataFrame:
     """(_q, _qx): one start per occupied grid cell of side ``radius``, at the cell's corner."""
     corner = F.transform("features", lambda x: F.floor(x / F.lit(radius)) * F.lit(radius))
-    corners = df.select(corner.cast("array<double>").alias("_qx")).distinct()
-    return corners.select(F.xxhash64("_qx").alias("_q"), "_qx")
+    corners = cut_lineage(df.select(corner.cast("array<double>").alias("_qx")).distinct())
+    return corners.select(F.monotonically_increasing_id().alias("_q"), "_qx")
 
 
 def first_in_reach(centers: DataFrame, radius: float) -> DataFrame:
@@ -274,13 +274,19 @@ class MeanShift:
     iterations: int
 
 
-def mean_shift(df: DataFrame, radius: float = 0.0, *, max_iterations: int = 1000, id_col: str = "row_id", seed: int = 0) -> MeanShift:
-    """Shift every seed to the mean of the points within the radius until it rests, then merge."""
+def mean_shift(
+    df: DataFrame, radius: float = 0.0, *, max_iterations: int = 1000, force_convergence: bool = False, id_col: str = "row_id", seed: int = 0
+) -> MeanShift:
+    """Shift every seed to the mean of the points within the radius until it rests, then merge.
+
+    Seeds that still move after ``max_iterations`` count where they are;
+    ``force_convergence`` goes on until all of them rest.
+    """
     r = radius if radius > 0 else estimate_radius(df, id_col=id_col, seed=seed)
     distinct = cut_lineage(distinct_points(df, id_col))
     cells, points = fit_cells(distinct, distinct.count(), 1)
     moving, settled, done = cut_lineage(bin_seeds(df, r)), None, 0
-    while done < max_iterations:
+    while done < max_iterations or force_convergence:
         step = moving.join(shift_once(moving, cells, points, r), "_q")
         gap = F.aggregate(F.zip_with("_qx", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
         moved = cut_lineage(step.select("_q", F.col("center").alias("_qx"), (F.sqrt(gap) < 1e-3 * r).alias("rests")))
@@ -290,14 +296,13 @@ def mean_shift(df: DataFrame, radius: float = 0.0, *, max_iterations: int = 1000
         moving = moved.filter("not rests").drop("rests")
         if moving.isEmpty():
             break
-    if settled is None or settled.isEmpty():
-        settled = moving
+    settled = moving if settled is None else settled.unionByName(moving)
     centers = first_in_reach(cut_lineage(settled), r)
     return MeanShift(row_index(centers.select(F.col("_qx").alias("features")), ["features"], "cluster"), r, done)
 
 
-def mean_shift_assign(df: DataFrame, model: MeanShift, *, force_convergence: bool = True, id_col: str = "row_id") -> DataFrame:
-    """(id, cluster): the nearest centroid; beyond the radius only when forced, otherwise NULL."""
+def mean_shift_assign(df: DataFrame, model: MeanShift, *, beyond_radius: bool = True, id_col: str = "row_id") -> DataFrame:
+    """(id, cluster): the nearest centroid; without ``beyond_radius`` NULL for points farther away than the radius."""
     hits = neighbour_join(df, model.centroids, 1, query_id=id_col, ref_id="cluster")
-    label = F.col("ref_id") if force_convergence else F.when(F.col("dist") <= model.radius, F.col("ref_id"))
+    label = F.col("ref_id") if beyond_radius else F.when(F.col("dist") <= model.radius, F.col("ref_id"))
     return hits.select(F.col("query_id").alias(id_col), label.alias("cluster"))

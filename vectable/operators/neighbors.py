@@ -43,14 +43,21 @@ def top_k(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: boo
     out_ids = np.empty((len(x), k), dtype=np.int64)
     out_d = np.empty((len(x), k))
     norms = np.sqrt((ref * ref).sum(1)).max(initial=0.0)
-    for s in row_slices(len(x), len(ref)):
-        d = sq_dists(x[s], ref)
-        sign = -1.0 if farthest else 1.0
-        d *= sign
-        kth = np.partition(d, k - 1, axis=1)[:, k - 1]
+    sign = -1.0 if farthest else 1.0
+    for s in row_slices(len(x), max(len(ref), k * ref.shape[1])):
+        d = sign * sq_dists(x[s], ref)
+        picked = np.argpartition(d, k - 1, axis=1)[:, :k]
+        kth = np.take_along_axis(d, picked, 1).max(1)
         slack = 1e-10 * (1.0 + (norms + np.sqrt((x[s] * x[s]).sum(1))) ** 2)
         close = d <= (kth + slack)[:, None]
-        for r in range(len(d)):
+        picked.sort(1)
+        diff = ref[picked] - x[s][:, None, :]
+        exact = (diff * diff).sum(2)
+        order = np.argsort(sign * exact, axis=1, kind="stable")
+        out_ids[s] = ids[np.take_along_axis(picked, order, 1)]
+        out_d[s] = np.sqrt(np.take_along_axis(exact, order, 1))
+        # Rows with further points about as good as their k-th one.
+        for r in np.flatnonzero(close.sum(1) > k):
             cand = np.flatnonzero(close[r])
             diff = ref[cand] - x[s.start + r]
             exact = (diff * diff).sum(1)

@@ -121,10 +121,16 @@ def running_totals(
             out = []
             for name in names:
                 col = value_at[name]
-                v = np.ones(n, dtype=np.int64) if col is None else batch.column(col).to_numpy(zero_copy_only=False).astype(float)
-                c = np.cumsum(v)
-                base = np.where(first >= 0, c[first] - v[first], -carry[name])
-                total = c - base
+                if col is None:
+                    total = np.arange(1, n + 1) - np.where(first >= 0, first, -carry[name])
+                else:
+                    # A sum for each run, so that neither NaN nor a large value of one group reaches another.
+                    v = batch.column(col).to_numpy(zero_copy_only=False).astype(float)
+                    total = np.empty(n)
+                    edges = [0, *np.flatnonzero(new[1:]) + 1, n]
+                    for a, b in zip(edges, edges[1:]):
+                        total[a:b] = np.cumsum(v[a:b])
+                    total[: edges[1]] += 0.0 if new[0] else carry[name]
                 out.append(total)
                 carry[name] = total[-1]
             yield pa.RecordBatch.from_arrays(

@@ -14,18 +14,21 @@ def test_rows(df: DataFrame, ratio: float = 0.2, *, shuffle: bool = True, id_col
     """Predicate of the floor(n * ratio) test rows.
 
     Shuffled: the rows with the lowest id hash.  Otherwise: the tail in id order.
+    Rows without an id are training rows and do not count for the ratio.
     """
     ratio = min(1.0, max(0.0, ratio))
+    known = F.col(id_col).isNotNull()
+    df = df.filter(known)
     n = df.count()
     n_test = int(n * ratio)
     if n_test == 0:
         return F.lit(False)
     if n_test == n:
-        return F.lit(True)
+        return known
     if shuffle:
-        return lowest_hashes(df, n_test, id_col, seed, n)
+        return known & F.coalesce(lowest_hashes(df, n_test, id_col, seed, n), F.lit(False))
     first, _ = nth_smallest(df, F.col(id_col), n - n_test)
-    return F.col(id_col) >= first
+    return known & F.coalesce(F.col(id_col) >= first, F.lit(False))
 
 
 def split(df: DataFrame, ratio: float = 0.2, *, shuffle: bool = True, id_col: str = "row_id", seed: int = 0) -> tuple[DataFrame, DataFrame]:

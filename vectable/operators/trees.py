@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 from dataclasses import dataclass, field, replace
 
@@ -16,6 +17,8 @@ from vectable.operators.layout import shape
 from vectable.operators.order import running_totals
 from vectable.session import reused
 
+MAX_DEPTH = 30  # of the tree builder in Spark ML
+
 # --- batch tree -----------------------------------------------------------------
 
 
@@ -25,10 +28,16 @@ def fit_tree(
     *,
     minimum_leaf_size: int = 10,
     minimum_gain_split: float = 1e-6,
-    maximum_depth: int = 0,
+    maximum_depth: int = MAX_DEPTH,
+    bins: int = 32,
     seed: int = 0,
 ) -> DecisionTreeClassificationModel:
-    """Gini tree with numeric splits; depth 0 means as deep as Spark ML allows."""
+    """Gini tree with numeric splits among ``bins`` ranges of a feature, at most 30 levels deep.
+
+    A deeper or unlimited tree is refused, not cut.
+    """
+    if not 0 < maximum_depth <= MAX_DEPTH:
+        raise ValueError(f"maximum_depth lies in 1..{MAX_DEPTH}")
     if df.filter(F.col(label_col).isNull()).limit(1).count():
         raise ValueError("missing labels")
     _, dim = shape(df)
@@ -36,7 +45,7 @@ def fit_tree(
         raise ValueError("no training data")
     grower = DecisionTreeClassifier(
         featuresCol="_v", labelCol="_y", impurity="gini", minInstancesPerNode=minimum_leaf_size, minInfoGain=minimum_gain_split,
-        maxDepth=min(maximum_depth or 30, 30), maxMemoryInMB=512, seed=seed,
+        maxDepth=maximum_depth, maxBins=bins, maxMemoryInMB=512, seed=seed,
     )
     with reused(df, "features", label_col) as kept:
         return grower.fit(kept.select(array_to_vector("features").alias("_v"), F.col(label_col).cast("double").alias("_y")))
@@ -317,10 +326,10 @@ def observe(df: DataFrame, tree: HoeffdingTree, label_col: str = "label", *, fre
     return replace(ready, histograms=hists)
 
 
-def train_batch(df: DataFrame, tree: HoeffdingTree, label_col: str = "label", max_levels: int = 30) -> HoeffdingTree:
-    """Whole-table training: count, split, and repeat until no leaf splits."""
+def train_batch(df: DataFrame, tree: HoeffdingTree, label_col: str = "label", max_levels: int | None = None) -> HoeffdingTree:
+    """Whole-table training: count, split, and repeat until no leaf splits; ``max_levels`` stops before."""
     with reused(df, label_col, "features") as kept:
-        for _ in range(max_levels):
+        for _ in itertools.count() if max_levels is None else range(max_levels):
             tree = observe(kept, replace(tree, checked={}), label_col, fresh=True)
             tree, made = grow(tree)
             if not made:

@@ -144,7 +144,7 @@ def meanshift_one_step(spark: SparkSession, sf: str) -> DataFrame:
 @catalog.query()
 def meanshift_fit(spark: SparkSession, sf: str) -> DataFrame:
     df = _balances(spark, sf)
-    m = cl.mean_shift(df, 2.5, max_iterations=6)
+    m = cl.mean_shift(df, 2.5, force_convergence=True)
     sizes = cl.mean_shift_assign(df, m).groupBy("cluster").agg(F.count("*").alias("n"))
     return sizes.join(m.centroids.select("cluster", rnd(F.get("features", F.lit(0))).alias("x"), rnd(F.get("features", F.lit(1))).alias("y")), "cluster")
 

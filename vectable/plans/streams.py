@@ -6,14 +6,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectable.operators import clustering as cl, linear as li, neighbors as nb, scaling, som, trees as tr
-from vectable.plans import neighbours, reductions, scalers, supervised
+from vectable.operators import clustering as cl, linear as li, lookup as lk, neighbors as nb, scaling, som, trees as tr
+from vectable.plans import neighbours, reductions, scalers, supervised, tables
 from vectable.plans.common import LINEITEM_FEATURES, LINEITEM_KEY, Catalog, embeddings, lineitem, rnd, table
 from vectable.session import scratch_path
 from vectable.sources.models import load_model, save_model
 from vectable.streaming.append import append_stream, read_appended
 from vectable.streaming.learn import count_only, current_model, learn_stream, som_updater, update_hoeffding, update_kmeans
-from vectable.streaming.score import score_stream
+from vectable.streaming.score import read_scores, score_stream
 
 catalog = Catalog()
 FILES = 3
@@ -65,17 +65,38 @@ def stream_hoeffding_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return supervised._above(tr.hoeffding_predict(df, current_model(spark, path)), 0.85)
 
 
-@catalog.query(neighbours.catalog.oracle["knn_exact"])
-def stream_score_knn(spark: SparkSession, sf: str) -> DataFrame:
+def _searched(spark: SparkSession, sf: str, strategy: str) -> DataFrame:
     e = embeddings(spark, sf)
     path = scratch_path(spark, "scores")
 
     def search(q: DataFrame) -> DataFrame:
-        return nb.knn(q, e, 5, query_id="vec_id", ref_id="vec_id")
+        return nb.knn(q, e, 5, query_id="vec_id", ref_id="vec_id", strategy=strategy)
 
     _finish(score_stream(as_stream(e), search, path, scratch_path(spark, "scores-log")))
-    out = spark.read.schema("query_id bigint, rank int, ref_id bigint, dist double").parquet(path)
-    return out.withColumn("dist", rnd("dist"))
+    return read_scores(spark, path).withColumn("dist", rnd("dist"))
+
+
+@catalog.query(neighbours.catalog.oracle["knn_exact"])
+def stream_score_knn(spark: SparkSession, sf: str) -> DataFrame:
+    return _searched(spark, sf, "auto")
+
+
+@catalog.query(neighbours.catalog.oracle["knn_exact"])
+def stream_score_knn_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The way of reference sets that are too large to be sent to every task."""
+    return _searched(spark, sf, "blocks")
+
+
+@catalog.query(tables.catalog.oracle["lookup_1d"])
+def stream_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    data, path = table(spark, sf, "customer"), scratch_path(spark, "lookups")
+
+    def answer(q: DataFrame) -> DataFrame:
+        return lk.lookup(q, data, index_col="o_custkey", id_col="c_custkey")
+
+    stream = as_stream(table(spark, sf, "orders").select("o_orderkey", "o_custkey"))
+    _finish(score_stream(stream, answer, path, scratch_path(spark, "lookups-log")))
+    return read_scores(spark, path).select("o_orderkey", "c_custkey", "c_name", "c_acctbal")
 
 
 @catalog.query()
