@@ -6,11 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-WORDS = "alder birch cedar dune ember fjord grove heath islet jetty knoll larch marsh nook oasis pond quay ridge shoal tarn".split()
-
-
-def prose(rng, n):
-    return " ".join(rng.choice(WORDS) + rng.choice(["", "s", "en", "ly", "er"]) for _ in range(n))
+from llm_texts import prose  # noqa: E402
 
 
 @pytest.fixture(scope="session")

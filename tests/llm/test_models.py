@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import prose
+from llm_texts import prose
 from pyspark.sql import functions as F
 
 from vectable.llm import language, packing, polytope, queries, toxicity

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from conftest import prose
+from llm_texts import prose
 
 from vectable.llm import decontamination, graph, repeats, rows, simhash
 

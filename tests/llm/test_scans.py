@@ -7,7 +7,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import prose
+from llm_texts import prose
 from oracle import connect, difference
 from pyspark.sql import functions as F
 

@@ -53,6 +53,8 @@ def buckets(x: np.ndarray, tables: int = TABLES, hashes: int = HASHES, probes: i
     """
     n, d = x.shape
     width = 1 << max(1, (d - 1).bit_length())
+    if (2 * width) ** hashes >= 1 << 31:
+        raise ValueError("a bucket code has to fit 31 bits: take fewer hashes")
     x = np.pad(x, ((0, 0), (0, width - d)))
     signs = rotation_signs(width, tables, hashes, seed)
     ranks = min(3, width)
@@ -96,15 +98,15 @@ def first_meeting(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return best
 
 
-def bucket_links(group: pa.Table, tables: int, probes: int, cosine: float) -> pa.RecordBatch | None:
+def bucket_links(group: pa.Table, tables: int, probes: int, cosine: float, kind: type) -> pa.RecordBatch | None:
     """Per vector of one block of a bucket: how many vectors it links with here, and the least node it can reach.
 
     A pair counts in the first of all buckets it meets in, and nowhere else.
     """
     node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
     n = len(node)
-    x = unit_rows(np.frombuffer(b"".join(group["vector"].to_pylist()), np.float64).reshape(n, -1))
-    codes = np.frombuffer(b"".join(group["codes"].to_pylist()), np.int64).reshape(n, tables, 1 + probes)
+    x = unit_rows(np.frombuffer(b"".join(group["vector"].to_pylist()), kind).reshape(n, -1))
+    codes = np.frombuffer(b"".join(group["codes"].to_pylist()), np.int32).reshape(n, tables, 1 + probes)
     home, part = group["home"].to_numpy(zero_copy_only=False), group["part"].to_numpy()
     lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
     here = group["code"][0].as_py() * tables + group["table"][0].as_py()
@@ -150,6 +152,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     and a spanning forest leave a block.
     """
     same = F.col(label) if label else F.lit(0)
+    number = np.float32 if df.schema[vector].dataType.simpleString() == "array<float>" else np.float64
     values = F.col(vector).cast("array<double>")
     whole = F.size(vector) > 0
     good = same.isNotNull() & F.col(vector).isNotNull() & whole & F.forall(values, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(values, lambda v: v != 0)
@@ -174,7 +177,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
                         [
                             part.column(0).take(pick), pa.array(np.full(len(row), d, np.int32)), pa.array(np.tile(np.repeat(np.arange(tables, dtype=np.int32), 1 + probes), n)), pa.array(codes.reshape(-1)),
                             pa.array(np.tile(np.arange(1 + probes) == 0, n * tables)), part.column(2).take(pick), part.column(3).take(pick),
-                            pa.array([v.tobytes() for v in raw], pa.binary()).take(pick), pa.array([c.tobytes() for c in codes], pa.binary()).take(pick),
+                            pa.array([v.tobytes() for v in raw.astype(number)], pa.binary()).take(pick), pa.array([c.tobytes() for c in codes.astype(np.int32)], pa.binary()).take(pick),
                         ],
                         ["label", "size", "table", "code", "home", "node", "copies", "vector", "codes"],
                     )
@@ -182,7 +185,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     members = nodes.select("label", "vector", "node", "copies").mapInArrow(route, f"label {kind}, size int, table int, code bigint, home boolean, node bigint, copies bigint, vector binary, codes binary")
     keys = ["label", "size", "table", "code"]
     blocks = rows.in_blocks(members, keys, F.xxhash64("node"), BLOCK_ROWS)
-    found = cut_lineage(rows.by_group(blocks, [*keys, "lo", "hi"], lambda g: bucket_links(g, tables, probes, cosine), "node bigint, links bigint, root bigint"))
+    found = cut_lineage(rows.by_group(blocks, [*keys, "lo", "hi"], lambda g: bucket_links(g, tables, probes, cosine, number), "node bigint, links bigint, root bigint"))
 
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = cut_lineage(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).distinct()))
