@@ -202,6 +202,34 @@ def gmm_em_step(spark: SparkSession, sf: str) -> DataFrame:
     return df.select("component", *[rnd(c).alias(c) for c in df.columns[1:6]], rnd("loglik", 4).alias("loglik"))
 
 
+COVARIANCES = (30.0, -40.0, 60.0)
+FULL = gm.Mixture(np.array(WEIGHTS), np.array(MEANS), np.array([[[vx, c], [c, vy]] for (vx, vy), c in zip(VARS, COVARIANCES)]))
+
+
+def _full_density(c: int) -> str:
+    (mx, my), (vx, vy), vxy = MEANS[c], VARS[c], COVARIANCES[c]
+    det = vx * vy - vxy * vxy
+    return (
+        f"ln({WEIGHTS[c]}) - 0.5 * (2 * ln(2 * pi()) + ln({det}::DOUBLE) + ({vy} * (l_quantity - {mx}) * (l_quantity - {mx}) "
+        f"- 2 * {vxy} * (l_quantity - {mx}) * (l_extendedprice / 1000.0 - {my}) + {vx} * (l_extendedprice / 1000.0 - {my}) * (l_extendedprice / 1000.0 - {my})) / {det}::DOUBLE)"
+    )
+
+
+@catalog.query(
+    "WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000.0 AS y, " + ", ".join(f"{_full_density(c)} AS d{c}" for c in range(3)) + " FROM lineitem), "
+    f"l AS (SELECT x, y, unnest([0, 1, 2])::INT AS component, unnest([exp(d0 - ({LSE})), exp(d1 - ({LSE})), exp(d2 - ({LSE}))]) AS r FROM d), "
+    f"n AS (SELECT count(*) AS n, sum({LSE}) AS loglik FROM d), m AS (SELECT component, sum(r) AS rs, sum(r * x) / sum(r) AS mx, sum(r * y) / sum(r) AS my FROM l GROUP BY component), "
+    "v AS (SELECT component, sum(r * (x - mx) * (x - mx)) / sum(r) AS vx, sum(r * (y - my) * (y - my)) / sum(r) AS vy, sum(r * (x - mx) * (y - my)) / sum(r) AS vxy FROM l JOIN m USING (component) GROUP BY component) "
+    f"SELECT component, {rnd_sql('rs / n')} AS weight, {rnd_sql('mx')} AS mean_x, {rnd_sql('my')} AS mean_y, {rnd_sql('vx')} AS var_x, {rnd_sql('vy')} AS var_y, "
+    f"{rnd_sql('vxy')} AS cov_xy, {rnd_sql('loglik', 4)} AS loglik FROM m JOIN v USING (component), n"
+)
+def gmm_em_step_full(spark: SparkSession, sf: str) -> DataFrame:
+    m = gm.em_step(_pairs(spark, sf), FULL, np.array([25.0, 50.0]))
+    rows = [(c, *map(float, (m.weights[c], *m.means[c], m.covs[c][0, 0], m.covs[c][1, 1], m.covs[c][0, 1])), m.loglik) for c in range(3)]
+    df = spark.createDataFrame(rows, "component int, weight double, mean_x double, mean_y double, var_x double, var_y double, cov_xy double, loglik double")
+    return df.select("component", *[rnd(c).alias(c) for c in df.columns[1:7]], rnd("loglik", 4).alias("loglik"))
+
+
 @catalog.query(
     f"SELECT label AS component, {rnd_sql('count(*) / sum(count(*)) OVER ()')} AS weight FROM embeddings GROUP BY label"
 )

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectable.operators import layout, neighbors as nb, order, scaling
+from vectable.functions import exprs
 from vectable.functions.blocks import to_matrix
 from vectable.functions.hashing import row_hash_sql
+from vectable.operators.joins import join_unique
 from vectable.plans.common import Catalog, embeddings, rnd, rnd_sql, table
 
 catalog = Catalog()
@@ -77,7 +79,7 @@ def classify(spark: SparkSession, sf: str, k: int = 5) -> DataFrame:
     _, scaled = scaling.fit_scale(e, "standard")
     hits = nb.knn(scaled, scaled, k, query_id="vec_id", ref_id="vec_id", exclude_self=True)
     labels = e.select(F.col("vec_id").alias("ref_id"), F.col("label").alias("r_label"))
-    votes = hits.join(labels, "ref_id").groupBy("query_id", "r_label").agg(F.count("*").alias("votes"))
+    votes = join_unique(hits, labels, "ref_id").groupBy("query_id", "r_label").agg(F.count("*").alias("votes"))
     best = votes.groupBy("query_id").agg(F.min_by("r_label", F.struct(-F.col("votes"), F.col("r_label"))).alias("predicted"))
     truth = e.select(F.col("vec_id").alias("query_id"), "label")
     return best.join(truth, "query_id").select("query_id", "label", "predicted", (F.col("label") == F.col("predicted")).alias("correct"))
@@ -165,3 +167,25 @@ def knn_one_feature(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("row_id"), F.array("c_acctbal").alias("features"))
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("row_id"), F.array("s_acctbal").alias("features"))
     return nb.knn(c, s, 1).select("query_id", "ref_id", rnd("dist").alias("dist"))
+
+
+@catalog.query(
+    "WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), p AS (SELECT a.vec_id, a.v AS a, b.v AS b FROM e a JOIN e b ON b.vec_id = a.vec_id + 1) "
+    f"SELECT vec_id, {rnd_sql('list_distance(a, b)')} AS dist, {rnd_sql('list_distance(a, b) * list_distance(a, b)')} AS sq_dist, {rnd_sql('list_inner_product(a, b)')} AS dot, "
+    f"{rnd_sql('list_sum(list_transform(range(1, len(a) + 1), lambda i: (a[i] + b[i]) * i))')} AS added, "
+    f"{rnd_sql('list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * b[i] * i))')} AS multiplied, "
+    f"{rnd_sql('list_sum(list_transform(range(1, len(a) + 1), lambda i: a[i] * 2.5 * i))')} AS scaled FROM p"
+)
+def vector_expressions(spark: SparkSession, sf: str) -> DataFrame:
+    """Sums, products, multiples and distances of every vector and the next one, as Column expressions."""
+    e = layout.convert(embeddings(spark, sf), "vector", "vector").select("vec_id", F.col("features").alias("a"))
+    p = e.join(e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("a").alias("b")), "vec_id")
+    a, b = F.col("a"), F.col("b")
+
+    def weighed(v: Column) -> Column:
+        return F.aggregate(F.transform(v, lambda x, i: x * (i + 1)), F.lit(0.0), lambda s, x: s + x)
+
+    return p.select(
+        "vec_id", rnd(exprs.distance(a, b)).alias("dist"), rnd(exprs.sq_distance(a, b)).alias("sq_dist"), rnd(exprs.dot(a, b)).alias("dot"),
+        rnd(weighed(exprs.vector_add(a, b))).alias("added"), rnd(weighed(exprs.vector_multiply(a, b))).alias("multiplied"), rnd(weighed(exprs.vector_scale(a, 2.5))).alias("scaled"),
+    )

@@ -245,17 +245,18 @@ def istft_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @catalog.query(
-    "SELECT j, " + ", ".join(
+    "SELECT p_partkey, j, " + ", ".join(
         f"{rnd_sql(x)} AS {n}" for n, x in (
             ("square", "1.0::DOUBLE"), ("triangle", "CASE WHEN j < 7 THEN j / 8.0 ELSE 1.0 - (j - 7) / 8.0 END"),
             ("hanning", "sqrt(2.0 / 3.0) * (1 - cos(2 * pi() * j / 16))"), ("hamming", "0.54 - 0.46 * cos(2 * pi() * j / 16)"),
             ("blackman", "0.42 - 0.5 * cos(2 * pi() * j / 16) + 0.08 * cos(4 * pi() * j / 16)"),
         )
-    ) + " FROM (SELECT DISTINCT (p_partkey % 16)::INT AS j FROM part)"
+    ) + " FROM (SELECT p_partkey, (p_partkey % 16)::INT AS j FROM part)"
 )
 def tapers(spark: SparkSession, sf: str) -> DataFrame:
-    j = table(spark, sf, "part").select((F.col("p_partkey") % 16).cast("int").alias("j")).distinct()
-    return j.select("j", *[rnd(taper(n, F.col("j"), 16)).alias(n) for n in ("square", "triangle", "hanning", "hamming", "blackman")])
+    """The weight of every part at a place that its key gives."""
+    j = table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % 16).cast("int").alias("j"))
+    return j.select("p_partkey", "j", *[rnd(taper(n, F.col("j"), 16)).alias(n) for n in ("square", "triangle", "hanning", "hamming", "blackman")])
 
 
 @catalog.query("SELECT user_id AS series, event_id AS n, value AS sample FROM events WHERE event_type = 'error'")

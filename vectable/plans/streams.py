@@ -44,6 +44,19 @@ def stream_append(spark: SparkSession, sf: str) -> DataFrame:
     return read_appended(spark, path).select(*LINEITEM_KEY, *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(LINEITEM_FEATURES)])
 
 
+@catalog.query(f"SELECT {KEYED} FROM lineitem")
+def stream_changed(spark: SparkSession, sf: str) -> DataFrame:
+    """What is handed on when an arriving batch changes the table: every batch with rows, once."""
+    path, seen = scratch_path(spark, "append"), scratch_path(spark, "changes")
+    stream = as_stream(lineitem(spark, sf).withColumn("row_id", F.col("l_orderkey")))
+
+    def changed(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+
+    _finish(append_stream(stream, path, scratch_path(spark, "append-log"), on_change=changed))
+    return spark.read.parquet(seen).select(*LINEITEM_KEY, *[F.get("features", F.lit(i)).alias(c) for i, c in enumerate(LINEITEM_FEATURES)])
+
+
 @catalog.query(supervised.catalog.oracle["hoeffding_leaf_counts"])
 def stream_hoeffding_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Counts folded over micro-batches equal the counts of the whole table."""
