@@ -84,7 +84,9 @@ def test_simhash_shards_lose_no_link(spark, shard_rows, monkeypatch):
     assert links.count() <= 40 * len(fps)
 
 
-def test_components_of_long_chains_and_hubs(spark):
+@pytest.mark.parametrize("chunk", [1 << 20, 50])
+def test_components_of_long_chains_and_hubs(spark, monkeypatch, chunk):
+    monkeypatch.setattr(graph, "CHUNK_LINKS", chunk)
     rng = random.Random(1)
     chain = [(k, k + 1) for k in range(300)]
     hub = [(1000, 1000 + k) for k in range(1, 400)]
