@@ -60,6 +60,38 @@ Partials = dict[str, np.ndarray]
 Batch = tuple[np.ndarray, ...]
 
 
+WIDE = 32
+PARTIAL_SCHEMA = "name string, shape array<bigint>, piece int, " + ", ".join(f"c{i} double" for i in range(WIDE))
+
+
+def partial_rows(totals: Partials) -> pa.RecordBatch:
+    """Named arrays as rows of WIDE numbers, padded with zeros."""
+    names, shapes, pieces, blocks = [], [], [], []
+    for name, value in totals.items():
+        flat = np.asarray(value, dtype=np.float64).reshape(-1)
+        n = -(-len(flat) // WIDE)
+        names += [name] * n
+        shapes += [list(np.shape(value))] * n
+        pieces.append(np.arange(n, dtype=np.int32))
+        blocks.append(np.pad(flat, (0, n * WIDE - len(flat))).reshape(n, WIDE))
+    cells = np.concatenate(blocks) if blocks else np.empty((0, WIDE))
+    columns = [pa.array(names, pa.string()), pa.array(shapes, pa.list_(pa.int64())), pa.array(np.concatenate([*pieces, np.empty(0, np.int32)]), pa.int32())]
+    return pa.RecordBatch.from_arrays(columns + [pa.array(np.ascontiguousarray(cells[:, i])) for i in range(WIDE)], ["name", "shape", "piece", *[f"c{i}" for i in range(WIDE)]])
+
+
+def add_partials(partial: DataFrame) -> Partials:
+    """The sum of the arrays of each name: a Spark aggregation whose rows hold WIDE numbers."""
+    got = partial.groupBy("name", "shape", "piece").agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(WIDE)]).toArrow()
+    names, shapes, piece = np.array(got["name"].to_pylist(), dtype=object), got["shape"].to_pylist(), got["piece"].to_numpy()
+    cells = np.stack([got[f"c{i}"].to_numpy() for i in range(WIDE)], 1)
+    out: Partials = {}
+    for name in set(names.tolist()):
+        at = np.flatnonzero(names == name)
+        shape = shapes[at[0]]
+        out[name] = cells[at[np.argsort(piece[at])]].reshape(-1)[: int(np.prod(shape)) if shape else 1].reshape(shape)
+    return out
+
+
 def sum_over_tasks(
     df: DataFrame,
     columns: list[str | Column],
@@ -77,33 +109,9 @@ def sum_over_tasks(
         full = (b for b in batches if b.num_rows)
         totals = task(tuple(column_values(c) for c in b.columns) for b in full)
         if totals:
-            arrays = [np.asarray(v, dtype=np.float64) for v in totals.values()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(totals)),
-                    pa.array([list(a.shape) for a in arrays], type=pa.list_(pa.int64())),
-                    pa.array([a.reshape(-1) for a in arrays], type=pa.list_(pa.float64())),
-                ],
-                names=["name", "shape", "vec"],
-            )
-
-    partial = picked.mapInArrow(run, "name string, shape array<bigint>, vec array<double>")
-    summed = (
-        partial.select("name", "shape", F.posexplode("vec").alias("pos", "v"))
-        .groupBy("name", "shape", "pos")
-        .agg(F.sum("v").alias("v"))
-        .toArrow()
-    )
-    out: Partials = {}
-    names = np.asarray(summed["name"].to_pylist(), dtype=object)
-    pos, val, shapes = summed["pos"].to_numpy(), summed["v"].to_numpy(), summed["shape"].to_pylist()
-    for name in set(names.tolist()):
-        mask = names == name
-        shape = shapes[int(np.flatnonzero(mask)[0])]
-        flat = np.zeros(int(np.prod(shape)) if shape else 1)
-        flat[pos[mask]] = val[mask]
-        out[name] = flat.reshape(shape)
-    return out
+            yield partial_rows(totals)
+
+    return add_partials(picked.mapInArrow(run, PARTIAL_SCHEMA))
 
 
 def sum_over_rows(df: DataFrame, columns: list[str | Column], step: Callable[..., Partials]) -> Partials:

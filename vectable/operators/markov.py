@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectable.functions.blocks import Partials, from_matrix, matrix_udf, sum_over_rows
+from vectable.functions.blocks import PARTIAL_SCHEMA, Partials, add_partials, from_matrix, matrix_udf, partial_rows, sum_over_rows
 from vectable.functions.hashing import normal, uniform
 from vectable.operators.joins import join_unique
 from vectable.operators.layout import shape
@@ -429,22 +429,15 @@ def _expectation(chunks: DataFrame, model: Hmm, long: bool) -> Partials:
                 for name, part in _expected(batch, s, model).items():
                     totals[name] = totals[name] + part if name in totals else part
         if totals:
-            names = list(totals)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(names), pa.array([totals[n].reshape(-1) for n in names], type=pa.list_(pa.float64()))], names=["name", "v"]
-            )
+            yield partial_rows(totals)
 
-    sums = ready.mapInArrow(run, "name string, v array<double>").select("name", F.posexplode("v").alias("i", "v"))
-    rows = sums.groupBy("name", "i").agg(F.sum("v").alias("v")).collect()
+    out = add_partials(ready.mapInArrow(run, PARTIAL_SCHEMA))
     shapes = {"start": (size,), "pairs": (size, size), "ll": (), "g": (size,)}
     if model.kind == "gaussian":
         d = model.means.shape[1]
         shapes |= {"s": (size, d), "q": (size, d, d)}
     shapes |= {f"e{f}": t.shape for f, t in enumerate(model.tables)}
-    out = {n: np.zeros(int(np.prod(sh)) if sh else 1) for n, sh in shapes.items()}
-    for r in rows:
-        out[r["name"]][r["i"]] = r["v"]
-    return {n: v.reshape(shapes[n]) for n, v in out.items()}
+    return {n: out[n].reshape(sh) if n in out else np.zeros(sh) for n, sh in shapes.items()}
 
 
 # --- labelled training --------------------------------------------------------------------

@@ -345,6 +345,17 @@ def kfn(query: DataFrame, ref: DataFrame, k: int = 1, *, percentage: float = 1.0
     return neighbour_join(query, ref, k, farthest=True, epsilon=1.0 - percentage, **options)
 
 
+@dataclass(frozen=True)
+class NeighbourSearch:
+    """A reference table (row_id, features) with the options of a search, as a model that can be kept."""
+
+    reference: DataFrame
+    options: dict[str, object]
+
+    def search(self, query: DataFrame, k: int = 1, **more: object) -> DataFrame:
+        return neighbour_join(query, self.reference, k, **{**self.options, **more})
+
+
 def best_match(df: DataFrame, codebook: np.ndarray, features_col: str = "features", output_col: str = "bmu") -> DataFrame:
     """Index and squared distance of the nearest codebook row; the first one wins ties."""
 
@@ -357,4 +368,4 @@ def best_match(df: DataFrame, codebook: np.ndarray, features_col: str = "feature
     return df.withColumn(output_col, match(features_col))
 
 
-__all__ = ["best_match", "kfn", "knn", "neighbour_join"]
+__all__ = ["NeighbourSearch", "best_match", "kfn", "knn", "neighbour_join"]

@@ -10,7 +10,7 @@ from vectable.operators import clustering as cl, linear as li, lookup as lk, nei
 from vectable.plans import neighbours, reductions, scalers, supervised, tables
 from vectable.plans.common import LINEITEM_FEATURES, LINEITEM_KEY, Catalog, embeddings, lineitem, rnd, table
 from vectable.session import scratch_path
-from vectable.sources.models import load_model, save_model
+from vectable.sources.models import load_model, load_search, load_tree, save_model
 from vectable.streaming.append import append_stream, read_appended
 from vectable.streaming.learn import count_only, current_model, learn_stream, som_updater, update_hoeffding, update_kmeans
 from vectable.streaming.score import read_scores, score_stream
@@ -150,6 +150,31 @@ def model_write_read(spark: SparkSession, sf: str) -> DataFrame:
     return li.predict_linear(df, load_model(spark, path)).select(*LINEITEM_KEY, rnd("prediction").alias("prediction"))
 
 
+def _search_read_back(spark: SparkSession, sf: str, farthest: bool) -> DataFrame:
+    e = embeddings(spark, sf).select(F.col("vec_id").alias("row_id"), "features")
+    path = scratch_path(spark, "search")
+    save_model(spark, nb.NeighbourSearch(e, {"farthest": farthest}), path)
+    return load_search(spark, path).search(e, 3 if farthest else 5).withColumn("dist", rnd("dist"))
+
+
+@catalog.query(neighbours.catalog.oracle["knn_exact"])
+def knn_write_read(spark: SparkSession, sf: str) -> DataFrame:
+    return _search_read_back(spark, sf, False)
+
+
+@catalog.query(neighbours.catalog.oracle["kfn_exact"])
+def kfn_write_read(spark: SparkSession, sf: str) -> DataFrame:
+    return _search_read_back(spark, sf, True)
+
+
+@catalog.query(supervised.ACCURATE)
+def tree_write_read(spark: SparkSession, sf: str) -> DataFrame:
+    df = supervised._blobs(spark, sf)
+    path = scratch_path(spark, "tree")
+    save_model(spark, tr.fit_tree(df, maximum_depth=5), path)
+    return supervised._above(tr.tree_predict(df, load_tree(path)), 0.9)
+
+
 @catalog.query("SELECT vec_id, true AS same FROM embeddings")
 def model_formats(spark: SparkSession, sf: str) -> DataFrame:
     """All three formats: centroids read back assign every point alike."""

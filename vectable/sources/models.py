@@ -1,4 +1,4 @@
-"""Model tables: fitted models as small Parquet, JSON or XML tables."""
+"""Model tables: fitted models as small Parquet, JSON or XML tables; trees and reference tables in folders of their own form."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import dataclasses
 import json
 
 import numpy as np
+from pyspark.ml.classification import DecisionTreeClassificationModel
 from pyspark.sql import DataFrame, SparkSession
 
 from vectable.operators.clustering import KMeansModel
@@ -13,6 +14,7 @@ from vectable.operators.independent import Unmixing
 from vectable.operators.linear import LinearModel
 from vectable.operators.markov import Hmm
 from vectable.operators.mixture import Mixture
+from vectable.operators.neighbors import NeighbourSearch
 from vectable.operators.neural import Autoencoder, Network
 from vectable.operators.reduction import Nmf, Pca
 from vectable.operators.scaling import Autoscaled, Scaler
@@ -80,7 +82,18 @@ def _format(path: str) -> str:
 
 
 def save_model(spark: SparkSession, model: object, path: str) -> None:
-    """Write a model; a path ending in .json or .xml selects that text format."""
+    """Write a model; a path ending in .json or .xml selects that text format.
+
+    A decision tree is written in Spark ML's own form, a neighbour search as
+    its whole reference table in Parquet beside its options.
+    """
+    if isinstance(model, DecisionTreeClassificationModel):
+        model.write().overwrite().save(path)
+        return
+    if isinstance(model, NeighbourSearch):
+        model.reference.write.mode("overwrite").parquet(f"{path}/reference")
+        spark.createDataFrame([(json.dumps(model.options),)], "options string").write.mode("overwrite").parquet(f"{path}/options")
+        return
     out = model_table(spark, model).coalesce(1).write.mode("overwrite")
     form = _format(path)
     if form == "xml":
@@ -88,6 +101,15 @@ def save_model(spark: SparkSession, model: object, path: str) -> None:
     out.format(form).save(path)
 
 
+def load_tree(path: str) -> DecisionTreeClassificationModel:
+    return DecisionTreeClassificationModel.load(path)
+
+
+def load_search(spark: SparkSession, path: str) -> NeighbourSearch:
+    options = json.loads(spark.read.parquet(f"{path}/options").first()["options"])
+    return NeighbourSearch(spark.read.parquet(f"{path}/reference"), options)
+
+
 def load_model(spark: SparkSession, path: str) -> object:
     form = _format(path)
     reader = spark.read.schema(SCHEMA)
