@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vectable.functions.blocks import from_matrix, matrix_udf, nearest, row_slices, sq_dists, sum_over_rows, to_matrix
 from vectable.operators.layout import shape
-from vectable.operators.neighbors import BLOCK_ROWS, Cells, block_join, fit_cells, neighbour_join
+from vectable.operators.neighbors import block_rows_of, Cells, block_join, fit_cells, neighbour_join
 from vectable.operators.order import row_index, sample_rows
 from vectable.session import cut_lineage, reused
 
@@ -200,7 +200,7 @@ def _within(
             parts.append(fold(qs["_q"].to_numpy()[s], near, rs))
         return pa.concat_tables(parts)
 
-    return block_join(query, placed, cells, lambda x: cells.within(x, radius), work, schema, BLOCK_ROWS, extra)
+    return block_join(query, placed, cells, lambda x: cells.within(x, radius), work, schema, block_rows_of(cells.pivots.shape[1]), extra)
 
 
 def shift_once(seeds: DataFrame, cells: Cells, points: DataFrame, radius: float) -> DataFrame:

@@ -30,10 +30,15 @@ from vectable.operators.order import sample_rows
 from vectable.session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-BLOCK_ROWS = 4096
+BLOCK_BYTES = 16 * 1024 * 1024
 MAX_PIVOTS = 1024
 
 
+def block_rows_of(dim: int) -> int:
+    """Rows of a block: a query is copied once for every block of a cell it visits, so blocks are as large as tasks can hold."""
+    return max(1024, BLOCK_BYTES // (8 * dim + 16))
+
+
 def top_k(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
     """(ids, distances) of the k best of ``ref`` for each row of ``x``, ties by lower id.
 
@@ -195,7 +200,7 @@ def block_join(
     visit: Callable[[np.ndarray], np.ndarray],
     work: Callable[[pa.Table, pa.Table], pa.Table],
     schema: str,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int,
     extra: tuple[str, ...] = (),
 ) -> DataFrame:
     """Meet each query with the reference points of the cells it visits, block by block.
@@ -300,7 +305,7 @@ def neighbour_join(
     exclude_self: bool = False,
     strategy: str = "auto",
     broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
     n_pivots: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
@@ -328,7 +333,7 @@ def neighbour_join(
     else:
         out = _blocked(
             q, r, n, k, farthest, exclude_self,
-            epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows, n_pivots=n_pivots, seed=seed,
+            epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows or block_rows_of(dim), n_pivots=n_pivots, seed=seed,
         )
     return out.select(F.col("_q").alias("query_id"), "rank", "ref_id", "dist")
 

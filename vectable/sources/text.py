@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.operators.layout import convert, shape, transpose
-from vectable.operators.order import row_index
 
 # A point is one row, so its features have to fit into one.
 MAX_DIM = 1_000_000
@@ -26,17 +25,19 @@ def _kind(path: str) -> str:
 def read_lines(spark: SparkSession, path: str | Sequence[str], skip: str = r"^\s*$") -> DataFrame:
     """(row_id, value): lines numbered from 0 in file order, without those that match ``skip``.
 
-    A split of a file is read front to back, so (file, split start, order inside the
-    task) is the line order whatever the number of splits.
+    A split of a file is read front to back by one task, so its lines are numbered where
+    they lie, and move up by the lines of the splits before it: one number per split.
     """
     lines = spark.read.text(path if isinstance(path, str) else list(path)).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
     )
-    kept = lines.filter(~F.col("value").rlike(skip))
-    return row_index(kept, ["_file", "_block", "_line"]).select("row_id", "value")
+    kept = lines.filter(~F.col("value").rlike(skip)).withColumn("_line", F.monotonically_increasing_id())
+    splits = kept.groupBy("_file", "_block").agg(F.min("_line").alias("_first"), F.count("*").alias("n")).toPandas().sort_values(["_file", "_block"])
+    splits["_offset"] = splits["n"].cumsum() - splits["n"] - splits["_first"]
+    moves = spark.createDataFrame(splits[["_file", "_block", "_offset"]], "_file string, _block bigint, _offset bigint")
+    return kept.join(moves, ["_file", "_block"]).select((F.col("_line") + F.col("_offset")).alias("row_id"), "value")
 
 
 def load(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -31,19 +30,22 @@ def append_stream(
 ) -> StreamingQuery:
     """Append every batch below ``path``; a stream with another schema starts the table over.
 
-    Batches overwrite their own folder, so a replay after a failure changes nothing.
-    ``on_change`` is called with each batch that brought rows, never for an empty one.
+    Ids of a batch move up by the ids before it as it is written.  Batches overwrite
+    their own folder, so a replay after a failure changes nothing.  ``on_change`` is called with each batch that brought rows, never for an empty one.
     """
     spark = stream.sparkSession
     schema = stream.schema.json()
     generation = _generation(spark, path, schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        earlier = read_manifest(spark, path).filter((F.col("generation") == generation) & (F.col("batch") < batch_id))
+        offset = earlier.agg(F.max("top")).first()[0]
         folder = f"{path}/generation={generation}/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
-        written = spark.read.schema(stream.schema).parquet(folder)
+        moved = batch.withColumn(id_col, F.col(id_col).cast("bigint") + (0 if offset is None else offset + 1))
+        moved.write.mode("overwrite").parquet(folder)
+        written = spark.read.schema(moved.schema).parquet(folder)
         size = written.agg(F.count("*").alias("n"), F.max(id_col).alias("top")).first()
-        commit(spark, path, generation, batch_id, size["n"], -1 if size["top"] is None else size["top"], schema)
+        commit(spark, path, generation, batch_id, size["n"], offset if size["top"] is None else size["top"], schema)
         if on_change is not None and size["n"]:
             on_change(written, batch_id)
 
@@ -51,16 +53,13 @@ def append_stream(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def read_appended(spark: SparkSession, path: str, id_col: str = "row_id") -> DataFrame:
-    """The table so far; ids of later batches move up by the rows before them."""
+def read_appended(spark: SparkSession, path: str) -> DataFrame:
+    """The table so far."""
     manifest = read_manifest(spark, path)
     last = manifest.orderBy(F.col("generation").desc()).first()
     if last is None:
         raise ValueError(f"nothing appended below {path!r} yet")
-    mine = manifest.filter(F.col("generation") == last["generation"])
-    before = F.sum(F.col("top") + 1).over(W.orderBy("batch").rowsBetween(W.unboundedPreceding, -1))
-    # One row per micro-batch.
-    offsets = mine.select("batch", F.coalesce(before, F.lit(0)).alias("_offset"))
-    rows = spark.read.option("basePath", f"{path}/generation={last['generation']}").parquet(f"{path}/generation={last['generation']}")
-    moved = rows.join(F.broadcast(offsets), "batch")
-    return moved.withColumn(id_col, F.col(id_col).cast("bigint") + F.col("_offset")).drop("_offset", "batch")
+    # Batches come in order; a folder beyond the last committed one is of a batch that will be replayed.
+    done = manifest.filter(F.col("generation") == last["generation"]).agg(F.max("batch")).first()[0]
+    folder = f"{path}/generation={last['generation']}"
+    return spark.read.option("basePath", folder).parquet(folder).filter(F.col("batch") <= done).drop("batch")
