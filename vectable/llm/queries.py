@@ -55,7 +55,15 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("bigint")
 
 
-@catalog.query()
+@catalog.query(
+    r"WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents), "
+    f"x AS (SELECT r, w, unnest(range(1, len(w) - {repeats.WINDOW} + 2)) AS i FROM d WHERE len(w) >= {repeats.WINDOW}), "
+    f"h AS (SELECT r, i, md5(array_to_string(w[i:i + {repeats.WINDOW} - 1], ' ')) AS s FROM x), q AS (SELECT r, i FROM h QUALIFY count(*) OVER (PARTITION BY s) > 1), "
+    f"g AS (SELECT DISTINCT r, i + k AS j FROM q, (SELECT unnest(range({repeats.WINDOW})) AS k)), n AS (SELECT r, count(*) AS n_removed FROM g GROUP BY r), "
+    "t AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM d), "
+    "k AS (SELECT r, string_agg(word, ' ' ORDER BY j) AS kept FROM t ANTI JOIN g USING (r, j) GROUP BY r) "
+    "SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)"
+)
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -117,7 +125,14 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@catalog.query()
+@catalog.query(
+    "WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS v, label FROM embeddings), "
+    "u AS (SELECT * FROM e WHERE label IS NOT NULL AND v IS NOT NULL AND list_bool_and(list_transform(v, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform(v, lambda x: x <> 0))), "
+    "p AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r AND list_cosine_similarity(a.v, b.v) >= 0.93), "
+    "c AS (SELECT r AS node, r AS seen FROM e UNION SELECT c.node, p.b FROM c JOIN p ON p.a = c.seen), "
+    "m AS (SELECT node, min(vec_id) AS component_id FROM c JOIN e ON e.r = c.seen GROUP BY node), n AS (SELECT a AS r, count(*) AS n_links FROM p GROUP BY a) "
+    "SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept FROM e JOIN m ON m.node = e.r LEFT JOIN n USING (r)"
+)
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return polytope.near_duplicates(table(spark, sf_dir, "embeddings"))
 
