@@ -16,7 +16,7 @@ from vectable.llm import rows
 UNKNOWN = "und"
 BUCKETS = 1 << 12
 GRAMS = (1, 2, 3)
-SAMPLE_PER_LANGUAGE = 1500
+SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 1500, 12_000
 #: Texts whose two nearest codewords lie within this share of the larger loss are ambiguous.
 AMBIGUITY = 0.01
 EXHAUSTIVE_UPTO = 7
@@ -96,11 +96,12 @@ def train_bits(x: np.ndarray, y: np.ndarray, codes: np.ndarray, passes: int = 80
     return w, b
 
 
-def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
+def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Learn from rows with `learn` true and a label.
 
-    At most about `per_language` rows of each language are learned from: the
-    rows whose text hash falls below the share that gives this number.  Rows
+    At most about `per_language` rows of each language and `sample_rows` of
+    all are learned from: the rows whose text hash falls below the share that
+    gives this number.  Rows
     with a label but no letter teach nothing.
     """
     known = df.where(learn & F.col(label).isNotNull() & F.col(text).rlike(LETTER))
@@ -108,6 +109,7 @@ def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int =
     languages = sorted(sizes)
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((BUCKETS, 1)), np.zeros(1))
+    per_language = min(per_language, max(1, sample_rows // len(languages)))
     share = F.element_at(F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, per_language / sizes[k]))]), F.col(label))
     draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
     sample = known.where(draw <= share).select(label, text).toPandas().sort_values([label, text], kind="stable")
