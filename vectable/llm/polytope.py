@@ -17,7 +17,7 @@ COSINE = 0.93
 TABLES = 5
 HASHES = 2
 PROBES = 3
-BLOCK_ROWS = 2048
+BLOCK_ROWS = 1024
 SEED = 11
 
 
