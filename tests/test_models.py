@@ -57,7 +57,9 @@ def test_mean_shift_finds_blobs(three):
     away = points(df.sparkSession, np.array([[100.0, 100.0], [0.0, 0.0]]))
     loose = [r["cluster"] for r in cl.mean_shift_assign(away, m, beyond_radius=False).orderBy("row_id").collect()]
     assert loose[0] is None and loose[1] is not None
-    assert cl.estimate_radius(df) > 0
+    x = np.array([r["features"] for r in df.orderBy("row_id").collect()])
+    d = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 1)
+    assert abs(cl.estimate_radius(df) - d[:, int(0.2 * len(x)) - 1].mean()) < 1e-3
     assert cl.mean_shift(df, 3.0, max_iterations=1, force_convergence=True).iterations > 1
     assert cl.mean_shift(df, 3.0, max_iterations=1).centroids.count() >= 3
 

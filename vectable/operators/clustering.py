@@ -177,11 +177,42 @@ def assign(df: DataFrame, centroids: np.ndarray, features_col: str = "features",
 # --- mean shift -----------------------------------------------------------------
 
 
-def estimate_radius(df: DataFrame, ratio: float = 0.2, sample: int = 1000, id_col: str = "row_id", seed: int = 0) -> float:
-    """Mean distance to the (ratio x n)-th neighbour, measured inside a hashed sample of points."""
-    s = cut_lineage(sample_rows(df.select(F.col(id_col).alias("row_id"), "features"), sample, "row_id", seed))
-    k = max(1, int(ratio * s.count()))
-    return float(neighbour_join(s, s, k).filter(F.col("rank") == k).agg(F.avg("dist")).first()[0])
+RADIUS_BINS, RADIUS_PASSES = 256, 3
+
+
+def estimate_radius(df: DataFrame, ratio: float = 0.2, queries: int = 1000, id_col: str = "row_id", seed: int = 0) -> float:
+    """Mean distance to the (ratio x n)-th nearest of all n points, over at most ``queries`` hashed points.
+
+    Every point of the table is counted for every query; the ranked distance is
+    narrowed down by counting 256 ranges per pass, so nothing is sorted or joined.
+    """
+    picked = df.select(F.col(id_col).alias("row_id"), "features")
+    n = picked.count()
+    k = max(1, int(ratio * n))
+    q = to_matrix(sample_rows(picked, queries, "row_id", seed).select("features").toArrow()["features"])
+    m = len(q)
+    lo, below = np.zeros(m), np.zeros(m)
+    hi = 2.0 * np.sqrt(sq_dists(q, q)).max(1) + 1.0
+
+    def counts(x: np.ndarray) -> dict[str, np.ndarray]:
+        out = np.zeros(m * (RADIUS_BINS + 1))
+        for s in row_slices(len(x), m):
+            at = np.floor((np.sqrt(sq_dists(x[s], q)) - lo) * (RADIUS_BINS / (hi - lo)))
+            at = np.where(at < 0, -1, np.minimum(at, RADIUS_BINS)).astype(np.int64)
+            row = np.broadcast_to(np.arange(m), at.shape)
+            out += np.bincount((row * (RADIUS_BINS + 1) + at)[at >= 0], minlength=len(out))
+        return {"n": out.reshape(m, RADIUS_BINS + 1)}
+
+    with reused(df, "features") as kept:
+        for _ in range(RADIUS_PASSES):
+            reached = below[:, None] + np.cumsum(sum_over_rows(kept, ["features"], counts)["n"], 1)
+            at = (reached < k).sum(1)
+            step = (hi - lo) / RADIUS_BINS
+            # Points beyond the last range: look farther out in the next pass.
+            out = at >= RADIUS_BINS
+            below = np.where(out, reached[:, RADIUS_BINS - 1], np.where(at > 0, np.take_along_axis(reached, np.maximum(at - 1, 0)[:, None], 1)[:, 0], below))
+            lo, hi = np.where(out, hi, lo + at * step), np.where(out, 8 * hi, lo + (at + 1) * step)
+    return float(((lo + hi) / 2).mean())
 
 
 def _within(
