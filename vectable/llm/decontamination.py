@@ -21,7 +21,7 @@ SHORTEST_ITEM = 5
 #: A passage agrees if at least this many fifths of its tokens do.
 FIFTHS = 4
 #: Bytes of test text that are sent to the tasks at a time.
-TEST_BYTES = 8 << 20
+TEST_BYTES = 2 << 20
 
 
 def token_table() -> np.ndarray:
@@ -97,7 +97,7 @@ def index_items(texts: list[str | None]) -> TestSet:
         item = np.repeat([i for i, _ in found], [len(x) for _, x in found])
         place = np.concatenate([np.arange(len(x)) for _, x in found])
         order = np.argsort(h, kind="stable")
-        table = np.zeros(1 << max(16, (32 * len(h)).bit_length()), bool)
+        table = np.zeros(1 << max(16, (8 * len(h)).bit_length()), bool)
         table[h & np.uint64(len(table) - 1)] = True
         seeds.append(Seeds(mask, h[order], item[order], place[order], table))
     return TestSet(words, seeds)
