@@ -332,3 +332,35 @@ def test_models_survive_writing(spark, three, tmp_path):
     assert again.nodes == tree.nodes and all(np.array_equal(again.histograms[k], v) for k, v in tree.histograms.items())
     with pytest.raises(ValueError):
         save_model(spark, None, str(tmp_path / "none"))
+
+
+def test_exact_tree_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(300, 3)), 1)
+    y = ((x[:, 0] > 0.2).astype(int) + (x[:, 1] > -0.3)) * (rng.random(300) > 0.1)
+    tree, made = tr.train_exact(points(spark, x, label=y), 3, 3, minimum_leaf_size=5, minimum_gain_split=0.01)
+
+    def gini(v):
+        p = np.bincount(v, minlength=3) / len(v)
+        return 1 - (p * p).sum()
+
+    def grow(rows, out):
+        best = None
+        for f in range(3):
+            for v in np.unique(x[rows, f]):
+                low = rows[x[rows, f] <= v]
+                high = rows[x[rows, f] > v]
+                if min(len(low), len(high)) >= 5:
+                    g = round(gini(y[rows]) - len(low) / len(rows) * gini(y[low]) - len(high) / len(rows) * gini(y[high]), 9)
+                    if best is None or g > best[0]:
+                        best = (g, f, v, low, high)
+        if best and best[0] > 0.01:
+            out.append((best[1], float(best[2]), len(rows)))
+            grow(best[3], out)
+            grow(best[4], out)
+        return out
+
+    assert sorted((s.feature, s.value, s.n) for s in made) == sorted(grow(np.arange(300), []))
+    assert max(s.level for s in made) > 2
+    with pytest.raises(ValueError):
+        tr.train_exact(points(spark, x, label=y + 1), 3, 3)

@@ -359,3 +359,87 @@ def hoeffding_predict(df: DataFrame, tree: HoeffdingTree) -> DataFrame:
         .withColumn("probability", F.get("_a", F.lit(1)))
         .drop("_a")
     )
+
+
+# --- batch tree on every threshold ----------------------------------------------------
+
+GAIN_DIGITS = 9
+
+
+@dataclass(frozen=True)
+class Split:
+    """A split of a batch tree: rows with feature <= value go to the first child."""
+
+    node: int
+    level: int
+    feature: int
+    value: float
+    n: int
+    gain: float
+
+
+def best_splits(cells: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int) -> DataFrame:
+    """(leaf, feature, value, gain, left) of the best split "x <= value" of each leaf, over all distinct values.
+
+    ``cells`` is (leaf, feature_idx, value, y), ``sizes`` (leaf, t0, t1, ..): class counts.
+    Gains are compared to nine digits; the lower feature and value win ties.
+    """
+    names = [f"c{c}" for c in range(classes)]
+    counted = cells.groupBy("leaf", "feature_idx", "value").agg(*[F.sum(F.when(F.col("y") == c, 1.0).otherwise(0.0)).alias(n) for c, n in enumerate(names)])
+    run = running_totals(counted, ["leaf", "feature_idx"], ["value"], {f"l{c}": n for c, n in enumerate(names)}).join(sizes, "leaf")
+    left = [F.col(f"l{c}") for c in range(classes)]
+    whole = [F.col(f"t{c}") for c in range(classes)]
+    right = [t - x for t, x in zip(whole, left)]
+    n_left, n = sum(left[1:], left[0]), sum(whole[1:], whole[0])
+    gain = impurity_expr(whole, "gini") - n_left / n * impurity_expr(left, "gini") - (n - n_left) / n * impurity_expr(right, "gini")
+    tried = run.filter((n_left >= minimum_leaf_size) & (n - n_left >= minimum_leaf_size)).withColumn("gain", F.round(gain, GAIN_DIGITS))
+    order = F.struct(F.col("gain"), -F.col("feature_idx"), -F.col("value"))
+    best = F.max_by(F.struct("feature_idx", "value", "gain", F.array(*left).alias("left")), order)
+    return tried.groupBy("leaf").agg(best.alias("b")).select("leaf", "b.*")
+
+
+def train_exact(
+    df: DataFrame, classes: int, dim: int, label_col: str = "label", *, minimum_leaf_size: int = 10, minimum_gain_split: float = 1e-7, maximum_depth: int = 0
+) -> tuple[HoeffdingTree, list[Split]]:
+    """A Gini tree that tries every distinct value of every feature, level by level; depth 0 means no limit.
+
+    A level is one pass that counts values per leaf, and one ordered pass over the distinct
+    values; only the best split of each leaf reaches the driver.
+    """
+    if minimum_leaf_size < 1 or maximum_depth < 0:
+        raise ValueError("minimum_leaf_size is at least 1, maximum_depth at least 0")
+    spark = df.sparkSession
+    with reused(df, label_col, "features") as kept:
+        found = kept.groupBy(F.col(label_col).cast("int").alias("y")).count().collect()
+        if not found or any(r["y"] is None or not 0 <= r["y"] < classes for r in found):
+            raise ValueError("labels lie in 0 .. classes - 1 and are not missing")
+        counts = np.zeros(classes)
+        for r in found:
+            counts[r["y"]] += r["count"]
+        nodes, made = [Node(tuple(counts.tolist()))], []
+        open_leaves = {0} if (counts > 0).sum() > 1 else set()
+        for level in itertools.count():
+            if not open_leaves or (maximum_depth and level >= maximum_depth):
+                break
+            current, active = tuple(nodes), np.isin(np.arange(len(nodes)), sorted(open_leaves))
+
+            def leaf_of(x: np.ndarray, current: tuple[Node, ...] = current, active: np.ndarray = active) -> np.ndarray:
+                at = route(current, x)
+                return np.where(active[at], at, -1)
+
+            at = matrix_udf(leaf_of, "int")(F.col("features"))
+            cells = kept.select(at.alias("leaf"), F.col(label_col).cast("int").alias("y"), "features").filter("leaf >= 0")
+            cells = cells.select("leaf", "y", F.posexplode("features").alias("feature_idx", "value"))
+            sizes = spark.createDataFrame([(leaf, *nodes[leaf].counts) for leaf in sorted(open_leaves)], "leaf int, " + ", ".join(f"t{c} double" for c in range(classes)))
+            open_leaves = set()
+            for r in best_splits(cells, sizes, classes, minimum_leaf_size).filter(F.col("gain") > minimum_gain_split).orderBy("leaf").collect():
+                leaf, left = r["leaf"], np.array(r["left"])
+                total = np.array(nodes[leaf].counts)
+                # Values at a threshold go up, so the threshold is the next number above the value.
+                nodes[leaf] = replace(nodes[leaf], feature=r["feature_idx"], thresholds=(float(np.nextafter(r["value"], np.inf)),), children=(len(nodes), len(nodes) + 1))
+                made.append(Split(leaf, level, r["feature_idx"], r["value"], int(total.sum()), r["gain"]))
+                for part in (left, total - left):
+                    if (part > 0).sum() > 1 and part.sum() >= 2 * minimum_leaf_size:
+                        open_leaves.add(len(nodes))
+                    nodes.append(Node(tuple(part.tolist())))
+    return replace(new_hoeffding(classes, dim), nodes=tuple(nodes)), made

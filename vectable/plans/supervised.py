@@ -130,6 +130,43 @@ def hoeffding_split_gain(spark: SparkSession, sf: str) -> DataFrame:
     return tr.split_gains(_flags(spark, sf), 3).withColumn("gain", rnd("gain", 9))
 
 
+def _best_sql(src: str) -> str:
+    """Best split of the rows (rid, y, feature_idx, value) of a CTE, as one row."""
+    counts = ", ".join(f"sum((y = {c})::INT)::DOUBLE AS c{c}" for c in range(3))
+    runs = ", ".join(f"sum(c{c}) OVER w AS l{c}, sum(c{c}) OVER (PARTITION BY feature_idx) AS t{c}" for c in range(3))
+    gain = (
+        f"{_gini('t0', 't1', 't2')} - (l0 + l1 + l2) / (t0 + t1 + t2) * {_gini('l0', 'l1', 'l2')} "
+        f"- (t0 + t1 + t2 - l0 - l1 - l2) / (t0 + t1 + t2) * {_gini('(t0 - l0)', '(t1 - l1)', '(t2 - l2)')}"
+    )
+    return (
+        f"(SELECT feature_idx AS feature, value, (t0 + t1 + t2)::BIGINT AS n, {rnd_sql(gain, 9)} AS gain FROM (SELECT feature_idx, value, {runs} FROM "
+        f"(SELECT feature_idx, value, {counts} FROM {src} GROUP BY feature_idx, value) WINDOW w AS (PARTITION BY feature_idx ORDER BY value)) "
+        "WHERE l0 + l1 + l2 >= 20 AND t0 + t1 + t2 - l0 - l1 - l2 >= 20 ORDER BY gain DESC, feature, value LIMIT 1)"
+    )
+
+
+@catalog.query(
+    "WITH f AS MATERIALIZED (SELECT rid, y, unnest([0, 1, 2, 3])::INT AS feature_idx, unnest([l_quantity, l_extendedprice, l_discount, l_tax]) AS value FROM "
+    "(SELECT row_number() OVER () AS rid, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y, * FROM lineitem)), "
+    f"root AS {_best_sql('f')}, side AS (SELECT rid, f.value <= root.value AS low FROM f JOIN root ON f.feature_idx = root.feature), "
+    "a AS (SELECT f.* FROM f JOIN side USING (rid) WHERE low), b AS (SELECT f.* FROM f JOIN side USING (rid) WHERE NOT low) "
+    f"SELECT 0 AS node, * FROM root UNION ALL SELECT 1, * FROM {_best_sql('a')} UNION ALL SELECT 2, * FROM {_best_sql('b')}"
+)
+def tree_top_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The first two levels of a tree that tries all values."""
+    _, made = tr.train_exact(_flags(spark, sf), 3, 4, minimum_leaf_size=20, minimum_gain_split=-1.0, maximum_depth=2)
+    rows = [(s.node, s.feature, float(s.value), s.n, s.gain) for s in made]
+    return spark.createDataFrame(rows, "node int, feature int, value double, n bigint, gain double").withColumn("gain", rnd("gain", 9))
+
+
+@catalog.query(ACCURATE)
+def tree_exact_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """Bands of one feature: two exact splits tell them apart without an error."""
+    df = _blobs(spark, sf)
+    tree, _ = tr.train_exact(df, 3, 2)
+    return _above(tr.hoeffding_predict(df, tree), 0.9999)
+
+
 def _given_tree() -> tr.HoeffdingTree:
     """Quantity below 26 or not, bins over fixed ranges."""
     zero = (0.0, 0.0, 0.0)
