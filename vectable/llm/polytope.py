@@ -103,11 +103,14 @@ def bucket_links(group: pa.Table, tables: int, probes: int, cosine: float, kind:
 
     A pair counts in the first of all buckets it meets in, and nowhere else.
     """
+    home = group["home"].to_numpy(zero_copy_only=False)
+    if not home.any():
+        return None
     node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
     n = len(node)
     x = unit_rows(np.frombuffer(b"".join(group["vector"].to_pylist()), kind).reshape(n, -1))
     codes = np.frombuffer(b"".join(group["codes"].to_pylist()), np.int32).reshape(n, tables, 1 + probes)
-    home, part = group["home"].to_numpy(zero_copy_only=False), group["part"].to_numpy()
+    part = group["part"].to_numpy()
     lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
     here = group["code"][0].as_py() * tables + group["table"][0].as_py()
     first = np.flatnonzero(part == lo)

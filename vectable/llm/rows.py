@@ -157,8 +157,13 @@ def in_blocks(members: DataFrame, keys: list[str], row_hash: Column, block_rows:
     return dealt.withColumns({"lo": F.least("part", "_other"), "hi": F.greatest("part", "_other")}).drop("_parts", "_other", "count")
 
 
-def keyed_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """The groups of a stream of batches in which rows of equal keys stand together."""
+def keyed_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int = 1) -> Iterator[pa.Table]:
+    """The groups of at least `least` rows of a stream of batches in which rows of equal keys stand together."""
+
+    def whole() -> Iterator[pa.Table]:
+        if sum(t.num_rows for t in open_group) >= least:
+            yield pa.concat_tables(open_group).combine_chunks()
+
     open_group: list[pa.Table] = []
     last = None
     for batch in batches:
@@ -171,22 +176,26 @@ def keyed_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator
             change[1:] |= c[1:] != c[:-1]
         cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
         for lo, hi in zip(cuts, cuts[1:]):
+            # Groups inside a batch that are too small are passed over without being cut out.
+            if 0 < lo and hi < batch.num_rows and hi - lo < least:
+                yield from whole()
+                open_group = []
+                continue
             key = tuple(c[lo] for c in columns)
             if open_group and key != last:
-                yield pa.concat_tables(open_group).combine_chunks()
+                yield from whole()
                 open_group = []
             open_group.append(table.slice(lo, hi - lo))
             last = key
-    if open_group:
-        yield pa.concat_tables(open_group).combine_chunks()
+    yield from whole()
 
 
-def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """`work` on every group; many small groups share a task and a batch."""
+def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str, least: int = 2) -> DataFrame:
+    """`work` on every group of at least `least` rows; many small groups share a task and a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready: list[pa.RecordBatch] = []
-        for group in keyed_groups(batches, keys):
+        for group in keyed_groups(batches, keys, least):
             out = work(group)
             if out is not None and out.num_rows:
                 ready.append(out)
