@@ -109,7 +109,7 @@ def bucket_links(group: pa.Table, tables: int, probes: int, cosine: float, kind:
     node, copies = group["node"].to_numpy(), group["copies"].to_numpy()
     n = len(node)
     x = unit_rows(np.frombuffer(b"".join(group["vector"].to_pylist()), kind).reshape(n, -1))
-    codes = np.frombuffer(b"".join(group["codes"].to_pylist()), np.int32).reshape(n, tables, 1 + probes)
+    codes = np.frombuffer(b"".join(group["codes"].to_pylist()), np.int32).reshape(n, tables, 1 + probes).astype(np.int64)
     part = group["part"].to_numpy()
     lo, hi = group["lo"][0].as_py(), group["hi"][0].as_py()
     here = group["code"][0].as_py() * tables + group["table"][0].as_py()
