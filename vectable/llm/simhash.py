@@ -186,12 +186,17 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df whose id is the smallest of its group of near-duplicates; all columns as they are.
+    """The rows of df whose id is the smallest of its group of near-duplicates; see keep_first."""
+    return keep_first(df, near_duplicates(df, id_col, text), id_col)
+
+
+def keep_first(df: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
+    """The rows of df whose id is the component_id of one of its rows in groups (id, component_id); all columns as they are.
 
     Rows that repeat such an id are one document: one of
     them stays.  Rows without an id stay.
     """
-    found = near_duplicates(df, id_col, text).where(F.col(id_col) == F.col("component_id"))
+    found = groups.where(F.col(id_col) == F.col("component_id"))
     stay = cut_lineage(found.groupBy(F.col(id_col).alias("__stay")).agg(F.count("*").alias("__rows")))
     kept = df.join(stay.hint("shuffle_hash"), F.col(id_col) == F.col("__stay"))
     if not stay.where(F.col("__rows") > 1).isEmpty():
