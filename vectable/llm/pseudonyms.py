@@ -10,10 +10,26 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 # The formats looked for, in the order in which they are tried at a place.
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+#: Lengths of the countries' IBANs.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_of(length: int, countries: str) -> str:
+    fours, rest = divmod(length - 4, 4)
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}" + (f" ?[A-Z0-9]{{{rest}}}" if rest else "")
+
+
+LISTED = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+#: Of other countries any length.
+IBAN = "|".join([*(iban_of(n, c) for n, c in IBAN_LENGTHS.items()), rf"(?!{LISTED})[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?"])
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?![\w]|\.[0-9])",
-    "iban": r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
+    "iban": rf"(?<!\w)(?=[A-Z]{{2}}[0-9]{{2}})(?:{IBAN})(?!\w)",
     "date": r"(?<![\w./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})(?!\w|[./-][0-9])",
     "ssn": r"(?<![\w-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![\w-])",
     "card": r"(?<![\w-])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4} [0-9]{4} |-[0-9]{4}-[0-9]{4}-)[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![\w-])",
@@ -109,15 +125,36 @@ FIRST_DAY, DAYS_LEFT, DAYS_RIGHT = "1800-01-01", 189, 773
 
 
 def date_of(m: Column) -> Column:
-    """The date, NULL if there is no such day from 1800 to 2199.  DD.MM.YYYY and, with slashes, MM/DD/YYYY."""
-    d = F.coalesce(F.try_to_date(m, "yyyy-MM-dd"), F.try_to_date(m, "dd.MM.yyyy"), F.try_to_date(m, "MM/dd/yyyy"))
+    """The date, NULL if there is no such day from 1800 to 2199.  DD.MM.YYYY and, with slashes, MM/DD/YYYY or, where that is no date, DD/MM/YYYY."""
+    d = F.coalesce(F.try_to_date(m, "yyyy-MM-dd"), F.try_to_date(m, "dd.MM.yyyy"), F.try_to_date(m, "MM/dd/yyyy"), F.try_to_date(m, "dd/MM/yyyy"))
     return F.when((d >= F.lit(FIRST_DAY).cast("date")) & (d < F.lit("2200-01-01").cast("date")), d)
 
 
+# Days after the 12th of their month, from 1800 to 2199: 88497 = 9 * 9833, about 18.44 a month.
+LATE_LEFT, LATE_RIGHT, LATE_A_MONTH = 9, 9833, 88497 / 4800
+
+
+def late_date(d: Column, key: str) -> Column:
+    """A day after the 12th under a permutation of such days, so that DD/MM/YYYY never reads as MM/DD/YYYY."""
+    first = F.lit(FIRST_DAY).cast("date")
+    begin = lambda month: F.datediff(F.add_months(first, month), first) - 12 * month
+    month = (F.year(d) - 1800) * 12 + F.month(d) - 1
+    new = feistel_number((begin(month) + F.dayofmonth(d) - 13).cast("bigint"), LATE_LEFT, LATE_RIGHT, key, "late date")
+
+    def day(n: Column) -> Column:
+        about = F.floor(n / LATE_A_MONTH).cast("int")
+        month = F.array_max(F.filter(F.sequence(about - 2, about + 2), lambda k: (k >= 0) & (begin(k) <= n)))
+        return let(month, lambda k: F.date_add(F.add_months(first, k), (n - begin(k) + 12).cast("int")))
+
+    return let(new, day)
+
+
 def date(m: Column, key: str) -> Column:
     n = feistel_number(F.datediff(date_of(m), F.lit(FIRST_DAY).cast("date")).cast("bigint"), DAYS_LEFT, DAYS_RIGHT, key, "date")
     new = F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
-    return F.when(m.contains("-"), F.date_format(new, "yyyy-MM-dd")).when(m.contains("."), F.date_format(new, "dd.MM.yyyy")).otherwise(F.date_format(new, "MM/dd/yyyy"))
+    late = m.contains("/") & F.try_to_date(m, "MM/dd/yyyy").isNull()
+    out = F.when(m.contains("-"), F.date_format(new, "yyyy-MM-dd")).when(m.contains("."), F.date_format(new, "dd.MM.yyyy"))
+    return out.when(late, F.date_format(late_date(date_of(m), key), "dd/MM/yyyy")).otherwise(F.date_format(new, "MM/dd/yyyy"))
 
 
 def ssn(m: Column, key: str) -> Column:
