@@ -86,9 +86,8 @@ def compiled(templates: dict[str, tuple[str, ...]], threshold: float) -> Templat
     return Templates(entries, frozenset().union(*(b for _, _, b in entries)), threshold)
 
 
-def scan(text: str, t: Templates) -> list[tuple[str, str, float, int, int]]:
-    """(licence, template, dice, first line, lines) with the best run of lines for every licence that one reaches."""
-    lines = [(k, w) for k, x in enumerate(text.split("\n")) if (w := words(x))]
+def in_lines(lines: list[tuple[int, list[str]]], t: Templates) -> dict[str, tuple[str, float, int, int]]:
+    """{licence: (template, dice, first line, lines)} with the best run of lines for every licence that one reaches."""
     best: dict[str, tuple[str, float, int, int]] = {}
     for at, (first, w) in enumerate(lines):
         follows = lines[at + 1][1][0] if at + 1 < len(lines) else None
@@ -112,16 +111,77 @@ def scan(text: str, t: Templates) -> list[tuple[str, str, float, int, int]]:
                 dice = 2 * len(pairs & b) / (len(pairs) + len(b))
                 if dice >= t.threshold and (licence not in best or dice > best[licence][1]):
                     best[licence] = (name, dice, first, last - first + 1)
+    return best
+
+
+def in_words(w: list[str], t: Templates) -> list[tuple[str, str, float, int, int]]:
+    """(licence, template, dice, first word, end) of word windows that reach a template and do not overlap, those that share the most bigrams first.
+
+    A best window begins and ends with bigrams of its template: without
+    others at its ends it agrees better.  It shares at least t/(2-t) of the
+    template's bigrams, and holds at most 2(1-t)/t as many others.
+    """
+    pairs = list(zip(w, w[1:]))
+    here = t.known.intersection(pairs)
+    windows = []
+    for licence, name, b in t.entries:
+        if len(here & b) * (2 - t.threshold) < t.threshold * len(b) - 1e-9:
+            continue
+        others = 2 * (1 - t.threshold) / t.threshold * len(b) + 1e-9
+        for first, pair in enumerate(pairs):
+            if pair not in b:
+                continue
+            seen: set[Bigram] = set()
+            shared, best = 0, None
+            for last in range(first, len(pairs)):
+                if pairs[last] in seen:
+                    continue
+                seen.add(pairs[last])
+                if pairs[last] in b:
+                    shared += 1
+                    dice = 2 * shared / (len(seen) + len(b))
+                    if dice >= t.threshold and (best is None or dice > best[0]):
+                        best = (dice, shared, last + 2)
+                    if shared == len(b):
+                        break
+                elif len(seen) - shared > others:
+                    break
+            if best:
+                windows.append((-best[1], -best[0], first, best[2], licence, name))
+    taken: list[tuple[str, str, float, int, int]] = []
+    for _, dice, first, end, licence, name in sorted(windows):
+        if all(end <= lo or hi <= first for *_, lo, hi in taken):
+            taken.append((licence, name, -dice, first, end))
+    return taken
+
+
+def scan(text: str, t: Templates, inside_lines: bool) -> list[tuple[str, str, float, int, int]]:
+    """(licence, template, dice, first line, lines) of every licence: its best run of lines, or else, if inside_lines, its best word window."""
+    lines = [(k, w) for k, x in enumerate(text.split("\n")) if (w := words(x))]
+    best = in_lines(lines, t)
+    whole = [x for _, w in lines for x in w]
+    inside: dict[str, tuple[str, float, int, int]] = {}
+    of: list[int] = []
+    for licence, name, dice, first, end in in_words(whole, t) if inside_lines else ():
+        if licence not in best and (licence not in inside or (-dice, first) < (-inside[licence][1], inside[licence][2])):
+            inside[licence] = (name, dice, first, end)
+    if inside:
+        of = [k for k, w in lines for _ in w]
+    for licence, (name, dice, first, end) in inside.items():
+        best[licence] = (name, dice, of[first], of[end - 1] - of[first] + 1)
     return [(licence, *found) for licence, found in best.items()]
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text: str = "text", templates: dict[str, tuple[str, ...]] | None = None, threshold: float = THRESHOLD) -> DataFrame:
+def find(df: DataFrame, id_col: str = "doc_id", text: str = "text", templates: dict[str, tuple[str, ...]] | None = None, threshold: float = THRESHOLD, inside_lines: bool = False) -> DataFrame:
     """(id, licence, template, dice, first_line, n_lines): the licences of every text.
 
     Runs of whole lines are compared with templates by the Dice coefficient of
     their different word bigrams; a licence is reported if one of its
     templates reaches `threshold`, with the best run of lines (the first and
-    shortest of equally good ones).  Templates whose number of bigrams is out
+    shortest of equally good ones).  With inside_lines a licence that no run of
+    lines reaches is reported with its best window of words, which may begin and end inside a
+    line; where windows of several templates overlap, the one that shares most bigrams
+    is read there.  Templates whose number of bigrams is out
     of bounds for a run are not compared with it, and a run ends where it is
     too long for all of them.  NULL and empty texts have no licence;
     repeated rows are reported each.
@@ -134,7 +194,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text: str = "text", templates: d
             found = []
             for s in rows.slices(batch.column(1)):
                 for k, x in enumerate(batch.column(1).slice(s.first, s.last - s.first)):
-                    found += [(s.first + k, *f) for f in scan(x.as_py() or "", t)]
+                    found += [(s.first + k, *f) for f in scan(x.as_py() or "", t, inside_lines)]
             if found:
                 at, licence, template, dice, first, n = zip(*found)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(licence), pa.array(template), pa.array(dice, pa.float64()), pa.array(first, pa.int64()), pa.array(n, pa.int64())], ["doc", "licence", "template", "dice", "first_line", "n_lines"])

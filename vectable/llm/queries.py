@@ -48,7 +48,7 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @catalog.query()
 def op6_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.find(table(spark, sf_dir, "documents"))
+    return licences.find(table(spark, sf_dir, "documents"), inside_lines=True)
 
 
 def count_of(spans: Column, kind: str) -> Column:
