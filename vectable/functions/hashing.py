@@ -17,11 +17,15 @@ def _mixed_number(h: int) -> int:
     return h ^ (h >> MIX_SHIFTS[-1])
 
 
+def _shifted(h: Column, shift: int) -> Column:
+    """h xor h >> shift, with h computed once wherever this stands: a filter shares no subexpressions."""
+    return F.get(F.transform(F.array(h), lambda x: x.bitwiseXOR(F.shiftright(x, shift))), F.lit(0))
+
+
 def _mixed(h: Column) -> Column:
     for shift, mult in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
-        h = h.bitwiseXOR(F.shiftright(h, shift))
-        h = F.pmod(h * F.lit(mult), F.lit(WORD))
-    return h.bitwiseXOR(F.shiftright(h, MIX_SHIFTS[-1]))
+        h = F.pmod(_shifted(h, shift) * F.lit(mult), F.lit(WORD))
+    return _shifted(h, MIX_SHIFTS[-1])
 
 
 def _mixed_sql(h: str) -> str:

@@ -56,7 +56,7 @@ def lowest_hashes(df: DataFrame, n: int, id_col: str, seed: int, total: int | No
     h = row_hash(F.col(id_col), seed)
     cut, below = nth_smallest(df, h, n - 1, (0, WORD - 1))
     last_id, _ = nth_smallest(df.filter(h == cut), F.col(id_col), n - below - 1)
-    return (h < cut) | ((h == cut) & (F.col(id_col) <= last_id))
+    return F.struct(h, F.col(id_col).cast("bigint")) <= F.struct(F.lit(cut).cast("bigint"), F.lit(last_id).cast("bigint"))
 
 
 def sample_rows(df: DataFrame, k: int, id_col: str = "row_id", seed: int = 0) -> DataFrame:

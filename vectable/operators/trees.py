@@ -378,7 +378,7 @@ class Split:
     gain: float
 
 
-def best_splits(cells: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int) -> DataFrame:
+def exact_splits(cells: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int) -> DataFrame:
     """(leaf, feature, value, gain, left) of the best split "x <= value" of each leaf, over all distinct values.
 
     ``cells`` is (leaf, feature_idx, value, y), ``sizes`` (leaf, t0, t1, ..): class counts.
@@ -432,7 +432,7 @@ def train_exact(
             cells = cells.select("leaf", "y", F.posexplode("features").alias("feature_idx", "value"))
             sizes = spark.createDataFrame([(leaf, *nodes[leaf].counts) for leaf in sorted(open_leaves)], "leaf int, " + ", ".join(f"t{c} double" for c in range(classes)))
             open_leaves = set()
-            for r in best_splits(cells, sizes, classes, minimum_leaf_size).filter(F.col("gain") > minimum_gain_split).orderBy("leaf").collect():
+            for r in exact_splits(cells, sizes, classes, minimum_leaf_size).filter(F.col("gain") > minimum_gain_split).orderBy("leaf").collect():
                 leaf, left = r["leaf"], np.array(r["left"])
                 total = np.array(nodes[leaf].counts)
                 # Values at a threshold go up, so the threshold is the next number above the value.
