@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectable.llm import decontamination, language, packing, secrets, shingles
+from vectable.llm import decontamination, language, packing, secrets, simhash
 from vectable.plans.common import table
 from vectable.session import scratch_path, ship_package
 
@@ -28,15 +28,16 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return told.where((F.col("__lang") != language.UNKNOWN) & ~F.col("__ambiguous")).select(*docs.columns)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near-duplicates: the one with the smallest id.
 
-    Near are texts whose sets of 5-word shingles have a Jaccard similarity of
-    0.8 or more.  Rows that share this id are one document; one of them stays.
-    Rows without an id cannot be told apart by it and stay.
+    Near are texts whose fingerprints of 3-word shingles differ in at most 3
+    bits, as op2 has them.  Rows that share this id are one document; the one
+    with the least text stays.  Rows without an id cannot be told apart by it
+    and stay.
     """
     ship_package(spark)
-    return shingles.deduplicate(docs)
+    return simhash.deduplicate(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("language_id", language_id),
-    ("simhash_near_dedup", near_dedup),
+    ("simhash_near_dedup", simhash_near_dedup),
     ("benchmark_decontamination", benchmark_decontamination),
     ("secret_scan", secret_scan),
     ("best_fit_packing", best_fit_packing),
