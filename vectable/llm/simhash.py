@@ -186,21 +186,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
 
 
 def deduplicate(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of df whose id is the smallest of its group of near-duplicates; see keep_first."""
-    return keep_first(df, near_duplicates(df, id_col, text), id_col)
+    """The rows of df whose id is the smallest of its group of near-duplicates; all columns as they are.
 
-
-def keep_first(df: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
-    """The rows of df whose id is the component_id of one of its rows in groups (id, component_id); all columns as they are.
-
-    Rows that repeat such an id are one document: one of
-    them stays.  Rows without an id stay.
+    Rows that repeat such an id are one document: the one with the least text
+    stays (NULL is the least; among equal texts the least by all columns as
+    JSON).  Rows without an id stay.
     """
+    groups = near_duplicates(df, id_col, text)
     found = groups.where(F.col(id_col) == F.col("component_id"))
     stay = cut_lineage(found.groupBy(F.col(id_col).alias("__stay")).agg(F.count("*").alias("__rows")))
     kept = df.join(stay.hint("shuffle_hash"), F.col(id_col) == F.col("__stay"))
     if not stay.where(F.col("__rows") > 1).isEmpty():
-        kept = kept.where(F.col("__rows") == 1).unionByName(kept.where(F.col("__rows") > 1).dropDuplicates([id_col]))
+        whole = F.struct(*df.columns)
+        least = F.min_by(whole, F.struct(F.col(text), F.to_json(whole))).alias("__least")
+        first = kept.where(F.col("__rows") > 1).groupBy("__stay").agg(least).select("__least.*")
+        kept = kept.where(F.col("__rows") == 1).select(*df.columns).unionByName(first)
     return kept.select(*df.columns).unionByName(df.where(F.col(id_col).isNull()))
 
 
