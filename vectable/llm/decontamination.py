@@ -49,7 +49,7 @@ def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
     h = np.full(n, len(mask), np.uint64)
     for k, bit in enumerate(mask):
         if bit == "1":
-            h = h * np.uint64(rows.WORD_BASE) + words[k : k + n]
+            h = rows.mixed(h) ^ words[k : k + n]
     return rows.mixed(h)
 
 

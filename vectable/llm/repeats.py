@@ -1,4 +1,4 @@
-"""Passages that occur more than once, by parsing documents relative to an index of the corpus."""
+"""Passages that occur more than once: documents are parsed into factors relative to an index of the corpus."""
 
 from __future__ import annotations
 
@@ -8,21 +8,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectable.llm import rows
 from vectable.session import cut_lineage
 
 WINDOW = 35
-#: Words of the runs that choose where a window is indexed.
+#: Words of the runs that choose the block a window is indexed in.
 GRAM = 6
-SECOND = 0xA0761D6478BD642F
-SHARED = "k1 bigint, k2 bigint"
+#: Windows of a task that are looked up among each other before they are exchanged.
+LOCAL_WINDOWS = 1 << 21
+SPAN = "struct<first_word:bigint,n_words:bigint,source:bigint,source_word:bigint>"
 
 
-def words_of(s: rows.Slice) -> tuple[np.ndarray, np.ndarray]:
+def words_of(s: rows.Slice, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, doc = rows.word_bounds(s.data, s.offsets, ~rows.SPACE[s.data])
-    return rows.word_hashes(s.data, starts, ends), doc
+    return rows.word_hashes(s.data, starts, ends, seed), doc
 
 
 def window_blocks(words: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,7 +64,6 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
 def read_texts(df: DataFrame, id_col: str, text: str, window: int) -> DataFrame:
     """(id, k1, k2, n_words, whole, blocks, again): two hashes of the text, its words, and its blocks of the index."""
     kind = df.schema[id_col].dataType.simpleString()
-    keyed = df.select(F.col(id_col).alias("id"), *text_keys(text), F.col(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -70,136 +71,186 @@ def read_texts(df: DataFrame, id_col: str, text: str, window: int) -> DataFrame:
                 words, doc = words_of(s)
                 n = s.last - s.first
                 text_of, value, again = block_entries(words, doc, window)
-                whole = [hashlib.sha256(b" ".join(s.data[a:b].tobytes().split())).hexdigest() for a, b in zip(s.offsets, s.offsets[1:])]
+                whole = [hashlib.sha256(b" ".join(s.data[a:b].tobytes().split())).digest() for a, b in zip(s.offsets, s.offsets[1:])]
                 columns = [c.slice(s.first, n) for c in batch.columns[:3]]
+                entries = np.bincount(text_of, minlength=n)
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, pa.array(np.bincount(doc, minlength=n), pa.int64()), pa.array(whole), lists(rows.signed(value), np.bincount(text_of, minlength=n), pa.int64()), lists(again, np.bincount(text_of, minlength=n), pa.bool_())],
+                    [*columns, pa.array(np.bincount(doc, minlength=n), pa.int64()), pa.array(whole, pa.binary()), lists(rows.signed(value), entries, pa.int64()), lists(again, entries, pa.bool_())],
                     ["id", "k1", "k2", "n_words", "whole", "blocks", "again"],
                 )
 
-    return keyed.mapInArrow(run, f"id {kind}, {SHARED}, n_words bigint, whole string, blocks array<bigint>, again array<boolean>")
+    return keyed(df, id_col, text).mapInArrow(run, f"id {kind}, k1 bigint, k2 bigint, n_words bigint, whole binary, blocks array<bigint>, again array<boolean>")
 
 
-def text_keys(text: str) -> list[Column]:
-    """Two 64-bit hashes that stand for a text; NULL reads as empty."""
+def keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(id, k1, k2, text): two 64-bit hashes stand for a text; NULL reads as empty."""
     t = F.coalesce(F.col(text), F.lit(""))
-    return [F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("second"), t).alias("k2")]
+    return df.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("second"), t).alias("k2"), F.col(text).alias("text"))
 
 
-def index_windows(candidates: DataFrame, window: int) -> DataFrame:
-    """(k1, k2, copies, text, starts, h, g): the windows of every text that stand in a shared block, under 96-bit hashes."""
+def local_places(h: np.ndarray, g: np.ndarray, row: np.ndarray, start: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
+    """Windows of one task as rows to exchange.
+
+    Where a window stands more than once here, its first place goes on under
+    its hash with a source, so that other tasks meet one row of a frequent
+    window; the other places have the first one as their source and go on
+    under a key that is theirs alone.
+    """
+    order = np.lexsort((g, h))
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    many = np.diff(np.append(np.flatnonzero(new), len(order)))[np.cumsum(new) - 1] > 1
+    source = np.where(new, np.minimum(np.arange(len(order)) + 1, len(order) - 1), first)
+    later = ~new
+    key = np.where(later, rows.mixed(row[order].astype(np.uint64) ^ rows.mixed(start[order].astype(np.uint64))), h[order])
+    second = np.where(later, np.uint64(0), g[order])
+    keep = new | alone[order]
+    known = many[keep]
+    columns = [
+        pa.array(rows.signed(key[keep])), pa.array(rows.signed(second[keep])), pa.array(row[order][keep]), pa.array(start[order][keep].astype(np.int32)), pa.array(alone[order][keep]),
+        pa.array(row[order][source][keep], mask=~known), pa.array(start[order][source][keep].astype(np.int32), mask=~known),
+    ]
+    return pa.RecordBatch.from_arrays(columns, ["h", "g", "row", "start", "alone", "source", "source_start"])
+
+
+def index_windows(picked: DataFrame, window: int) -> DataFrame:
+    """(h, g, row, start, alone, source, source_start): the windows of every text that stand in a shared block, under 128-bit hashes."""
+
+    def of_slice(s: rows.Slice, row: np.ndarray, alone: np.ndarray, shared: pa.Array) -> list[np.ndarray]:
+        words, doc = words_of(s)
+        valid, block, _ = window_blocks(words, doc, window)
+        first = np.searchsorted(doc, np.arange(s.last - s.first + 1))
+        keep = np.zeros(len(valid), bool)
+        for k in range(s.last - s.first):
+            lo, hi = first[k], min(first[k + 1], len(valid))
+            keep[lo:hi] = np.isin(block[lo:hi], shared[k].values.to_numpy().view(np.uint64))
+        at = np.flatnonzero(keep & valid)
+        h, g = (rows.run_hashes(w, window)[at] for w in (words, words_of(s, 1)[0]))
+        return [h, g, row[doc[at]], at - first[doc[at]], alone[doc[at]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for s in rows.slices(batch.column(3)):
-                words, doc = words_of(s)
-                valid, block, _ = window_blocks(words, doc, window)
-                first = np.searchsorted(doc, np.arange(s.last - s.first + 1))
-                shared = batch.column(4).slice(s.first, s.last - s.first)
-                keep = np.zeros(len(valid), bool)
-                for k in range(s.last - s.first):
-                    lo, hi = first[k], min(first[k + 1], len(valid))
-                    keep[lo:hi] = np.isin(block[lo:hi], shared[k].values.to_numpy().view(np.uint64))
-                at = np.flatnonzero(keep & valid)
-                h = rows.run_hashes(words, window)[at]
-                g = (rows.run_hashes(rows.mixed(words ^ np.uint64(SECOND)), window)[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-                counts = np.bincount(doc[at], minlength=s.last - s.first)
-                yield pa.RecordBatch.from_arrays(
-                    [*[c.slice(s.first, s.last - s.first) for c in batch.columns[:4]], lists((at - first[doc[at]]).astype(np.int32), counts, pa.int32()), lists(rows.signed(h), counts, pa.int64()), lists(g, counts, pa.int32())],
-                    ["k1", "k2", "copies", "text", "starts", "h", "g"],
-                )
-
-    return candidates.mapInArrow(run, f"{SHARED}, copies bigint, text string, starts array<int>, h array<bigint>, g array<int>")
-
-
-def factors(starts: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Greedy parse: first word and length of every factor, given the first words of the windows found in the index.
-
-    A factor goes on as long as the next window is found.  Windows that lie
-    across the end of a factor have been looked up like all others, so two
-    factors overlap where such a window is found and stand apart otherwise.
+            row, alone = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            for s in rows.slices(batch.column(2)):
+                part = slice(s.first, s.last)
+                held.append(of_slice(s, row[part], alone[part], batch.column(3).slice(s.first, s.last - s.first)))
+                size += len(held[-1][0])
+                if size >= LOCAL_WINDOWS:
+                    yield local_places(*[np.concatenate(x) for x in zip(*held)])
+                    held, size = [], 0
+        if size:
+            yield local_places(*[np.concatenate(x) for x in zip(*held)])
+
+    return picked.select("row", "alone", "text", "blocks").mapInArrow(run, "h bigint, g bigint, row bigint, start int, alone boolean, source bigint, source_start int")
+
+
+def with_sources(windows: DataFrame) -> DataFrame:
+    """(row, start, source, source_start) of the windows that stand in another place as well, and one such place."""
+    same = W.partitionBy("h", "g")
+    place = F.struct("row", "start")
+    met = windows.select("*", F.count("*").over(same).alias("times"), F.min(place).over(same).alias("least"), F.max(place).over(same).alias("most"))
+    other = F.when(place == F.col("least"), F.col("most")).otherwise(F.col("least"))
+    source = F.when(F.col("source").isNotNull(), F.struct(F.col("source").alias("row"), F.col("source_start").alias("start"))).otherwise(other)
+    found = met.where(F.col("alone") & (F.col("source").isNotNull() | (F.col("times") > 1)))
+    return found.select("row", "start", source.alias("s")).select("row", "start", F.col("s.row").alias("source"), F.col("s.start").alias("source_start"))
+
+
+def factors(start: np.ndarray, source: np.ndarray, source_start: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The greedy parse: (first word, words, source, first word there) of every factor of at least a window.
+
+    `start` has the first words of the windows that the index knows, each
+    with a place where it stands as well.  From the first such window on, a
+    factor copies from that place as long as the next window is known one
+    word further in the same source.  At its end the next window is checked
+    on its own: if another source has it, the next factor begins there and
+    overlaps this one; if none has, up to the next known window words are literals.
     """
-    starts = np.sort(starts)
-    if not len(starts):
-        return starts, starts
-    begins = np.flatnonzero(np.concatenate(([True], np.diff(starts) > 1)))
-    ends = np.append(begins[1:], len(starts)) - 1
-    return starts[begins], starts[ends] - starts[begins] + window
+    order = np.argsort(start, kind="stable")
+    start, source, source_start = start[order].astype(np.int64), source[order], source_start[order].astype(np.int64)
+    if not len(start):
+        return start, start, source, source_start
+    goes_on = (np.diff(start) == 1) & (np.diff(source) == 0) & (np.diff(source_start) == 1)
+    begin = np.flatnonzero(np.concatenate(([True], ~goes_on)))
+    end = np.append(begin[1:], len(start)) - 1
+    return start[begin], start[end] - start[begin] + window, source[begin], source_start[begin]
 
 
-def cut_spans(found: DataFrame, window: int) -> DataFrame:
-    """(k1, k2, n_removed, kept, spans) from the text and the starts of its repeated windows."""
+def cut_factors(found: DataFrame, window: int) -> DataFrame:
+    """(row, n_removed, kept, spans) from (row, text, windows): the text is parsed, and the words of its factors are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, kept, begin, length, counts = [], [], [], [], []
-            for k, text in enumerate(batch.column(2)):
+            removed, kept, parsed, counts = [], [], [], []
+            for k, text in enumerate(batch.column(1)):
                 words = (text.as_py() or "").encode().split()
-                first, n = factors(batch.column(3)[k].values.to_numpy(), window)
+                w = batch.column(2)[k].values
+                parsed.append(factors(*[w.field(c).to_numpy() for c in ("start", "source", "source_start")], window))
+                first, n = parsed[-1][:2]
                 covered = np.zeros(len(words) + 1, np.int64)
                 np.add.at(covered, first, 1)
                 np.add.at(covered, first + n, -1)
                 gone = np.cumsum(covered)[:-1] > 0
                 removed.append(int(gone.sum()))
-                kept.append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone) if not g)).hexdigest())
-                begin.append(first)
-                length.append(n)
+                kept.append(hashlib.sha256(b" ".join(w for w, g in zip(words, gone) if not g)).digest())
                 counts.append(len(first))
-            spans = pa.ListArray.from_arrays(
-                pa.array(rows.counts_to_offsets(np.array(counts, np.int64))),
-                pa.StructArray.from_arrays([pa.array(np.concatenate([*x, np.empty(0, np.int64)]).astype(np.int64)) for x in (begin, length)], ["first_word", "n_words"]),
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string()), spans], ["k1", "k2", "n_removed", "kept", "spans"])
+            columns = [np.concatenate([*c, np.empty(0, np.int64)]).astype(np.int64) for c in zip(*parsed)] if parsed else [np.empty(0, np.int64)] * 4
+            spans = pa.ListArray.from_arrays(pa.array(rows.counts_to_offsets(np.array(counts, np.int64))), pa.StructArray.from_arrays([pa.array(c) for c in columns], ["first_word", "n_words", "source", "source_word"]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()), spans], ["row", "n_removed", "kept", "spans"])
 
-    return found.mapInArrow(run, f"{SHARED}, n_removed bigint, kept string, spans array<struct<first_word:bigint,n_words:bigint>>")
+    return found.select("row", "text", "windows").mapInArrow(run, f"row bigint, n_removed bigint, kept binary, spans array<{SPAN}>")
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
-    """(id, n_words, n_removed, kept_sha256, spans) for every row of df.
+    """(id, n_words, n_removed, kept_sha256, text_no, spans) for every row of df.
 
     A run of `window` words that stands anywhere else as well, in the same
-    text or another row, is removed wherever it stands; spans are the factors
-    (first word, number of words) that were removed, kept_sha256 is the hash
-    of the other words joined by one space.  NULL texts have no words.
+    text or another row, is removed wherever it stands; kept_sha256 is the
+    hash of the other words joined by one space.  NULL texts have no words.
     Rows with the same text are copies of each other: if it has a window,
     they lose all words.  Rows without an id are treated like others.
+    spans are the removed factors: first word, number of words, and the text
+    (its text_no) and word that the factor also stands at.  A copied text is
+    one factor without a source.  text_no is NULL for texts that share no block.
 
     The corpus is the reference.  It is indexed in blocks: a window belongs
     to the block named by its least word-run hash, which equal windows share.
-    Blocks that only one place of the corpus has are left out; texts that
-    have other blocks are read once more, the windows in those blocks are
-    looked up in the index of all of them under 96 bits, and every text is
-    parsed into factors of found windows.  Texts that stand in many rows are
-    indexed once.  All steps are joins and counts whose keys can be split.
+    Blocks that only one place of the corpus has are left out.  Texts that
+    have others are read once more, and their windows in those blocks
+    are exchanged once, under 128-bit hashes, to get a source each; windows that a task meets
+    more than once are answered there, so a frequent one costs a row a
+    task.  Every text is then parsed into factors.  Texts that stand in many
+    rows are indexed once.  Texts cross the network once, keyed by id and
+    text, so that copies spread; they are never checkpointed.
     """
     read = cut_lineage(read_texts(df, id_col, text, window))
     copies = cut_lineage(read.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("first_id")))
-    entries = read.select("k1", "k2", F.explode(F.arrays_zip("blocks", "again")).alias("e")).select("k1", "k2", F.col("e.blocks").alias("block"), F.col("e.again").cast("int").alias("again"))
-    shared = entries.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.min("k2").alias("lo2"), F.max("k2").alias("hi2"), F.max("again").alias("again"))
-    shared = cut_lineage(shared.where("lo <> hi or lo2 <> hi2 or again = 1").select("block"))
-    asked = entries.join(shared, "block").groupBy("k1", "k2").agg(F.collect_set("block").alias("blocks")).join(copies, ["k1", "k2"])
-    asked = cut_lineage(asked)
-
-    source = df.select(F.col(id_col).alias("id"), *text_keys(text), F.col(text).alias("text"))
-    picked = source.join(asked.withColumnsRenamed({"k1": "a1", "k2": "a2"}).hint("shuffle_hash"), (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")) & F.col("id").eqNullSafe(F.col("first_id")))
-    indexed = cut_lineage(index_windows(picked.select("k1", "k2", "copies", "text", "blocks"), window)).withColumn("row", F.monotonically_increasing_id())
-
-    places = indexed.select("row", F.explode(F.arrays_zip("starts", "h", "g")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.h").alias("h"), F.col("w.g").alias("g"))
-    repeated = cut_lineage(places.groupBy("h", "g").count().where("count > 1").select("h", "g"))
-    alone = indexed.where("copies = 1").select("row", "k1", "k2", "text")
-    wanted = indexed.where("copies = 1").select("row", F.explode(F.arrays_zip("starts", "h", "g")).alias("w")).select("row", F.col("w.starts").alias("start"), F.col("w.h").alias("h"), F.col("w.g").alias("g"))
-    found = wanted.join(repeated, ["h", "g"]).groupBy("row").agg(F.collect_list("start").alias("starts"))
-    parsed = cut_spans(alone.join(found, "row").select("k1", "k2", "text", "starts"), window)
-
-    empty = hashlib.sha256(b"").hexdigest()
-    of_text = copies.join(parsed, ["k1", "k2"], "left").where((F.col("copies") > 1) | F.col("n_removed").isNotNull())
-    of_text = cut_lineage(of_text.select("k1", "k2", "copies", "n_removed", "kept", "spans"))
+    entries = read.select("k1", "k2", F.inline(F.arrays_zip(F.col("blocks").alias("block"), F.col("again").alias("again"))))
+    shared = entries.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.max(F.col("again").cast("int")).alias("again"))
+    shared = cut_lineage(shared.where("lo <> hi or again = 1").select("block"))
+    asked = entries.select("k1", "k2", "block").join(shared, "block").groupBy("k1", "k2").agg(F.collect_set("block").alias("blocks")).join(copies, ["k1", "k2"])
+    asked = cut_lineage(asked).withColumn("row", F.monotonically_increasing_id())
+    names = asked.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "first_id", "row", (F.col("copies") == 1).alias("alone"), "blocks")
+
+    texts = keyed(df, id_col, text)
+    same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2"))
+    windows = index_windows(texts.join(names.hint("shuffle_hash"), same), window)
+    found = with_sources(windows).groupBy("row").agg(F.collect_list(F.struct("start", "source", "source_start")).alias("windows"))
+    losing = names.drop("blocks", "alone").join(found, "row")
+    parsed = cut_lineage(cut_factors(texts.join(losing.hint("shuffle_hash"), same), window))
+
+    empty = hashlib.sha256(b"").digest()
+    numbered = asked.select("k1", "k2", "row").join(parsed, "row", "left")
+    of_text = cut_lineage(copies.select("k1", "k2", "copies").join(numbered, ["k1", "k2"], "left").where((F.col("copies") > 1) | F.col("row").isNotNull()))
     every = (F.col("copies") > 1) & (F.col("n_words") >= window)
-    all_words = F.array(F.struct(F.lit(0).cast("bigint").alias("first_word"), F.col("n_words").alias("n_words")))
-    return read.join(of_text, ["k1", "k2"], "left").select(
+    unknown = F.lit(None).cast("bigint")
+    all_words = F.array(F.struct(F.lit(0).cast("bigint").alias("first_word"), F.col("n_words").alias("n_words"), unknown.alias("source"), unknown.alias("source_word")))
+    return read.select("id", "k1", "k2", "n_words", "whole").join(of_text, ["k1", "k2"], "left").select(
         F.col("id").alias(id_col),
         "n_words",
         F.when(every, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("bigint").alias("n_removed"),
-        F.when(every, F.lit(empty)).otherwise(F.coalesce("kept", "whole")).alias("kept_sha256"),
-        F.when(every, all_words).otherwise(F.coalesce("spans", F.array().cast("array<struct<first_word:bigint,n_words:bigint>>"))).alias("spans"),
+        F.lower(F.hex(F.when(every, F.lit(empty)).otherwise(F.coalesce("kept", "whole")))).alias("kept_sha256"),
+        F.col("row").alias("text_no"),
+        F.when(every, all_words).otherwise(F.coalesce("spans", F.array().cast(f"array<{SPAN}>"))).alias("spans"),
     )

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +16,8 @@ from vectable.session import cut_lineage
 
 SLICE_BYTES = 1 << 20
 OUT_ROWS = 4096
-# Odd multipliers of the rolling hashes and of the 64-bit mixer.
-BYTE_BASE = 0x9E3779B97F4A7C15
-WORD_BASE = 0xD6E8FEB86659FD93
+# What sets the two runs of a longer one apart, and the odd multipliers of the 64-bit mixer.
+RUN_SALT = 0x9E3779B97F4A7C15
 MIX = (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53)
 
 
@@ -29,6 +29,8 @@ def space_table() -> np.ndarray:
 
 
 SPACE = space_table()
+#: Masks of the first 0 to 8 bytes of a number.
+LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 @dataclass
@@ -72,26 +74,6 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tu
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2**64, as far as they have been asked for."""
-
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = max(n, 2 * len(self.up))
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up[:n], self.down[:n]
-
-
-BYTE_POWERS, WORD_POWERS = Powers(BYTE_BASE), Powers(WORD_BASE)
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     h = h ^ (h >> np.uint64(33))
     h = h * np.uint64(MIX[0])
@@ -100,27 +82,33 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def sums(values: np.ndarray) -> np.ndarray:
-    """Running totals with a leading zero, modulo 2**64."""
-    out = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values, out=out[1:])
-    return out
-
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each byte range, the same wherever it stands; seeds give independent ones.
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range, the same wherever it stands."""
-    up, down = BYTE_POWERS.upto(len(data) + 1)
-    total = sums((data.astype(np.uint64) + np.uint64(1)) * up[:-1])
-    return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    Up to 16 bytes are read as two numbers and mixed with the length, so that
+    words of up to 8 bytes and one length never share a hash; longer words go
+    through XXH3.
+    """
+    n = ends - starts
+    if not len(n):
+        return np.empty(0, np.uint64)
+    eights = np.lib.stride_tricks.sliding_window_view(np.concatenate((data, np.zeros(16, np.uint8))), 8)
+    low, high = (np.ascontiguousarray(eights[np.minimum(starts + k, len(data))]).view("<u8")[:, 0].astype(np.uint64) & LOW_BYTES[np.clip(n - k, 0, 8)] for k in (0, 8))
+    salt = mixed(np.array([seed + 1], np.uint64))
+    h = mixed(low ^ mixed(high ^ mixed(n.astype(np.uint64) + salt)))
+    for k in np.flatnonzero(n > 16):
+        h[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes(), seed)
+    return h
 
 
 def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
-    """A 64-bit hash of each run of n consecutive words, by its first word; runs may cross texts."""
+    """A 64-bit hash of each run of n consecutive words, by its first word; runs may cross texts.
+
+    Runs double: the hash of a run is mixed from those of the two shorter runs that cover it.
+    """
     if len(words) < n:
         return np.empty(0, np.uint64)
-    up, down = WORD_POWERS.upto(len(words) + 1)
-    total = sums(words * up[:-1])
-    return mixed((total[n:] - total[:-n]) * down[: len(words) - n + 1])
+    return sliding(words, n, lambda first, second: mixed(first ^ mixed(second + np.uint64(RUN_SALT))))
 
 
 def sliding(values: np.ndarray, width: int, best: Callable) -> np.ndarray:
