@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 from llm_texts import prose
+from test_near_text import SPLIT
 
 from vectable.llm import repeats, rows
 
@@ -72,14 +73,14 @@ def test_factors_copy_from_their_source(spark, corpus):
     texts = Counter(r.text for r in docs.collect())
     by_id = {r.doc_id: r.text for r in docs.collect()}
     found = repeats.remove_repeats(docs).collect()
-    words = {r.text_no: (by_id[r.doc_id] or "").split() for r in found if r.text_no is not None and r.doc_id is not None}
+    words = {r.text_no: SPLIT.findall(by_id[r.doc_id] or "") for r in found if r.text_no is not None and r.doc_id is not None}
     copied = 0
     for r in (r for r in found if r.doc_id is not None):
         for s in r.spans:
             if s.source is None:
                 assert texts[by_id[r.doc_id]] > 1 and (s.first_word, s.n_words) == (0, r.n_words)
             elif s.source in words:
-                own = (by_id[r.doc_id] or "").split()
+                own = SPLIT.findall(by_id[r.doc_id] or "")
                 assert own[s.first_word :][: s.n_words] == words[s.source][s.source_word :][: s.n_words]
                 assert (r.text_no, s.first_word) != (s.source, s.source_word) and s.n_words >= repeats.WINDOW
                 copied += 1
