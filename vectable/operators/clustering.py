@@ -6,7 +6,7 @@ the same task; only k x (d + 1) numbers reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions.blocks import from_matrix, matrix_udf, nearest, row_slices, sq_dists, sum_over_rows, to_matrix
+from vectable.operators.buckets import bucket_join
 from vectable.operators.layout import shape
 from vectable.operators.neighbors import block_rows_of, Cells, block_join, fit_cells, neighbour_join
 from vectable.operators.order import row_index, sample_rows
@@ -177,42 +178,116 @@ def assign(df: DataFrame, centroids: np.ndarray, features_col: str = "features",
 # --- mean shift -----------------------------------------------------------------
 
 
-RADIUS_BINS, RADIUS_PASSES = 256, 3
+#: Ranges that a pass tells apart for each point, and passes: distances are found to 1 / RADIUS_BINS ** RADIUS_PASSES of their span.
+RADIUS_BINS, RADIUS_PASSES = 128, 5
+#: Rows of counts that one call adds up.
+DEAL_ROWS = 1 << 15
 
 
-def estimate_radius(df: DataFrame, ratio: float = 0.2, queries: int = 1000, id_col: str = "row_id", seed: int = 0) -> float:
-    """Mean distance to the (ratio x n)-th nearest of all n points, over at most ``queries`` hashed points.
+def _ranged(d: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Range of each distance (rows, ..): 0 below lo, 1 to RADIUS_BINS between lo and hi, RADIUS_BINS + 1 beyond."""
+    at = np.floor((d - lo) * (RADIUS_BINS / (hi - lo))) + 1
+    return np.clip(at, 0, RADIUS_BINS + 1).astype(np.int64)
 
-    Every point of the table is counted for every query; the ranked distance is
-    narrowed down by counting 256 ranges per pass, so nothing is sorted or joined.
+
+def _counted(at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """(rows, RADIUS_BINS + 1): the weights of each row by range, without what lies beyond."""
+    row = np.broadcast_to(np.arange(len(at))[:, None], at.shape)
+    w = np.broadcast_to(weight, at.shape)
+    return np.bincount((row * (RADIUS_BINS + 2) + at).reshape(-1), w.reshape(-1), len(at) * (RADIUS_BINS + 2)).reshape(len(at), -1)[:, :-1]
+
+
+def rank_distances(points: DataFrame, cells: Cells, k: int, block_rows: int | None = None) -> DataFrame:
+    """(_q, weight, dist): for each of the points (_ref, _rx, weight, cell), the distance to its k-th nearest other row, copies included.
+
+    Every point keeps a range that the distance lies in.  A pass counts all
+    rows of the table in 64 parts of that range and goes on with the part
+    that holds rank k.  A cell whose points all lie in one part, or all below
+    or beyond the range, as its pivot distances prove, is counted by its weight and not
+    visited; other cells are visited in blocks.
     """
-    picked = df.select(F.col(id_col).alias("row_id"), "features")
-    n = picked.count()
-    k = max(1, int(ratio * n))
-    q = to_matrix(sample_rows(picked, queries, "row_id", seed).select("features").toArrow()["features"])
-    m = len(q)
-    lo, below = np.zeros(m), np.zeros(m)
-    hi = 2.0 * np.sqrt(sq_dists(q, q)).max(1) + 1.0
-
-    def counts(x: np.ndarray) -> dict[str, np.ndarray]:
-        out = np.zeros(m * (RADIUS_BINS + 1))
-        for s in row_slices(len(x), m):
-            at = np.floor((np.sqrt(sq_dists(x[s], q)) - lo) * (RADIUS_BINS / (hi - lo)))
-            at = np.where(at < 0, -1, np.minimum(at, RADIUS_BINS)).astype(np.int64)
-            row = np.broadcast_to(np.arange(m), at.shape)
-            out += np.bincount((row * (RADIUS_BINS + 1) + at)[at >= 0], minlength=len(out))
-        return {"n": out.reshape(m, RADIUS_BINS + 1)}
+    held = np.zeros(len(cells.pivots))
+    for row in points.groupBy("cell").agg(F.sum("weight").alias("w")).collect():
+        held[row["cell"]] = row["w"]
+    block_rows = block_rows or block_rows_of(cells.pivots.shape[1])
+    full = np.flatnonzero(cells.count > 0)
+    pivots, near, far, held = cells.pivots[full], cells.near[full], cells.far[full], held[full]
+    # The widest possible distance: from a point to a pivot and on to the rim of that cell.
+    widest = float((np.sqrt(sq_dists(pivots, pivots)) + far[None, :]).max() + far.max()) if len(full) else 0.0
+
+    def told(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, cells): the range that a whole cell lies in, and whether it does."""
+        d = np.sqrt(sq_dists(x, pivots))
+        slack = 1e-6 * (1.0 + d)
+        least = np.maximum(np.maximum(d - far, near - d) - slack, 0.0)
+        first, last = (_ranged(v, lo[:, None], hi[:, None]) for v in (least, d + far + slack))
+        return first, first == last
+
+    def ranges(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        if batch.num_rows:
+            x, lo, hi = to_matrix(batch.column(1)), batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            for s in row_slices(len(x), len(full) * 8):
+                yield s, x[s], lo[s], hi[s]
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, x, lo, hi in ranges(batch):
+                at, sure = told(x, lo, hi)
+                counts = from_matrix(_counted(np.where(sure, at, RADIUS_BINS + 1), held))
+                yield pa.RecordBatch.from_arrays([*[c.slice(s.start, len(x)) for c in batch.columns], counts], [*fields, "counts"])
+
+    def visits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for s, x, lo, hi in ranges(batch):
+                row, cell = np.nonzero(~told(x, lo, hi)[1])
+                at = pa.array(row + s.start)
+                yield pa.RecordBatch.from_arrays([pa.array(full[cell].astype(np.int64)), *[batch.column(i).take(at) for i in range(4)]], ["cell", *fields[:4]])
 
-    with reused(df, "features") as kept:
-        for _ in range(RADIUS_PASSES):
-            reached = below[:, None] + np.cumsum(sum_over_rows(kept, ["features"], counts)["n"], 1)
-            at = (reached < k).sum(1)
-            step = (hi - lo) / RADIUS_BINS
-            # Points beyond the last range: look farther out in the next pass.
-            out = at >= RADIUS_BINS
-            below = np.where(out, reached[:, RADIUS_BINS - 1], np.where(at > 0, np.take_along_axis(reached, np.maximum(at - 1, 0)[:, None], 1)[:, 0], below))
-            lo, hi = np.where(out, hi, lo + at * step), np.where(out, 8 * hi, lo + (at + 1) * step)
-    return float(((lo + hi) / 2).mean())
+    def work(qs: pa.Table, rs: pa.Table) -> pa.Table:
+        if not qs.num_rows or not rs.num_rows:
+            return pa.table({"_q": pa.array([], pa.int64()), "counts": pa.array([], pa.list_(pa.float64()))})
+        x, r, w = to_matrix(qs["_qx"]), to_matrix(rs["_rx"]), rs["weight"].to_numpy().astype(float)
+        lo, hi = qs["lo"].to_numpy(), qs["hi"].to_numpy()
+        counts = np.concatenate([_counted(_ranged(np.sqrt(sq_dists(x[s], r)), lo[s][:, None], hi[s][:, None]), w) for s in row_slices(len(x), len(r))])
+        return pa.table({"_q": qs["_q"], "counts": from_matrix(counts)})
+
+    def narrowed(group: pa.Table) -> pa.Table:
+        group = group.take(pa.array(np.argsort(group["_q"].to_numpy(), kind="stable")))
+        q, own = group["_q"].to_numpy(), group.filter(group["weight"].is_valid())
+        counts = np.add.reduceat(to_matrix(group["counts"]), np.flatnonzero(np.concatenate(([True], q[1:] != q[:-1]))), axis=0)
+        # The row itself is one of those at distance 0, so the k-th other one has rank k + 1.
+        part = np.clip((np.cumsum(counts, 1) < k + 1).sum(1), 1, RADIUS_BINS)
+        lo, hi = own["lo"].to_numpy(), own["hi"].to_numpy()
+        step = (hi - lo) / RADIUS_BINS
+        return pa.table([own["_q"], own["_qx"], pa.array(lo + (part - 1) * step), pa.array(lo + part * step), own["weight"]], fields)
+
+    fields = ["_q", "_qx", "lo", "hi", "weight"]
+    kinds = "_q bigint, _qx array<double>, lo double, hi double"
+    reference = points.select(F.col("cell").cast("bigint").alias("cell"), "_ref", "_rx", "weight")
+    state = points.select(F.col("_ref").alias("_q"), F.col("_rx").alias("_qx"), F.lit(0.0).alias("lo"), F.lit(widest * (1 + 1e-6) + 1e-12).alias("hi"), "weight")
+    for _ in range(RADIUS_PASSES):
+        asked = state.mapInArrow(visits, f"cell bigint, {kinds}")
+        load = {r["cell"]: r["count"] for r in asked.groupBy("cell").count().collect()}
+        loads = points.sparkSession.createDataFrame([(c, n, int(cells.count[c])) for c, n in load.items()], "cell bigint, nq bigint, nr bigint")
+        met = bucket_join(asked, reference, ["cell"], work, "_q bigint, counts array<double>", block_rows, loads)
+        known = state.mapInArrow(whole, f"{kinds}, weight bigint, counts array<double>")
+        rows = int(cells.count.sum()) + sum(n * -(-int(cells.count[c]) // block_rows) for c, n in load.items())
+        deal = F.pmod(F.xxhash64("_q"), F.lit(max(1, -(-rows // DEAL_ROWS))))
+        both = known.unionByName(met, allowMissingColumns=True)
+        state = cut_lineage(both.groupBy(deal.alias("deal")).applyInArrow(narrowed, f"{kinds}, weight bigint"))
+    return state.select("_q", "weight", ((F.col("lo") + F.col("hi")) / 2).alias("dist"))
+
+
+def estimate_radius(df: DataFrame, ratio: float = 0.2, id_col: str = "row_id", n_pivots: int | None = None) -> float:
+    """Mean over all points of the distance to the (ratio x n)-th nearest of the other ones."""
+    distinct = cut_lineage(distinct_points(df, id_col))
+    totals = distinct.agg(F.count("*").alias("m"), F.sum("weight").alias("n")).first()
+    n = totals["n"] or 0
+    if n < 2:
+        raise ValueError("a radius takes at least two points")
+    cells, points = fit_cells(distinct, totals["m"], 1, n_pivots=n_pivots)
+    found = rank_distances(points, cells, min(n - 1, max(1, int(ratio * n))))
+    return float(found.agg(F.sum(F.col("dist") * F.col("weight")) / F.sum("weight")).first()[0])
 
 
 def _within(
@@ -313,7 +388,7 @@ def mean_shift(
     Seeds that still move after ``max_iterations`` count where they are;
     ``force_convergence`` goes on until all of them rest.
     """
-    r = radius if radius > 0 else estimate_radius(df, id_col=id_col, seed=seed)
+    r = radius if radius > 0 else estimate_radius(df, id_col=id_col)
     distinct = cut_lineage(distinct_points(df, id_col))
     cells, points = fit_cells(distinct, distinct.count(), 1)
     moving, settled, done = cut_lineage(bin_seeds(df, r)), None, 0

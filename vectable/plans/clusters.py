@@ -141,6 +141,17 @@ def meanshift_one_step(spark: SparkSession, sf: str) -> DataFrame:
     return moved.select(*at, F.col("count").cast("bigint").alias("n"), *to)
 
 
+@catalog.query(
+    "WITH p AS (SELECT c_custkey, c_nationkey::DOUBLE AS a, c_acctbal / 1000.0 AS b FROM customer), "
+    "d AS (SELECT p.c_custkey, sqrt((p.a - q.a) * (p.a - q.a) + (p.b - q.b) * (p.b - q.b)) AS dist FROM p, p q WHERE p.c_custkey <> q.c_custkey), "
+    "r AS (SELECT c_custkey, dist, row_number() OVER (PARTITION BY c_custkey ORDER BY dist) AS rank FROM d) "
+    f"SELECT {rnd_sql('avg(dist)')} AS radius FROM r WHERE rank = (SELECT floor(0.2 * count(*)) FROM customer)"
+)
+def meanshift_radius(spark: SparkSession, sf: str) -> DataFrame:
+    """The default radius: mean distance to the nearest fifth of all other points, over all points."""
+    return spark.range(1).select(rnd(F.lit(cl.estimate_radius(_balances(spark, sf)))).alias("radius"))
+
+
 @catalog.query()
 def meanshift_fit(spark: SparkSession, sf: str) -> DataFrame:
     df = _balances(spark, sf)

@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from vectable.operators import layout, neighbors as nb, order, scaling
+from vectable.operators import layout, neighbors as nb, order, projections, radius, scaling
 from vectable.functions import exprs
 from vectable.functions.blocks import to_matrix
 from vectable.functions.hashing import row_hash_sql
 from vectable.operators.joins import join_unique
-from vectable.plans.common import Catalog, embeddings, rnd, rnd_sql, table
+from vectable.plans.common import LINEITEM_KEY, Catalog, embeddings, lineitem, rnd, rnd_sql, table
 
 catalog = Catalog()
 
@@ -147,6 +147,64 @@ def knn_greedy_recall(spark: SparkSession, sf: str) -> DataFrame:
     return spark.range(1).select(F.lit(hit / (5.0 * e.count())).alias("recall"))
 
 
+FAR = 0.8
+
+
+@catalog.query(
+    "WITH " + PAIRS.format(src="embeddings") + f" SELECT query_id, {rnd_sql('max(dist)')} AS farthest, true AS within_share, true AS few_pairs FROM p GROUP BY query_id"
+)
+def kfn_directions_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Far neighbours along random directions: at least 80 percent of the farthest distance, from less than a tenth of all pairs."""
+    e = embeddings(spark, sf)
+    got, share = projections.kfn_directions(e, e, 1, query_id="vec_id", ref_id="vec_id")
+    exact = _self_join(spark, sf, 1, farthest=True).select("query_id", F.col("dist").alias("farthest"))
+    within = F.col("dist") >= FAR * F.col("farthest")
+    return got.join(exact, "query_id").select("query_id", rnd("farthest").alias("farthest"), within.alias("within_share"), F.lit(share < 0.1).alias("few_pairs"))
+
+
+@catalog.query("SELECT count(*) AS n_queries, 0::BIGINT AS n_better_than_exact, true AS recall_reached, true AS few_pairs FROM lineitem WHERE l_orderkey % 20 = 0")
+def knn_lsh_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed search for the five lines like each line of every twentieth order: nine tenths of the true ones from less than a fifth of all pairs."""
+    line = F.xxhash64(*LINEITEM_KEY).alias("row_id")
+    _, scaled = scaling.fit_scale(lineitem(spark, sf).select(line, "l_orderkey", "features"), "standard")
+    asked = scaled.filter(F.col("l_orderkey") % 20 == 0)
+    got, share = projections.knn_hashed(asked, scaled, 5, exclude_self=True)
+    exact = nb.knn(asked, scaled, 5, exclude_self=True)
+    # Lines that are equally near may stand for each other.
+    last = exact.filter(F.col("rank") == 5).select("query_id", F.col("dist").alias("reach"))
+    true_dist = exact.select("query_id", "rank", F.col("dist").alias("true_dist"))
+    hits = got.join(last, "query_id").join(true_dist, ["query_id", "rank"])
+    return hits.agg(
+        F.count_distinct("query_id").alias("n_queries"),
+        F.count_if(F.col("dist") < F.col("true_dist") - 1e-9).alias("n_better_than_exact"),
+        (F.count_if(F.col("dist") <= F.col("reach") + 1e-9) >= 0.9 * F.count("*")).alias("recall_reached"),
+    ).withColumn("few_pairs", F.lit(share < 0.2))
+
+
+NEAR = 0.05
+
+
+@catalog.query(
+    "WITH e AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y FROM embeddings) SELECT a.vec_id, "
+    f"count(*) FILTER (WHERE a.vec_id <> b.vec_id AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {NEAR}) AS n_near FROM e a, e b GROUP BY a.vec_id"
+)
+def radius_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """How many others lie near each vector, by its first two components."""
+    e = embeddings(spark, sf).select("vec_id", F.slice("features", 1, 2).alias("features"))
+    return radius.radius_counts(e, NEAR, id_col="vec_id")
+
+
+@catalog.query(
+    "SELECT c.c_custkey, s.s_suppkey, " + rnd_sql("abs(c.c_acctbal - s.s_acctbal)") + " AS dist FROM customer c, supplier s WHERE abs(c.c_acctbal - s.s_acctbal) <= 100"
+)
+def radius_join_balances(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers and suppliers with nearly the same balance."""
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("row_id"), F.array("c_acctbal").alias("features"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("row_id"), F.array("s_acctbal").alias("features"))
+    found = radius.radius_join(c, s, 100.0)
+    return found.select(F.col("query_id").alias("c_custkey"), F.col("ref_id").alias("s_suppkey"), rnd("dist").alias("dist"))
+
+
 @catalog.query(
     f"WITH c AS (SELECT row_number() OVER (ORDER BY {row_hash_sql('vec_id', 5)}, vec_id) - 1 AS node, embedding AS w FROM embeddings "
     f"QUALIFY node < 16), d AS (SELECT vec_id, node, list_distance(embedding::DOUBLE[], w::DOUBLE[]) AS dist FROM embeddings, c) "
