@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,10 +71,10 @@ def bigrams(w: list[str]) -> set[Bigram]:
 
 @dataclass
 class Templates:
-    """Templates by number of bigrams, and all their bigrams."""
+    """Templates by number of bigrams, all their bigrams, and the templates that hold each."""
 
     entries: list[tuple[str, str, frozenset[Bigram]]]
-    known: frozenset[Bigram]
+    holders: dict[Bigram, tuple[int, ...]]
     threshold: float
 
     @property
@@ -83,34 +86,58 @@ class Templates:
 def compiled(templates: dict[str, tuple[str, ...]], threshold: float) -> Templates:
     entries = [(licence, f"{licence}/{k}", frozenset(bigrams(words(t)))) for licence, texts in templates.items() for k, t in enumerate(texts)]
     entries = sorted((e for e in entries if e[2]), key=lambda e: (len(e[2]), e[1]))
-    return Templates(entries, frozenset().union(*(b for _, _, b in entries)), threshold)
+    holders: dict[Bigram, list[int]] = {}
+    for k, (_, _, b) in enumerate(entries):
+        for pair in b:
+            holders.setdefault(pair, []).append(k)
+    return Templates(entries, {pair: tuple(of) for pair, of in holders.items()}, threshold)
+
+
+def from_starts(pairs: list[Bigram], starts: set[int], most: float) -> Iterator[tuple[int, list[tuple[Bigram, int]]]]:
+    """From the last start to the first: the different bigrams from there on, by first place, one more than `most` of them.
+
+    Going backwards, the bigram at hand moves to the front of the list, so a
+    start costs no more than the bigrams it is told, however often they are repeated.
+    """
+    ahead: OrderedDict[Bigram, int] = OrderedDict()
+    for p in range(len(pairs) - 1, -1, -1):
+        ahead[pairs[p]] = p
+        ahead.move_to_end(pairs[p], last=False)
+        if p in starts:
+            yield p, list(islice(ahead.items(), int(most) + 1))
 
 
 def in_lines(lines: list[tuple[int, list[str]]], t: Templates) -> dict[str, tuple[str, float, int, int]]:
     """{licence: (template, dice, first line, lines)} with the best run of lines for every licence that one reaches."""
+    whole = [x for _, w in lines for x in w]
+    of = [k for k, (_, w) in enumerate(lines) for _ in w]
+    pairs = list(zip(whole, whole[1:]))
+    # Without a known bigram in its first line a run agrees no better than the run without that line.
+    begins = [p for p in range(len(of)) if not p or of[p] != of[p - 1]]
+    ends = [*begins[1:], len(of)]
+    starts = {p for p, end in zip(begins, ends) if any(b in t.holders for b in pairs[p:end])}
     best: dict[str, tuple[str, float, int, int]] = {}
-    for at, (first, w) in enumerate(lines):
-        follows = lines[at + 1][1][0] if at + 1 < len(lines) else None
-        # Without a known bigram in its first line a run agrees no better than the run without that line.
-        if not any(b in t.known for b in zip(w, [*w[1:], follows])):
-            continue
-        pairs: set[Bigram] = set()
-        hits, before = 0, []
-        for last, more in lines[at:]:
-            joined = [*before, *more]
-            new = set(zip(joined, joined[1:])) - pairs
-            before = more[-1:]
-            pairs |= new
-            hits += sum(b in t.known for b in new)
-            if len(pairs) > t.most:
+    for start, ahead in from_starts(pairs, starts, t.most):
+        here: dict[str, tuple[str, float, int, int]] = {}
+        shared: dict[int, int] = {}
+        first = lines[of[start]][0]
+        for k, (pair, p) in enumerate(ahead):
+            for e in t.holders.get(pair, ()):
+                shared[e] = shared.get(e, 0) + 1
+            n, line = k + 1, of[p + 1]
+            if n > t.most:
                 break
-            for licence, name, b in t.entries:
-                shared = t.threshold * (len(pairs) + len(b)) / 2 - 1e-9
-                if min(hits, len(pairs), len(b)) < shared:
-                    continue
-                dice = 2 * len(pairs & b) / (len(pairs) + len(b))
-                if dice >= t.threshold and (licence not in best or dice > best[licence][1]):
-                    best[licence] = (name, dice, first, last - first + 1)
+            # A run ends with a line: its last new bigram stands before that of the next line.
+            if n < len(ahead) and of[ahead[n][1] + 1] == line:
+                continue
+            for e in sorted(shared):
+                licence, name, b = t.entries[e]
+                dice = 2 * shared[e] / (n + len(b))
+                if dice >= t.threshold and (licence not in here or dice > here[licence][1]):
+                    here[licence] = (name, dice, first, lines[line][0] - first + 1)
+        for licence, found in here.items():
+            if licence not in best or found[1] >= best[licence][1]:
+                best[licence] = found
     return best
 
 
@@ -122,35 +149,35 @@ def in_words(w: list[str], t: Templates) -> list[tuple[str, str, float, int, int
     template's bigrams, and holds at most 2(1-t)/t as many others.
     """
     pairs = list(zip(w, w[1:]))
-    here = t.known.intersection(pairs)
+    here = t.holders.keys() & set(pairs)
+    asked = {e for e, (_, _, b) in enumerate(t.entries) if len(here & b) * (2 - t.threshold) >= t.threshold * len(b) - 1e-9}
+    others = {e: 2 * (1 - t.threshold) / t.threshold * len(t.entries[e][2]) + 1e-9 for e in asked}
+    most = max((len(t.entries[e][2]) + others[e] + 1 for e in asked), default=0)
+    starts = {p for p, pair in enumerate(pairs) if any(e in asked for e in t.holders.get(pair, ()))}
     windows = []
-    for licence, name, b in t.entries:
-        if len(here & b) * (2 - t.threshold) < t.threshold * len(b) - 1e-9:
-            continue
-        others = 2 * (1 - t.threshold) / t.threshold * len(b) + 1e-9
-        for first, pair in enumerate(pairs):
-            if pair not in b:
-                continue
-            seen: set[Bigram] = set()
+    for first, ahead in from_starts(pairs, starts, most):
+        for e in asked.intersection(t.holders[pairs[first]]):
+            licence, name, b = t.entries[e]
             shared, best = 0, None
-            for last in range(first, len(pairs)):
-                if pairs[last] in seen:
-                    continue
-                seen.add(pairs[last])
-                if pairs[last] in b:
+            for k, (pair, p) in enumerate(ahead):
+                if pair in b:
                     shared += 1
-                    dice = 2 * shared / (len(seen) + len(b))
+                    dice = 2 * shared / (k + 1 + len(b))
                     if dice >= t.threshold and (best is None or dice > best[0]):
-                        best = (dice, shared, last + 2)
+                        best = (dice, shared, p + 2)
                     if shared == len(b):
                         break
-                elif len(seen) - shared > others:
+                elif k + 1 - shared > others[e]:
                     break
             if best:
                 windows.append((-best[1], -best[0], first, best[2], licence, name))
     taken: list[tuple[str, str, float, int, int]] = []
+    edges: list[int] = []
     for _, dice, first, end, licence, name in sorted(windows):
-        if all(end <= lo or hi <= first for *_, lo, hi in taken):
+        at = bisect_right(edges, first)
+        # Begins and ends of what is taken alternate: a free window lies between an end and the next begin.
+        if at % 2 == 0 and (at == len(edges) or end <= edges[at]):
+            edges[at:at] = [first, end]
             taken.append((licence, name, -dice, first, end))
     return taken
 
@@ -158,8 +185,10 @@ def in_words(w: list[str], t: Templates) -> list[tuple[str, str, float, int, int
 def scan(text: str, t: Templates, inside_lines: bool) -> list[tuple[str, str, float, int, int]]:
     """(licence, template, dice, first line, lines) of every licence: its best run of lines, or else, if inside_lines, its best word window."""
     lines = [(k, w) for k, x in enumerate(text.split("\n")) if (w := words(x))]
-    best = in_lines(lines, t)
     whole = [x for _, w in lines for x in w]
+    if t.holders.keys().isdisjoint(zip(whole, whole[1:])):
+        return []
+    best = in_lines(lines, t)
     inside: dict[str, tuple[str, float, int, int]] = {}
     of: list[int] = []
     for licence, name, dice, first, end in in_words(whole, t) if inside_lines else ():
@@ -177,8 +206,8 @@ def find(df: DataFrame, id_col: str = "doc_id", text: str = "text", templates: d
 
     Runs of whole lines are compared with templates by the Dice coefficient of
     their different word bigrams; a licence is reported if one of its
-    templates reaches `threshold`, with the best run of lines (the first and
-    shortest of equally good ones).  With inside_lines a licence that no run of
+    templates reaches `threshold`, with the best run of lines that begins with a line in which a
+    bigram of some template begins (the first and shortest of equally good ones).  With inside_lines a licence that no run of
     lines reaches is reported with its best window of words, which may begin and end inside a
     line; where windows of several templates overlap, the one that shares most bigrams
     is read there.  Templates whose number of bigrams is out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re._constants as kinds
 import re._parser as parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -147,6 +148,37 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 SPAN = "struct<start:int,place:int,kind:string,end:int>"
 
 
+#: Numbers that one step of a running total, or one cut of a text, takes together: an array in an
+#: expression grows by copying, so long ones are made of short ones.
+CHUNK = 256
+
+
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with value computed once, also where `then` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def chunks(values: Column) -> Column:
+    """An array cut into arrays of at most CHUNK elements."""
+    n = F.ceil(F.size(values) / CHUNK).cast("int")
+    cut = F.transform(F.sequence(F.lit(1), n), lambda c: F.slice(values, (c - 1) * CHUNK + 1, F.lit(CHUNK)))
+    return F.when(n > 0, cut).otherwise(F.slice(F.array(values), 1, 0))
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For an array of int: `step` over all elements before each one, from 0.  step is associative and 0 its neutral element."""
+
+    def over(part: Column) -> Column:
+        first = F.struct(F.lit(0).alias("at"), F.slice(F.array(F.lit(0)), 1, 0).alias("out"))
+        return F.aggregate(part, first, lambda acc, v: F.struct(step(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")))
+
+    def joined(parts: Column) -> Column:
+        before = over(F.transform(parts, lambda p: p["at"]))["out"]
+        return F.flatten(F.zip_with(parts, before, lambda p, b: F.transform(p["out"], lambda v: step(b, v))))
+
+    return bound(values, lambda v: bound(F.transform(chunks(v), over), joined))
+
+
 def spans_of(text: Column, rule: Rule, place: int) -> Column:
     """Spans of a rule's matches in order, leftmost and without overlap; those with too short a group are dropped.
 
@@ -154,19 +186,19 @@ def spans_of(text: Column, rule: Rule, place: int) -> Column:
     """
     pattern = F.lit(rule.pattern)
     whole, pieces = F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, rule.pattern, -1)
-    counted = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length) if rule.group else F.transform(whole, F.length)
-    steps = F.zip_with(F.transform(pieces, F.length), F.zip_with(F.transform(whole, F.length), counted, lambda n, c: F.struct(n.alias("n"), c.alias("c"))), lambda gap, m: F.struct(gap.alias("gap"), m.alias("m")))
-    none = F.array().cast(f"array<{SPAN}>")
+    sizes = F.transform(whole, F.length)
+    counted = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length) if rule.group else sizes
+    # A piece stands before each match, and one more behind the last.
+    gaps = F.transform(F.slice(pieces, 1, F.size(sizes)), F.length)
+    matches = F.arrays_zip(gaps.alias("gap"), sizes.alias("n"), counted.alias("c"))
 
-    def add(acc: Column, step: Column) -> Column:
-        start = acc["at"] + step["gap"]
-        end = start + F.coalesce(step["m"]["n"], F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), end.alias("end"))
-        good = F.coalesce(step["m"]["c"] >= rule.least, F.lit(False))
-        return F.struct(end.alias("at"), F.when(good, F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
+    def spans(found: Column) -> Column:
+        before = running(F.transform(found, lambda m: m["gap"] + m["n"]), lambda x, y: x + y)
+        placed = F.zip_with(found, before, lambda m, b: F.struct((b + m["gap"]).alias("start"), m["n"].alias("n"), m["c"].alias("c")))
+        good = F.filter(placed, lambda m: m["c"] >= rule.least)
+        return F.transform(good, lambda m: F.struct(m["start"].alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"), (m["start"] + m["n"]).alias("end")))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(none)
+    return F.when(text.rlike(rule.pattern), bound(matches, spans)).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rules: tuple[Rule, ...] = RULES, spans: str = "secret_spans") -> DataFrame:
@@ -206,15 +238,25 @@ def written(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
-    """The text with every stretch covered by spans replaced by the mask."""
-
-    def add(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        return F.struct(
-            F.when(fresh, F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
-            F.greatest(acc["at"], s["end"]).alias("at"),
-        )
-
-    first = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
-    rest = F.aggregate(spans, first, add, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    """The text with every stretch covered by spans (by start) replaced by the mask; spans that touch get a mask each.
+
+    A cut from a text reads it up to there, so texts with many spans are cut
+    into stretches of CHUNK spans first.
+    """
+
+    def masked(found: Column) -> Column:
+        before = running(F.transform(found, lambda s: s["end"]), F.greatest)
+        pieces = F.zip_with(found, before, lambda s, b: F.struct(b.alias("lo"), s["start"].alias("hi")))
+        kept = F.transform(chunks_of(F.filter(pieces, lambda p: p["hi"] >= p["lo"])), stretch)
+        rest = F.substring(text, F.array_max(F.transform(found, lambda s: s["end"])) + 1, F.length(text))
+        return F.concat(F.array_join(kept, ""), rest)
+
+    def chunks_of(pieces: Column) -> Column:
+        return bound(pieces, chunks)
+
+    def stretch(part: Column) -> Column:
+        lo, hi = F.get(part, F.lit(0))["lo"], F.element_at(part, -1)["hi"]
+        cut = F.substring(text, lo + 1, hi - lo)
+        return bound(cut, lambda x: F.array_join(F.transform(part, lambda p: F.concat(F.substring(x, p["lo"] - lo + 1, p["hi"] - p["lo"]), F.lit(mask))), ""))
+
+    return F.when(F.size(spans) > 0, bound(spans, masked)).otherwise(text)
