@@ -5,8 +5,9 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_texts import prose
-from test_near_text import SPLIT
+from test_near_text import SPLIT, cut
 
 from vectable.llm import repeats, rows
 
@@ -44,35 +45,50 @@ def test_hashes_tell_words_apart():
 
 
 def test_factors_end_where_the_source_does():
-    start = np.array([7, 3, 4, 5, 20, 6, 21])
-    source = np.array([2, 1, 1, 1, 1, 2, 1])
-    at = np.array([51, 10, 11, 12, 30, 50, 32])
-    got = [x.tolist() for x in repeats.factors(start, source, at, 4)]
-    assert got == [[3, 6, 20, 21], [6, 5, 4, 4], [1, 2, 1, 1], [10, 50, 30, 32]]
+    start, n = np.array([7, 3, 5, 20, 6, 21]), np.array([1, 2, 1, 1, 1, 2])
+    source = np.array([2, 1, 1, 1, 2, 1])
+    at = np.array([51, 10, 12, 30, 50, 32])
+    got = [x.tolist() for x in repeats.factors(start, n, source, at, 4)]
+    assert got == [[3, 6, 20, 21], [6, 5, 4, 5], [1, 2, 1, 1], [10, 50, 30, 32]]
     none = np.empty(0, np.int64)
-    assert [len(x) for x in repeats.factors(none, none, none)] == [0] * 4
+    assert [len(x) for x in repeats.factors(none, none, none, none)] == [0] * 4
 
 
-def test_windows_of_one_task_name_their_sources():
-    h, g = np.array([5, 6, 5, 7, 5, 6], np.uint64), np.array([1, 1, 1, 1, 1, 2], np.uint64)
-    row, start, alone = np.array([10, 10, 11, 11, 12, 12]), np.array([0, 1, 4, 5, 8, 9]), np.array([True, True, False, True, True, True])
-    out = repeats.local_places(h, g, row, start, alone).to_pylist()
-    known = {(r["row"], r["start"]): (r["source"], r["source_start"]) for r in out if r["source"] is not None}
-    # The place in a copied text is only a source; the first place has the second as its own.
-    assert known == {(10, 0): (11, 4), (12, 8): (10, 0)}
-    assert {(r["row"], r["start"]) for r in out if r["source"] is None} == {(10, 1), (11, 5), (12, 9)}
-    assert [(r["h"], r["g"]) for r in out if (r["row"], r["start"]) == (10, 0)] == [(5, 1)]
+def test_stretches_are_matched_in_words():
+    """Runs go on while the source does, a stretch without words passes with its source, and the place in a copied text is only a source."""
+    texts = ["a b c d e f", "x b c d e y", "c d e f", None, "q r s"]
+    rows_in = [
+        {"key": 1, "row": r, "start": at, "n": len((t or "a b c d").split()) - 2, "alone": r != 12, "words": t and t.encode(), "source": None if t else 10, "source_start": None if t else 0}
+        for r, at, t in zip((10, 11, 12, 13, 14), (0, 5, 7, 3, 0), texts)
+    ]
+    schema = pa.schema([("key", pa.int64()), ("row", pa.int64()), ("start", pa.int64()), ("n", pa.int64()), ("alone", pa.bool_()), ("words", pa.binary()), ("source", pa.int64()), ("source_start", pa.int64())])
+    got = {tuple(int(v) for v in r) for r in zip(*repeats.matched(pa.Table.from_pylist(rows_in, schema), 3))}
+    assert got == {(10, 1, 2, 11, 6), (10, 3, 1, 12, 8), (11, 6, 2, 10, 1), (13, 3, 2, 10, 0)}
 
 
-def test_factors_copy_from_their_source(spark, corpus):
-    """Every factor stands in the text it names, at the word it names; a frequent passage has one row a task to exchange."""
+def test_keys_are_never_parted():
+    batches = [pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(range(len(k)))], ["key", "v"]) for k in ([1, 1, 2], [2, 2, 3], [], [3], [3, 3], [4, 5, 5])]
+    for least in (1, 60, 10_000):
+        tables = list(rows.whole_keys(iter(batches), "key", least))
+        keys = [t["key"].to_pylist() for t in tables]
+        assert sum(keys, []) == [1, 1, 2, 2, 2, 3, 3, 3, 3, 4, 5, 5]
+        assert sum(len(set(k)) for k in keys) == 5
+    assert list(rows.whole_keys(iter([]), "key", 1)) == []
+
+
+@pytest.mark.parametrize("hot_texts", [repeats.HOT_TEXTS, 3])
+def test_factors_copy_from_their_source(spark, corpus, hot_texts):
+    """Every factor stands in the text it names, at the word it names, whether a block is exchanged by stretches or by windows."""
     rng = random.Random(5)
     passage = prose(rng, 90)
     more = [(500 + k, f"{prose(rng, 20 + k)} {passage} {prose(rng, k)} {' '.join(passage.split()[: 40 + k])}", "en", "a", 0) for k in range(60)]
     docs = corpus.unionByName(spark.createDataFrame(more, corpus.schema)).repartition(4)
     texts = Counter(r.text for r in docs.collect())
     by_id = {r.doc_id: r.text for r in docs.collect()}
-    found = repeats.remove_repeats(docs).collect()
+    found = repeats.remove_repeats(docs, hot_texts=hot_texts).collect()
+    all_rows = docs.collect()
+    want = cut([r.text for r in all_rows], repeats.WINDOW)
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in found) == Counter((r.doc_id, *c) for r, c in zip(all_rows, want))
     words = {r.text_no: SPLIT.findall(by_id[r.doc_id] or "") for r in found if r.text_no is not None and r.doc_id is not None}
     copied = 0
     for r in (r for r in found if r.doc_id is not None):

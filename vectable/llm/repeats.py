@@ -7,8 +7,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectable.llm import rows
@@ -17,14 +17,17 @@ from vectable.session import cut_lineage
 WINDOW = 35
 #: Words of the runs that choose the block a window is indexed in.
 GRAM = 6
-#: Windows of a task that are looked up among each other before they are exchanged.
-LOCAL_WINDOWS = 1 << 21
+#: Bytes of words of a task that are looked up among each other before they are exchanged, and bytes that are matched at once.
+LOCAL_BYTES = 1 << 25
+BLOCK_BYTES = 1 << 22
+#: A block that more texts have is exchanged by its windows.
+HOT_TEXTS = 1 << 14
 SPAN = "struct<first_word:bigint,n_words:bigint,source:bigint,source_word:bigint>"
 
 
-def words_of(s: rows.Slice, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+def words_of(s: rows.Slice) -> tuple[np.ndarray, np.ndarray]:
     starts, ends, doc = rows.word_bounds(s.data, s.offsets, ~rows.SPACE[s.data])
-    return rows.word_hashes(s.data, starts, ends, seed), doc
+    return rows.word_hashes(s.data, starts, ends), doc
 
 
 def window_blocks(words: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,79 +91,149 @@ def keyed(df: DataFrame, id_col: str, text: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("k1"), F.xxhash64(F.lit("second"), t).alias("k2"), F.col(text).alias("text"))
 
 
-def local_places(h: np.ndarray, g: np.ndarray, row: np.ndarray, start: np.ndarray, alone: np.ndarray) -> pa.RecordBatch:
-    """Windows of one task as rows to exchange.
+def stretches(words: np.ndarray, doc: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, end, block): the runs of neighbouring windows of one text that are in one block."""
+    valid, block, _ = window_blocks(words, doc, window)
+    if not len(valid):
+        return np.empty(0, np.int64), np.empty(0, np.int64), block
+    cut = np.ones(len(valid), bool)
+    cut[1:] = (block[1:] != block[:-1]) | (doc[1 : len(valid)] != doc[: len(valid) - 1]) | ~valid[1:] | ~valid[:-1]
+    first = np.flatnonzero(cut)
+    end = np.append(first[1:], len(valid))
+    return first[valid[first]], end[valid[first]], block[first[valid[first]]]
 
-    Where a window stands more than once here, its first place goes on under
-    its hash with a source, so that other tasks meet one row of a frequent
-    window; the other places have the first one as their source and go on
-    under a key that is theirs alone.
+
+STRETCH = "key bigint, row bigint, start bigint, n bigint, alone boolean, words binary, source bigint, source_start bigint"
+
+
+def exchanged(picked: DataFrame, window: int) -> DataFrame:
+    """(key, row, start, n, alone, words, source, source_start): what every text has in shared blocks, in words.
+
+    A row is a stretch of n windows from word `start` on, under the key of
+    its block.  A block that very many texts have is taken apart: its windows
+    are rows of their own, under a hash of theirs.  What a task meets again
+    has its first place as its source and goes on without words, under a key of its own;
+    the first place goes on with the second as its source.
     """
-    order = np.lexsort((g, h))
-    new = np.ones(len(order), bool)
-    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
-    first = np.flatnonzero(new)[np.cumsum(new) - 1]
-    many = np.diff(np.append(np.flatnonzero(new), len(order)))[np.cumsum(new) - 1] > 1
-    source = np.where(new, np.minimum(np.arange(len(order)) + 1, len(order) - 1), first)
-    later = ~new
-    key = np.where(later, rows.mixed(row[order].astype(np.uint64) ^ rows.mixed(start[order].astype(np.uint64))), h[order])
-    second = np.where(later, np.uint64(0), g[order])
-    keep = new | alone[order]
-    known = many[keep]
-    columns = [
-        pa.array(rows.signed(key[keep])), pa.array(rows.signed(second[keep])), pa.array(row[order][keep]), pa.array(start[order][keep].astype(np.int32)), pa.array(alone[order][keep]),
-        pa.array(row[order][source][keep], mask=~known), pa.array(start[order][source][keep].astype(np.int32), mask=~known),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["h", "g", "row", "start", "alone", "source", "source_start"])
-
-
-def index_windows(picked: DataFrame, window: int) -> DataFrame:
-    """(h, g, row, start, alone, source, source_start): the windows of every text that stand in a shared block, under 128-bit hashes."""
-
-    def of_slice(s: rows.Slice, row: np.ndarray, alone: np.ndarray, shared: pa.Array) -> list[np.ndarray]:
-        words, doc = words_of(s)
-        valid, block, _ = window_blocks(words, doc, window)
-        first = np.searchsorted(doc, np.arange(s.last - s.first + 1))
-        keep = np.zeros(len(valid), bool)
-        for k in range(s.last - s.first):
-            lo, hi = first[k], min(first[k + 1], len(valid))
-            keep[lo:hi] = np.isin(block[lo:hi], shared[k].values.to_numpy().view(np.uint64))
-        at = np.flatnonzero(keep & valid)
-        h, g = (rows.run_hashes(w, window)[at] for w in (words, words_of(s, 1)[0]))
-        return [h, g, row[doc[at]], at - first[doc[at]], alone[doc[at]]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        def ready() -> pa.RecordBatch:
+            for at, words in enumerate(out[5]):
+                again = second.get(words) if words is not None else None
+                if again is not None:
+                    out[6][at], out[7][at] = again
+            columns = [pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.int64()))]
+            return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in STRETCH.split(", ")])
+
+        out: list[list] = [[] for _ in range(8)]
+        known: dict[bytes, tuple[int, int]] = {}
+        second: dict[bytes, tuple[int, int]] = {}
+        size = 0
         for batch in batches:
-            row, alone = batch.column(0).to_numpy(), batch.column(1).to_numpy(zero_copy_only=False)
+            row, alone = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for s in rows.slices(batch.column(2)):
-                part = slice(s.first, s.last)
-                held.append(of_slice(s, row[part], alone[part], batch.column(3).slice(s.first, s.last - s.first)))
-                size += len(held[-1][0])
-                if size >= LOCAL_WINDOWS:
-                    yield local_places(*[np.concatenate(x) for x in zip(*held)])
-                    held, size = [], 0
-        if size:
-            yield local_places(*[np.concatenate(x) for x in zip(*held)])
-
-    return picked.select("row", "alone", "text", "blocks").mapInArrow(run, "h bigint, g bigint, row bigint, start int, alone boolean, source bigint, source_start int")
-
-
-def with_sources(windows: DataFrame) -> DataFrame:
-    """(row, start, source, source_start) of the windows that stand in another place as well, and one such place."""
-    same = W.partitionBy("h", "g")
-    place = F.struct("row", "start")
-    met = windows.select("*", F.count("*").over(same).alias("times"), F.min(place).over(same).alias("least"), F.max(place).over(same).alias("most"))
-    other = F.when(place == F.col("least"), F.col("most")).otherwise(F.col("least"))
-    source = F.when(F.col("source").isNotNull(), F.struct(F.col("source").alias("row"), F.col("source_start").alias("start"))).otherwise(other)
-    found = met.where(F.col("alone") & (F.col("source").isNotNull() | (F.col("times") > 1)))
-    return found.select("row", "start", source.alias("s")).select("row", "start", F.col("s.row").alias("source"), F.col("s.start").alias("source_start"))
-
-
-def factors(start: np.ndarray, source: np.ndarray, source_start: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+                starts, ends, doc = rows.word_bounds(s.data, s.offsets, ~rows.SPACE[s.data])
+                hashes = rows.word_hashes(s.data, starts, ends)
+                begin, end, block = stretches(hashes, doc, window)
+                of_text = np.searchsorted(doc, np.arange(s.last - s.first + 1))
+                for k in range(s.last - s.first):
+                    lo, hi = np.searchsorted(begin, of_text[k : k + 2])
+                    cold, hot = (batch.column(c)[s.first + k].values.to_numpy().view(np.uint64) for c in (3, 4))
+                    mine = np.arange(lo, hi)
+                    parts = [(block[i], begin[i], end[i]) for i in mine[np.isin(block[mine], cold)]]
+                    for i in mine[np.isin(block[mine], hot)]:
+                        ones = rows.run_hashes(hashes[begin[i] : end[i] + window - 1], window)
+                        parts += [(h, p, p + 1) for h, p in zip(ones, range(begin[i], end[i]))]
+                    for key, first, last in parts:
+                        words = b" ".join(s.data[starts[first] : ends[last + window - 2]].tobytes().split())
+                        place = (row[s.first + k], int(first - of_text[k]))
+                        source = known.setdefault(words, place)
+                        again = source is not place
+                        if again:
+                            second.setdefault(words, place)
+                            if not alone[s.first + k]:
+                                continue
+                            key = rows.mixed(np.array([place[0] ^ (place[1] << 20)], np.int64).view(np.uint64))[0]
+                        values = (int(key.view(np.int64)), *place, int(last - first), alone[s.first + k], None if again else words, *(source if again else (None, None)))
+                        for column, v in zip(out, values):
+                            column.append(v)
+                        size += 0 if again else len(words)
+                if size >= LOCAL_BYTES:
+                    yield ready()
+                    out, known, second, size = [[] for _ in range(8)], {}, {}, 0
+        yield ready()
+
+    return picked.select("row", "alone", "text", "blocks", "hot_blocks").mapInArrow(run, STRETCH)
+
+
+def matched(block: pa.Table, window: int) -> list[np.ndarray]:
+    """[row, start, n, source, source_start]: the runs of windows in these stretches that stand elsewhere as well.
+
+    All windows of the stretches are an index by 128-bit hash.  A run goes on
+    as long as the next window has the next place of the same source; where
+    it ends, the words of both places are compared.
+    """
+    row, start, n = (block[c].to_numpy() for c in ("row", "start", "n"))
+    alone = block["alone"].to_numpy(zero_copy_only=False)
+    known = block["source"].is_valid().to_numpy(zero_copy_only=False)
+    whole = known & alone
+    source, source_start = (block[c].fill_null(0).to_numpy()[whole] for c in ("source", "source_start"))
+    found = [[row[whole], start[whole], n[whole], source, source_start]]
+    texts = block["words"].combine_chunks()
+    full = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
+    s = next(rows.slices(pc.cast(texts.take(pa.array(full)), pa.large_binary()).view(pa.large_string()), 1 << 62), None)
+    if s is None:
+        return found[0]
+    starts, ends, doc = rows.word_bounds(s.data, s.offsets, ~rows.SPACE[s.data])
+    h, g = (rows.run_hashes(rows.word_hashes(s.data, starts, ends, seed), window) for seed in (0, 1))
+    inside = np.flatnonzero(doc[: len(h)] == doc[window - 1 :]) if len(h) else np.empty(0, np.int64)
+    order = inside[np.lexsort((g[inside], h[inside]))]
+    if not len(order):
+        return found[0]
+    new = np.ones(len(order), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+    group = np.cumsum(new) - 1
+    heads = np.flatnonzero(new)
+    many = np.diff(np.append(heads, len(order)))[group] > 1
+    # The first place of a window is the source of all others, and the second that of the first.
+    other = np.where(new, np.minimum(np.arange(len(order)) + 1, len(order) - 1), heads[group])
+    asked = alone[full] & ~known[full]
+    keep = many & asked[doc[order]]
+    place, from_ = order[keep], order[other[keep]]
+    by_place = np.argsort(place)
+    place, from_ = place[by_place], from_[by_place]
+    if not len(place):
+        return found[0]
+    goes_on = (np.diff(place) == 1) & (np.diff(from_) == 1) & (np.diff(doc[place]) == 0) & (np.diff(doc[from_]) == 0)
+    first = np.flatnonzero(np.concatenate(([True], ~goes_on)))
+    last = np.append(first[1:], len(place)) - 1
+    a, b = ([s.data[starts[p[i]] : ends[p[j] + window - 1]].tobytes() for i, j in zip(first, last)] for p in (place, from_))
+    same = np.array([x == y for x, y in zip(a, b)])
+    first, last = first[same], last[same]
+    word = np.searchsorted(doc, np.arange(len(full)))
+
+    def at(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        stretch = doc[p]
+        return row[full[stretch]], start[full[stretch]] + p - word[stretch]
+
+    found.append([*at(place[first]), last - first + 1, *at(from_[first])])
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def runs_of(stretched: DataFrame, window: int) -> DataFrame:
+    """(row, start, n, source, source_start): n windows in a row, and another place where they stand."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in rows.whole_keys(batches, "key", BLOCK_BYTES):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in matched(block, window)], ["row", "start", "n", "source", "source_start"])
+
+    return stretched.repartition("key").sortWithinPartitions("key", "row", "start").mapInArrow(run, "row bigint, start bigint, n bigint, source bigint, source_start bigint")
+
+
+def factors(start: np.ndarray, n: np.ndarray, source: np.ndarray, source_start: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The greedy parse: (first word, words, source, first word there) of every factor of at least a window.
 
-    `start` has the first words of the windows that the index knows, each
+    Given are runs of n windows from `start` on that the index knows, each
     with a place where it stands as well.  From the first such window on, a
     factor copies from that place as long as the next window is known one
     word further in the same source.  At its end the next window is checked
@@ -168,17 +241,17 @@ def factors(start: np.ndarray, source: np.ndarray, source_start: np.ndarray, win
     overlaps this one; if none has, up to the next known window words are literals.
     """
     order = np.argsort(start, kind="stable")
-    start, source, source_start = start[order].astype(np.int64), source[order], source_start[order].astype(np.int64)
+    start, n, source, source_start = (c[order].astype(np.int64) for c in (start, n, source, source_start))
     if not len(start):
-        return start, start, source, source_start
-    goes_on = (np.diff(start) == 1) & (np.diff(source) == 0) & (np.diff(source_start) == 1)
+        return start, n, source, source_start
+    goes_on = (start[1:] == start[:-1] + n[:-1]) & (source[1:] == source[:-1]) & (source_start[1:] == source_start[:-1] + n[:-1])
     begin = np.flatnonzero(np.concatenate(([True], ~goes_on)))
     end = np.append(begin[1:], len(start)) - 1
-    return start[begin], start[end] - start[begin] + window, source[begin], source_start[begin]
+    return start[begin], start[end] + n[end] - start[begin] + window - 1, source[begin], source_start[begin]
 
 
 def cut_factors(found: DataFrame, window: int) -> DataFrame:
-    """(row, n_removed, kept, spans) from (row, text, windows): the text is parsed, and the words of its factors are left out."""
+    """(row, n_removed, kept, spans) from (row, text, runs): the text is parsed, and the words of its factors are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +259,7 @@ def cut_factors(found: DataFrame, window: int) -> DataFrame:
             for k, text in enumerate(batch.column(1)):
                 words = (text.as_py() or "").encode().split()
                 w = batch.column(2)[k].values
-                parsed.append(factors(*[w.field(c).to_numpy() for c in ("start", "source", "source_start")], window))
+                parsed.append(factors(*[w.field(c).to_numpy() for c in ("start", "n", "source", "source_start")], window))
                 first, n = parsed[-1][:2]
                 covered = np.zeros(len(words) + 1, np.int64)
                 np.add.at(covered, first, 1)
@@ -199,10 +272,10 @@ def cut_factors(found: DataFrame, window: int) -> DataFrame:
             spans = pa.ListArray.from_arrays(pa.array(rows.counts_to_offsets(np.array(counts, np.int64))), pa.StructArray.from_arrays([pa.array(c) for c in columns], ["first_word", "n_words", "source", "source_word"]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()), spans], ["row", "n_removed", "kept", "spans"])
 
-    return found.select("row", "text", "windows").mapInArrow(run, f"row bigint, n_removed bigint, kept binary, spans array<{SPAN}>")
+    return found.select("row", "text", "runs").mapInArrow(run, f"row bigint, n_removed bigint, kept binary, spans array<{SPAN}>")
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = WINDOW, hot_texts: int = HOT_TEXTS) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, text_no, spans) for every row of df.
 
     A run of `window` words that stands anywhere else as well, in the same
@@ -216,28 +289,31 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text: str = "text", wi
 
     The corpus is the reference.  It is indexed in blocks: a window belongs
     to the block named by its least word-run hash, which equal windows share.
-    Blocks that only one place of the corpus has are left out.  Texts that
-    have others are read once more, and their windows in those blocks
-    are exchanged once, under 128-bit hashes, to get a source each; windows that a task meets
-    more than once are answered there, so a frequent one costs a row a
-    task.  Every text is then parsed into factors.  Texts that stand in many
+    Blocks that only one place of the corpus has are left out.  What texts
+    have in the others is exchanged once, in words, and matched against all
+    that the block holds: every run of windows gets a place where its words
+    stand as well.  Stretches that a task meets more than once are
+    answered there, so a frequent one costs a row a task, and blocks of more
+    than `HOT_TEXTS` texts are taken apart into their windows.  The runs of a
+    text are then parsed into factors.  Texts that stand in many
     rows are indexed once.  Texts cross the network once, keyed by id and
     text, so that copies spread; they are never checkpointed.
     """
     read = cut_lineage(read_texts(df, id_col, text, window))
     copies = cut_lineage(read.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("first_id")))
     entries = read.select("k1", "k2", F.inline(F.arrays_zip(F.col("blocks").alias("block"), F.col("again").alias("again"))))
-    shared = entries.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.max(F.col("again").cast("int")).alias("again"))
-    shared = cut_lineage(shared.where("lo <> hi or again = 1").select("block"))
-    asked = entries.select("k1", "k2", "block").join(shared, "block").groupBy("k1", "k2").agg(F.collect_set("block").alias("blocks")).join(copies, ["k1", "k2"])
+    shared = entries.groupBy("block").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"), F.max(F.col("again").cast("int")).alias("again"), F.count("*").alias("texts"))
+    shared = cut_lineage(shared.where("lo <> hi or again = 1").select("block", (F.col("texts") > hot_texts).alias("hot")))
+    sides = [F.collect_set(F.when(side, F.col("block"))).alias(name) for side, name in ((~F.col("hot"), "blocks"), (F.col("hot"), "hot_blocks"))]
+    asked = entries.select("k1", "k2", "block").join(shared, "block").groupBy("k1", "k2").agg(*sides).join(copies, ["k1", "k2"])
     asked = cut_lineage(asked).withColumn("row", F.monotonically_increasing_id())
-    names = asked.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "first_id", "row", (F.col("copies") == 1).alias("alone"), "blocks")
+    names = asked.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), "first_id", "row", (F.col("copies") == 1).alias("alone"), "blocks", "hot_blocks")
 
     texts = keyed(df, id_col, text)
     same = F.col("id").eqNullSafe(F.col("first_id")) & (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2"))
-    windows = index_windows(texts.join(names.hint("shuffle_hash"), same), window)
-    found = with_sources(windows).groupBy("row").agg(F.collect_list(F.struct("start", "source", "source_start")).alias("windows"))
-    losing = names.drop("blocks", "alone").join(found, "row")
+    found = runs_of(exchanged(texts.join(names.hint("shuffle_hash"), same), window), window)
+    runs = found.groupBy("row").agg(F.collect_list(F.struct("start", "n", "source", "source_start")).alias("runs"))
+    losing = names.drop("blocks", "hot_blocks", "alone").join(runs, "row")
     parsed = cut_lineage(cut_factors(texts.join(losing.hint("shuffle_hash"), same), window))
 
     empty = hashlib.sha256(b"").digest()

@@ -178,6 +178,26 @@ def keyed_groups(batches: Iterator[pa.RecordBatch], keys: list[str], least: int
     yield from whole()
 
 
+def whole_keys(batches: Iterator[pa.RecordBatch], key: str, least_bytes: int) -> Iterator[pa.Table]:
+    """A stream of batches in which rows of equal keys stand together, as tables of about `least_bytes` that part no key."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(pa.Table.from_batches([batch]))
+        if sum(t.nbytes for t in held) < least_bytes:
+            continue
+        table = pa.concat_tables(held)
+        keys = table[key].to_numpy()
+        other = np.flatnonzero(keys != keys[-1])
+        last = int(other[-1]) + 1 if len(other) else 0
+        if last:
+            yield table.slice(0, last).combine_chunks()
+        held = [table.slice(last)]
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
 def by_group(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.RecordBatch | None], schema: str, least: int = 2) -> DataFrame:
     """`work` on every group of at least `least` rows; many small groups share a task and a batch."""
 
