@@ -107,6 +107,12 @@ def from_starts(pairs: list[Bigram], starts: set[int], most: float) -> Iterator[
             yield p, list(islice(ahead.items(), int(most) + 1))
 
 
+def within_reach(pairs: list[Bigram], t: Templates) -> set[int]:
+    """The templates of which a text has enough bigrams: a part that reaches one shares at least t/(2-t) of its bigrams."""
+    here = t.holders.keys() & set(pairs)
+    return {e for e, (_, _, b) in enumerate(t.entries) if len(here & b) * (2 - t.threshold) >= t.threshold * len(b) - 1e-9}
+
+
 def in_lines(lines: list[tuple[int, list[str]]], t: Templates) -> dict[str, tuple[str, float, int, int]]:
     """{licence: (template, dice, first line, lines)} with the best run of lines for every licence that one reaches."""
     whole = [x for _, w in lines for x in w]
@@ -141,16 +147,14 @@ def in_lines(lines: list[tuple[int, list[str]]], t: Templates) -> dict[str, tupl
     return best
 
 
-def in_words(w: list[str], t: Templates) -> list[tuple[str, str, float, int, int]]:
-    """(licence, template, dice, first word, end) of word windows that reach a template and do not overlap, those that share the most bigrams first.
+def in_words(w: list[str], t: Templates, asked: set[int]) -> list[tuple[str, str, float, int, int]]:
+    """(licence, template, dice, first word, end) of word windows that reach a template of `asked` and do not overlap, those that share the most bigrams first.
 
     A best window begins and ends with bigrams of its template: without
-    others at its ends it agrees better.  It shares at least t/(2-t) of the
-    template's bigrams, and holds at most 2(1-t)/t as many others.
+    others at its ends it agrees better.  It holds at most 2(1-t)/t as many
+    others as the template has bigrams.
     """
     pairs = list(zip(w, w[1:]))
-    here = t.holders.keys() & set(pairs)
-    asked = {e for e, (_, _, b) in enumerate(t.entries) if len(here & b) * (2 - t.threshold) >= t.threshold * len(b) - 1e-9}
     others = {e: 2 * (1 - t.threshold) / t.threshold * len(t.entries[e][2]) + 1e-9 for e in asked}
     most = max((len(t.entries[e][2]) + others[e] + 1 for e in asked), default=0)
     starts = {p for p, pair in enumerate(pairs) if any(e in asked for e in t.holders.get(pair, ()))}
@@ -186,12 +190,13 @@ def scan(text: str, t: Templates, inside_lines: bool) -> list[tuple[str, str, fl
     """(licence, template, dice, first line, lines) of every licence: its best run of lines, or else, if inside_lines, its best word window."""
     lines = [(k, w) for k, x in enumerate(text.split("\n")) if (w := words(x))]
     whole = [x for _, w in lines for x in w]
-    if t.holders.keys().isdisjoint(zip(whole, whole[1:])):
+    asked = within_reach(list(zip(whole, whole[1:])), t)
+    if not asked:
         return []
     best = in_lines(lines, t)
     inside: dict[str, tuple[str, float, int, int]] = {}
     of: list[int] = []
-    for licence, name, dice, first, end in in_words(whole, t) if inside_lines else ():
+    for licence, name, dice, first, end in in_words(whole, t, asked) if inside_lines else ():
         if licence not in best and (licence not in inside or (-dice, first) < (-inside[licence][1], inside[licence][2])):
             inside[licence] = (name, dice, first, end)
     if inside:
