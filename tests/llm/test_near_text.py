@@ -187,16 +187,16 @@ def planted(seed):
     return docs + [(60, None), (61, ""), (None, items[0][1]), (62, items[0][1]), (62, items[0][1])], items
 
 
-@pytest.mark.parametrize("test_bytes", [1 << 20, 150])
-def test_benchmark_passages(spark, test_bytes):
+@pytest.mark.parametrize("most_bits", [decontamination.MOST_BITS, 7])
+def test_benchmark_passages(spark, most_bits):
     docs, items = planted(5)
     d = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(3)
     t = spark.createDataFrame(items, "item_id int, text string")
     want = Counter((i, k, *b) for i, text in docs for k, item in items if (b := best_overlaps(text, item)))
     assert len(want) > 30
-    got = decontamination.contamination(d, t, test_bytes=test_bytes).collect()
+    got = decontamination.contamination(d, t, most_bits=most_bits).collect()
     assert Counter((r.doc_id, r.item_id, r.n_tokens, r.n_equal, -r.start) for r in got) == want
-    stay = decontamination.uncontaminated(d, t, test_bytes=test_bytes)
+    stay = decontamination.uncontaminated(d, t, most_bits=most_bits)
     assert stay.columns == d.columns
     dirty = {(i, text) for i, text in docs for _, item in items if best_overlaps(text, item)}
     assert Counter(map(tuple, stay.collect())) == Counter(x for x in docs if x not in dirty)
