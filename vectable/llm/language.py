@@ -9,6 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from vectable.llm import rows
@@ -16,7 +17,7 @@ from vectable.llm import rows
 UNKNOWN = "und"
 BUCKETS = 1 << 12
 GRAMS = (1, 2, 3)
-SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 1500, 12_000
+SAMPLE_PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_BYTES = 1500, 12_000, 64 << 20
 #: Texts whose two nearest codewords lie within this share of the larger loss are ambiguous.
 AMBIGUITY = 0.01
 EXHAUSTIVE_UPTO = 7
@@ -96,23 +97,29 @@ def train_bits(x: np.ndarray, y: np.ndarray, codes: np.ndarray, passes: int = 80
     return w, b
 
 
-def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS) -> Model:
+def fit(df: DataFrame, text: str, label: str, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Model:
     """Learn from rows with `learn` true and a label.
 
-    At most about `per_language` rows of each language and `sample_rows` of
-    all are learned from: the rows whose text hash falls below the share that
-    gives this number.  Rows
-    with a label but no letter teach nothing.
+    At most `per_language` different texts of each language, `sample_rows` of
+    all, and `sample_bytes` bytes are learned from: those with the lowest
+    hashes, so that copies count once and a text that many rows hold weighs no
+    more than another.  Texts over an eighth of a language's bytes come last, and one text is
+    taken in any case.  Rows with a label but no letter teach nothing.
     """
-    known = df.where(learn & F.col(label).isNotNull() & F.col(text).rlike(LETTER))
-    sizes = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
+    known = df.where(learn & F.col(label).isNotNull() & F.col(text).rlike(LETTER)).select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("h"))
+    sizes = {r[0]: r[1] for r in known.groupBy("label").count().collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.ones((0, 1)), np.zeros((BUCKETS, 1)), np.zeros(1))
-    per_language = min(per_language, max(1, sample_rows // len(languages)))
-    share = F.element_at(F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, per_language / sizes[k]))]), F.col(label))
-    draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / float(1 << 30)
-    sample = known.where(draw <= share).select(label, text).toPandas().sort_values([label, text], kind="stable")
+    per_language, most = min(per_language, max(1, sample_rows // len(languages))), sample_bytes // len(languages)
+    # Twice the share that gives this number, so that the lowest hashes are among those drawn.
+    share = F.element_at(F.create_map(*[F.lit(v) for k in languages for v in (k, min(1.0, 2.0 * per_language / sizes[k]))]), F.col("label"))
+    drawn = known.where(F.pmod("h", F.lit(1 << 30)) <= share * float(1 << 30)).groupBy("label", "h").agg(F.max(F.octet_length("text")).alias("size"))
+    order = W.partitionBy("label").orderBy(F.col("size") * 8 > most, F.pmod("h", F.lit(1 << 30)), "h")
+    placed = drawn.select("label", "h", F.row_number().over(order).alias("place"), F.sum("size").over(order.rowsBetween(W.unboundedPreceding, 0)).alias("bytes"))
+    chosen = placed.where((F.col("place") == 1) | ((F.col("place") <= per_language) & (F.col("bytes") <= most))).select("label", "h")
+    picked = known.join(F.broadcast(chosen), ["label", "h"]).groupBy("label", "h").agg(F.min("text").alias("text"))
+    sample = picked.select(F.col("label").alias(label), F.col("text").alias(text)).toPandas().sort_values([label, text], kind="stable")
     y = np.searchsorted(languages, sample[label].to_numpy().astype(object)) if len(languages) > 1 else np.zeros(len(sample), int)
     codes = codewords(len(languages))
     w, b = train_bits(gram_counts([letters_only(t) for t in sample[text]]), y, codes)

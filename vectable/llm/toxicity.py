@@ -214,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], i
     ids, a bounded number, are sent to the documents.  The lexicon comes from
     this sample.  Trees are trained on three of four folds, whose features
     come from the lexicon of the other folds; the fourth fold calibrates.
-    Ids with several labels, and rows without an id, teach nothing.
+    Ids with several labels, and rows without an id, teach nothing; of
+    several rows with one id the least text teaches, so the bound holds.
     """
     named = labels.select(F.col(id_col).alias("__id"), F.col(label).cast("int").alias("toxic")).where("__id is not null and toxic in (0, 1)")
     named = named.groupBy("__id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").select("__id", "toxic")
@@ -222,8 +223,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Callable[[Column], Column], i
     n = named.count()
     drawn = named.where(F.pmod(F.xxhash64(F.lit(seed), "__id"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample_rows / max(1, n))))
     drawn = drawn.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed + 1), "__id"), F.lit(FOLDS)).cast("int"))
-    sample = docs.join(F.broadcast(drawn), docs[id_col] == drawn["__id"]).select(docs[text].alias("text"), "toxic", "fold")
-    sample = cut_lineage(sample)
+    met = docs.select(F.col(id_col).alias("__doc"), F.col(text).alias("text")).join(F.broadcast(drawn), F.col("__doc") == F.col("__id"))
+    sample = cut_lineage(met.groupBy("__id", "toxic", "fold").agg(F.min("text").alias("text")).select("text", "toxic", "fold"))
     sizes = {r[0]: r[1] for r in sample.where(f"fold <> {FOLDS - 1}").groupBy("toxic").count().collect()}
     rate = sizes.get(1, 0) / max(1, sum(sizes.values()))
     if len(sizes) < 2:
