@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 from vectable.functions.exprs import linear
 from vectable.functions.hashing import normal
 from vectable.functions.blocks import matrix_udf
-from vectable.operators.joins import join_unique
+from vectable.operators.halo import root_ahead, rows_ahead
 from vectable.operators.moments import covariance
-from vectable.operators.order import sequence_position
 from vectable.session import reused
 
 # Smallest positive normal double: spacing of tied values.
@@ -24,18 +23,13 @@ TINY = 2.2250738585072014e-308
 def spacing_entropy(df: DataFrame, value_col: str, tie_cols: list[str], group_col: str) -> DataFrame:
     """(group, n, entropy): Vasicek m-spacing estimate, sum of ln(z[i+m] - z[i]) over sorted values, m = floor(sqrt(n)).
 
-    Ranks come from a range partitioning of (group, value), and the value m ranks ahead
-    from an equi-join on (group, rank): keys are unique, so no task holds a whole group.
+    Values are sorted by a range partitioning of (group, value), and the value m places ahead is
+    read in place but for the edges of partitions, so no task holds a whole group.
     """
-    ranked = sequence_position(df.select(group_col, value_col, *tie_cols), [group_col], [value_col, *tie_cols], "r")
-    ranked = ranked.select(group_col, "r", F.col(value_col).alias("z"))
-    sizes = df.groupBy(group_col).agg(F.count("*").alias("n"))
-    ahead = join_unique(ranked, sizes, group_col).withColumn("to", F.col("r") + F.floor(F.sqrt("n")).cast("bigint"))
-    later = ranked.select(group_col, F.col("r").alias("to"), F.col("z").alias("z2"))
-    pairs = ahead.join(later, [group_col, "to"])
-    return pairs.groupBy(group_col).agg(
-        F.first("n").alias("n"), F.sum(F.log(F.greatest(F.col("z2") - F.col("z"), F.lit(TINY)))).alias("entropy")
-    )
+    picked = df.select(F.col(group_col), F.col(value_col).alias("z"), *tie_cols)
+    pairs = rows_ahead(picked, [group_col], ["z", *tie_cols], ["z"], root_ahead)
+    gap = F.log(F.greatest(F.col("z_ahead") - F.col("z"), F.lit(TINY)))
+    return pairs.groupBy(group_col).agg(F.first("n").alias("n"), F.sum(gap).alias("entropy"))
 
 
 @dataclass(frozen=True)

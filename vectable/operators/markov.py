@@ -21,6 +21,7 @@ from vectable.operators.joins import join_unique
 from vectable.operators.layout import shape
 from vectable.operators.mixture import Mixture, component_log_densities, fit_mixture, log_sum_exp
 from vectable.operators.moments import moments
+from vectable.operators.halo import rows_ahead
 from vectable.operators.order import sequence_position
 from vectable.operators.scan import entering, log_times
 from vectable.session import reused
@@ -444,14 +445,10 @@ def _expectation(chunks: DataFrame, model: Hmm, long: bool) -> Partials:
 
 
 def transition_counts(df: DataFrame, *, seq_col: str = "seq", time_cols: tuple[str, ...] = ("t",), state_col: str = "state") -> DataFrame:
-    """(state, next_state, n) over consecutive rows of each sequence.
-
-    Neighbours meet in an equi-join on (sequence, position), whose keys are unique.
-    """
-    placed = sequence_position(df.select(seq_col, *time_cols, state_col), [seq_col], list(time_cols), "pos")
-    here = placed.select(seq_col, "pos", F.col(state_col).alias("state"))
-    ahead = placed.select(seq_col, (F.col("pos") - 1).alias("pos"), F.col(state_col).alias("next_state"))
-    return here.join(ahead, [seq_col, "pos"]).groupBy("state", "next_state").agg(F.count("*").alias("n"))
+    """(state, next_state, n) over consecutive rows of each sequence; the next state is read in place."""
+    states = df.select(F.col(seq_col).alias("seq"), *time_cols, F.col(state_col).alias("state"))
+    pairs = rows_ahead(states, ["seq"], list(time_cols), ["state"])
+    return pairs.groupBy("state", F.col("state_ahead").alias("next_state")).agg(F.count("*").alias("n"))
 
 
 def start_counts(df: DataFrame, *, seq_col: str = "seq", time_cols: tuple[str, ...] = ("t",), state_col: str = "state") -> DataFrame:

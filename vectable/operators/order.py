@@ -79,6 +79,33 @@ def _starts(columns: list[pa.Array], previous: list | None) -> np.ndarray:
     return new
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: int, least_rows: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(table, begins): a stream of batches sorted by its first columns, in tables of at least so many rows that part no group.
+
+    begins are the first rows of the groups of the table, and its end.
+    """
+    held: list[pa.RecordBatch] = []
+    rows = 0
+
+    def ready(table: pa.Table, last: bool) -> tuple[pa.Table, np.ndarray]:
+        at = np.flatnonzero(_starts([table.column(i).chunk(0) for i in range(keys)], None))
+        return table, np.append(at, table.num_rows) if last else at
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            rows += batch.num_rows
+        if rows < least_rows:
+            continue
+        table, at = ready(pa.Table.from_batches(held).combine_chunks(), False)
+        if at[-1]:
+            yield table.slice(0, at[-1]), at
+        held = table.slice(at[-1]).combine_chunks().to_batches()
+        rows = table.num_rows - int(at[-1])
+    if rows:
+        yield ready(pa.Table.from_batches(held).combine_chunks(), True)
+
+
 def running_totals(
     df: DataFrame,
     group_cols: Sequence[str],

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vectable.functions.blocks import from_matrix, matrix_udf
+from vectable.functions.blocks import from_matrix, matrix_udf, row_slices
 from vectable.functions.exprs import TAPERS, taper_values, to_cartesian, to_polar
-from vectable.operators.order import sequence_position
+from vectable.operators.order import sequence_position, whole_groups
+
+#: Samples that a task frames at a time.
+BLOCK_SAMPLES = 1 << 16
 
 
 def _check(fftsize: int, overlap: int, window: str) -> int:
@@ -37,24 +41,42 @@ def indexed(df: DataFrame, series_cols: Sequence[str], order_cols: Sequence[str]
 def frames(df: DataFrame, fftsize: int, overlap: int, series_cols: Sequence[str] = ("series",)) -> DataFrame:
     """(series, frame, samples ARRAY<DOUBLE>): frames start every fftsize / overlap samples, the tail is zero-padded.
 
-    ``df`` holds (series, n, sample).  A sample goes to the at most ``overlap`` frames that
-    cover it, so a frame is a group of at most fftsize rows however long the series is.
+    ``df`` holds (series, n, sample), n = 0, 1, ..  The samples of a series go to tasks in blocks of
+    at least BLOCK_SAMPLES; a block also gets the first samples of the next one, as many as its last frames reach into.
+    So a sample is sent once, but for the edges of blocks, and a series of any length is spread.
     """
     hop = fftsize // overlap
-    top = F.expr(f"n div {hop}")
-    first = F.greatest(F.lit(0).cast("bigint"), top - (overlap - 1))
-    spread = df.withColumn("frame", F.explode(F.sequence(first, top))).withColumn("j", (F.col("n") - F.col("frame") * hop).cast("int"))
-    got = spread.groupBy(*series_cols, "frame").agg(F.collect_list(F.struct(F.col("j"), F.col("sample").cast("double").alias("v"))).alias("c"))
-
-    @F.arrow_udf("array<double>")
-    def padded(cells: pa.Array) -> pa.Array:
-        out = np.zeros((len(cells), fftsize))
-        flat = cells.flatten()
-        lengths = np.diff(cells.offsets.to_numpy())
-        out[np.repeat(np.arange(len(cells)), lengths), flat.field("j").to_numpy()] = flat.field("v").to_numpy()
-        return from_matrix(out)
-
-    return got.select(*series_cols, "frame", padded("c").alias("samples"))
+    frames_per_block = -(-max(BLOCK_SAMPLES, fftsize) // hop)
+    block, reach = frames_per_block * hop, fftsize - hop
+    own = F.expr(f"n div {block}")
+    edge = (own > 0) & (F.col("n") % block < reach)
+    spread = df.withColumn("__block", F.explode(F.when(edge, F.array(own, own - 1)).otherwise(F.array(own))))
+    picked = spread.select(*series_cols, "__block", F.col("n").cast("bigint").alias("__n"), F.col("sample").cast("double").alias("__v"))
+    keys = [*series_cols, "__block"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, at in whole_groups(batches, len(keys), BLOCK_SAMPLES):
+            size = np.diff(at)
+            first = rows["__block"].to_numpy()[at[:-1]] * block
+            group = np.repeat(np.arange(len(size)), size)
+            place = rows["__n"].to_numpy() - first[group]
+            # Frames begin at samples of this block only, and end with zeros.
+            count = np.maximum.reduceat(np.where(place < block, place // hop, -1), at[:-1]) + 1
+            room = np.where(count > 0, (count - 1) * hop + fftsize, 0)
+            begin = np.cumsum(room) - room
+            x = np.zeros(int(room.sum()) + fftsize)
+            kept = place < room[group]
+            x[(begin[group] + place)[kept]] = rows["__v"].to_numpy()[kept]
+            of = np.repeat(np.arange(len(size)), count)
+            frame = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+            view = np.lib.stride_tricks.sliding_window_view(x, fftsize)
+            for s in row_slices(len(of), fftsize):
+                names = [rows[c].chunk(0).take(pa.array(at[of[s]])) for c in series_cols]
+                yield pa.RecordBatch.from_arrays([*names, pa.array(first[of[s]] // hop + frame[s]), from_matrix(view[begin[of[s]] + frame[s] * hop])], [*series_cols, "frame", "samples"])
+
+    fields = [f for f in df.schema.fields if f.name in series_cols]
+    schema = T.StructType([*sorted(fields, key=lambda f: list(series_cols).index(f.name)), T.StructField("frame", T.LongType()), T.StructField("samples", T.ArrayType(T.DoubleType()))])
+    return picked.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def stft(
