@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,15 +55,50 @@ def row_hash_sql(expr: str, seed: int = 0) -> str:
     return _mixed_sql(f"xor({_mixed_sql(high)}, (({expr}) % {WORD})::BIGINT)")
 
 
-def uniform(row_id: Column, seed: int, draw: int | Column = 0) -> Column:
-    """Uniform double in [0, 1) from 53 hash bits of (seed, draw, id)."""
-    d = draw if isinstance(draw, Column) else F.lit(int(draw))
-    return F.shiftrightunsigned(F.xxhash64(F.lit(int(seed)), d, row_id), 11) * F.lit(2.0**-53)
+def draw_words(seed: int, draw: int) -> tuple[int, int]:
+    """The words that a draw starts from, one for each 32 bits."""
+    start = _seed_word(seed)
+    return tuple(_mixed_number(start ^ _mixed_number((2 * int(draw) + k) % WORD)) for k in (1, 2))
 
 
-def normal(row_id: Column, seed: int, draw: int | Column = 0) -> Column:
-    """Standard normal by Box-Muller on two hashed uniforms."""
-    d = draw if isinstance(draw, Column) else F.lit(int(draw))
-    u = F.lit(1.0) - uniform(row_id, seed, d * 2)
-    v = uniform(row_id, seed, d * 2 + 1)
-    return F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(6.283185307179586) * v)
+def _mixed_array(h: np.ndarray) -> np.ndarray:
+    for shift, mult in zip(MIX_SHIFTS, MIX_MULTIPLIERS):
+        h = ((h ^ (h >> np.uint64(shift))) * np.uint64(mult % WORD)) & np.uint64(WORD - 1)
+    return h ^ (h >> np.uint64(MIX_SHIFTS[-1]))
+
+
+def hash_array(word: int, *ids: np.ndarray) -> np.ndarray:
+    """32-bit hashes of one or more bigint ids: `row_hash` for arrays inside tasks."""
+    h = np.uint64(word)
+    for i in ids:
+        u = np.asarray(i, np.int64).view(np.uint64)
+        for part in (u >> np.uint64(32), u & np.uint64(WORD - 1)):
+            h = _mixed_array(part ^ h)
+    return h
+
+
+def uniforms(seed: int, draw: int, *ids: np.ndarray) -> np.ndarray:
+    """Uniform doubles in [0, 1) from 53 hash bits of (seed, draw, ids), in arithmetic any SQL engine can repeat."""
+    high, low = (hash_array(w, *ids) for w in draw_words(seed, draw))
+    return ((high >> np.uint64(5)) * np.uint64(1 << 26) + (low >> np.uint64(6))).astype(float) * 2.0**-53
+
+
+def normals(seed: int, draw: int, *ids: np.ndarray) -> np.ndarray:
+    """Standard normals by Box-Muller on two uniforms."""
+    return np.sqrt(-2.0 * np.log(1.0 - uniforms(seed, 2 * draw, *ids))) * np.cos(2.0 * np.pi * uniforms(seed, 2 * draw + 1, *ids))
+
+
+def uniform_sql(seed: int, draw: int, *ids: str) -> str:
+    """The same uniforms as DuckDB SQL text, for ids that are not negative."""
+    words = []
+    for word in draw_words(seed, draw):
+        h = f"{word}::BIGINT"
+        for i in ids:
+            for part in (f"(({i})::BIGINT >> 32)::BIGINT", f"(({i}) % {WORD})::BIGINT"):
+                h = _mixed_sql(f"xor({part}, {h})")
+        words.append(h)
+    return f"((({words[0]} >> 5) * {1 << 26} + ({words[1]} >> 6))::DOUBLE * {2.0**-53!r})"
+
+
+def normal_sql(seed: int, draw: int, *ids: str) -> str:
+    return f"(sqrt(-2.0 * ln(1.0 - {uniform_sql(seed, 2 * draw, *ids)})) * cos(2.0 * pi() * {uniform_sql(seed, 2 * draw + 1, *ids)}))"

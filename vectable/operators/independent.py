@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.functions.exprs import linear
-from vectable.functions.hashing import normal
-from vectable.functions.blocks import matrix_udf
+from vectable.functions.blocks import matrix_udf, row_slices, to_matrix
+from vectable.functions.hashing import normals
 from vectable.operators.halo import root_ahead, rows_ahead
 from vectable.operators.moments import covariance
 from vectable.session import reused
 
 # Smallest positive normal double: spacing of tied values.
 TINY = 2.2250738585072014e-308
+#: Replicas of a table that a single task makes for itself (32 MB a component).
+LOCAL_VALUES = 4_000_000
+#: Angles whose replicas are sorted at a time beyond that.
+ANGLES_AT_ONCE = 10
 
 
 def spacing_entropy(df: DataFrame, value_col: str, tie_cols: list[str], group_col: str) -> DataFrame:
@@ -47,32 +52,79 @@ def _rotation(d: int, i: int, j: int, theta: float) -> np.ndarray:
     return r
 
 
-def best_angle(
-    df: DataFrame, rows: np.ndarray, *, std_dev: float, replicates: int, angles: int, id_col: str, seed: int
-) -> float:
-    """Angle in [0, pi/2) whose rotation of two components has the lowest summed entropy.
+def _turned(a: np.ndarray, b: np.ndarray, theta: float) -> tuple[np.ndarray, np.ndarray]:
+    return math.cos(theta) * a - math.sin(theta) * b, math.sin(theta) * a + math.cos(theta) * b
 
-    All angles are scored in one job: every point is replicated with noise, rotated by
-    each angle, and the entropies are estimated per (angle, component) group.
+
+def _replicas(ids: np.ndarray, a: np.ndarray, b: np.ndarray, std_dev: float, replicates: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Every point ``replicates`` times, each with normal noise of its own."""
+    sides = []
+    for side, x in enumerate((a, b)):
+        parts = [x + std_dev * normals(seed, side, ids, np.full_like(ids, k)) if std_dev else x for k in range(replicates)]
+        sides.append(np.concatenate(parts))
+    return tuple(sides)
+
+
+def _spacings(z: np.ndarray) -> float:
+    """The m-spacing estimate of values that one task holds."""
+    z = np.sort(z)
+    m = int(root_ahead(np.array([len(z)]))[0])
+    return float(np.log(np.maximum(z[m:] - z[:-m], TINY)).sum())
+
+
+def angle_entropies(
+    df: DataFrame, rows: np.ndarray, thetas: list[float], *, std_dev: float, replicates: int, id_col: str = "row_id", seed: int = 0, local_values: int = LOCAL_VALUES
+) -> list[float]:
+    """The summed entropy of two components turned by each angle, over all points with their noisy replicas.
+
+    A table whose replicas are at most ``local_values`` is sent to the tasks
+    once (16 bytes a point and the id), and every task makes, turns and sorts the replicas for its own angles.  A
+    larger one stays where it is: a few angles at a time, replicas are
+    made, turned and range-partitioned, and spacings are read in place.  Both make the same replicas.
     """
-    pair = df.select(F.col(id_col).alias("_id"), linear("features", rows[0]).alias("a"), linear("features", rows[1]).alias("b"))
-    noisy = pair.withColumn("_rep", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1)))).select(
-        "_id", "_rep",
-        (F.col("a") + F.lit(std_dev) * normal(F.struct("_id", "_rep"), seed, 0)).alias("a"),
-        (F.col("b") + F.lit(std_dev) * normal(F.struct("_id", "_rep"), seed, 1)).alias("b"),
-    )
-    turn = F.col("_angle") * F.lit(math.pi / 2.0 / angles)
-    sides = F.array(
-        F.cos(turn) * F.col("a") - F.sin(turn) * F.col("b"),
-        F.sin(turn) * F.col("a") + F.cos(turn) * F.col("b"),
-    )
-    turned = noisy.withColumn("_angle", F.explode(F.sequence(F.lit(0), F.lit(angles - 1)))).select(
-        "_id", "_rep", "_angle", F.posexplode(sides).alias("_side", "z")
-    )
-    grouped = turned.withColumn("g", F.col("_angle") * 2 + F.col("_side"))
-    per_group = spacing_entropy(grouped, "z", ["_id", "_rep"], "g")
-    best = per_group.groupBy(F.expr("g div 2").alias("angle")).agg(F.sum("entropy").alias("e")).orderBy("e", "angle").first()
-    return best["angle"] * math.pi / 2.0 / angles
+    ids = F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)).alias("_id")
+    first, second = (np.asarray(r, float) for r in rows)
+    pair = df.select(ids, matrix_udf(lambda x: x @ np.stack([first, second]).T)(F.col("features")).alias("ab"))
+    if df.count() * replicates <= local_values:
+        got = pair.toArrow()
+        known, ab = got["_id"].to_numpy(), to_matrix(got["ab"])
+
+        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            a, b = _replicas(known, ab[:, 0], ab[:, 1], std_dev, replicates, seed)
+            for batch in batches:
+                at = batch.column(0).to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([sum(map(_spacings, _turned(a, b, thetas[k]))) for k in at], pa.float64())], ["id", "entropy"])
+
+        spark = df.sparkSession
+        tasks = min(len(thetas), 4 * spark.sparkContext.defaultParallelism)
+        scored = spark.range(0, len(thetas), 1, tasks).mapInArrow(score, "id bigint, entropy double").collect()
+        return [r["entropy"] for r in sorted(scored)]
+    out: list[float] = []
+    for lo in range(0, len(thetas), ANGLES_AT_ONCE):
+        some = thetas[lo : lo + ANGLES_AT_ONCE]
+
+        def turn(batches: Iterator[pa.RecordBatch], some: list[float] = some) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = to_matrix(batch.column(1))
+                for s in row_slices(len(x), replicates * 8):
+                    a, b = _replicas(batch.column(0).to_numpy()[s], x[s, 0], x[s, 1], std_dev, replicates, seed)
+                    for k, theta in enumerate(some):
+                        for side, z in enumerate(_turned(a, b, theta)):
+                            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(z), 2 * k + side)), pa.array(z)], ["g", "z"])
+
+        groups = spacing_entropy(pair.mapInArrow(turn, "g bigint, z double"), "z", [], "g")
+        found = {r["g"]: r["entropy"] for r in groups.select("g", "entropy").collect()}
+        out += [found.get(2 * k, 0.0) + found.get(2 * k + 1, 0.0) for k in range(len(some))]
+    return out
+
+
+def best_angle(df: DataFrame, rows: np.ndarray, *, std_dev: float, replicates: int, angles: int, id_col: str, seed: int, local_values: int = LOCAL_VALUES) -> float:
+    """Angle in [0, pi/2) whose rotation of two components has the lowest summed entropy; the first of equal ones."""
+    thetas = [k * math.pi / 2.0 / angles for k in range(angles)]
+    scores = angle_entropies(df, rows, thetas, std_dev=std_dev, replicates=replicates, id_col=id_col, seed=seed, local_values=local_values)
+    return thetas[int(np.argmin(scores))]
 
 
 def fit_unmixing(
@@ -84,6 +136,7 @@ def fit_unmixing(
     sweeps: int = 0,
     id_col: str = "row_id",
     seed: int = 0,
+    local_values: int = LOCAL_VALUES,
 ) -> Unmixing:
     """Whiten, then rotate pairs of components to minimal entropy; 0 sweeps means d - 1."""
     m, cov = covariance(df)
@@ -97,7 +150,7 @@ def fit_unmixing(
             for i in range(d - 1):
                 for j in range(i + 1, d):
                     theta = best_angle(
-                        kept, w[[i, j]], std_dev=std_dev, replicates=replicates, angles=angles, id_col=id_col, seed=seed
+                        kept, w[[i, j]], std_dev=std_dev, replicates=replicates, angles=angles, id_col=id_col, seed=seed, local_values=local_values
                     )
                     w = _rotation(d, i, j, theta) @ w
         objective = _objective(kept, w, id_col)

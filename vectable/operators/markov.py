@@ -16,12 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions.blocks import PARTIAL_SCHEMA, Partials, add_partials, from_matrix, matrix_udf, partial_rows, sum_over_rows
-from vectable.functions.hashing import normal, uniform
+from vectable.functions.hashing import normals, uniforms
+from vectable.operators.halo import rows_ahead
 from vectable.operators.joins import join_unique
 from vectable.operators.layout import shape
 from vectable.operators.mixture import Mixture, component_log_densities, fit_mixture, log_sum_exp
 from vectable.operators.moments import moments
-from vectable.operators.halo import rows_ahead
 from vectable.operators.order import sequence_position
 from vectable.operators.scan import entering, log_times
 from vectable.session import reused
@@ -522,23 +522,17 @@ def emission_counts(df: DataFrame, state_col: str = "state") -> DataFrame:
 # --- generation -----------------------------------------------------------------------------
 
 
-def _bits(chain: np.ndarray, t: int, seed: int) -> np.ndarray:
-    """Uniform draws of many chains at one step (published 64-bit finaliser of (seed, t, chain))."""
-    with np.errstate(over="ignore"):
-        z = chain.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((seed * 1_000_003 + t) * 0xD1B54A32D192ED03 % 2**64)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z = z ^ (z >> np.uint64(31))
-    return (z >> np.uint64(11)).astype(float) * 2.0**-53
-
-
 def _pick(weights: np.ndarray, u: np.ndarray) -> np.ndarray:
     """Index drawn from each row of weights."""
     return np.minimum((np.cumsum(weights, axis=1) <= u[:, None]).sum(1), weights.shape[1] - 1)
 
 
+#: The draws of a step: its state, the component of a mixture; symbols and features take the draws 0, 1, ..
+STATE, COMPONENT = 2_000_000, 1_000_000
+
+
 def generate_states(spark: SparkSession, model: Hmm, length: int, chains: int = 1, *, start_state: int | None = None, seed: int = 0) -> DataFrame:
-    """(seq, t, state): chains advance side by side in the tasks that hold their ids."""
+    """(seq, t, state): chains advance side by side in the tasks that hold their ids, each step drawn from (seed, seq, t)."""
     start, trans = model.start, model.trans
     first = None if start_state is None else min(max(int(start_state), 0), model.states - 1)
 
@@ -547,10 +541,10 @@ def generate_states(spark: SparkSession, model: Hmm, length: int, chains: int =
             chain = batch.column(0).to_numpy()
             if len(chain) == 0:
                 continue
-            state = np.full(len(chain), first) if first is not None else _pick(np.tile(start, (len(chain), 1)), _bits(chain, 0, seed))
+            state = np.full(len(chain), first) if first is not None else _pick(np.tile(start, (len(chain), 1)), uniforms(seed, STATE, chain, np.zeros_like(chain)))
             for t in range(length):
                 if t:
-                    state = _pick(trans[state], _bits(chain, t, seed))
+                    state = _pick(trans[state], uniforms(seed, STATE, chain, np.full_like(chain, t)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(np.full(len(chain), t)), pa.array(state.astype(np.int32))], names=["seq", "t", "state"]
                 )
@@ -559,33 +553,35 @@ def generate_states(spark: SparkSession, model: Hmm, length: int, chains: int =
 
 
 def generate(spark: SparkSession, model: Hmm, length: int, chains: int = 1, *, start_state: int | None = None, seed: int = 0) -> DataFrame:
-    """(seq, t, state, features): states, then one observation each."""
+    """(seq, t, state, features): states, then one observation each, drawn from (seed, seq, t)."""
     states = generate_states(spark, model, length, chains, start_state=start_state, seed=seed)
-    key = F.struct("seq", "t")
     if model.kind == "discrete":
-        draws = F.array(F.col("state").cast("double"), *[uniform(key, seed, f) for f in range(len(model.tables))])
         tables = model.tables
 
-        def symbols(r: np.ndarray) -> np.ndarray:
-            s = r[:, 0].astype(int)
-            return np.stack([_pick(t[s], r[:, f + 1]) for f, t in enumerate(tables)], axis=1).astype(float)
+        def observe(s: np.ndarray, seq: np.ndarray, t: np.ndarray) -> np.ndarray:
+            return np.stack([_pick(table[s], uniforms(seed, f, seq, t)) for f, table in enumerate(tables)], axis=1).astype(float)
 
-        return states.withColumn("features", matrix_udf(symbols)(draws))
-    if model.kind == "gaussian":
-        mixes: tuple[Mixture, ...] = tuple(Mixture(np.ones(1), model.means[[s]], model.covs[[s]]) for s in range(model.states))
     else:
-        mixes = model.mixtures
-    d = mixes[0].means.shape[1]
-    draws = F.array(F.col("state").cast("double"), uniform(key, seed, 10_000), *[normal(key, seed, j) for j in range(d)])
-    roots = [np.stack([np.diag(np.sqrt(c)) if m.diagonal else np.linalg.cholesky(c) for c in m.covs]) for m in mixes]
-
-    def points(r: np.ndarray) -> np.ndarray:
-        out = np.empty((len(r), d))
-        for s, m in enumerate(mixes):
-            mine = np.flatnonzero(r[:, 0] == s)
-            c = _pick(np.tile(m.weights, (len(mine), 1)), r[mine, 1])
-            out[mine] = m.means[c] + np.einsum("nij,nj->ni", roots[s][c], r[mine, 2:])
-        return out
+        if model.kind == "gaussian":
+            mixes: tuple[Mixture, ...] = tuple(Mixture(np.ones(1), model.means[[s]], model.covs[[s]]) for s in range(model.states))
+        else:
+            mixes = model.mixtures
+        d = mixes[0].means.shape[1]
+        roots = [np.stack([np.diag(np.sqrt(c)) if m.diagonal else np.linalg.cholesky(c) for c in m.covs]) for m in mixes]
+
+        def observe(s: np.ndarray, seq: np.ndarray, t: np.ndarray) -> np.ndarray:
+            out, u = np.empty((len(s), d)), uniforms(seed, COMPONENT, seq, t)
+            z = np.stack([normals(seed, j, seq, t) for j in range(d)], 1)
+            for k, m in enumerate(mixes):
+                mine = np.flatnonzero(s == k)
+                c = _pick(np.tile(m.weights, (len(mine), 1)), u[mine])
+                out[mine] = m.means[c] + np.einsum("nij,nj->ni", roots[k][c], z[mine])
+            return out
 
-    return states.withColumn("features", matrix_udf(points)(draws))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                seq, t, s = (c.to_numpy() for c in batch.columns)
+                yield pa.RecordBatch.from_arrays([*batch.columns, from_matrix(observe(s, seq, t))], ["seq", "t", "state", "features"])
 
+    return states.mapInArrow(run, "seq bigint, t bigint, state int, features array<double>")

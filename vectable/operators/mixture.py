@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vectable.functions.blocks import matrix_udf, nearest, sum_over_rows
-from vectable.functions.hashing import normal, uniform
+from vectable.functions.blocks import from_matrix, matrix_udf, nearest, sum_over_rows, to_matrix
+from vectable.functions.hashing import normals, uniforms
 from vectable.operators.clustering import kmeans
 from vectable.operators.layout import shape
 from vectable.operators.moments import moments
 from vectable.session import reused
 
 LOG_2PI = math.log(2.0 * math.pi)
+#: The draw that picks a component; features take the draws 0, 1, ..
+PICK = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -141,11 +145,12 @@ def fit_mixture(
         raise ValueError(f"{gaussians} Gaussians asked of {n} points")
     source = df
     if noise:
-        noisy = F.transform(
-            F.arrays_zip(F.col("features"), F.sequence(F.lit(0), F.lit(dim - 1)).alias("j")),
-            lambda e: e["features"] + F.lit(float(noise)) * normal(F.col(id_col), seed, e["j"]),
-        )
-        source = df.withColumn("features", noisy)
+
+        @F.arrow_udf("array<double>")
+        def noisy(ids: pa.Array, x: pa.Array) -> pa.Array:
+            return from_matrix(to_matrix(x) + noise * np.stack([normals(seed, j, ids.to_numpy()) for j in range(dim)], 1)) if len(ids) else from_matrix(np.empty((0, dim)))
+
+        source = df.withColumn("features", noisy(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1)), F.col("features")))
     shift = moments(source).mean
     best: Mixture | None = None
     with reused(source, id_col, "features") as kept:
@@ -205,23 +210,21 @@ def generate(
     replaces the fitted mixing weights.
     """
     g, d = model.means.shape
-    rows = spark.range(n).withColumnRenamed("id", "row_id")
-    if component is not None:
-        pick = F.lit(min(max(int(component), 0), g - 1))
-    else:
-        w = model.weights if weights is None else normalised_weights(weights, g)
-        u = uniform(F.col("row_id"), seed, 1_000_000)
-        pick = F.lit(g - 1)
-        for c in range(g - 2, -1, -1):
-            pick = F.when(u < F.lit(float(w[: c + 1].sum())), F.lit(c)).otherwise(pick)
-    z = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda j: normal(F.col("row_id"), seed, j))
+    picked = None if component is None else min(max(int(component), 0), g - 1)
+    w = model.weights if weights is None else normalised_weights(weights, g)
+    edges = np.cumsum(w)[:-1]
     roots = np.stack([np.diag(np.sqrt(c)) if model.diagonal else np.linalg.cholesky(c) for c in model.covs])
     means = model.means
 
-    def draw(cz: np.ndarray) -> np.ndarray:
-        c = cz[:, 0].astype(int)
-        return means[c] + np.einsum("nij,nj->ni", roots[c], cz[:, 1:])
-
-    drawn = rows.withColumn("component", pick.cast("int"))
-    with_z = F.concat(F.array(F.col("component").cast("double")), z)
-    return drawn.withColumn("features", matrix_udf(draw)(with_z))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            if picked is None:
+                c = np.searchsorted(edges, uniforms(seed, PICK, ids), "right")
+            else:
+                c = np.full(len(ids), picked)
+            z = np.stack([normals(seed, j, ids) for j in range(d)], 1)
+            drawn = means[c] + np.einsum("nij,nj->ni", roots[c], z)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(c.astype(np.int32)), from_matrix(drawn)], ["row_id", "component", "features"])
+
+    return spark.range(n).mapInArrow(run, "row_id bigint, component int, features array<double>")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions.blocks import to_matrix
-from vectable.functions.hashing import row_hash_sql
+from vectable.functions.hashing import normal_sql, row_hash_sql, uniform_sql
 from vectable.operators import clustering as cl, mixture as gm, som
 from vectable.operators.neighbors import fit_cells
 from vectable.operators.order import sample_rows
@@ -286,6 +286,46 @@ def gmm_generate_moments(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _drawn_sql(component: str) -> str:
+    u = uniform_sql(GENERATE_SEED, gm.PICK, "row_id")
+    features = ", ".join(
+        rnd_sql(f"{[m[j] for m in MEANS]!r}[component + 1] + sqrt({[v[j] for v in VARS]!r}[component + 1]) * {normal_sql(GENERATE_SEED, j, 'row_id')}") + f" AS {name}" for j, name in enumerate("xy")
+    )
+    return (
+        f"WITH r AS (SELECT unnest(range((SELECT count(*) FROM orders))) AS row_id), u AS (SELECT row_id, {u} AS u FROM r), "
+        f"c AS (SELECT row_id, ({component})::INT AS component FROM u) SELECT row_id, component, {features} FROM c"
+    )
+
+
+def _picked_sql(weights: np.ndarray) -> str:
+    return " + ".join(f"(u >= {float(w)!r})::INT" for w in np.cumsum(weights)[:-1])
+
+
+GENERATE_SEED = 3
+OTHER_WEIGHTS = [1.0, 0.5, 2.0]
+
+
+def _drawn(spark: SparkSession, sf: str, **options: object) -> DataFrame:
+    """A draw for every order from the given mixture."""
+    drawn = gm.generate(spark, MIX, table(spark, sf, "orders").count(), seed=GENERATE_SEED, **options)
+    return drawn.select("row_id", "component", *[rnd(F.get("features", F.lit(j))).alias(name) for j, name in enumerate("xy")])
+
+
+@catalog.query(_drawn_sql(_picked_sql(np.array(WEIGHTS))))
+def gmm_generate(spark: SparkSession, sf: str) -> DataFrame:
+    return _drawn(spark, sf)
+
+
+@catalog.query(_drawn_sql("1"))
+def gmm_generate_component(spark: SparkSession, sf: str) -> DataFrame:
+    return _drawn(spark, sf, component=1)
+
+
+@catalog.query(_drawn_sql(_picked_sql(gm.normalised_weights(OTHER_WEIGHTS, 3))))
+def gmm_generate_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    return _drawn(spark, sf, weights=OTHER_WEIGHTS)
+
+
 ROWS, COLS = 3, 4
 
 

@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vectable.functions.hashing import normal_sql
 from vectable.operators import independent as ica, linear as li, moments as mo, reduction as rd
 from vectable.plans.common import LINEITEM_FEATURES, LINEITEM_KEY, Catalog, embeddings, rnd, rnd_sql, table
 
@@ -164,13 +165,41 @@ def vasicek_entropy(spark: SparkSession, sf: str) -> DataFrame:
     return ica.spacing_entropy(df, "z", ["o_orderkey"], "g").withColumn("entropy", rnd("entropy", 4))
 
 
+def _order_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as (price in hundred thousands, customer in thousands)."""
+    o = table(spark, sf, "orders")
+    return o.select(F.col("o_orderkey").alias("row_id"), F.array(F.col("o_totalprice") / 1e5, F.col("o_custkey") / 1e3).alias("features"))
+
+
+TURNS, NOISE, NOISE_SEED = 8, 0.1, 4
+
+
+def _noisy_sql(value: str, side: int) -> str:
+    return f"({value}) + {NOISE!r} * {normal_sql(NOISE_SEED, side, 'id', 'rep')}"
+
+
+@catalog.query(
+    "WITH o AS (SELECT o_orderkey AS id, o_totalprice / 1e5 AS a, o_custkey / 1e3 AS b, unnest(range(2)) AS rep FROM orders), "
+    f"p AS (SELECT {_noisy_sql('a', 0)} AS a, {_noisy_sql('b', 1)} AS b FROM o), t AS (SELECT a, b, unnest(range({TURNS})) AS turn FROM p), "
+    f"r AS (SELECT turn, cos(turn * pi() / 2 / {TURNS}) * a - sin(turn * pi() / 2 / {TURNS}) * b AS x, sin(turn * pi() / 2 / {TURNS}) * a + cos(turn * pi() / 2 / {TURNS}) * b AS y FROM t), "
+    "z AS (SELECT turn, side, CASE side WHEN 0 THEN x ELSE y END AS z FROM r, (VALUES (0), (1)) AS s(side)), "
+    "k AS (SELECT turn, side, z, row_number() OVER (PARTITION BY turn, side ORDER BY z) AS k, count(*) OVER (PARTITION BY turn, side) AS n FROM z) "
+    f"SELECT i.turn, {rnd_sql('sum(ln(greatest(j.z - i.z, 2.2250738585072014e-308)))', 4)} AS entropy FROM k i JOIN k j ON i.turn = j.turn AND i.side = j.side AND j.k = i.k + floor(sqrt(i.n))::BIGINT GROUP BY i.turn"
+)
+def radical_angle_entropy(spark: SparkSession, sf: str) -> DataFrame:
+    """The score of given angles with two noisy replicas of every order, by the strategy for large tables."""
+    thetas = [k * np.pi / 2.0 / TURNS for k in range(TURNS)]
+    scores = ica.angle_entropies(_order_pairs(spark, sf), np.eye(2), thetas, std_dev=NOISE, replicates=2, seed=NOISE_SEED, local_values=0)
+    return spark.createDataFrame(list(enumerate(map(float, scores))), "turn bigint, entropy double").withColumn("entropy", rnd("entropy", 4))
+
+
 @catalog.query()
 def radical_unmix(spark: SparkSession, sf: str) -> DataFrame:
-    """Two mixed order columns; small search so that a pass stays short."""
+    """Two mixed order columns, with the operator's defaults: 30 replicas, 150 angles."""
     o = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("row_id"),
         F.array(F.col("o_totalprice") / 1e5 + F.col("o_custkey") / 1e3, F.col("o_totalprice") / 1e5 - F.col("o_custkey") / 2e3).alias("features"),
     )
-    m = ica.fit_unmixing(o, replicates=1, angles=16)
+    m = ica.fit_unmixing(o)
     rows = [(i, j, float(m.w[i, j]), m.objective) for i in range(2) for j in range(2)]
     return spark.createDataFrame(rows, "i int, j int, w double, objective double")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions.exprs import taper
+from vectable.functions.hashing import uniform_sql
 from vectable.operators import markov as mk, spectra as sp
 from vectable.plans.common import Catalog, rnd, rnd_sql, table
 
@@ -160,6 +161,28 @@ def hmm_generate_counts(spark: SparkSession, sf: str) -> DataFrame:
     return g.groupBy("state", F.get("features", F.lit(0)).cast("int").alias("symbol")).agg(F.count("*").alias("n"))
 
 
+CHAIN_LENGTH, CHAIN_SEED = 12, 9
+
+
+def _symbol_sql(u: str) -> str:
+    edges = np.cumsum(EMIT, axis=1)[:, :-1].tolist()
+    return f"list_sum(list_transform({edges!r}[state + 1], lambda edge: (edge <= {u})::INT))::INT"
+
+
+@catalog.query(
+    f"WITH RECURSIVE q AS (SELECT unnest(range((SELECT count(DISTINCT user_id) FROM events))) AS seq), d AS (SELECT seq, unnest(range({CHAIN_LENGTH})) AS t FROM q), "
+    f"u AS (SELECT seq, t, {uniform_sql(CHAIN_SEED, mk.STATE, 'seq', 't')} AS s, {uniform_sql(CHAIN_SEED, 0, 'seq', 't')} AS e FROM d), "
+    f"w AS (SELECT seq, t, (s >= {float(START[0])!r})::INT AS state FROM u WHERE t = 0 UNION ALL "
+    f"SELECT u.seq, u.t, (u.s >= {[float(r[0]) for r in TRANS]!r}[w.state + 1])::INT FROM w JOIN u ON u.seq = w.seq AND u.t = w.t + 1) "
+    f"SELECT seq, t, state, {_symbol_sql('e')} AS symbol FROM w JOIN u USING (seq, t)"
+)
+def hmm_generate(spark: SparkSession, sf: str) -> DataFrame:
+    """A chain for every user from the given model, draw by draw."""
+    users = table(spark, sf, "events").agg(F.count_distinct("user_id")).first()[0]
+    drawn = mk.generate(spark, MODEL, CHAIN_LENGTH, users, seed=CHAIN_SEED)
+    return drawn.select("seq", "t", "state", F.get("features", F.lit(0)).cast("int").alias("symbol"))
+
+
 # --- spectra ----------------------------------------------------------------------------
 
 SIZE, OVERLAP = 16, 4
