@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vectable.functions.blocks import from_matrix, matrix_udf, nearest, row_slices, sq_dists, sum_over_rows, to_matrix
+from vectable.functions.hashing import uniforms
 from vectable.operators.buckets import bucket_join
 from vectable.operators.layout import shape
 from vectable.operators.neighbors import block_rows_of, Cells, block_join, fit_cells, neighbour_join
@@ -75,13 +76,17 @@ def centroids_of(df: DataFrame, k: int, cluster_col: str = "cluster", features_c
     return total[:, :-1] / total[:, -1:]
 
 
-def _mix(h: np.ndarray, salt: int) -> np.ndarray:
-    """Second hash of a 64-bit hash, one stream per salt (published 64-bit finaliser)."""
-    with np.errstate(over="ignore"):
-        z = h.astype(np.uint64) + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return z ^ (z >> np.uint64(31))
+def memberships(df: DataFrame, samplings: int, percentage: float, id_col: str = "row_id", seed: int = 0, output_col: str = "members") -> DataFrame:
+    """Adds the samplings that a row is in, one bit for each: sampling s takes it if draw s of (seed, id) lies below ``percentage``."""
+
+    @F.arrow_udf("binary")
+    def drawn(ids: pa.Array) -> pa.Array:
+        i = ids.to_numpy()
+        member = np.stack([uniforms(seed, s, i) < percentage for s in range(samplings)], 1)
+        bits = np.packbits(member, axis=1)
+        return pa.array([b.tobytes() for b in bits], pa.binary())
+
+    return df.withColumn(output_col, drawn(F.coalesce(F.col(id_col).cast("bigint"), F.lit(-1))))
 
 
 def refined_start(
@@ -89,49 +94,75 @@ def refined_start(
 ) -> np.ndarray:
     """Cluster many random samples, then their centroids from each sample's solution; the best of those is the start.
 
-    All samples advance together: a row decides by hash which samples it is in, so a
+    All samples advance together: a row carries the bits of the samples it is in, drawn once, so a
     pass over the table moves every sample one step and no sample is ever gathered.
     """
     n, _ = shape(df)
     if int(n * percentage) < k:
         raise ValueError(f"samples of {int(n * percentage)} points are too small for {k} clusters")
-    drawn = to_matrix(sample_rows(df, samplings * k, id_col, seed).select("features").toArrow()["features"])
-    picks = np.resize(np.arange(len(drawn)), samplings * k).reshape(samplings, k)
-    starts = drawn[picks]
-    limit = np.uint64(min(2**64 - 1, int(percentage * 2**64)))
-    with_hash = df.withColumn("_h", F.xxhash64(F.lit(int(seed)), F.col(id_col)))
-    with reused(with_hash, "features", "_h") as kept:
-        starts, _ = _side_by_side(kept, starts, max_iterations, lambda h, s: _mix(h, s) < limit)
+    starts = sampled_starts(df, k, samplings, id_col, seed)
+    with reused(memberships(df, samplings, percentage, id_col, seed), "features", "members") as kept:
+        starts, _ = _side_by_side(kept, starts, max_iterations)
     points = starts.reshape(samplings * k, -1)
-    table = df.sparkSession.createDataFrame([(p.tolist(), 0) for p in points], "features array<double>, _h bigint")
-    with reused(table, "features", "_h") as kept:
-        found, error = _side_by_side(kept, starts, max_iterations, lambda h, s: np.ones(len(h), dtype=bool))
+    every = bytes([255]) * (-(-samplings // 8))
+    table = df.sparkSession.createDataFrame([(p.tolist(), every) for p in points], "features array<double>, members binary")
+    with reused(table, "features", "members") as kept:
+        found, error = _side_by_side(kept, starts, max_iterations)
     return found[int(error.argmin())]
 
 
-def _side_by_side(
-    df: DataFrame, starts: np.ndarray, max_iterations: int, member: Callable[[np.ndarray, int], np.ndarray]
-) -> tuple[np.ndarray, np.ndarray]:
-    """Lloyd from many starts (runs, k, d) at once; returns the centroids and the squared error of each run."""
+def sampled_starts(df: DataFrame, k: int, samplings: int, id_col: str = "row_id", seed: int = 0) -> np.ndarray:
+    """(samplings, k, d): the rows of the lowest hashes, k for each sampling, from the first again where the table has fewer."""
+    drawn = to_matrix(sample_rows(df, samplings * k, id_col, seed).select("features").toArrow()["features"])
+    return drawn[np.resize(np.arange(len(drawn)), samplings * k).reshape(samplings, k)]
+
+
+def sampled_step(df: DataFrame, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(runs, k, d + 1) sums and counts by nearest centroid of every run (runs, k, d) over its members, and the squared errors.
+
+    One matrix product gives the distances of a slice of rows to the centroids of all runs; what a run has no part in is left out.
+    """
     runs, k, d = starts.shape
+    flat = starts.reshape(runs * k, d)
+    norms = (flat * flat).sum(1).reshape(runs, k)
+
+    def step(x: np.ndarray, members: np.ndarray) -> dict[str, np.ndarray]:
+        total, error = np.zeros((runs * k, d + 1)), np.zeros(runs)
+        bits = np.unpackbits(np.frombuffer(b"".join(members.tolist()), np.uint8).reshape(len(x), -1), axis=1)[:, :runs]
+        for s in row_slices(len(x), runs * max(k, d)):
+            row, run = np.nonzero(bits[s])
+            if not len(row):
+                continue
+            here = x[s]
+            dist = (here @ flat.T).reshape(len(here), runs, k)[row, run] * -2.0 + norms[run]
+            best = dist.argmin(1)
+            # Copies of a centroid can differ in the last bits of the product form.
+            slack = 1e-9 * (1.0 + (here * here).sum(1)[row])
+            for r in np.array_split(np.flatnonzero((dist <= (dist.min(1) + slack)[:, None]).sum(1) > 1), max(1, len(row) * k * d // 4_000_000)):
+                best[r] = ((here[row[r]][:, None, :] - starts[run[r]]) ** 2).sum(2).argmin(1)
+            at = run * k + best
+            gap = here[row] - flat[at]
+            error += np.bincount(run, (gap * gap).sum(1), runs)
+            order = np.argsort(at, kind="stable")
+            begin = np.flatnonzero(np.concatenate(([True], np.diff(at[order]) > 0)))
+            rows = np.hstack([here[row], np.ones((len(row), 1))])[order]
+            total[at[order][begin]] += np.add.reduceat(rows, begin, axis=0)
+        return {"t": total.reshape(runs, k, d + 1), "e": error}
+
+    out = sum_over_rows(df, ["features", "members"], step)
+    return out["t"], out["e"]
+
+
+def _side_by_side(df: DataFrame, starts: np.ndarray, max_iterations: int) -> tuple[np.ndarray, np.ndarray]:
+    """Lloyd from many starts (runs, k, d) at once; returns the centroids and the squared error of each run."""
     limit = max_iterations if max_iterations > 0 else 2**31
     for _ in range(limit):
         current = starts
-
-        def step(x: np.ndarray, h: np.ndarray) -> dict[str, np.ndarray]:
-            total, error = np.zeros((runs, k, d + 1)), np.zeros(runs)
-            for s in range(runs):
-                mine = x[member(h, s)]
-                if len(mine):
-                    idx, dist = nearest(mine, current[s])
-                    total[s], error[s] = _sums(mine, idx, k), dist.sum()
-            return {"t": total, "e": error}
-
-        out = sum_over_rows(df, ["features", "_h"], step)
-        starts = np.stack([_update(out["t"][s], current[s], "allow")[0] for s in range(runs)])
+        total, error = sampled_step(df, current)
+        starts = np.stack([_update(t, c, "allow")[0] for t, c in zip(total, current)])
         if np.sqrt(((starts - current) ** 2).sum(axis=(1, 2))).max() < 1e-5:
             break
-    return starts, out["e"]
+    return starts, error
 
 
 def kmeans(

@@ -109,11 +109,36 @@ def kmeans_assign(spark: SparkSession, sf: str) -> DataFrame:
     return cl.assign(e, m.centroids).select("vec_id", "cluster")
 
 
+SAMPLED = 3
+
+
+def _sampled_sql(share: float, k: int) -> str:
+    """One step of several samplings from given starts: counts and sums by sampling and centroid."""
+    draws = ", ".join(f"{uniform_sql(SEED, s, 'vec_id')} < {share!r}" for s in range(SAMPLED))
+    return (
+        f"WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, [{draws}] AS member FROM embeddings), "
+        f"s AS (SELECT row_number() OVER (ORDER BY {row_hash_sql('vec_id', SEED)}, vec_id) - 1 AS place, v AS w FROM e QUALIFY place < {SAMPLED * k}), "
+        f"c AS (SELECT (place // {k})::INT AS run, (place % {k})::INT AS node, w FROM s), "
+        "p AS (SELECT c.run, vec_id, any_value(v) AS v, arg_min(node, (list_distance(v, w), node)) AS node FROM e JOIN c ON e.member[c.run + 1] GROUP BY c.run, vec_id) "
+        f"SELECT run, node, count(*) AS n, {rnd_sql('sum(v[1])')} AS first, {rnd_sql('sum(list_sum(v))')} AS total FROM p GROUP BY run, node"
+    )
+
+
+@catalog.query(_sampled_sql(0.2, 4))
+def kmeans_refined_step(spark: SparkSession, sf: str) -> DataFrame:
+    """One step of three samplings side by side, over their members alone."""
+    e = embeddings(spark, sf)
+    starts = cl.sampled_starts(e, 4, SAMPLED, "vec_id", SEED)
+    sums, _ = cl.sampled_step(cl.memberships(e, SAMPLED, 0.2, "vec_id", SEED), starts)
+    rows = [(r, c, int(t[-1]), float(t[0]), float(t[:-1].sum())) for r, run in enumerate(sums) for c, t in enumerate(run) if t[-1]]
+    df = spark.createDataFrame(rows, "run int, node int, n bigint, first double, total double")
+    return df.select("run", "node", "n", rnd("first").alias("first"), rnd("total").alias("total"))
+
+
 @catalog.query()
 def kmeans_refined(spark: SparkSession, sf: str) -> DataFrame:
-    e = embeddings(spark, sf)
-    m = cl.kmeans(e, 5, refined=True, samplings=8, percentage=0.1, max_iterations=10, id_col="vec_id")
-    return _centroid_rows(spark, m)
+    """A refined start with the operator's defaults: 100 samplings of two percent."""
+    return _centroid_rows(spark, cl.kmeans(embeddings(spark, sf), 5, refined=True, id_col="vec_id"))
 
 
 RADIUS = 1.0
@@ -268,10 +293,8 @@ def gmm_fit_diagonal(spark: SparkSession, sf: str) -> DataFrame:
 
 @catalog.query()
 def gmm_fit_full(spark: SparkSession, sf: str) -> DataFrame:
-    m = gm.fit_mixture(
-        _keyed_pairs(spark, sf), 3, max_iterations=4, kmeans_max_iterations=4, diagonal_covariance=False, trials=2, noise=0.01,
-        refined_start=True, samplings=4, percentage=0.1,
-    )
+    """Full covariances, two trials from refined starts, noise on the points; ten steps of either trial."""
+    m = gm.fit_mixture(_keyed_pairs(spark, sf), 3, diagonal_covariance=False, trials=2, noise=0.01, refined_start=True, max_iterations=10, kmeans_max_iterations=10)
     return _gmm_summary(spark, m)
 
 

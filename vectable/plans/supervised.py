@@ -189,7 +189,7 @@ def hoeffding_leaf_counts(spark: SparkSession, sf: str) -> DataFrame:
 @catalog.query(ACCURATE)
 def hoeffding_batch_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     df = _blobs(spark, sf)
-    tree = tr.train_batch(df, tr.new_hoeffding(3, 2, tr.HoeffdingParams(bins=16)), max_levels=3)
+    tree = tr.train_batch(df, tr.new_hoeffding(3, 2, tr.HoeffdingParams(bins=16)))
     return _above(tr.hoeffding_predict(df, tree), 0.85)
 
 
@@ -197,7 +197,7 @@ def hoeffding_batch_accuracy(spark: SparkSession, sf: str) -> DataFrame:
 def hoeffding_binary_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     df = _blobs(spark, sf)
     params = tr.HoeffdingParams(numeric_split="binary", info_gain=True, bins=32)
-    return _above(tr.hoeffding_predict(df, tr.train_batch(df, tr.new_hoeffding(3, 2, params), max_levels=5)), 0.85)
+    return _above(tr.hoeffding_predict(df, tr.train_batch(df, tr.new_hoeffding(3, 2, params))), 0.85)
 
 
 # --- networks -------------------------------------------------------------------------
