@@ -291,6 +291,38 @@ def test_hoeffding(three, kind, info_gain):
     assert tr.accuracy(tr.hoeffding_predict(df, stream)).first()["accuracy"] > 0.85
 
 
+def test_exact_splits_of_batches(spark, tmp_path):
+    """The value table adds up over batches and survives writing; the split is the best of all values."""
+    rng = np.random.default_rng(15)
+    x = np.round(rng.normal(size=(240, 2)), 1)
+    y = (x[:, 1] > 0.3).astype(int) + 0
+    y[:9] = 1 - y[:9]
+    df = points(spark, x, label=y)
+    params = tr.HoeffdingParams(numeric_split="binary", min_samples=240, max_samples=1)
+    tree = tr.new_hoeffding(2, 2, params)
+    for k in range(3):
+        tree = tr.observe(df.filter(F.col("row_id") % 3 == k), tree)
+        tree, made = tr.grow(tree)
+        assert made == (k == 2)
+        if not made:
+            for ext in ("", ".json"):
+                save_model(spark, tree, str(tmp_path / f"t{k}{ext}"))
+                tree = load_model(spark, str(tmp_path / f"t{k}{ext}"))
+
+    def gini(v):
+        p = np.bincount(v, minlength=2) / max(len(v), 1)
+        return 1 - (p * p).sum()
+
+    best = max((round(gini(y) - (s := x[:, f] <= v).mean() * gini(y[s]) - (~s).mean() * gini(y[~s]), 9), -f, -v) for f in (0, 1) for v in np.unique(x[:, f])[:-1])
+    root = tree.nodes[0]
+    assert (root.feature, root.thresholds) == (-best[1], (float(np.nextafter(-best[2], np.inf)),))
+    left = x[:, root.feature] < root.thresholds[0]
+    assert [tree.nodes[c].counts for c in root.children] == [tuple(np.bincount(y[m], minlength=2).astype(float)) for m in (left, ~left)]
+    assert tree.values.count() == 0
+    again = tr.observe(df, tree)
+    assert {leaf: tuple(n) for leaf, n in tr.leaf_sizes(again).items()} == {c: tree.nodes[c].counts for c in root.children}
+
+
 def test_hoeffding_waits_for_ranges(spark, three):
     _, _, df = three
     params = tr.HoeffdingParams(observations_before_binning=100)

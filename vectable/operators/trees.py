@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vectable.functions.blocks import matrix_udf, sum_over_rows
 from vectable.operators.layout import shape
 from vectable.operators.order import running_totals
-from vectable.session import reused
+from vectable.session import cut_lineage, reused
 
 MAX_DEPTH = 30  # of the tree builder in Spark ML
 
@@ -146,6 +146,8 @@ class HoeffdingTree:
     histograms: dict[int, np.ndarray] = field(default_factory=dict)  # leaf -> (dim, bins, classes)
     checked: dict[int, float] = field(default_factory=dict)  # leaf -> rows at its last check
     waiting: tuple[tuple[int, tuple[float, ...]], ...] = ()  # labelled rows of leaves without a range yet
+    # Exact splits: the table (leaf, feature_idx, value, c0, c1, ..) of what every leaf has seen, of any size.
+    values: DataFrame | None = None
 
     def leaves(self) -> list[int]:
         return [i for i, n in enumerate(self.nodes) if not n.children]
@@ -219,10 +221,7 @@ def _edges(tree: HoeffdingTree, leaf: int, f: int) -> np.ndarray:
 
 
 def best_splits(tree: HoeffdingTree, leaf: int) -> list[tuple[float, int, tuple[float, ...], np.ndarray]]:
-    """(gain, feature, thresholds, counts per child) per feature, best first.
-
-    ``domingos`` splits into one child per bin, ``binary`` at the best bin edge.
-    """
+    """(gain, feature, thresholds, counts per child) per feature, best first: one child per bin."""
     p, hist = tree.params, tree.histograms[leaf]
     gini, n = not p.info_gain, hist[0].sum()
     parent = float(_impurity(hist[0].sum(0), gini))
@@ -230,20 +229,61 @@ def best_splits(tree: HoeffdingTree, leaf: int) -> list[tuple[float, int, tuple[
     for f in range(tree.dim):
         if tree.highs[leaf][f] <= tree.lows[leaf][f]:
             continue
-        edges = _edges(tree, leaf, f)
-        if p.numeric_split == "domingos":
-            share = hist[f].sum(-1) / n
-            out.append((parent - float((share * _impurity(hist[f], gini)).sum()), f, tuple(edges), hist[f]))
-            continue
-        left = hist[f].cumsum(0)[:-1]
-        right = hist[f].sum(0) - left
-        share = left.sum(-1) / n
-        gains = parent - share * _impurity(left, gini) - (1.0 - share) * _impurity(right, gini)
-        b = int(gains.argmax())
-        out.append((float(gains[b]), f, (float(edges[b]),), np.stack([left[b], right[b]])))
+        share = hist[f].sum(-1) / n
+        out.append((parent - float((share * _impurity(hist[f], gini)).sum()), f, tuple(_edges(tree, leaf, f)), hist[f]))
     return sorted(out, key=lambda s: (-s[0], s[1]))
 
 
+def _names(classes: int, prefix: str = "c") -> list[str]:
+    return [f"{prefix}{c}" for c in range(classes)]
+
+
+def value_counts(cells: DataFrame, classes: int) -> DataFrame:
+    """(leaf, feature_idx, value, c0, c1, ..) of cells (leaf, feature_idx, value, y)."""
+    per_class = [F.sum(F.when(F.col("y") == c, 1.0).otherwise(0.0)).alias(n) for c, n in enumerate(_names(classes))]
+    return cells.groupBy("leaf", "feature_idx", "value").agg(*per_class)
+
+
+def observe_values(df: DataFrame, tree: HoeffdingTree, label_col: str = "label", *, fresh: bool = False) -> HoeffdingTree:
+    """Count one batch into the value table: rows are routed to their leaves, and equal values of a leaf add up."""
+    nodes, names = tree.nodes, _names(tree.classes)
+    leaf = matrix_udf(lambda x: route(nodes, x), "int")(F.col("features"))
+    cells = df.select(leaf.alias("leaf"), F.col(label_col).cast("int").alias("y"), F.posexplode("features").alias("feature_idx", "value"))
+    counted = value_counts(cells.filter(F.col("value").isNotNull()), tree.classes)
+    if tree.values is not None and not fresh:
+        both = counted.unionByName(tree.values)
+        counted = both.groupBy("leaf", "feature_idx", "value").agg(*[F.sum(n).alias(n) for n in names])
+    return replace(tree, values=cut_lineage(counted))
+
+
+def leaf_sizes(tree: HoeffdingTree) -> dict[int, np.ndarray]:
+    """Class counts of every leaf that has seen rows."""
+    names = _names(tree.classes)
+    if tree.values is None:
+        return {}
+    found = tree.values.filter(F.col("feature_idx") == 0).groupBy("leaf").agg(*[F.sum(n).alias(n) for n in names])
+    return {r["leaf"]: np.array([r[n] for n in names]) for r in found.collect()}
+
+
+def value_splits(tree: HoeffdingTree, sizes: dict[int, np.ndarray]) -> DataFrame:
+    """(leaf, feature_idx, value, gain, left) of the best split "x <= value" of every feature of the given leaves."""
+    spark = tree.values.sparkSession
+    of = spark.createDataFrame([(leaf, *map(float, n)) for leaf, n in sizes.items()], "leaf int, " + ", ".join(f"{n} double" for n in _names(tree.classes, "t")))
+    seen = tree.values.filter(F.col("leaf").isin(list(sizes)))
+    return feature_splits(seen, of, tree.classes, 1, "entropy" if tree.params.info_gain else "gini")
+
+
+def _ranked_values(tree: HoeffdingTree, sizes: dict[int, np.ndarray]) -> dict[int, list[tuple[float, int, tuple[float, ...], np.ndarray]]]:
+    """Per leaf what best_splits has; only the best split of every feature reaches the driver."""
+    out: dict[int, list] = {leaf: [] for leaf in sizes}
+    for r in value_splits(tree, sizes).collect() if sizes else ():
+        left = np.array(r["left"])
+        # Values at a threshold go up, so the threshold is the next number above the value.
+        above = (float(np.nextafter(r["value"], np.inf)),)
+        out[r["leaf"]].append((r["gain"], r["feature_idx"], above, np.stack([left, sizes[r["leaf"]] - left])))
+    return {leaf: sorted(found, key=lambda s: (-s[0], s[1])) for leaf, found in out.items()}
+
+
 def hoeffding_bound(n: float, classes: int, confidence: float, info_gain: bool) -> float:
     span = math.log2(classes) if info_gain else 1.0 - 1.0 / classes
     return math.sqrt(span * span * math.log(1.0 / (1.0 - confidence)) / (2.0 * n))
@@ -252,32 +292,36 @@ def hoeffding_bound(n: float, classes: int, confidence: float, info_gain: bool)
 def grow(tree: HoeffdingTree) -> tuple[HoeffdingTree, int]:
     """Split every leaf whose best feature is ahead of the second by the bound; returns the splits made."""
     p, nodes = tree.params, list(tree.nodes)
-    lows, highs, hists, checked = dict(tree.lows), dict(tree.highs), dict(tree.histograms), dict(tree.checked)
-    made = 0
-    for leaf in list(hists):
-        n = hists[leaf][0].sum()
-        nodes[leaf] = replace(nodes[leaf], counts=tuple(hists[leaf][0].sum(0)))
-        if n < p.min_samples or n - checked.get(leaf, 0.0) < p.check_interval:
+    exact = p.numeric_split == "binary"
+    sizes = leaf_sizes(tree) if exact else {leaf: h[0].sum(0) for leaf, h in tree.histograms.items()}
+    checked, due = dict(tree.checked), {}
+    for leaf, counts in sizes.items():
+        nodes[leaf] = replace(nodes[leaf], counts=tuple(counts.tolist()))
+        n = float(counts.sum())
+        if n >= p.min_samples and n - checked.get(leaf, 0.0) >= p.check_interval:
+            checked[leaf], due[leaf] = n, counts
+    ranked = _ranked_values(tree, due) if exact else {leaf: best_splits(tree, leaf) for leaf in due}
+    split: list[int] = []
+    for leaf in due:
+        found, n = ranked[leaf], checked[leaf]
+        if not found or found[0][0] <= 0.0:
             continue
-        checked[leaf] = float(n)
-        ranked = best_splits(tree, leaf)
-        if not ranked or ranked[0][0] <= 0.0:
-            continue
-        lead = ranked[0][0] - (ranked[1][0] if len(ranked) > 1 else 0.0)
+        lead = found[0][0] - (found[1][0] if len(found) > 1 else 0.0)
         sure = lead > hoeffding_bound(n, tree.classes, p.confidence, p.info_gain)
         if not sure and not (p.max_samples and n > p.max_samples):
             continue
-        _, feature, thresholds, child_counts = ranked[0]
+        _, feature, thresholds, child_counts = found[0]
         first = len(nodes)
         parent_counts = np.asarray(nodes[leaf].counts)
         for c in child_counts:
             # An empty child answers like its parent until it sees rows.
             nodes.append(Node(tuple(c if c.sum() else parent_counts / max(parent_counts.sum(), 1.0))))
         nodes[leaf] = replace(nodes[leaf], feature=feature, thresholds=thresholds, children=tuple(range(first, len(nodes))))
-        for state in (lows, highs, hists, checked):
-            state.pop(leaf, None)
-        made += 1
-    return replace(tree, nodes=tuple(nodes), lows=lows, highs=highs, histograms=hists, checked=checked), made
+        split.append(leaf)
+    state = [{k: v for k, v in d.items() if k not in split} for d in (tree.lows, tree.highs, tree.histograms, checked)]
+    values = tree.values.filter(~F.col("leaf").isin(split)) if exact and split and tree.values is not None else tree.values
+    lows, highs, hists, checked = state
+    return replace(tree, nodes=tuple(nodes), lows=lows, highs=highs, histograms=hists, checked=checked, values=values), len(split)
 
 
 def _with_waiting(df: DataFrame, tree: HoeffdingTree, label_col: str) -> DataFrame:
@@ -293,8 +337,11 @@ def observe(df: DataFrame, tree: HoeffdingTree, label_col: str = "label", *, fre
 
     A leaf fixes its bin ranges once it has seen enough rows; until then its few rows
     (fewer than ``observations_before_binning`` per leaf) wait in the model.  ``fresh``
-    replaces the counts instead of adding to them (whole-table passes).
+    replaces the counts instead of adding to them (whole-table passes).  Exact (``binary``)
+    splits have no bins: their values are counted in a table.
     """
+    if tree.params.numeric_split == "binary":
+        return observe_values(df, tree, label_col, fresh=fresh)
     batch = _with_waiting(df.select(F.col(label_col).cast("int").alias(label_col), "features"), tree, label_col)
     lows, highs = dict(tree.lows), dict(tree.highs)
     need = 1 if fresh else tree.params.observations_before_binning
@@ -378,24 +425,28 @@ class Split:
     gain: float
 
 
-def exact_splits(cells: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int) -> DataFrame:
-    """(leaf, feature, value, gain, left) of the best split "x <= value" of each leaf, over all distinct values.
+def feature_splits(counted: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int, criterion: str = "gini") -> DataFrame:
+    """(leaf, feature_idx, value, gain, left) of the best split "x <= value" of each feature of each leaf, over all distinct values.
 
-    ``cells`` is (leaf, feature_idx, value, y), ``sizes`` (leaf, t0, t1, ..): class counts.
-    Gains are compared to nine digits; the lower feature and value win ties.
+    ``counted`` is (leaf, feature_idx, value, c0, c1, ..), ``sizes`` (leaf, t0, t1, ..): class counts.
+    Gains are compared to nine digits; the lower value wins ties.
     """
-    names = [f"c{c}" for c in range(classes)]
-    counted = cells.groupBy("leaf", "feature_idx", "value").agg(*[F.sum(F.when(F.col("y") == c, 1.0).otherwise(0.0)).alias(n) for c, n in enumerate(names)])
-    run = running_totals(counted, ["leaf", "feature_idx"], ["value"], {f"l{c}": n for c, n in enumerate(names)}).join(sizes, "leaf")
+    run = running_totals(counted, ["leaf", "feature_idx"], ["value"], {f"l{c}": n for c, n in enumerate(_names(classes))}).join(F.broadcast(sizes), "leaf")
     left = [F.col(f"l{c}") for c in range(classes)]
     whole = [F.col(f"t{c}") for c in range(classes)]
     right = [t - x for t, x in zip(whole, left)]
     n_left, n = sum(left[1:], left[0]), sum(whole[1:], whole[0])
-    gain = impurity_expr(whole, "gini") - n_left / n * impurity_expr(left, "gini") - (n - n_left) / n * impurity_expr(right, "gini")
+    gain = impurity_expr(whole, criterion) - n_left / n * impurity_expr(left, criterion) - (n - n_left) / n * impurity_expr(right, criterion)
     tried = run.filter((n_left >= minimum_leaf_size) & (n - n_left >= minimum_leaf_size)).withColumn("gain", F.round(gain, GAIN_DIGITS))
+    best = F.max_by(F.struct("value", "gain", F.array(*left).alias("left")), F.struct(F.col("gain"), -F.col("value")))
+    return tried.groupBy("leaf", "feature_idx").agg(best.alias("b")).select("leaf", "feature_idx", "b.*")
+
+
+def exact_splits(cells: DataFrame, sizes: DataFrame, classes: int, minimum_leaf_size: int) -> DataFrame:
+    """(leaf, feature_idx, value, gain, left) of the best split of each leaf of ``cells`` (leaf, feature_idx, value, y); the lower feature wins ties."""
+    found = feature_splits(value_counts(cells, classes), sizes, classes, minimum_leaf_size)
     order = F.struct(F.col("gain"), -F.col("feature_idx"), -F.col("value"))
-    best = F.max_by(F.struct("feature_idx", "value", "gain", F.array(*left).alias("left")), order)
-    return tried.groupBy("leaf").agg(best.alias("b")).select("leaf", "b.*")
+    return found.groupBy("leaf").agg(F.max_by(F.struct("feature_idx", "value", "gain", "left"), order).alias("b")).select("leaf", "b.*")
 
 
 def train_exact(

@@ -81,11 +81,16 @@ def _format(path: str) -> str:
     return {"json": "json", "xml": "xml"}.get(path.rstrip("/").rsplit(".", 1)[-1].lower(), "parquet")
 
 
+def _values_path(path: str) -> str:
+    return f"{path.rstrip('/')}-values"
+
+
 def save_model(spark: SparkSession, model: object, path: str) -> None:
     """Write a model; a path ending in .json or .xml selects that text format.
 
     A decision tree is written in Spark ML's own form, a neighbour search as
-    its whole reference table in Parquet beside its options.
+    its whole reference table in Parquet beside its options.  An incremental tree with
+    exact splits has its value table in Parquet beside it, in a folder that ends in -values.
     """
     if isinstance(model, DecisionTreeClassificationModel):
         model.write().overwrite().save(path)
@@ -94,6 +99,10 @@ def save_model(spark: SparkSession, model: object, path: str) -> None:
         model.reference.write.mode("overwrite").parquet(f"{path}/reference")
         spark.createDataFrame([(json.dumps(model.options),)], "options string").write.mode("overwrite").parquet(f"{path}/options")
         return
+    if isinstance(model, HoeffdingTree) and model.values is not None:
+        # The value table of exact splits may have any size: it is a table of its own.
+        model.values.write.mode("overwrite").parquet(_values_path(path))
+        model = dataclasses.replace(model, values=True)
     out = model_table(spark, model).coalesce(1).write.mode("overwrite")
     form = _format(path)
     if form == "xml":
@@ -115,4 +124,7 @@ def load_model(spark: SparkSession, path: str) -> object:
     reader = spark.read.schema(SCHEMA)
     if form == "xml":
         reader = reader.option("rowTag", "row")
-    return from_table(reader.format(form).load(path))
+    model = from_table(reader.format(form).load(path))
+    if isinstance(model, HoeffdingTree) and model.values:
+        model = dataclasses.replace(model, values=spark.read.parquet(_values_path(path)))
+    return model
