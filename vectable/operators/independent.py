@@ -19,8 +19,8 @@ from vectable.session import reused
 
 # Smallest positive normal double: spacing of tied values.
 TINY = 2.2250738585072014e-308
-#: Replicas of a table that a single task makes for itself (32 MB a component).
-LOCAL_VALUES = 4_000_000
+#: Replicas of a table that a single task makes for itself (48 MB a component).
+LOCAL_VALUES = 6_000_000
 #: Angles whose replicas are sorted at a time beyond that.
 ANGLES_AT_ONCE = 10
 
