@@ -6,7 +6,7 @@ from helpers import blobs, points
 from pyspark.sql import functions as F
 
 from vectable.operators import clustering as cl, independent as ica, linear as li, mixture as gm, neural as nn, reduction as rd, som, svm
-from vectable.operators import scaling, trees as tr
+from vectable.operators import scaling, training as tn, trees as tr
 from vectable.operators.training import lbfgs
 from vectable.sources.models import load_model, save_model
 
@@ -291,6 +291,41 @@ def test_hoeffding(three, kind, info_gain):
     assert tr.accuracy(tr.hoeffding_predict(df, stream)).first()["accuracy"] > 0.85
 
 
+@pytest.mark.parametrize("rule", ["sgd", "psgd", "rmsprop", "adam"])
+def test_global_batches_do_not_depend_on_partitions(spark, rule):
+    rng = np.random.default_rng(16)
+    x, y = blobs(rng, 40)
+    lam = 1e-3
+
+    def penalty(t):
+        return 0.5 * lam * float(t @ t), lam * t
+
+    loss = svm.row_loss(3, 2, 1.0, True)
+    got = []
+    for partitions in (2, 8):
+        df = points(spark, x, partitions, label=y)
+        got.append(tn.global_passes(df, ["features", "label"], np.zeros(9), loss, penalty, optimizer=rule, step_size=0.02, batches=4, epochs=3, tolerance=0.0, batch_of=F.col("row_id") % 4))
+    assert np.allclose(got[0][0], got[1][0], rtol=1e-9, atol=1e-12) and np.isclose(got[0][1], got[1][1])
+    step, theta = tn.Stepper(rule, 0.02, 9), np.zeros(9)
+    for _ in range(3):
+        for b in range(4):
+            mine = np.arange(len(x)) % 4 == b
+            theta = step(theta, loss(theta, x[mine], y[mine])[1] / mine.sum() + penalty(theta)[1])
+    assert np.allclose(got[0][0], theta)
+
+
+def test_fits_by_global_batches(spark, three):
+    x, y, df = three
+    with_class = df.withColumn("class", F.col("label"))
+    a, b = (svm.fit_svm(with_class.repartition(k), optimizer="psgd", epochs=6, step_size=0.05, batches=3) for k in (2, 7))
+    assert np.allclose(a.weights, b.weights) and np.allclose(a.intercepts, b.intercepts)
+    assert (np.argmax(x @ a.weights.T + a.intercepts, 1) == y).mean() > 0.95
+    nets = [nn.fit_classifier(df.repartition(k), hidden_neurons=4, activation="tanh", optimizer="adam", step_size=0.05, max_iterations=4, batches=3) for k in (2, 7)]
+    assert np.allclose(nets[0].theta, nets[1].theta, atol=1e-8)
+    with pytest.raises(ValueError):
+        tn.global_passes(df.limit(0), ["features", "label"], np.zeros(9), svm.row_loss(3, 2, 1.0, True), tn.no_penalty, optimizer="sgd", step_size=0.1, batches=2, epochs=1, tolerance=0.0)
+
+
 def test_exact_splits_of_batches(spark, tmp_path):
     """The value table adds up over batches and survives writing; the split is the best of all values."""
     rng = np.random.default_rng(15)

@@ -110,13 +110,13 @@ def _row_loss(net: Network):
     return loss
 
 
-def _fit(df: DataFrame, target_col: str, net: Network, *, optimizer: str, step_size: float, batch_size: int, max_iterations: int, tolerance: float, seed: int) -> Network:
+def _fit(df: DataFrame, target_col: str, net: Network, *, optimizer: str, step_size: float, batch_size: int, max_iterations: int, tolerance: float, seed: int, batches: int) -> Network:
     if optimizer not in ("rmsprop", "sgd", "lbfgs", "adam"):
         raise ValueError("optimizer is rmsprop, sgd, lbfgs or adam")
     with reused(df, "features", target_col) as kept:
         theta, value, _ = minimise(
             kept, ["features", target_col], net.theta, _row_loss(net), no_penalty, optimizer=optimizer,
-            max_iterations=max_iterations, tolerance=tolerance, step_size=step_size, batch_size=batch_size, seed=seed,
+            max_iterations=max_iterations, tolerance=tolerance, step_size=step_size, batch_size=batch_size, seed=seed, batches=batches,
         )
     return Network(net.widths, net.activation, theta, net.classifier, value)
 
@@ -134,14 +134,18 @@ def fit_classifier(
     max_iterations: int = 10000,
     tolerance: float = 1e-7,
     seed: int = 0,
+    batches: int = 0,
 ) -> Network:
-    """Hidden layers, then one log-softmax output per class; labels are 0 .. k-1."""
+    """Hidden layers, then one log-softmax output per class; labels are 0 .. k-1.
+
+    ``batches`` asks for so many global batches a pass, whose result does not depend on partitions.
+    """
     k = require_contiguous_labels(df, label_col)
     _, d = shape(df)
     net = start_network((d, *[hidden_neurons] * hidden_layers, k), activation, True, seed)
     return _fit(
         df, label_col, net, optimizer=optimizer, step_size=step_size, batch_size=batch_size,
-        max_iterations=max_iterations, tolerance=tolerance, seed=seed,
+        max_iterations=max_iterations, tolerance=tolerance, seed=seed, batches=batches,
     )
 
 
@@ -159,13 +163,14 @@ def fit_regressor(
     max_iterations: int = 10000,
     tolerance: float = 1e-7,
     seed: int = 0,
+    batches: int = 0,
 ) -> Network:
     """The same with a linear output and mean squared error; the target is a number or an array."""
     _, d = shape(df)
     net = start_network((d, *[hidden_neurons] * hidden_layers, outputs), activation, False, seed)
     return _fit(
         df, target_col, net, optimizer=optimizer, step_size=step_size, batch_size=batch_size,
-        max_iterations=max_iterations, tolerance=tolerance, seed=seed,
+        max_iterations=max_iterations, tolerance=tolerance, seed=seed, batches=batches,
     )
 
 

@@ -39,7 +39,9 @@ class LinearSvm:
     objective: float = float("nan")
 
 
-def _row_loss(k: int, d: int, delta: float, intercept: bool):
+def row_loss(k: int, d: int, delta: float, intercept: bool):
+    """Summed hinge loss of rows and its gradient, for weights with the intercept last."""
+
     def loss(theta: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
         w = theta.reshape(k, d + intercept)
         z = np.hstack([x, np.ones((len(x), 1))]) if intercept else x
@@ -68,8 +70,12 @@ def fit_svm(
     step_size: float = 0.01,
     shuffle: bool = False,
     epochs: int = 50,
+    batches: int = 0,
 ) -> LinearSvm:
-    """Mean hinge loss with margin ``delta`` over all wrong classes plus lam/2 |W|^2; classes are 0 .. k-1."""
+    """Mean hinge loss with margin ``delta`` over all wrong classes plus lam/2 |W|^2; classes are 0 .. k-1.
+
+    ``batches`` asks for so many global batches a pass, whose result does not depend on partitions.
+    """
     if optimizer not in ("lbfgs", "psgd"):
         raise ValueError("optimizer is lbfgs or psgd")
     _, d = shape(df)
@@ -83,9 +89,9 @@ def fit_svm(
 
     with reused(df, "features", class_col) as kept:
         theta, value, _ = minimise(
-            kept, ["features", class_col], np.zeros(k * (d + intercept)), _row_loss(k, d, delta, intercept), penalty,
+            kept, ["features", class_col], np.zeros(k * (d + intercept)), row_loss(k, d, delta, intercept), penalty,
             optimizer=optimizer, max_iterations=max_iterations if optimizer == "lbfgs" else epochs, tolerance=tolerance,
-            step_size=step_size, shuffle=shuffle,
+            step_size=step_size, shuffle=shuffle, batches=batches,
         )
     w = theta.reshape(k, d + intercept)
     return LinearSvm(w[:, :d], w[:, d] if intercept else np.zeros(k), value)

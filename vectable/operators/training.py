@@ -1,7 +1,8 @@
 """Fitting parameter vectors: distributed gradients with a driver-side L-BFGS, or averaged mini-batch passes.
 
 Either way one pass over the table is one Spark job and only parameter-sized
-arrays travel.
+arrays travel.  Where the result must not depend on partitions, a pass has a number
+of global batches, with one job and one step each.
 """
 
 from __future__ import annotations
@@ -10,8 +11,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from vectable.functions.blocks import Batch, Partials, sum_over_tasks
+from vectable.session import reused
 
 ValueGrad = Callable[[np.ndarray], tuple[float, np.ndarray]]
 RowLoss = Callable[..., tuple[float, np.ndarray]]
@@ -148,6 +151,68 @@ def averaged_passes(
     return theta, float(value), done
 
 
+def dealt_batches(columns: list[str | Column], batches: int, seed: int) -> Column:
+    """The batch of a row by a hash of its values: equal rows share one, and partitions play no part."""
+    values = [c if isinstance(c, Column) else F.col(c) for c in columns]
+    return F.pmod(F.xxhash64(F.lit(int(seed)), *values), F.lit(int(batches)))
+
+
+def global_passes(
+    df: DataFrame,
+    columns: list[str | Column],
+    theta: np.ndarray,
+    row_loss: RowLoss,
+    penalty: ValueGrad,
+    *,
+    optimizer: str,
+    step_size: float,
+    batches: int,
+    epochs: int,
+    tolerance: float,
+    seed: int = 0,
+    batch_of: Column | None = None,
+) -> tuple[np.ndarray, float, int]:
+    """Mini-batch descent with one step for all tasks per batch: the gradients of a batch's rows are summed over the table.
+
+    Rows belong to one of ``batches`` batches by a hash of their values, or by ``batch_of``, so
+    the result does not depend on how they are partitioned.  A step is one job over the rows of its
+    batch, which lie together in the kept table; the moments of the optimiser live as long as the fit.
+    """
+    if batches < 1:
+        raise ValueError("a pass has at least one batch")
+    named = {f"__{i}": c if isinstance(c, Column) else F.col(c) for i, c in enumerate(columns)}
+    deal = dealt_batches(columns, batches, seed) if batch_of is None else batch_of
+    dealt = df.select(*[c.alias(n) for n, c in named.items()], deal.cast("int").alias("__batch")).sortWithinPartitions("__batch")
+    step = Stepper(optimizer, step_size, len(theta))
+    last, value, done = np.inf, np.inf, 0
+    with reused(dealt, *named, "__batch") as kept:
+        for epoch in range(epochs):
+            start, rows, loss = theta, 0.0, 0.0
+            for batch in range(batches):
+                here = theta
+
+                def task(parts: Iterator[Batch], here: np.ndarray = here) -> Partials:
+                    n, total, grad = 0, 0.0, np.zeros_like(here)
+                    for part in parts:
+                        value, g = row_loss(here, *part)
+                        n, total, grad = n + len(part[0]), total + value, grad + g
+                    return {"n": np.array(float(n)), "loss": np.array(total), "grad": grad} if n else {}
+
+                out = sum_over_tasks(kept.filter(F.col("__batch") == batch), list(named), task)
+                if not out:
+                    continue
+                n = out["n"].item()
+                theta = step(here, out["grad"] / n + penalty(here)[1])
+                rows, loss = rows + n, loss + out["loss"].item()
+            if not rows:
+                raise ValueError("no rows to learn from")
+            value, done = loss / rows + penalty(start)[0], epoch + 1
+            if abs(last - value) <= tolerance * max(1.0, abs(value)):
+                break
+            last = value
+    return theta, float(value), done
+
+
 def minimise(
     df: DataFrame,
     columns: list[str | Column],
@@ -162,10 +227,18 @@ def minimise(
     batch_size: int = 50,
     shuffle: bool = False,
     seed: int = 0,
+    batches: int = 0,
 ) -> tuple[np.ndarray, float, int]:
-    """L-BFGS on the full gradient, or averaged mini-batch passes; ``max_iterations`` counts passes."""
+    """L-BFGS on the full gradient, or mini-batch passes; ``max_iterations`` counts passes.
+
+    With ``batches`` a pass has so many steps, each for all tasks; without, every task walks its own rows and parameters are averaged.
+    """
     if optimizer == "lbfgs":
         return lbfgs(mean_objective(df, columns, row_loss, penalty), theta, max_iterations, tolerance)
+    if batches:
+        return global_passes(
+            df, columns, theta, row_loss, penalty, optimizer=optimizer, step_size=step_size, batches=batches, epochs=max_iterations, tolerance=tolerance, seed=seed
+        )
     return averaged_passes(
         df, columns, theta, row_loss, penalty, optimizer=optimizer, step_size=step_size, batch_size=batch_size,
         epochs=max_iterations, tolerance=tolerance, shuffle=shuffle, seed=seed,

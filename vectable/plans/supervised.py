@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions import exprs
-from vectable.operators import neural as nn, scaling, svm, trees as tr
+from vectable.operators import neural as nn, scaling, svm, training as tn, trees as tr
 from vectable.plans.common import LINEITEM_KEY, Catalog, embeddings, rnd, rnd_sql, table
 
 catalog = Catalog()
@@ -90,6 +90,55 @@ def svm_psgd_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return _above(svm.svm_scores(df, svm.fit_svm(df, "label", optimizer="psgd", epochs=4, step_size=0.05, tolerance=1e-4)), 0.7)
 
 
+DESCENT_RATE, DESCENT_LAM, DESCENT_START = 0.05, 1e-4, np.round(np.random.default_rng(11).uniform(-0.4, 0.4, 9), 3)
+RULES = ("sgd", "rmsprop", "adam")
+
+
+def _gradient_sql(source: str, batch: int) -> str:
+    """Mean hinge gradient of the rows of a batch at the parameters t0 .. t8 of each rule of `source`, plus the penalty's."""
+    score = ", ".join(f"t{3 * c} * a + t{3 * c + 1} * b + t{3 * c + 2} AS s{c}" for c in range(3))
+    hit = ", ".join(f"(y <> {c} AND s{c} - [s0, s1, s2][y + 1] + 1.0 > 0)::INT AS h{c}" for c in range(3))
+    ways = ", ".join(f"CASE WHEN y = {c} THEN -(h0 + h1 + h2) ELSE h{c} END AS w{c}" for c in range(3))
+    parts = ", ".join(f"avg(w{c} * {z}) + {DESCENT_LAM!r} * any_value(t{3 * c + i}) AS g{3 * c + i}" for c in range(3) for i, z in enumerate(("a", "b", "1.0")))
+    return f"SELECT rule, {parts} FROM (SELECT *, {ways} FROM (SELECT *, {hit} FROM (SELECT *, {score} FROM x JOIN {source} ON x.batch = {batch}))) GROUP BY rule"
+
+
+def _step_sql(source: str, step: int) -> str:
+    """The parameters and moments after a step of each rule."""
+    columns = []
+    for i in range(9):
+        g = f"g{i}"
+        m, v = f"(0.9 * m{i} + 0.1 * {g})", f"CASE rule WHEN 'adam' THEN 0.999 * v{i} + 0.001 * {g} * {g} ELSE 0.99 * v{i} + 0.01 * {g} * {g} END"
+        moved = (
+            f"CASE rule WHEN 'sgd' THEN {g} WHEN 'rmsprop' THEN {g} / (sqrt({v}) + 1e-8) "
+            f"ELSE {m} / {1 - 0.9**step!r} / (sqrt(({v}) / {1 - 0.999**step!r}) + 1e-8) END"
+        )
+        columns += [f"t{i} - {DESCENT_RATE!r} * ({moved}) AS t{i}", f"{m} AS m{i}", f"{v} AS v{i}"]
+    return f"SELECT rule, {', '.join(columns)} FROM {source} JOIN g{step} USING (rule)"
+
+
+@catalog.query(
+    "WITH x AS (SELECT (l_orderkey % 2)::INT AS batch, l_extendedprice / 50000.0 - 1.0 AS a, l_quantity / 25.0 - 1.0 AS b, "
+    "(CASE WHEN l_extendedprice < 35000 THEN 0 WHEN l_extendedprice < 70000 THEN 1 ELSE 2 END)::INT AS y FROM lineitem), "
+    f"p0 AS (SELECT unnest({list(RULES)!r}) AS rule, " + ", ".join(f"{float(v)!r}::DOUBLE AS t{i}, 0.0::DOUBLE AS m{i}, 0.0::DOUBLE AS v{i}" for i, v in enumerate(DESCENT_START)) + "), "
+    f"g1 AS ({_gradient_sql('p0', 0)}), p1 AS ({_step_sql('p0', 1)}), g2 AS ({_gradient_sql('p1', 1)}), p2 AS ({_step_sql('p1', 2)}) "
+    f"SELECT rule, unnest(range(9))::INT AS i, {rnd_sql('unnest([' + ', '.join(f't{i}' for i in range(9)) + '])', 8)} AS value FROM p2"
+)
+def descent_two_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """A support vector machine after two global batches from given parameters, by each update rule."""
+    li = table(spark, sf, "lineitem").select((F.col("l_orderkey") % 2).cast("int").alias("batch"), "l_extendedprice", "l_quantity")
+    band = F.when(F.col("l_extendedprice") < 35000, 0).when(F.col("l_extendedprice") < 70000, 1).otherwise(2)
+    df = li.select("batch", F.array(F.col("l_extendedprice") / 50000.0 - 1.0, F.col("l_quantity") / 25.0 - 1.0).alias("features"), band.alias("class"))
+    rows = []
+    for rule in RULES:
+        theta, _, _ = tn.global_passes(
+            df, ["features", "class"], DESCENT_START, svm.row_loss(3, 2, 1.0, True), lambda t: (0.5 * DESCENT_LAM * float(t @ t), DESCENT_LAM * t),
+            optimizer=rule, step_size=DESCENT_RATE, batches=2, epochs=1, tolerance=0.0, batch_of=F.col("batch"),
+        )
+        rows += [(rule, i, float(v)) for i, v in enumerate(theta)]
+    return spark.createDataFrame(rows, "rule string, i int, value double").withColumn("value", rnd("value", 8))
+
+
 # --- trees --------------------------------------------------------------------------
 
 
