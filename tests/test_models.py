@@ -144,7 +144,7 @@ def test_pca_methods(spark):
     values = np.linalg.eigvalsh(np.cov(x.T))[::-1]
     assert np.allclose(exact.values, values.clip(0))
     for method in rd.METHODS[1:]:
-        approx = rd.fit_pca(df, 3, method=method)
+        approx = rd.fit_pca(df, 3, method=method, epsilon=1e-9)
         assert np.allclose(approx.values[:3], values[:3], rtol=1e-6)
     scores = np.array([r["scores"] for r in rd.pca_scores(df, exact).orderBy("row_id").collect()])
     assert np.allclose(np.abs(scores), np.abs((x - x.mean(0)) @ np.linalg.eigh(np.cov(x.T))[1][:, ::-1][:, :3]), atol=1e-8)
@@ -175,6 +175,33 @@ def test_unmixing_separates_uniform_sources(spark):
     assert np.sort(total, axis=1)[:, 0].max() < 0.12
 
 
+@pytest.mark.parametrize("epsilon", [0.5, 0.1, 0.01, 1e-6])
+def test_cosine_tree_holds_its_bound(spark, epsilon):
+    rng = np.random.default_rng(21)
+    x = rng.normal(size=(300, 3)) @ rng.normal(size=(3, 12)) + 0.05 * rng.normal(size=(300, 12))
+    x[:100] = x[0]
+    df = points(spark, x)
+    z = x - x.mean(0)
+    basis, outside = rd.cosine_tree(df, x.mean(0), np.ones(12), epsilon, "row_id", 1)
+    assert np.allclose(basis.T @ basis, np.eye(basis.shape[1]), atol=1e-9)
+    left = ((z - z @ basis @ basis.T) ** 2).sum() / (z * z).sum()
+    assert np.isclose(left, outside, atol=1e-9) and (left <= epsilon or basis.shape[1] == 12)
+    exact, found = rd.fit_pca(df, 2), rd.fit_pca(df, 2, method="quic", epsilon=epsilon)
+    assert exact.retained - epsilon - 1e-9 <= found.retained <= exact.retained + 1e-9
+    if epsilon >= 0.01:
+        assert found.basis < 12
+
+
+def test_cosine_tree_of_odd_tables(spark):
+    same = points(spark, np.ones((5, 3)))
+    assert rd.fit_pca(same, 2, method="quic").vectors.shape == (3, 2)
+    line = points(spark, np.outer(np.arange(7.0), [1.0, 2.0]))
+    found = rd.fit_pca(line, 1, method="quic")
+    assert found.basis <= 2 and np.isclose(found.retained, 1.0)
+    with pytest.raises(ValueError):
+        rd.fit_pca(line, 1, method="quic", epsilon=0.0)
+
+
 def test_linear_and_ridge(spark):
     rng = np.random.default_rng(9)
     x = rng.normal(5, 2, (200, 3))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vectable.functions.blocks import matrix_udf, sum_over_rows
+from vectable.functions.blocks import matrix_udf, sum_over_rows, to_matrix
+from vectable.functions.hashing import uniforms
 from vectable.operators.layout import require_dim
-from vectable.operators.moments import covariance, moments
+from vectable.operators.moments import Moments, covariance, moments
 from vectable.session import reused
 
 METHODS = ("exact", "randomized", "randomized-block-krylov", "quic")
@@ -24,6 +26,7 @@ class Pca:
     vectors: np.ndarray  # (d, found), columns are components
     keep: int
     total_variance: float
+    basis: int = 0  # directions that the values were found among; 0 if all
 
     @property
     def retained(self) -> float:
@@ -41,14 +44,147 @@ def _sketch(df: DataFrame, mean: np.ndarray, scale: np.ndarray, basis: np.ndarra
     return sum_over_rows(df, ["features"], step)["s"]
 
 
-def fit_pca(df: DataFrame, new_dimensionality: int = 2, *, scale: bool = False, method: str = "exact", seed: int = 0) -> Pca:
+# --- cosine tree ----------------------------------------------------------------------
+
+
+#: The share of the residue whose leaves are split in a round.
+SPLIT_SHARE = 0.9
+
+
+@dataclass(frozen=True)
+class CosineNode:
+    """Rows whose cosine with the pivot is at least ``cut`` go to the first child, others to the second; no children: a leaf."""
+
+    pivot: np.ndarray | None = None
+    cut: float = 0.0
+    children: tuple[int, ...] = ()
+
+
+def _cosines(z: np.ndarray, pivot: np.ndarray) -> np.ndarray:
+    return z @ pivot / np.maximum(np.sqrt((z * z).sum(1) * (pivot @ pivot)), 1e-300)
+
+
+def _leaves(nodes: list[CosineNode], z: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(z), np.int64)
+    work = [(0, np.arange(len(z)))]
+    while work:
+        at, rows = work.pop()
+        node = nodes[at]
+        if not node.children:
+            out[rows] = at
+        elif len(rows):
+            near = _cosines(z[rows], node.pivot) >= node.cut
+            work += [(node.children[0], rows[near]), (node.children[1], rows[~near])]
+    return out
+
+
+def cosine_tree(df: DataFrame, mean: np.ndarray, scale: np.ndarray, epsilon: float, id_col: str | None = None, seed: int = 0) -> tuple[np.ndarray, float]:
+    """(basis, share of the squared length outside it) from the centroids of a tree of row sets.
+
+    A leaf is split around a row drawn with a probability in proportion to
+    its squared length: rows whose cosine with it is nearer to the largest
+    than to the smallest one go together.  In each round the leaves with the largest residues are
+    split, as many as hold SPLIT_SHARE of the residue, until at most ``epsilon`` of the squared length of all rows lies outside the
+    span of the centroids of all leaves so far.  A round is three aggregations; only centroids, pivots and ranges of
+    cosines reach the driver.  Draws are hashes of (seed, id), or of the features where there is no id.
+    """
+    d = len(mean)
+    key = F.xxhash64("features") if id_col is None else F.col(id_col).cast("bigint")
+    rows = df.select("features", key.alias("__id"))
+    nodes, basis = [CosineNode()], np.empty((d, 0))
+    with reused(rows, "features", "__id") as kept:
+        while True:
+            current, span = list(nodes), basis
+
+            def step(x: np.ndarray) -> dict[str, np.ndarray]:
+                z = (x - mean) / scale
+                leaf = _leaves(current, z)
+                rest = z - (z @ span) @ span.T
+                order = np.argsort(leaf, kind="stable")
+                begin = np.flatnonzero(np.concatenate(([True], np.diff(leaf[order]) > 0)))
+                sums = np.zeros((len(current), d))
+                sums[leaf[order][begin]] = np.add.reduceat(z[order], begin, axis=0)
+                by_leaf = [np.bincount(leaf, w, len(current)).astype(float) for w in (None, (z * z).sum(1), (rest * rest).sum(1))]
+                return {"s": sums, "n": by_leaf[0], "e": by_leaf[1], "r": by_leaf[2]}
+
+            out = sum_over_rows(kept, ["features"], step)
+            if not out or out["e"].sum() <= 0:
+                return np.eye(d)[:, :1], 0.0
+            outside = float(out["r"].sum() / out["e"].sum())
+            if outside <= epsilon or basis.shape[1] >= d:
+                return basis, outside
+            held = out["n"] > 0
+            basis = _extended(basis, out["s"][held] / out["n"][held][:, None])
+            # Leaves of one row have nothing to part.
+            ranked = [k for k in np.argsort(-out["r"], kind="stable").tolist() if out["n"][k] > 1 and out["r"][k] > 0]
+            chosen = ranked[: int(np.searchsorted(np.cumsum(out["r"][ranked]), SPLIT_SHARE * out["r"][ranked].sum())) + 1] if ranked else []
+            nodes = _split(kept, nodes, chosen, mean, scale, seed) if chosen else nodes
+            if len(nodes) == len(current) and basis.shape[1] == span.shape[1]:
+                return basis, outside
+
+
+def _extended(basis: np.ndarray, more: np.ndarray) -> np.ndarray:
+    """The basis with the directions of further rows that it does not hold yet."""
+    for v in more:
+        size = np.sqrt(v @ v)
+        for _ in range(2):
+            v = v - basis @ (basis.T @ v)
+        left = np.sqrt(v @ v)
+        if size > 0 and left > 1e-9 * size and basis.shape[1] < len(v):
+            basis = np.hstack([basis, (v / left)[:, None]])
+    return basis
+
+
+def _split(df: DataFrame, nodes: list[CosineNode], chosen: list[int], mean: np.ndarray, scale: np.ndarray, seed: int) -> list[CosineNode]:
+    """The tree with the chosen leaves split around a drawn row each; leaves whose rows all point one way stay."""
+    current = list(nodes)
+
+    @F.arrow_udf("struct<leaf:int,draw:double>")
+    def drawn(x: pa.Array, ids: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.struct([("leaf", pa.int32()), ("draw", pa.float64())]))
+        z = (to_matrix(x) - mean) / scale
+        # The largest log(u) / weight is a draw in proportion to the weights.
+        u = 1.0 - uniforms(seed, len(current), ids.to_numpy())
+        draw = np.log(u) / np.maximum((z * z).sum(1), 1e-300)
+        return pa.StructArray.from_arrays([pa.array(_leaves(current, z).astype(np.int32)), pa.array(draw)], ["leaf", "draw"])
+
+    placed = df.select("features", drawn("features", "__id").alias("p")).filter(F.col("p.leaf").isin(chosen))
+    picked = placed.groupBy("p.leaf").agg(F.max_by("features", F.struct("p.draw", "features")).alias("pivot")).collect()
+    pivots = {r["leaf"]: (np.array(r["pivot"]) - mean) / scale for r in picked}
+
+    @F.arrow_udf("struct<leaf:int,cosine:double>")
+    def turned(x: pa.Array) -> pa.Array:
+        if not len(x):
+            return pa.array([], pa.struct([("leaf", pa.int32()), ("cosine", pa.float64())]))
+        z = (to_matrix(x) - mean) / scale
+        leaf, cosine = _leaves(current, z), np.zeros(len(z))
+        for k, pivot in pivots.items():
+            mine = leaf == k
+            cosine[mine] = _cosines(z[mine], pivot)
+        return pa.StructArray.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(cosine)], ["leaf", "cosine"])
+
+    seen = df.select(turned("features").alias("t")).filter(F.col("t.leaf").isin(list(pivots)))
+    ends = seen.groupBy("t.leaf").agg(F.min("t.cosine").alias("lo"), F.max("t.cosine").alias("hi")).orderBy("leaf").collect()
+    out = list(nodes)
+    for r in ends:
+        if r["hi"] - r["lo"] > 1e-12:
+            out[r["leaf"]] = CosineNode(pivots[r["leaf"]], (r["lo"] + r["hi"]) / 2.0, (len(out), len(out) + 1))
+            out += [CosineNode(), CosineNode()]
+    return out
+
+
+def fit_pca(df: DataFrame, new_dimensionality: int = 2, *, scale: bool = False, method: str = "exact", epsilon: float = 0.03, seed: int = 0) -> Pca:
     """Components of the sample covariance; 0 keeps all of them.
 
-    ``exact`` forms the d x d covariance in one scan.  The other methods find the
+    ``exact`` forms the d x d covariance in one scan.  The randomised methods find the
     leading subspace from products with a thin random matrix (a few scans, memory
     d x kept): repeated products, or all their powers kept together for the
-    block-Krylov form.
+    block-Krylov form.  ``quic`` takes the span of a cosine tree that leaves at most
+    ``epsilon`` of the variance out, so any number of components retains at most that much less than the exact ones.
     """
+    if not 0.0 < epsilon < 1.0:
+        raise ValueError("epsilon lies between 0 and 1")
     if method not in METHODS:
         raise ValueError(f"method is one of {METHODS}")
     m = moments(df)
@@ -62,6 +198,11 @@ def fit_pca(df: DataFrame, new_dimensionality: int = 2, *, scale: bool = False,
         _, cov = covariance(df, m=m)
         values, vectors = np.linalg.eigh(cov / np.outer(spread, spread))
         return Pca(m.mean, spread, values[::-1].clip(0.0), vectors[:, ::-1], keep, total)
+    if method == "quic":
+        basis, _ = cosine_tree(df, m.mean, spread, epsilon, seed=seed)
+        if basis.shape[1] < keep:
+            basis = np.linalg.qr(np.hstack([basis, np.eye(d)]))[0][:, :keep]
+        return _within(df, m, spread, basis, keep, total)
     rng = np.random.default_rng(seed)
     basis = np.linalg.qr(rng.standard_normal((d, min(d, keep + 10))))[0]
     with reused(df, "features") as kept:
@@ -71,9 +212,14 @@ def fit_pca(df: DataFrame, new_dimensionality: int = 2, *, scale: bool = False,
             blocks.append(basis)
         if method != "randomized":
             basis = np.linalg.qr(np.hstack(blocks))[0]
-        small = basis.T @ _sketch(kept, m.mean, spread, basis) / max(1, m.n - 1)
+        return _within(kept, m, spread, basis, keep, total)
+
+
+def _within(df: DataFrame, m: Moments, spread: np.ndarray, basis: np.ndarray, keep: int, total: float) -> Pca:
+    """The components of the data inside the span of a basis."""
+    small = basis.T @ _sketch(df, m.mean, spread, basis) / max(1, m.n - 1)
     values, rotation = np.linalg.eigh((small + small.T) / 2.0)
-    return Pca(m.mean, spread, values[::-1].clip(0.0), basis @ rotation[:, ::-1], keep, total)
+    return Pca(m.mean, spread, values[::-1].clip(0.0), basis @ rotation[:, ::-1], keep, total, basis.shape[1])
 
 
 def pca_scores(df: DataFrame, model: Pca, output_col: str = "scores") -> DataFrame:

@@ -134,6 +134,20 @@ def pca_randomized(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("total_variance", rnd("total_variance"))
 
 
+@catalog.query("SELECT unnest([0.3, 0.05])::DOUBLE AS epsilon, true AS bound_holds, true AS smaller_basis")
+def pca_cosine_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items in eight correlated features: the tree's basis leaves out no more than asked, with fewer directions than features."""
+    li = table(spark, sf, "lineitem")
+    q, p, d, t = F.col("l_quantity") / 25.0, F.col("l_extendedprice") / 50000.0, F.col("l_discount") * 10.0, F.col("l_tax") * 10.0
+    df = li.select(F.array(q, p, q + p, q - p, d, d + q, t, t + p).alias("features"))
+    exact = rd.fit_pca(df, 3)
+    rows = []
+    for epsilon in (0.3, 0.05):
+        found = rd.fit_pca(df, 3, method="quic", epsilon=epsilon, seed=1)
+        rows.append((epsilon, bool(exact.retained - epsilon <= found.retained <= exact.retained + 1e-9), found.basis < 8))
+    return spark.createDataFrame(rows, "epsilon double, bound_holds boolean, smaller_basis boolean")
+
+
 @catalog.query(f"SELECT {rnd_sql('count(*)::DOUBLE')} AS total_variance FROM ({TOTAL})")
 def pca_scaled(spark: SparkSession, sf: str) -> DataFrame:
     p = rd.fit_pca(embeddings(spark, sf), 0, scale=True)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vectable.functions import exprs
-from vectable.operators import neural as nn, scaling, svm, training as tn, trees as tr
-from vectable.plans.common import LINEITEM_KEY, Catalog, embeddings, rnd, rnd_sql, table
+from vectable.operators import layout, neighbors as nb, neural as nn, scaling, split as sp, svm, training as tn, trees as tr
+from vectable.plans.common import LINEITEM_KEY, Catalog, embeddings, lineitem, rnd, rnd_sql, table
 
 catalog = Catalog()
 KEY = ", ".join(LINEITEM_KEY)
@@ -277,6 +278,47 @@ def hoeffding_binary_split(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("leaf", "feature_idx", "value", n_left.alias("n_left"), rnd("gain", 9).alias("gain"))
 
 
+# --- what is refused ----------------------------------------------------------------
+
+REFUSED = {
+    "fitted_length": "embeddings", "label_gap": "lineitem", "label_without_point": "labels", "layout_mode": "embeddings", "missing_label": "documents",
+    "scaler_changed": "embeddings", "split_kind": "embeddings", "too_many_neighbours": "embeddings", "tree_depth": "embeddings",
+}
+
+
+@catalog.query(" UNION ALL ".join(f"SELECT '{name}' AS contract, true AS refused, (SELECT count(*) FROM {source}) AS n" for name, source in REFUSED.items()))
+def error_contracts(spark: SparkSession, sf: str) -> DataFrame:
+    """What operators refuse on whole tables: an error, and no result, for each contract."""
+    e = embeddings(spark, sf).withColumnRenamed("vec_id", "row_id")
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    points = docs.select(F.col("doc_id").alias("row_id"), F.array(F.col("n_chars").cast("double")).alias("features"))
+    toxic = labels.select(F.col("doc_id").alias("row_id"), F.col("toxic").alias("label"))
+    slot = scaling.ScalerSlot("standard")
+    slot.fit(e)
+    slot.set_kind("minmax")
+    short = svm.LinearSvm(np.zeros((2, 3)), np.zeros(2))
+    tries = {
+        "fitted_length": lambda: svm.svm_scores(e, short).select("scores").toArrow(),
+        "label_gap": lambda: nn.fit_classifier(lineitem(spark, sf, keep=("l_linenumber",)).withColumnRenamed("l_linenumber", "label"), max_iterations=1),
+        "label_without_point": lambda: sp.split_with_labels(points, toxic),
+        "layout_mode": lambda: layout.convert(e, "vector", "cube"),
+        "missing_label": lambda: tr.fit_tree(points.join(toxic, "row_id", "left")),
+        "scaler_changed": lambda: slot.transform(e),
+        "split_kind": lambda: tr.new_hoeffding(3, DIM, tr.HoeffdingParams(numeric_split="ternary")),
+        "too_many_neighbours": lambda: nb.knn(e, e, e.count() + 1),
+        "tree_depth": lambda: tr.fit_tree(e, maximum_depth=31),
+    }
+    rows = []
+    for name, attempt in tries.items():
+        try:
+            attempt()
+            refused = False
+        except (ValueError, PySparkException):
+            refused = True
+        rows.append((name, refused, table(spark, sf, REFUSED[name]).count()))
+    return spark.createDataFrame(rows, "contract string, refused boolean, n bigint")
+
+
 # --- networks -------------------------------------------------------------------------
 
 HID, OUT = 6, 4
