@@ -83,7 +83,7 @@ def cosine_tree(df: DataFrame, mean: np.ndarray, scale: np.ndarray, epsilon: flo
 
     A leaf is split around a row drawn with a probability in proportion to
     its squared length: rows whose cosine with it is nearer to the largest
-    than to the smallest one go together.  In each round the leaves with the largest residues are
+    (of others than its copies) than to the smallest one go together.  In each round the leaves with the largest residues are
     split, as many as hold SPLIT_SHARE of the residue, until at most ``epsilon`` of the squared length of all rows lies outside the
     span of the centroids of all leaves so far.  A round is three aggregations; only centroids, pivots and ranges of
     cosines reach the driver.  Draws are hashes of (seed, id), or of the features where there is no id.
@@ -165,11 +165,14 @@ def _split(df: DataFrame, nodes: list[CosineNode], chosen: list[int], mean: np.n
         return pa.StructArray.from_arrays([pa.array(leaf.astype(np.int32)), pa.array(cosine)], ["leaf", "cosine"])
 
     seen = df.select(turned("features").alias("t")).filter(F.col("t.leaf").isin(list(pivots)))
-    ends = seen.groupBy("t.leaf").agg(F.min("t.cosine").alias("lo"), F.max("t.cosine").alias("hi")).orderBy("leaf").collect()
+    # Copies of the pivot aside, or in many dimensions it would be alone.
+    apart = F.max(F.when(F.col("t.cosine") < 1.0 - 1e-9, F.col("t.cosine")))
+    ends = seen.groupBy("t.leaf").agg(F.min("t.cosine").alias("lo"), apart.alias("hi")).orderBy("leaf").collect()
     out = list(nodes)
     for r in ends:
-        if r["hi"] - r["lo"] > 1e-12:
-            out[r["leaf"]] = CosineNode(pivots[r["leaf"]], (r["lo"] + r["hi"]) / 2.0, (len(out), len(out) + 1))
+        if r["hi"] is not None:
+            top = r["hi"] if r["hi"] - r["lo"] > 1e-12 else 1.0
+            out[r["leaf"]] = CosineNode(pivots[r["leaf"]], (r["lo"] + top) / 2.0, (len(out), len(out) + 1))
             out += [CosineNode(), CosineNode()]
     return out
 
