@@ -131,6 +131,14 @@ def test_repeats_odd_tables(clashing, no_rows):
     assert repeats.remove_repeats(clashing).count() == clashing.count()
 
 
+def test_rows_of_one_id_keep_the_least_text(spark):
+    """The id of a group's first document may stand on several rows: the least text stays, and of equal texts the least row."""
+    rows = [(1, "zeta " * 30, 5), (1, "alpha beta " * 20, 7), (1, "alpha beta " * 20, 6), (2, "alpha beta " * 20, 1), (3, None, 1), (3, "", 2), (None, "alone", 0), (None, "alone", 0)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n int").repartition(3)
+    got = sorted(map(tuple, simhash.deduplicate(df).collect()), key=str)
+    assert got == sorted([(1, "alpha beta " * 20, 6), (3, None, 1), (None, "alone", 0), (None, "alone", 0)], key=str)
+
+
 def test_slices_and_word_hashes():
     texts = ["a bb  ccc", None, "", " x", "y " * 3000, "bb"]
     got = []
