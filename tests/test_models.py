@@ -247,7 +247,7 @@ def test_network_gradient(name, classifier):
 def test_svm_gradient():
     rng = np.random.default_rng(11)
     x, y, theta = rng.normal(size=(9, 3)), rng.integers(0, 3, 9), rng.normal(size=12)
-    loss = svm._row_loss(3, 3, 1.0, True)
+    loss = svm.row_loss(3, 3, 1.0, True)
     assert np.allclose(loss(theta, x, y)[1], numeric_gradient(lambda t: loss(t, x, y)[0], theta), atol=1e-5)
 
 
