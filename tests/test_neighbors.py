@@ -90,3 +90,19 @@ def test_best_match_first_wins(spark):
     got = nb.best_match(df, np.array([[1.0], [1.0], [3.0]])).orderBy("row_id").collect()
     assert [r["bmu"]["node"] for r in got] == [0, 0, 0]
     assert [r["bmu"]["sq_dist"] for r in got] == [1.0, 0.0, 1.0]
+
+
+@pytest.mark.parametrize("farthest", [False, True])
+@pytest.mark.parametrize("k", [1, 3, 5])
+def test_one_feature_is_searched_in_order(farthest, k, monkeypatch):
+    """Points of one feature are found without comparing all, copies and equal distances to either side included."""
+    rng = np.random.default_rng(k)
+    r, ids = np.round(rng.normal(size=(400, 1)), 1), rng.permutation(400)
+    r, ids = r[np.argsort(ids)], np.sort(ids)
+    x = np.concatenate((np.round(rng.normal(size=(80, 1)), 2), [[1e9], [-1e9], [0.05], [1e-200]]))
+    want = nb._compared(x, r, ids, k, farthest)
+    compared = []
+    monkeypatch.setattr(nb, "sq_dists", lambda a, b: compared.append(len(b)) or np.zeros((len(a), len(b))))
+    got = nb.top_k(x, r, ids, k, farthest)
+    assert not compared
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()

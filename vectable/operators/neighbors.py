@@ -39,11 +39,86 @@ def block_rows_of(dim: int) -> int:
     return max(1024, BLOCK_BYTES // (8 * dim + 16))
 
 
+@dataclass(frozen=True)
+class Line:
+    """Points of one feature by value, no more than the k lowest ids of each, to be searched in place.
+
+    ``rising`` has the ids of equal values upwards, ``falling`` downwards, so
+    a walk to either side meets the lowest ids of a value first.
+    """
+
+    values: np.ndarray
+    rising: np.ndarray
+    falling: np.ndarray
+
+    @classmethod
+    def of(cls, ref: np.ndarray, ids: np.ndarray, k: int) -> Line | None:
+        """None where a search of all points is as good: several features, few points, values that are not finite."""
+        if ref.shape[1] != 1 or len(ref) <= 3 * k or not np.isfinite(ref).all():
+            return None
+        order = np.lexsort((ids, ref[:, 0]))
+        values, ids = ref[order, 0], ids[order]
+        first = np.searchsorted(values, values, "left")
+        keep = np.arange(len(values)) - first < k
+        values, ids = values[keep], ids[keep]
+        if len(values) <= 3 * k:
+            return None
+        return cls(values, ids, ids[np.lexsort((-ids, values))])
+
+    def best(self, x: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``top_k``: k candidates from either side, then exact distances, then rows with more that are as good."""
+        n, v = len(self.values), x[:, 0]
+        steps = np.arange(k)
+        if farthest:
+            left, right = np.tile(steps, (len(v), 1)), np.tile(n - 1 - steps, (len(v), 1))
+            side_ids = np.concatenate((self.rising[left], self.falling[right]), 1)
+        else:
+            at = np.searchsorted(self.values, v, "left")[:, None]
+            left, right = at - 1 - steps, at + steps
+            side_ids = np.concatenate((self.falling[np.maximum(left, 0)], self.rising[np.minimum(right, n - 1)]), 1)
+        there = np.concatenate((left >= 0, right < n), 1)
+        diff = self.values[np.clip(np.concatenate((left, right), 1), 0, n - 1)] - v[:, None]
+        exact = np.where(there, diff * diff, np.inf)
+        exact, side_ids = _ordered(exact, side_ids, k, farthest)
+        reach = np.sqrt(exact[:, -1])
+        slack = 1e-14 * (np.abs(v) + reach) + 1e-150
+        if farthest:
+            lo, hi = np.searchsorted(self.values, v - (reach - slack), "right"), np.searchsorted(self.values, v + (reach - slack), "left")
+            found = lo + n - hi
+        else:
+            lo, hi = np.searchsorted(self.values, v - reach - slack, "left"), np.searchsorted(self.values, v + reach + slack, "right")
+            found = hi - lo
+        for r in np.flatnonzero(found > k):
+            cand = np.unique(np.concatenate((np.arange(lo[r]), np.arange(hi[r], n)))) if farthest else np.arange(lo[r], hi[r])
+            diff = self.values[cand] - v[r]
+            one, two = _ordered((diff * diff)[None, :], self.rising[cand][None, :], k, farthest)
+            exact[r], side_ids[r] = one[0], two[0]
+        return side_ids, np.sqrt(exact)
+
+    def search(self, x: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
+        if np.isfinite(x).all():
+            return self.best(x, k, farthest)
+        order = np.argsort(self.rising, kind="stable")
+        return _compared(x, self.values[order, None], self.rising[order], k, farthest)
+
+
+def _ordered(exact: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of every row, ties by lower id."""
+    order = np.lexsort((ids, -exact if farthest else exact), axis=1)[:, :k]
+    return np.take_along_axis(exact, order, 1), np.take_along_axis(ids, order, 1)
+
+
 def top_k(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
     """(ids, distances) of the k best of ``ref`` for each row of ``x``, ties by lower id.
 
-    ``ids`` ascend.  Products preselect, then exact differences decide the order.
+    ``ids`` ascend.  Points of one feature are sorted and searched in place, others are all compared.
     """
+    line = Line.of(ref, ids, k)
+    return _compared(x, ref, ids, k, farthest) if line is None else line.search(x, k, farthest)
+
+
+def _compared(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Products preselect, then exact differences decide the order."""
     k = min(k, len(ref))
     out_ids = np.empty((len(x), k), dtype=np.int64)
     out_d = np.empty((len(x), k))
@@ -86,12 +161,16 @@ def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool, e
     ids = got["_ref"].to_numpy()
     order = np.argsort(ids, kind="stable")
     ids, points = ids[order], to_matrix(got["_rx"])[order]
+    line = Line.of(points, ids, k + exclude_self)
+    if line is not None:
+        ids = points = None
 
     @F.arrow_udf(HIT)
     def search(x: pa.Array) -> pa.Array:
         if len(x) == 0:
             return pa.array([], type=pa.list_(pa.struct([("ref_id", pa.int64()), ("dist", pa.float64())])))
-        return _hits(*top_k(to_matrix(x), points, ids, k + exclude_self, farthest))
+        m = to_matrix(x)
+        return _hits(*(_compared(m, points, ids, k + exclude_self, farthest) if line is None else line.search(m, k + exclude_self, farthest)))
 
     hits = query.select("_q", search("_qx").alias("hits"))
     if exclude_self:
