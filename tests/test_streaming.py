@@ -6,6 +6,7 @@ from helpers import blobs, points
 from pyspark.sql import functions as F
 
 from vectable.operators import clustering as cl, mixture as gm, scaling, trees as tr
+from vectable.plans import streams
 from vectable.streaming.append import append_stream, read_appended
 from vectable.streaming.learn import current_model, learn_stream, update_hoeffding, update_kmeans
 from vectable.streaming.score import score_stream
@@ -75,3 +76,14 @@ def test_warm_kmeans_and_streaming_transforms(spark, tmp_path):
     finish(score_stream(stream, apply, str(tmp_path / "out"), str(tmp_path / "log2")))
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 120 and out.groupBy("label").agg(F.count_distinct("cluster").alias("n")).filter("n > 1").count() == 0
+
+
+def test_files_of_a_stream_do_not_grow(spark, tmp_path, monkeypatch):
+    """A larger table comes in more files, in as many micro-batches."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 10)
+    monkeypatch.setattr(streams, "scratch_path", lambda spark, name: str(tmp_path / name))
+    seen = []
+    query = streams.as_stream(spark.range(100)).writeStream.foreachBatch(lambda batch, i: seen.append(batch.count())).option("checkpointLocation", str(tmp_path / "log"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(seen) == 3 and sum(seen) == 100
+    assert len(list((tmp_path / "stream-input").glob("*.parquet"))) == 12

@@ -16,15 +16,18 @@ from vectable.streaming.learn import count_only, current_model, learn_stream, so
 from vectable.streaming.score import read_scores, score_stream
 
 catalog = Catalog()
-FILES = 3
+BATCHES = 3
+#: Rows that a file of a stream has at most, about, and so a task that writes it.
+FILE_ROWS = 1_000_000
 
 
-def as_stream(df: DataFrame, files: int = FILES) -> DataFrame:
-    """The table as a file stream that delivers one file per micro-batch."""
+def as_stream(df: DataFrame, batches: int = BATCHES) -> DataFrame:
+    """The table as a file stream that is delivered in so many micro-batches; their files do not grow with the table."""
     spark = df.sparkSession
     folder = scratch_path(spark, "stream-input")
-    df.repartition(files).write.parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    files = max(1, -(-df.count() // (batches * FILE_ROWS)))
+    df.repartition(batches * files).write.parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _finish(query: object) -> None:
