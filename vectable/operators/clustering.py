@@ -363,6 +363,46 @@ def shift_once(seeds: DataFrame, cells: Cells, points: DataFrame, radius: float)
     return means.select("_q", "count", F.transform("m", lambda c: c["m"]).alias("center"))
 
 
+#: Seeds that every task holds; a pass over the points then moves all of them.
+FEW_SEEDS = 1024
+
+
+def _moved(points: DataFrame, at: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+    """(weights, centers) of few seeds: the same as ``shift_once`` by one scan that sums per seed where the points lie."""
+
+    def step(x: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        total = np.zeros((len(at), x.shape[1] + 1))
+        for s in row_slices(len(x), len(at), 500_000):
+            near = (sq_dists(at, x[s]) <= radius * radius).astype(float)
+            total += near @ (np.column_stack((x[s], np.ones(s.stop - s.start))) * weight[s, None])
+        return {"t": total}
+
+    total = sum_over_rows(points, ["_rx", "weight"], step)["t"]
+    return total[:, -1], total[:, :-1] / np.maximum(total[:, -1:], 1.0)
+
+
+def _rested(points: DataFrame, at: np.ndarray, radius: float, max_iterations: int, force_convergence: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """(places of the seeds that meet points, where they came to rest, passes)."""
+    at, alive, moving, done = at.copy(), np.ones(len(at), bool), np.ones(len(at), bool), 0
+    while moving.any() and (done < max_iterations or force_convergence):
+        here = np.flatnonzero(moving)
+        weight, center = _moved(points, at[here], radius)
+        rests = np.sqrt(((at[here] - center) ** 2).sum(1)) < 1e-3 * radius
+        alive[here], moving[here] = weight > 0, (weight > 0) & ~rests
+        at[here] = center
+        done += 1
+    return np.flatnonzero(alive), at[alive], done
+
+
+def _apart(centers: np.ndarray, radius: float) -> np.ndarray:
+    """``first_in_reach`` of few centers, given by rising rank."""
+    kept: list[int] = []
+    for i, c in enumerate(centers):
+        if not (sq_dists(c[None, :], centers[kept]) <= radius * radius).any():
+            kept.append(i)
+    return centers[kept]
+
+
 def distinct_points(df: DataFrame, id_col: str = "row_id", features_col: str = "features") -> DataFrame:
     """(_ref, _rx, weight): copies of a point are counted before anything is shuffled further."""
     return df.groupBy(F.col(features_col).alias("_rx")).agg(F.min(id_col).cast("bigint").alias("_ref"), F.count("*").alias("weight"))
@@ -417,12 +457,21 @@ def mean_shift(
     """Shift every seed to the mean of the points within the radius until it rests, then merge.
 
     Seeds that still move after ``max_iterations`` count where they are;
-    ``force_convergence`` goes on until all of them rest.
+    ``force_convergence`` goes on until all of them rest.  Up to ``FEW_SEEDS`` seeds go to the tasks and a
+    pass is one scan; more of them meet the points by cells.
     """
     r = radius if radius > 0 else estimate_radius(df, id_col=id_col)
+    seeds = cut_lineage(bin_seeds(df, r))
+    known = seeds.limit(FEW_SEEDS + 1).toArrow()
+    if known.num_rows <= FEW_SEEDS:
+        at = to_matrix(known["_qx"])[np.argsort(known["_q"].to_numpy())]
+        with reused(distinct_points(df, id_col), "_rx", "weight") as points:
+            _, rested, done = _rested(points, at, r, max_iterations, force_convergence)
+        centers = df.sparkSession.createDataFrame([(c.tolist(),) for c in _apart(rested, r)], "features array<double>")
+        return MeanShift(row_index(centers, ["features"], "cluster"), r, done)
     distinct = cut_lineage(distinct_points(df, id_col))
     cells, points = fit_cells(distinct, distinct.count(), 1)
-    moving, settled, done = cut_lineage(bin_seeds(df, r)), None, 0
+    moving, settled, done = seeds, None, 0
     while done < max_iterations or force_convergence:
         step = moving.join(shift_once(moving, cells, points, r), "_q")
         gap = F.aggregate(F.zip_with("_qx", "center", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v)
