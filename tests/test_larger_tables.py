@@ -19,3 +19,14 @@ def test_few_seeds_move_by_scans(spark, monkeypatch):
     assert by_scans.iterations == by_cells.iterations
     a, b = ([r.features for r in m.centroids.orderBy("cluster").collect()] for m in (by_scans, by_cells))
     assert len(a) > 1 and np.allclose(a, b)
+
+
+def test_radius_of_points_on_lines(spark, monkeypatch):
+    """Points that share all but one feature are counted on sorted lines, copies included, and no cell is visited."""
+    rng = np.random.default_rng(2)
+    x = np.column_stack((rng.integers(0, 4, 400), np.round(rng.uniform(-1, 9, 400), 1)))
+    x[:60] = x[0]
+    want = np.sort(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), axis=1)[:, 80].mean()
+    monkeypatch.setattr(clustering, "rank_distances", None)
+    assert abs(clustering.estimate_radius(points(spark, x)) - want) < 1e-7
+    assert abs(clustering.estimate_radius(points(spark, x[:, 1:])) - np.sort(np.abs(x[:, 1:] - x[:, 1]), axis=1)[:, 80].mean()) < 1e-7

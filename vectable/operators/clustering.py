@@ -309,15 +309,101 @@ def rank_distances(points: DataFrame, cells: Cells, k: int, block_rows: int | No
     return state.select("_q", "weight", ((F.col("lo") + F.col("hi")) / 2).alias("dist"))
 
 
+#: Lines that a point is measured against, distinct points that a task holds on them, and halvings that find a distance.
+MAX_LINES, LINE_POINTS, HALVINGS = 1024, 8_000_000, 45
+
+
+@dataclass(frozen=True)
+class Lines:
+    """Distinct points on few lines along one feature: on each line points agree in all other features and lie by value."""
+
+    axis: int
+    others: np.ndarray  # (lines, d - 1)
+    start: np.ndarray  # (lines + 1,)
+    values: np.ndarray
+    before: np.ndarray | None  # weight of the points before each one, where copies weigh more than 1
+
+    def within(self, x: np.ndarray, r: np.ndarray) -> np.ndarray:
+        """Weight of the points no farther from each row than its r."""
+        v, rest = x[:, self.axis], np.delete(x, self.axis, 1)
+        found = np.zeros(len(x))
+        for other, lo, hi in zip(self.others, self.start[:-1], self.start[1:]):
+            room = r * r - ((rest - other) ** 2).sum(1)
+            at = np.flatnonzero(room >= 0)
+            half, line = np.sqrt(room[at]), self.values[lo:hi]
+            first = lo + np.searchsorted(line, v[at] - half, "left")
+            last = lo + np.searchsorted(line, v[at] + half, "right")
+            found[at] += last - first if self.before is None else self.before[last] - self.before[first]
+        return found
+
+    def rank_distance(self, x: np.ndarray, k: int, widest: float) -> np.ndarray:
+        """Distance of each of the held rows to its k-th nearest other one; the row itself is counted as well."""
+        lo, hi = np.zeros(len(x)), np.full(len(x), widest)
+        for _ in range(HALVINGS):
+            mid = (lo + hi) / 2
+            reached = self.within(x, mid) > k
+            lo, hi = np.where(reached, lo, mid), np.where(reached, mid, hi)
+        return (lo + hi) / 2
+
+
+def fit_lines(distinct: DataFrame, m: int) -> Lines | None:
+    """The m distinct points (_rx, weight) as lines; None where they are too many, lie on too many lines, or have values that are not finite."""
+    d = distinct.select(F.size("_rx")).first()[0]
+    if not d or not 1 <= d <= 4 or m > LINE_POINTS:
+        return None
+    parts = [F.get("_rx", F.lit(i)) for i in range(d)]
+    rest = [F.array(*[p.cast("double") for j, p in enumerate(parts) if j != i]) for i in range(d)]
+    odd = F.exists("_rx", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
+    seen = distinct.agg(*[F.approx_count_distinct(r) for r in rest], F.max((F.size("_rx") != d) | odd)).first()
+    axis = int(np.argmin(seen[:d]))
+    if seen[d] or seen[axis] > MAX_LINES or seen[axis] * 32 > m:
+        return None
+    got = distinct.select("_rx", F.col("weight").cast("int").alias("weight")).toArrow()
+    x, weight = to_matrix(got["_rx"]), got["weight"].to_numpy()
+    others, line = np.unique(np.delete(x, axis, 1), axis=0, return_inverse=True)
+    order = np.lexsort((x[:, axis], line.reshape(-1)))
+    start = np.concatenate(([0], np.cumsum(np.bincount(line.reshape(-1), minlength=len(others)))))
+    before = None if (weight == 1).all() else np.concatenate(([0], np.cumsum(weight[order], dtype=np.int64)))
+    return Lines(axis, others, start, x[order, axis], before)
+
+
+def line_distances(distinct: DataFrame, lines: Lines, m: int, k: int) -> DataFrame:
+    """(weight, dist): for each distinct point the distance to its k-th nearest other row, copies included, by counts on sorted lines."""
+    spans = [np.ptp(lines.others, 0), [np.ptp(lines.values)]]
+    widest = float(np.sqrt((np.concatenate(spans) ** 2).sum())) * (1 + 1e-6) + 1e-12
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = to_matrix(batch.column(0))
+                # Rows in the order of the line look in the same places.
+                order = np.argsort(x[:, lines.axis], kind="stable")
+                dist = np.empty(len(x))
+                dist[order] = lines.rank_distance(x[order], k, widest)
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(dist)], ["weight", "dist"])
+
+    # Work is by points, not by bytes: few bytes are spread over all cores.
+    tasks = max(1, min(4 * distinct.sparkSession.sparkContext.defaultParallelism, -(-m // 1000)))
+    return distinct.select("_rx", "weight").repartition(tasks).mapInArrow(found, "weight bigint, dist double")
+
+
 def estimate_radius(df: DataFrame, ratio: float = 0.2, id_col: str = "row_id", n_pivots: int | None = None) -> float:
-    """Mean over all points of the distance to the (ratio x n)-th nearest of the other ones."""
+    """Mean over all points of the distance to the (ratio x n)-th nearest of the other ones.
+
+    Points on few lines along one feature are counted by searches on the sorted lines, others by cells.
+    """
     distinct = cut_lineage(distinct_points(df, id_col))
     totals = distinct.agg(F.count("*").alias("m"), F.sum("weight").alias("n")).first()
     n = totals["n"] or 0
     if n < 2:
         raise ValueError("a radius takes at least two points")
-    cells, points = fit_cells(distinct, totals["m"], 1, n_pivots=n_pivots)
-    found = rank_distances(points, cells, min(n - 1, max(1, int(ratio * n))))
+    k = min(n - 1, max(1, int(ratio * n)))
+    lines = fit_lines(distinct, totals["m"]) if n_pivots is None else None
+    if lines is not None:
+        found = line_distances(distinct, lines, totals["m"], k)
+    else:
+        cells, points = fit_cells(distinct, totals["m"], 1, n_pivots=n_pivots)
+        found = rank_distances(points, cells, k)
     return float(found.agg(F.sum(F.col("dist") * F.col("weight")) / F.sum("weight")).first()[0])
 
 
