@@ -1,9 +1,10 @@
 """Ways of larger tables give what the plain ways give."""
 
 import numpy as np
+import pytest
 from helpers import points
 
-from vectable.operators import clustering
+from vectable.operators import clustering, neighbors as nb
 
 
 def test_few_seeds_move_by_scans(spark, monkeypatch):
@@ -30,3 +31,23 @@ def test_radius_of_points_on_lines(spark, monkeypatch):
     monkeypatch.setattr(clustering, "rank_distances", None)
     assert abs(clustering.estimate_radius(points(spark, x)) - want) < 1e-7
     assert abs(clustering.estimate_radius(points(spark, x[:, 1:])) - np.sort(np.abs(x[:, 1:] - x[:, 1]), axis=1)[:, 80].mean()) < 1e-7
+
+
+@pytest.mark.parametrize("farthest", [False, True])
+@pytest.mark.parametrize("k", [1, 6])
+@pytest.mark.parametrize("offset", [0.0, 50.0])
+def test_tiles_find_what_a_full_comparison_finds(farthest, k, offset, monkeypatch):
+    """Copies, points that come nearer row by row and points far from the origin included; no full matrix is made."""
+    rng = np.random.default_rng(k)
+    r = rng.normal(size=(5000, 8)) + offset
+    r[100:3000:7] = r[100]
+    r[4000:] = r[100] + np.linspace(1.0, 0.0, 1000)[:, None]
+    ids, x = np.arange(5000) * 3, np.concatenate((r[90:240], r[4500:4520], rng.normal(size=(60, 8))))
+    with monkeypatch.context() as m:
+        m.setattr(nb, "TILED_FROM", 10**9)
+        want = nb._compared(x, r, ids, k, farthest)
+    monkeypatch.setattr(nb, "sq_dists", None)
+    for held in (nb.TILE_HELD, 200):
+        monkeypatch.setattr(nb, "TILE_HELD", held)
+        got = nb._compared(x, r, ids, k, farthest)
+        assert (got[0] == want[0]).all() and (got[1] == want[1]).all()

@@ -32,6 +32,8 @@ from vectable.session import cut_lineage
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_BYTES = 16 * 1024 * 1024
 MAX_PIVOTS = 1024
+#: Numbers in a reference set from which on its queries are dealt over all cores.
+SPREAD_NUMBERS = 500_000
 
 
 def block_rows_of(dim: int) -> int:
@@ -117,9 +119,76 @@ def top_k(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: boo
     return _compared(x, ref, ids, k, farthest) if line is None else line.search(x, k, farthest)
 
 
+#: Points from which on a search goes by tiles, rows of queries and points of a tile, and candidates that are kept without exact distances.
+TILED_FROM, TILE_ROWS, TILE_POINTS, TILE_HELD = 4096, 256, 2048, 500_000
+
+
+def _exact_best(x: np.ndarray, ref: np.ndarray, row: np.ndarray, col: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(places, squared distances) of the k best candidates of each row, rows rising, ties by lower place."""
+    exact = np.empty(len(row))
+    for s in row_slices(len(row), ref.shape[1]):
+        diff = ref[col[s]] - x[row[s]]
+        exact[s] = (diff * diff).sum(1)
+    order = np.lexsort((col, -exact if farthest else exact, row))
+    first = np.searchsorted(row[order], np.arange(len(x)), "left")
+    best = order[np.arange(len(order)) - first[row[order]] < k]
+    return best, exact[best]
+
+
+def _tiled(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray] | None:
+    """The same as ``_compared`` tile by tile: one product in single precision, one comparison with what the k-th best so far allows.
+
+    Exact differences decide among the few that pass.  None where single precision could overflow, or values are not finite.
+    """
+    size = np.sqrt(max((ref * ref).sum(1).max(initial=0.0), (x * x).sum(1).max(initial=0.0)))
+    if not 1e-12 < size < 1e15:
+        return None
+    sign = 1.0 if farthest else -1.0
+    half = (ref * ref).sum(1) / 2.0
+    # Half the squared distance but for a constant of the row; the smaller, the better.
+    against = np.column_stack((sign * ref, -sign * half)).astype(np.float32)
+    asked = np.column_stack((x, np.ones(len(x)))).astype(np.float32)
+    error = (ref.shape[1] + 8) * 2.0**-22 * (np.sqrt((x * x).sum(1)) + size) * size
+    out_ids, out_d = np.empty((len(x), k), dtype=np.int64), np.empty((len(x), k))
+    for lo in range(0, len(x), TILE_ROWS):
+        q = slice(lo, min(lo + TILE_ROWS, len(x)))
+        m, slack = q.stop - lo, 2.0 * error[q]
+        limit, held, count = np.full(m, np.inf), [], 0
+        settled = TILE_POINTS
+        for c in range(0, len(ref), TILE_POINTS):
+            g = asked[q] @ against[c : c + TILE_POINTS].T
+            if c == 0:
+                limit = np.partition(g, k - 1, axis=1)[:, k - 1] + slack
+            hit = np.flatnonzero(g <= limit[:, None].astype(np.float32))
+            if len(hit):
+                row = hit // g.shape[1]
+                held.append((row, c + hit % g.shape[1], g.reshape(-1)[hit].astype(float)))
+                count += len(hit)
+            if c + TILE_POINTS >= 2 * settled or count > TILE_HELD:
+                settled = max(settled, c + TILE_POINTS)
+                row, col, score = (np.concatenate(v) for v in zip(*held))
+                order = np.lexsort((score, row))
+                first = np.searchsorted(row[order], np.arange(m), "left")
+                limit = score[order[first + k - 1]] + slack
+                near = score <= limit[row]
+                row, col, score = row[near], col[near], score[near]
+                if len(row) > TILE_HELD // 2:
+                    best, _ = _exact_best(x[q], ref, row, col, k, farthest)
+                    row, col, score = row[best], col[best], score[best]
+                held, count = [(row, col, score)], len(row)
+        row, col = (np.concatenate(v) for v in list(zip(*held))[:2])
+        best, exact = _exact_best(x[q], ref, row, col, k, farthest)
+        out_ids[q], out_d[q] = ids[col[best]].reshape(m, k), np.sqrt(exact).reshape(m, k)
+    return out_ids, out_d
+
+
 def _compared(x: np.ndarray, ref: np.ndarray, ids: np.ndarray, k: int, farthest: bool) -> tuple[np.ndarray, np.ndarray]:
     """Products preselect, then exact differences decide the order."""
     k = min(k, len(ref))
+    if len(ref) >= TILED_FROM and k <= TILE_POINTS // 8 and ref.shape[1] > 4 and len(x):
+        found = _tiled(x, ref, ids, k, farthest)
+        if found is not None:
+            return found
     out_ids = np.empty((len(x), k), dtype=np.int64)
     out_d = np.empty((len(x), k))
     norms = np.sqrt((ref * ref).sum(1)).max(initial=0.0)
@@ -164,6 +233,10 @@ def _small_reference(query: DataFrame, ref: DataFrame, k: int, farthest: bool, e
     line = Line.of(points, ids, k + exclude_self)
     if line is not None:
         ids = points = None
+    elif points.size >= SPREAD_NUMBERS and not query.isStreaming:
+        # Seconds go by pairs, not by bytes: a file or two of queries would be as many tasks.
+        spark = query.sparkSession
+        query = query.repartition(max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     @F.arrow_udf(HIT)
     def search(x: pa.Array) -> pa.Array:
@@ -410,9 +483,10 @@ def neighbour_join(
             raise ValueError(f"reference set of {size} bytes exceeds the broadcast limit {broadcast_bytes}")
         out = _small_reference(q, r, k, farthest, exclude_self)
     else:
+        block_rows = block_rows or block_rows_of(dim)
         out = _blocked(
             q, r, n, k, farthest, exclude_self,
-            epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows or block_rows_of(dim), n_pivots=n_pivots, seed=seed,
+            epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows, n_pivots=n_pivots, seed=seed,
         )
     return out.select(F.col("_q").alias("query_id"), "rank", "ref_id", "dist")
 
