@@ -51,3 +51,16 @@ def test_tiles_find_what_a_full_comparison_finds(farthest, k, offset, monkeypatc
         monkeypatch.setattr(nb, "TILE_HELD", held)
         got = nb._compared(x, r, ids, k, farthest)
         assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_blocks_grow_with_the_table(spark, monkeypatch):
+    """Rows of a large table are copied to a bounded number of blocks, whatever size is asked for small ones."""
+    asked = []
+    join = nb.block_join
+    monkeypatch.setattr(nb, "block_join", lambda *a, **o: asked.append(a[6]) or join(*a, **o))
+    x = np.random.default_rng(4).normal(size=(900, 2))
+    got = nb.knn(points(spark, x), points(spark, x), 2, strategy="blocks", block_rows=4, n_pivots=3).collect()
+    assert asked == [900 // nb.BLOCK_COPIES]
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    want = np.argsort(d, axis=1)[:, :2]
+    assert len(got) == 1800 and all(want[r.query_id, r["rank"] - 1] == r.ref_id for r in got)

@@ -34,6 +34,8 @@ BLOCK_BYTES = 16 * 1024 * 1024
 MAX_PIVOTS = 1024
 #: Numbers in a reference set from which on its queries are dealt over all cores.
 SPREAD_NUMBERS = 500_000
+#: Blocks grow with the table, up to what a task can hold, so that a row is copied about so many times.
+BLOCK_COPIES = 16
 
 
 def block_rows_of(dim: int) -> int:
@@ -465,7 +467,8 @@ def neighbour_join(
 
     ``epsilon`` allows a relative error of the returned distances (a cell is skipped
     when it could improve them by less), ``greedy`` visits only the most promising
-    cells, ``tau`` widens that visit.  ``exclude_self`` drops the pair of equal ids,
+    cells, ``tau`` widens that visit.  ``block_rows`` is the size of blocks of a small
+    table, those of a large one grow up to about 16 MB.  ``exclude_self`` drops the pair of equal ids,
     for a table joined with itself.
     """
     if k < 1:
@@ -483,7 +486,9 @@ def neighbour_join(
             raise ValueError(f"reference set of {size} bytes exceeds the broadcast limit {broadcast_bytes}")
         out = _small_reference(q, r, k, farthest, exclude_self)
     else:
-        block_rows = block_rows or block_rows_of(dim)
+        # A block of b rows is copied n / b times: blocks of a fixed size would be exchanged in proportion to the square of n.
+        widest = block_rows_of(dim)
+        block_rows = max(block_rows or widest, min(widest, n // BLOCK_COPIES))
         out = _blocked(
             q, r, n, k, farthest, exclude_self,
             epsilon=epsilon, greedy=greedy, tau=tau, block_rows=block_rows, n_pivots=n_pivots, seed=seed,
