@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import points
 
-from vectable.operators import clustering, neighbors as nb
+from vectable.operators import clustering, independent, neighbors as nb
 
 
 def test_few_seeds_move_by_scans(spark, monkeypatch):
@@ -64,3 +64,9 @@ def test_blocks_grow_with_the_table(spark, monkeypatch):
     d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
     want = np.argsort(d, axis=1)[:, :2]
     assert len(got) == 1800 and all(want[r.query_id, r["rank"] - 1] == r.ref_id for r in got)
+
+
+def test_logarithms_by_products():
+    x = np.concatenate((np.random.default_rng(7).exponential(size=1000) ** 9, [independent.TINY, 1e300, 1.0]))
+    for n in (0, 1, 31, 32, 1003):
+        assert np.isclose(independent.log_sum(x[:n]), np.log(x[:n]).sum(), rtol=1e-12)
