@@ -66,6 +66,26 @@ def test_blocks_grow_with_the_table(spark, monkeypatch):
     assert len(got) == 1800 and all(want[r.query_id, r["rank"] - 1] == r.ref_id for r in got)
 
 
+def test_entropy_by_sorted_arrays(spark):
+    """Spacings across partitions, of small groups and of NULL, as a sort of every group gives them."""
+    rng = np.random.default_rng(6)
+    rows = [("a", float(v), i) for i, v in enumerate(rng.normal(size=900))] + [(None, float(v), i) for i, v in enumerate(np.round(rng.normal(size=50), 1))]
+    rows += [("b", None, 1), ("b", None, 2), ("b", 1.0, 3), ("b", 4.0, 4), ("b", 4.5, 5), ("one", 1.0, 1)]
+    df = spark.createDataFrame(rows, "g string, z double, i int")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.g: (r.n, r.entropy) for r in independent.spacing_entropy(df, "z", ["i"], "g").collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert set(got) == {"a", None, "b"}
+    for g in ("a", None):
+        z = np.sort([r[1] for r in rows if r[0] == g])
+        m = int(np.sqrt(len(z)))
+        assert got[g][0] == len(z) and np.isclose(got[g][1], np.log(np.maximum(z[m:] - z[:-m], independent.TINY)).sum(), rtol=1e-12)
+    # NULL, NULL, 1, 4, 4.5 with m = 2.
+    assert got["b"][0] == 5 and np.isclose(got["b"][1], 2 * np.log(independent.TINY) + np.log(3.5))
+
+
 def test_logarithms_by_products():
     x = np.concatenate((np.random.default_rng(7).exponential(size=1000) ** 9, [independent.TINY, 1e300, 1.0]))
     for n in (0, 1, 31, 32, 1003):
