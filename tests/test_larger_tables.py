@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from helpers import points
 
-from vectable.operators import clustering, independent, neighbors as nb
+from vectable.functions import blocks
+from vectable.operators import clustering, independent, neighbors as nb, training
 
 
 def test_few_seeds_move_by_scans(spark, monkeypatch):
@@ -90,3 +91,17 @@ def test_logarithms_by_products():
     x = np.concatenate((np.random.default_rng(7).exponential(size=1000) ** 9, [independent.TINY, 1e300, 1.0]))
     for n in (0, 1, 31, 32, 1003):
         assert np.isclose(independent.log_sum(x[:n]), np.log(x[:n]).sum(), rtol=1e-12)
+
+
+def test_full_gradients_read_packed_blocks(spark, monkeypatch):
+    """Passes of a fit convert no rows, and see all of them with their kinds."""
+    x = np.random.default_rng(8).normal(size=(500, 3))
+    df = points(spark, x, label=np.arange(500) % 3)
+    monkeypatch.setattr(blocks, "PACKED_ROWS", 60)
+    with blocks.packed(df, ["features", "label"]) as kept:
+        seen = blocks.sum_over_rows(kept, [], lambda f, y: {"s": f[y == 1].sum(0), "n": np.array(float(len(y) * (y.dtype.kind == "i")))})
+    assert np.allclose(seen["s"], x[np.arange(500) % 3 == 1].sum(0)) and seen["n"] == 500
+    taken = []
+    monkeypatch.setattr(training, "mean_objective", lambda source, *a: taken.append(type(source)) or (lambda t: (float(t @ t), 2 * t)))
+    training.minimise(df, ["features"], np.ones(2), None, None, optimizer="lbfgs", max_iterations=2, tolerance=1e-9)
+    assert taken == [blocks.Packed]

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,8 +95,63 @@ def add_partials(partial: DataFrame) -> Partials:
     return out
 
 
+#: Rows of a packed block.
+PACKED_ROWS = 1 << 15
+
+
+@dataclass(frozen=True)
+class Packed:
+    """Columns of a table as kept blocks of rows, each column of a block the bytes of one array: a pass copies bytes and converts no rows."""
+
+    blocks: DataFrame
+    columns: int
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: list[Batch] = []
+
+    def block() -> pa.RecordBatch:
+        fields: list[pa.Array] = []
+        for parts in zip(*held):
+            whole = np.concatenate(parts)
+            whole = whole.astype(np.float64) if whole.dtype == object else whole
+            shape = pa.array([list(whole.shape)], pa.list_(pa.int64()))
+            fields += [pa.array([whole.dtype.str]), shape, pa.array([np.ascontiguousarray(whole).tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(fields, [f"{n}{i}" for i in range(len(fields) // 3) for n in ("kind", "shape", "bytes")])
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(tuple(column_values(c) for c in batch.columns))
+            if sum(len(h[0]) for h in held) >= PACKED_ROWS:
+                yield block()
+                held = []
+    if held:
+        yield block()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Batch]:
+    for batch in batches:
+        for r in range(batch.num_rows):
+            at = [[batch.column(3 * i + k)[r] for k in range(3)] for i in range(columns)]
+            yield tuple(np.frombuffer(b.as_buffer(), kind.as_py()).reshape(shape.as_py()) for kind, shape, b in at)
+
+
+@contextmanager
+def packed(df: DataFrame, columns: list[str | Column]) -> Iterator[Packed]:
+    """The columns, packed for the passes of an iterative job and released afterwards; few partitions are spread over the cores."""
+    picked = df.select(*[c if isinstance(c, Column) else F.col(c) for c in columns])
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    picked = picked.repartition(cores) if picked.rdd.getNumPartitions() < cores else picked
+    schema = ", ".join(f"kind{i} string, shape{i} array<bigint>, bytes{i} binary" for i in range(len(columns)))
+    blocks = picked.mapInArrow(_pack, schema).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield Packed(blocks, len(columns))
+    finally:
+        blocks.unpersist()
+
+
 def sum_over_tasks(
-    df: DataFrame,
+    df: DataFrame | Packed,
     columns: list[str | Column],
     task: Callable[[Iterator[Batch]], Partials],
 ) -> Partials:
@@ -103,11 +161,12 @@ def sum_over_tasks(
     returns arrays whose shapes do not depend on the data.  The cross-task sum is a
     Spark aggregation, so only model-sized rows reach the driver.
     """
-    picked = df.select(*[c if isinstance(c, Column) else F.col(c) for c in columns])
+    known = df.columns if isinstance(df, Packed) else None
+    picked = df.blocks if isinstance(df, Packed) else df.select(*[c if isinstance(c, Column) else F.col(c) for c in columns])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = (b for b in batches if b.num_rows)
-        totals = task(tuple(column_values(c) for c in b.columns) for b in full)
+        totals = task((tuple(column_values(c) for c in b.columns) for b in full) if known is None else _unpacked(full, known))
         if totals:
             yield partial_rows(totals)
 

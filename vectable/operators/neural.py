@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -113,7 +114,8 @@ def _row_loss(net: Network):
 def _fit(df: DataFrame, target_col: str, net: Network, *, optimizer: str, step_size: float, batch_size: int, max_iterations: int, tolerance: float, seed: int, batches: int) -> Network:
     if optimizer not in ("rmsprop", "sgd", "lbfgs", "adam"):
         raise ValueError("optimizer is rmsprop, sgd, lbfgs or adam")
-    with reused(df, "features", target_col) as kept:
+    # Full gradients pack the table themselves.
+    with nullcontext(df) if optimizer == "lbfgs" else reused(df, "features", target_col) as kept:
         theta, value, _ = minimise(
             kept, ["features", target_col], net.theta, _row_loss(net), no_penalty, optimizer=optimizer,
             max_iterations=max_iterations, tolerance=tolerance, step_size=step_size, batch_size=batch_size, seed=seed, batches=batches,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,7 +88,8 @@ def fit_svm(
     def penalty(theta: np.ndarray) -> tuple[float, np.ndarray]:
         return 0.5 * lam * float(theta @ theta), lam * theta
 
-    with reused(df, "features", class_col) as kept:
+    # Full gradients pack the table themselves.
+    with nullcontext(df) if optimizer == "lbfgs" else reused(df, "features", class_col) as kept:
         theta, value, _ = minimise(
             kept, ["features", class_col], np.zeros(k * (d + intercept)), row_loss(k, d, delta, intercept), penalty,
             optimizer=optimizer, max_iterations=max_iterations if optimizer == "lbfgs" else epochs, tolerance=tolerance,

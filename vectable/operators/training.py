@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vectable.functions.blocks import Batch, Partials, sum_over_tasks
+from vectable.functions.blocks import Batch, Packed, Partials, packed, sum_over_tasks
 from vectable.session import reused
 
 ValueGrad = Callable[[np.ndarray], tuple[float, np.ndarray]]
@@ -62,7 +62,7 @@ def lbfgs(objective: ValueGrad, theta: np.ndarray, max_iterations: int, toleranc
     return theta, float(value), done
 
 
-def mean_objective(df: DataFrame, columns: list[str | Column], row_loss: RowLoss, penalty: ValueGrad) -> ValueGrad:
+def mean_objective(df: DataFrame | Packed, columns: list[str | Column], row_loss: RowLoss, penalty: ValueGrad) -> ValueGrad:
     """Mean row loss over the table plus a penalty, with its gradient."""
 
     def objective(theta: np.ndarray) -> tuple[float, np.ndarray]:
@@ -234,7 +234,8 @@ def minimise(
     With ``batches`` a pass has so many steps, each for all tasks; without, every task walks its own rows and parameters are averaged.
     """
     if optimizer == "lbfgs":
-        return lbfgs(mean_objective(df, columns, row_loss, penalty), theta, max_iterations, tolerance)
+        with packed(df, columns) as blocks:
+            return lbfgs(mean_objective(blocks, columns, row_loss, penalty), theta, max_iterations, tolerance)
     if batches:
         return global_passes(
             df, columns, theta, row_loss, penalty, optimizer=optimizer, step_size=step_size, batches=batches, epochs=max_iterations, tolerance=tolerance, seed=seed
