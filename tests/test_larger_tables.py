@@ -5,7 +5,7 @@ import pytest
 from helpers import points
 
 from vectable.functions import blocks
-from vectable.operators import clustering, independent, neighbors as nb, training
+from vectable.operators import clustering, independent, neighbors as nb, reduction, training
 
 
 def test_few_seeds_move_by_scans(spark, monkeypatch):
@@ -105,3 +105,18 @@ def test_full_gradients_read_packed_blocks(spark, monkeypatch):
     monkeypatch.setattr(training, "mean_objective", lambda source, *a: taken.append(type(source)) or (lambda t: (float(t @ t), 2 * t)))
     training.minimise(df, ["features"], np.ones(2), None, None, optimizer="lbfgs", max_iterations=2, tolerance=1e-9)
     assert taken == [blocks.Packed]
+
+
+def test_cosine_tree_reads_packed_blocks(spark, monkeypatch):
+    """No round converts rows, and blocks of any size give one tree."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate((rng.normal(size=(20, 6))[rng.integers(0, 20, 600)] * 3 + rng.normal(size=(600, 6)) * 0.2, np.ones((30, 6))))
+    df, found = points(spark, x), []
+    monkeypatch.setattr(reduction, "reused", None)
+    for size in (1 << 15, 50):
+        monkeypatch.setattr(blocks, "PACKED_ROWS", size)
+        found.append(reduction.cosine_tree(df, x.mean(0), np.ones(6), 0.2, "row_id", 1))
+    (a, left), (b, left_b) = found
+    assert np.allclose(a @ a.T, b @ b.T) and np.isclose(left, left_b) and left <= 0.2
+    z = x - x.mean(0)
+    assert np.isclose(left, ((z - z @ a @ a.T) ** 2).sum() / (z**2).sum())

@@ -129,7 +129,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
-def _unpacked(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Batch]:
+def unpacked(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[Batch]:
+    """The arrays of each kept block."""
     for batch in batches:
         for r in range(batch.num_rows):
             at = [[batch.column(3 * i + k)[r] for k in range(3)] for i in range(columns)]
@@ -166,7 +167,7 @@ def sum_over_tasks(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         full = (b for b in batches if b.num_rows)
-        totals = task((tuple(column_values(c) for c in b.columns) for b in full) if known is None else _unpacked(full, known))
+        totals = task((tuple(column_values(c) for c in b.columns) for b in full) if known is None else unpacked(full, known))
         if totals:
             yield partial_rows(totals)
 
