@@ -18,7 +18,7 @@ from vectable.functions.blocks import from_matrix, matrix_udf, nearest, row_slic
 from vectable.functions.hashing import uniforms
 from vectable.operators.buckets import bucket_join
 from vectable.operators.layout import shape
-from vectable.operators.neighbors import block_rows_of, Cells, block_join, fit_cells, neighbour_join
+from vectable.operators.neighbors import BROADCAST_BYTES, block_rows_of, Cells, block_join, fit_cells, neighbour_join
 from vectable.operators.order import row_index, sample_rows
 from vectable.session import cut_lineage, reused
 
@@ -467,17 +467,68 @@ def _moved(points: DataFrame, at: np.ndarray, radius: float) -> tuple[np.ndarray
     return total[:, -1], total[:, :-1] / np.maximum(total[:, -1:], 1.0)
 
 
-def _rested(points: DataFrame, at: np.ndarray, radius: float, max_iterations: int, force_convergence: bool) -> tuple[np.ndarray, np.ndarray, int]:
-    """(places of the seeds that meet points, where they came to rest, passes)."""
+def _rested(move: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], at: np.ndarray, radius: float, max_iterations: int, force_convergence: bool) -> tuple[np.ndarray, np.ndarray, int]:
+    """(which seeds meet points, places where all came to rest, passes); ``move`` gives the weights and centers of seeds."""
     at, alive, moving, done = at.copy(), np.ones(len(at), bool), np.ones(len(at), bool), 0
     while moving.any() and (done < max_iterations or force_convergence):
         here = np.flatnonzero(moving)
-        weight, center = _moved(points, at[here], radius)
+        weight, center = move(at[here])
         rests = np.sqrt(((at[here] - center) ** 2).sum(1)) < 1e-3 * radius
         alive[here], moving[here] = weight > 0, (weight > 0) & ~rests
         at[here] = center
         done += 1
-    return np.flatnonzero(alive), at[alive], done
+    return alive, at, done
+
+
+@dataclass(frozen=True)
+class Held:
+    """Distinct points with their weights in the order of their widest feature: a seed meets a run of them."""
+
+    axis: int
+    points: np.ndarray
+    weighed: np.ndarray  # (points, d + 1): features times weight, and the weight
+
+    @classmethod
+    def of(cls, points: np.ndarray, weight: np.ndarray) -> Held | None:
+        """None where values are not finite."""
+        if not np.isfinite(points).all():
+            return None
+        axis = int(np.argmax(np.ptp(points, 0))) if points.size else 0
+        order = np.argsort(points[:, axis], kind="stable") if points.size else np.arange(len(points))
+        points, weight = points[order], weight[order].astype(float)
+        return cls(axis, points, np.column_stack((points * weight[:, None], weight)))
+
+    def moved(self, at: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """The same as ``_moved``."""
+        total = np.zeros((len(at), self.weighed.shape[1]))
+        line = self.points[:, self.axis]
+        reach = radius * (1.0 + 1e-9) + 1e-12 * np.abs(at[:, self.axis])
+        first, last = np.searchsorted(line, at[:, self.axis] - reach, "left"), np.searchsorted(line, at[:, self.axis] + reach, "right")
+        for i in range(len(at)):
+            for s in row_slices(last[i] - first[i], 1, 1 << 16):
+                run = slice(first[i] + s.start, first[i] + s.stop)
+                near = sq_dists(at[i : i + 1], self.points[run])[0] <= radius * radius
+                total[i] += near @ self.weighed[run]
+        return total[:, -1], total[:, :-1] / np.maximum(total[:, -1:], 1.0)
+
+
+def _rested_apart(
+    points: DataFrame, held: Held, at: np.ndarray, radius: float, max_iterations: int, force_convergence: bool
+) -> tuple[np.ndarray, np.ndarray, int]:
+    """``_rested`` in one job: a seed moves without regard to the others, so each task moves seeds of its own until they rest."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                own = batch.column(0).to_numpy()
+                alive, rested, done = _rested(lambda x: held.moved(x, radius), at[own], radius, max_iterations, force_convergence)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(alive), from_matrix(rested), pa.array(np.full(len(own), done))], ["id", "alive", "at", "done"])
+
+    spark = points.sparkSession
+    tasks = max(1, min(len(at), 4 * spark.sparkContext.defaultParallelism))
+    got = spark.range(0, len(at), 1, tasks).mapInArrow(run, "id bigint, alive boolean, at array<double>, done bigint").toArrow()
+    got = got.take(pa.array(np.argsort(got["id"].to_numpy())))
+    return got["alive"].to_numpy(), to_matrix(got["at"]), int(got["done"].to_numpy().max(initial=0))
 
 
 def _apart(centers: np.ndarray, radius: float) -> np.ndarray:
@@ -543,8 +594,9 @@ def mean_shift(
     """Shift every seed to the mean of the points within the radius until it rests, then merge.
 
     Seeds that still move after ``max_iterations`` count where they are;
-    ``force_convergence`` goes on until all of them rest.  Up to ``FEW_SEEDS`` seeds go to the tasks and a
-    pass is one scan; more of them meet the points by cells.
+    ``force_convergence`` goes on until all of them rest.  Up to ``FEW_SEEDS`` seeds go to the tasks: with the distinct points,
+    where those were counted below the broadcast limit, so that one job moves all seeds; else a
+    pass is one scan.  More seeds meet the points by cells.
     """
     r = radius if radius > 0 else estimate_radius(df, id_col=id_col)
     seeds = cut_lineage(bin_seeds(df, r))
@@ -552,8 +604,17 @@ def mean_shift(
     if known.num_rows <= FEW_SEEDS:
         at = to_matrix(known["_qx"])[np.argsort(known["_q"].to_numpy())]
         with reused(distinct_points(df, id_col), "_rx", "weight") as points:
-            _, rested, done = _rested(points, at, r, max_iterations, force_convergence)
-        centers = df.sparkSession.createDataFrame([(c.tolist(),) for c in _apart(rested, r)], "features array<double>")
+            size = points.count() * 8 * (2 * at.shape[1] + 1)
+            if 0 < size <= BROADCAST_BYTES and len(at):
+                got = points.select("_rx", "weight").toArrow()
+                held = Held.of(to_matrix(got["_rx"]), got["weight"].to_numpy())
+            else:
+                held = None
+            if held is not None:
+                alive, rested, done = _rested_apart(points, held, at, r, max_iterations, force_convergence)
+            else:
+                alive, rested, done = _rested(lambda x: _moved(points, x, r), at, r, max_iterations, force_convergence)
+        centers = df.sparkSession.createDataFrame([(c.tolist(),) for c in _apart(rested[alive], r)], "features array<double>")
         return MeanShift(row_index(centers, ["features"], "cluster"), r, done)
     distinct = cut_lineage(distinct_points(df, id_col))
     cells, points = fit_cells(distinct, distinct.count(), 1)
