@@ -1,10 +1,12 @@
 """Jobs that grew too slow or too large for their disk give what the plain ways give, in fewer steps."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import points
+from pyspark.sql import functions as F
 
-from vectable.operators import clustering
+from vectable.operators import buckets, clustering, neighbors as nb
 
 
 @pytest.mark.parametrize("limit", [1000, 2])
@@ -25,3 +27,49 @@ def test_seeds_of_a_mean_shift_move_in_one_job(spark, monkeypatch, limit):
     assert held.iterations == by_scans.iterations == by_cells.iterations
     a, b, c = ([r.features for r in m.centroids.orderBy("cluster").collect()] for m in (held, by_scans, by_cells))
     assert len(a) > 1 and np.allclose(a, b) and np.allclose(a, c)
+
+
+@pytest.mark.parametrize("k", [1, 6, 40])
+@pytest.mark.parametrize("d", [2, 4])
+def test_boxes_find_what_a_full_comparison_finds(d, k, monkeypatch):
+    """Copies, points on lines, equal distances and queries far outside included; no full matrix is made."""
+    rng = np.random.default_rng(d + k)
+    r = rng.normal(size=(3000, d))
+    r[:, 0] = np.round(r[:, 0])
+    r[:700], r[1000:1400] = r[0], np.round(r[1000:1400])
+    ids, x = np.arange(3000) * 3, np.concatenate((r[600:1100], rng.normal(size=(100, d)) * 20, r[1000:1010] + 0.5))
+    with monkeypatch.context() as m:
+        m.setattr(nb, "BOXED_FROM", 10**9, raising=False)
+        want = nb._compared(x, r, ids, k, False)
+    monkeypatch.setattr(nb, "sq_dists", None)
+    got = nb._compared(x, r, ids, k, False)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+
+
+def test_small_reference_of_few_features_is_searched_by_boxes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    df = points(spark, np.column_stack((rng.integers(0, 9, 1500), rng.normal(size=1500), rng.normal(size=1500))))
+    want = nb.knn(df, df, 3, exclude_self=True, strategy="blocks", n_pivots=4).collect()
+    monkeypatch.setattr(nb, "_compared", None)
+    got = nb.knn(df, df, 3, exclude_self=True).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)
+
+
+def test_rows_of_many_buckets_are_not_sorted_to_meet_their_loads(spark, monkeypatch):
+    """Only the full buckets are looked up; every pair of a bucket still meets once."""
+    def rows(name: str):
+        return spark.range(4000).select(F.when(F.col("id") < 300, F.lit(-1)).otherwise(F.col("id") % 50).cast("bigint").alias("t"), F.col("id").alias(name))
+
+    monkeypatch.setattr(buckets, "LOAD_ROWS", 10)
+    monkeypatch.setattr(buckets, "CALL_ROWS", 500, raising=False)
+
+    def work(q: pa.Table, r: pa.Table) -> pa.Table:
+        a, b = np.meshgrid(q["v"].to_numpy(), r["w"].to_numpy())
+        return pa.table({"v": a.reshape(-1), "w": b.reshape(-1)})
+
+    query, ref = rows("v").where("t <> 9"), rows("w").where("w % 3 = 0 AND t <> 7")
+    met = buckets.bucket_join(query, ref, ["t"], work, "v bigint, w bigint", 100)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    want = query.join(ref, "t").select("v", "w")
+    assert met.count() == want.count() and met.exceptAll(want).isEmpty()
