@@ -6,7 +6,7 @@ import pytest
 from helpers import points
 from pyspark.sql import functions as F
 
-from vectable.operators import buckets, clustering, neighbors as nb
+from vectable.operators import buckets, clustering, neighbors as nb, radius
 
 
 @pytest.mark.parametrize("limit", [1000, 2])
@@ -73,3 +73,28 @@ def test_rows_of_many_buckets_are_not_sorted_to_meet_their_loads(spark, monkeypa
     assert "SortMergeJoin" not in plan
     want = query.join(ref, "t").select("v", "w")
     assert met.count() == want.count() and met.exceptAll(want).isEmpty()
+
+
+def test_radius_join_copies_the_smaller_side(spark, monkeypatch):
+    """A full cell is not cut into blocks of a call's size, and only the side with fewer rows visits the cells next to its own."""
+    sides = []
+
+    def dealt(query, ref, *rest, **more):
+        sides.append((query.count(), ref.count()))
+        return join(query, ref, *rest, **more)
+
+    join = radius.bucket_join
+    monkeypatch.setattr(radius, "bucket_join", dealt)
+    monkeypatch.setattr(radius, "JOIN_PAIRS", 1000)
+    rng = np.random.default_rng(4)
+    x, y = np.round(rng.uniform(0, 5, (900, 1)), 2), np.round(rng.uniform(0, 5, (60, 1)), 2)
+    many, few = points(spark, x), points(spark, y)
+    want = {(i, j) for i, j in zip(*np.nonzero(np.abs(x - y.T) <= 0.75))}
+    shuffled = buckets._streamed
+    copies = []
+    monkeypatch.setattr(buckets, "_streamed", lambda left, right, *rest: copies.append((left.count(), right.count())) or shuffled(left, right, *rest))
+    got = {(r.query_id, r.ref_id): r.dist for r in radius.radius_join(many, few, 0.75).collect()}
+    turned = {(r.ref_id, r.query_id): r.dist for r in radius.radius_join(few, many, 0.75).collect()}
+    assert set(got) == want and got == turned and all(abs(d - abs(x[i, 0] - y[j, 0])) < 1e-12 for (i, j), d in got.items())
+    assert sides == [(900, 180), (180, 900)]
+    assert all(a + b <= 1080 for a, b in copies)
