@@ -98,3 +98,28 @@ def test_radius_join_copies_the_smaller_side(spark, monkeypatch):
     assert set(got) == want and got == turned and all(abs(d - abs(x[i, 0] - y[j, 0])) < 1e-12 for (i, j), d in got.items())
     assert sides == [(900, 180), (180, 900)]
     assert all(a + b <= 1080 for a, b in copies)
+
+
+@pytest.mark.parametrize("farthest", [False, True])
+def test_products_exchange_only_the_best(spark, monkeypatch, farthest):
+    """In many dimensions blocks meet blocks; queries and points are not copied for cells, and ties go to the lower id."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(500, 16))
+    x[:40] = x[0]
+    df = points(spark, x).repartition(3)
+    want = nb.neighbour_join(df, df, 3, farthest=farthest, exclude_self=True).collect()
+    monkeypatch.setattr(nb, "block_join", None)
+    monkeypatch.setattr(nb, "BROADCAST_BYTES", 10_000)
+    got = nb.neighbour_join(df, df, 3, farthest=farthest, exclude_self=True, broadcast_bytes=10_000, block_rows=70)
+    assert "CartesianProduct" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want)
+
+
+def test_cells_are_kept_where_they_exclude(spark, monkeypatch):
+    """Points of few features still go to the cells that their queries visit."""
+    rng = np.random.default_rng(8)
+    df = points(spark, rng.uniform(size=(3000, 2)))
+    want = nb.knn(df, df, 2).collect()
+    monkeypatch.setattr(nb, "_multiplied", None, raising=False)
+    got = nb.knn(df, df, 2, broadcast_bytes=1000).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)

@@ -1,6 +1,6 @@
 """Nearest- and farthest-neighbour joins.
 
-Two strategies give the same rows:
+Three strategies give the same rows:
 
 * a reference set of checked size is sent to the tasks once, and the query side
   is scored where it lies, without a shuffle;
@@ -9,12 +9,14 @@ Two strategies give the same rows:
   closer point are visited.  Cells and the queries routed to them are cut into
   blocks of bounded size, so neither a dense region nor a third of all rows being
   copies of one point lands in one task.  Copies of a reference point beyond the k
-  lowest ids can never be among k neighbours and leave before the blocks are built.
+  lowest ids can never be among k neighbours and leave before the blocks are built;
+* where bounds exclude few cells, as in many dimensions, copies for cells are copies for nothing: blocks of queries
+  meet blocks of the reference set one by one, and only the k best of each meeting are exchanged.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -541,11 +543,94 @@ def _blocked(
         return cells.candidates(x, k, farthest, epsilon, greedy, tau)
 
     partial = block_join(query, placed, cells, visit, work, "_q bigint, ref_id bigint, dist double", block_rows)
+    return _best_of(partial, keep, farthest, exclude_self)
+
+
+#: Reference rows that tell whether cells exclude anything, the cells they are cut into, and the share of cells that is too much.
+TRIAL_ROWS, TRIAL_CELLS, TRIAL_SHARE = 4096, 64, 0.5
+
+
+def _cells_exclude(ref: DataFrame, k: int, farthest: bool, seed: int) -> bool:
+    """Whether a query visits less than TRIAL_SHARE of the cells of a drawn part of the reference set."""
+    x = to_matrix(sample_rows(ref.select("_ref", "_rx"), TRIAL_ROWS, "_ref", seed).select("_rx").toArrow()["_rx"])
+    pivots = np.unique(x[:: max(1, len(x) // TRIAL_CELLS)], axis=0)
+    if not np.isfinite(x).all() or len(x) < k:
+        return True
+    own, sq = nearest(x, pivots)
+    away, p = np.sqrt(sq), len(pivots)
+    cells = Cells(pivots, np.bincount(own, minlength=p).astype(float), np.full(p, np.inf), np.full(p, -np.inf), np.full((p, k), np.nan))
+    for c in range(p):
+        d = np.sort(away[own == c])
+        if len(d):
+            cells.near[c], cells.far[c] = d[0], d[-1]
+            best = (d[::-1] if farthest else d)[:k]
+            cells.edge[c, : len(best)] = best
+    seen = [cells.candidates(x[s], k, farthest, 0.0, False, 0.0)[:, cells.count > 0].mean(1) for s in row_slices(len(x), p * (k + 4))]
+    return float(np.concatenate(seen).mean()) < TRIAL_SHARE
+
+
+def _packed_rows(side: DataFrame, rows: int) -> DataFrame:
+    """(ids, x) of about ``rows`` rows of a partition each, by rising id; x is the bytes of their matrix."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            table = table.take(pa.array(np.argsort(table[0].to_numpy(), kind="stable")))
+            ids = table[0].combine_chunks()
+            ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            return pa.RecordBatch.from_arrays([ids, pa.array([to_matrix(table[1]).tobytes()], pa.binary())], ["ids", "x"])
+
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                held.append(batch.slice(lo, rows))
+                if sum(b.num_rows for b in held) >= rows:
+                    yield block()
+                    held = []
+        if held:
+            yield block()
+
+    return side.mapInArrow(pack, "ids array<bigint>, x binary")
+
+
+def _multiplied(query: DataFrame, ref: DataFrame, n: int, dim: int, k: int, farthest: bool, exclude_self: bool, block_rows: int) -> DataFrame:
+    """Every block of queries meets every block of the reference set; neither is shuffled.
+
+    Blocks of the reference set are as large as what is sent to the tasks otherwise, so a query has k candidates of each of few.
+    """
+    keep, k = k, k + exclude_self
+    chunk = max(1, BROADCAST_BYTES // (8 * dim + 8))
+    blocks = max(1, -(-n // chunk))
+    spread = ref.select("_ref", "_rx")
+    spread = spread.coalesce(blocks) if spread.rdd.getNumPartitions() > blocks else spread
+    points = cut_lineage(_packed_rows(spread, chunk)).withColumnsRenamed({"ids": "rids", "x": "rx"})
+    cores = query.sparkSession.sparkContext.defaultParallelism
+    asked = query.select("_q", "_qx")
+    if asked.rdd.getNumPartitions() * blocks < cores:
+        asked = asked.repartition(cores, "_q")
+    asked = _packed_rows(asked, block_rows).withColumnsRenamed({"ids": "qids", "x": "qx"})
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                q, ids = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (0, 2))
+                x, r = (np.frombuffer(batch.column(c)[i].as_buffer(), float).reshape(len(v), -1) for c, v in ((1, q), (3, ids)))
+                found, dist = top_k(x, r, ids, k, farthest)
+                for s in row_slices(len(q), found.shape[1], 1 << 18):
+                    columns = [np.repeat(q[s], found.shape[1]), found[s].reshape(-1), dist[s].reshape(-1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["_q", "ref_id", "dist"])
+
+    met = asked.hint("shuffle_replicate_nl").crossJoin(points).select("qids", "qx", "rids", "rx")
+    return _best_of(met.mapInArrow(search, "_q bigint, ref_id bigint, dist double"), keep, farthest, exclude_self)
+
+
+def _best_of(partial: DataFrame, k: int, farthest: bool, exclude_self: bool) -> DataFrame:
     if exclude_self:
         partial = partial.filter(F.col("_q") != F.col("ref_id"))
     better = F.col("dist").desc() if farthest else F.col("dist").asc()
     rank = F.row_number().over(W.partitionBy("_q").orderBy(better, "ref_id"))
-    return partial.withColumn("rank", rank).filter(F.col("rank") <= keep).select("_q", "rank", "ref_id", "dist")
+    return partial.withColumn("rank", rank).filter(F.col("rank") <= k).select("_q", "rank", "ref_id", "dist")
 
 
 def neighbour_join(
@@ -586,10 +671,14 @@ def neighbour_join(
     size = n * (dim * 8 + 8)
     if strategy == "auto":
         strategy = "blocks" if size > broadcast_bytes or epsilon > 0 or greedy else "broadcast"
+        if strategy == "blocks" and not (epsilon > 0 or greedy) and not _cells_exclude(r, k + exclude_self, farthest, seed):
+            strategy = "products"
     if strategy == "broadcast":
         if size > broadcast_bytes:
             raise ValueError(f"reference set of {size} bytes exceeds the broadcast limit {broadcast_bytes}")
         out = _small_reference(q, r, k, farthest, exclude_self)
+    elif strategy == "products":
+        out = _multiplied(q, r, n, dim, k, farthest, exclude_self, block_rows or block_rows_of(dim))
     else:
         # A block of b rows is copied n / b times: blocks of a fixed size would be exchanged in proportion to the square of n.
         widest = block_rows_of(dim)
