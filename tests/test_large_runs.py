@@ -6,7 +6,7 @@ import pytest
 from helpers import points
 from pyspark.sql import functions as F
 
-from vectable.operators import buckets, clustering, neighbors as nb, radius
+from vectable.operators import buckets, clustering, independent, neighbors as nb, radius
 
 
 @pytest.mark.parametrize("limit", [1000, 2])
@@ -123,3 +123,26 @@ def test_cells_are_kept_where_they_exclude(spark, monkeypatch):
     monkeypatch.setattr(nb, "_multiplied", None, raising=False)
     got = nb.knn(df, df, 2, broadcast_bytes=1000).collect()
     assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want)
+
+
+@pytest.mark.parametrize("std_dev", [0.175, 0.0])
+def test_replicas_are_exchanged_a_few_slices_at_a_time(spark, monkeypatch, std_dev):
+    """Scores are those of one task that sorts all replicas, ties and slices shorter than a spacing included."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 2))
+    x[:120] = x[0]
+    df, thetas = points(spark, x), [0.0, 0.4, 1.1]
+    more = dict(std_dev=std_dev, replicates=5, seed=3)
+    want = independent.angle_entropies(df, np.eye(2), thetas, **more)
+    rounds, split = [], getattr(independent, "_rounds", None)
+    monkeypatch.setattr(independent, "spacing_entropy", None)
+    for exchanged, size in ((400, 100), (400, 20), (4000, 100), (10**9, 10**6)):
+        monkeypatch.setattr(independent, "EXCHANGED_VALUES", exchanged, raising=False)
+        monkeypatch.setattr(independent, "SLICE_VALUES", size, raising=False)
+        monkeypatch.setattr(independent, "_rounds", lambda *a: rounds.extend(split(*a)) or split(*a), raising=False)
+        got = independent.angle_entropies(df, np.eye(2), thetas, local_values=0, **more)
+        assert np.allclose(got, want, rtol=1e-9)
+        slices = -(-1500 // size)
+        assert max(sum(hi - lo for _, lo, hi in parts) for parts in rounds) * 1500 <= max(exchanged, size) * slices
+        assert sorted(i for parts in rounds for g, lo, hi in parts for i in range(g * slices + lo, g * slices + hi)) == list(range(6 * slices))
+        rounds.clear()
